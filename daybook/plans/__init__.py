@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ("reports",)
+_MODULES = ("reports", "identity")
 
 
 def load_all():
