@@ -15,6 +15,8 @@ ColumnOrName = Column | str
 # The geohash base-32 alphabet (public geohash standard).
 GEOHASH_ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
 
+_BASE32_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
+
 # Fixed value: the "still open" end date of an active range.
 OPEN_END = "9999-12-31"
 
@@ -51,7 +53,7 @@ def java_hash(c: ColumnOrName) -> Column:
 
 def hash_bucket(c: ColumnOrName, n: int = 20) -> Column:
     """F8: ``(hashCode & Int.MaxValue) % n``."""
-    return F.pmod(F.bitwise_and(java_hash(c), F.lit(0x7FFFFFFF)), F.lit(n)).cast("int")
+    return F.pmod(java_hash(c).bitwiseAND(F.lit(0x7FFFFFFF)), F.lit(n)).cast("int")
 
 
 # --------------------------------------------------------------------------- F6
@@ -75,16 +77,13 @@ def geohash(lat: ColumnOrName, lng: ColumnOrName, precision: int = 5) -> Column:
             src, width, k = lo, lng_bits, i // 2
         else:
             src, width, k = la, lat_bits, i // 2
-        bit = F.bitwise_and(F.shiftright(src, width - 1 - k), F.lit(1))
+        bit = F.shiftright(src, width - 1 - k).bitwiseAND(F.lit(1))
         code = code + F.shiftleft(bit, nbits - 1 - i)
-    chars = [
-        F.substring(F.lit(GEOHASH_ALPHABET),
-                    (F.bitwise_and(F.shiftright(code, 5 * (precision - 1 - j)), F.lit(31)) + 1).cast("int"),
-                    1)
-        for j in range(precision)
-    ]
+    # base-32 digits of the code, then mapped onto the geohash alphabet
+    digits = F.lpad(F.conv(code.cast("string"), 10, 32), precision, "0")
+    text = F.translate(digits, _BASE32_DIGITS, GEOHASH_ALPHABET)
     ok = lat.between(-90.0, 90.0) & lng.between(-180.0, 180.0)
-    return F.when(ok, F.concat(*chars))
+    return F.when(ok, text)
 
 
 # --------------------------------------------------------------------------- F16-F18

@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ("reports", "identity")
+_MODULES = ("reports", "identity", "applog")
 
 
 def load_all():

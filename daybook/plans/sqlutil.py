@@ -23,3 +23,21 @@ def cc_sql(name: str, vertices: str, edges: str) -> str:
       SELECT e.d AS id, min(c.comp) AS comp FROM {name} c JOIN {name}_e e ON c.id = e.s
       LEFT JOIN recurring.{name} r ON r.id = e.d
       GROUP BY e.d, r.comp HAVING min(c.comp) < coalesce(r.comp, 9223372036854775807))"""
+
+
+def geohash_sql(lat: str, lng: str, precision: int = 5) -> str:
+    """Geohash of two DOUBLE expressions in DuckDB SQL (null when out of range)."""
+    nbits = 5 * precision
+    lng_bits, lat_bits = (nbits + 1) // 2, nbits // 2
+    la = f"least(CAST(floor(({lat} + 90.0) / 180.0 * {1 << lat_bits}) AS BIGINT), {(1 << lat_bits) - 1})"
+    lo = f"least(CAST(floor(({lng} + 180.0) / 360.0 * {1 << lng_bits}) AS BIGINT), {(1 << lng_bits) - 1})"
+    terms = []
+    for i in range(nbits):
+        src, width = (lo, lng_bits) if i % 2 == 0 else (la, lat_bits)
+        terms.append(f"(((({src}) >> {width - 1 - i // 2}) & 1) << {nbits - 1 - i})")
+    code = "(" + " + ".join(terms) + ")"
+    chars = " || ".join(
+        f"substr('0123456789bcdefghjkmnpqrstuvwxyz', CAST(((({code}) >> {5 * (precision - 1 - j)}) & 31) + 1 AS INTEGER), 1)"
+        for j in range(precision))
+    return (f"(CASE WHEN {lat} BETWEEN -90.0 AND 90.0 AND {lng} BETWEEN -180.0 AND 180.0 "
+            f"THEN {chars} END)")
