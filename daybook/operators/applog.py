@@ -119,9 +119,10 @@ def enrich_area(df: DataFrame, geo_dict: DataFrame, lat: str = "latitude", lng:
     join shuffles (and AQE may still switch to broadcast on measured sizes)."""
     from daybook.operators.joins import broadcast_if_small
 
-    d = broadcast_if_small(geo_dict.select("geo", "province", "city", "district"), broadcast_max_rows)
+    d = broadcast_if_small(geo_dict.select(F.col("geo").alias("_geo"), "province", "city", "district"),
+                           broadcast_max_rows)
     j = (df.withColumn("_geo", geohash(F.col(lat), F.col(lng), precision))
-         .join(d.withColumnRenamed("geo", "_geo"), "_geo", "left").drop("_geo"))
+         .join(d, "_geo", "left").drop("_geo"))
     return j.withColumns({c: F.coalesce(F.col(c), F.lit(UNKNOWN)) for c in ("province", "city", "district")})
 
 
