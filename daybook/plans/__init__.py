@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ("reports", "identity", "applog")
+_MODULES = ("reports", "identity", "applog", "ml")
 
 
 def load_all():
