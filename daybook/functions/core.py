@@ -39,6 +39,17 @@ def has_identity(*cols: ColumnOrName) -> Column:
     return not_blank(F.regexp_replace(F.concat(*parts), "null", ""))
 
 
+def parse_once(expr: Column) -> Column:
+    """Wrap an expensive row expression (``from_json``) so it is evaluated once.
+
+    Used as ``df.select(parse_once(e).alias(...))``: the value goes through a
+    one-element ``explode_outer``, a generator the optimizer cannot push filters
+    below, so predicates on the parsed struct are not rewritten into a second copy of
+    the parse. (The outer form also avoids the inferred non-empty filter.)
+    """
+    return F.explode_outer(F.array(expr))
+
+
 # --------------------------------------------------------------------------- F7, F8
 def java_hash(c: ColumnOrName) -> Column:
     """Java ``String.hashCode`` (32-bit, signed) widened to long.

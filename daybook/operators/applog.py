@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType, StructField, StructType
 
-from daybook.functions.core import geohash, has_identity, java_hash, not_blank
+from daybook.functions.core import geohash, has_identity, java_hash, not_blank, parse_once
 
 # Fixed value: the "unknown area" default of the reference's record type.
 UNKNOWN = "未知"
@@ -61,7 +61,7 @@ def parse_app_log(lines: DataFrame, value_col: str = "value") -> DataFrame:
     non-integer ``timestamp`` or a missing or non-numeric coordinate (P17), has no
     identity (P10), or a blank ``eventid``/``sessionId`` (P11). An empty ``event``
     object is kept. The output has ``APP_LOG_COLUMNS`` minus ``guid`` and the area."""
-    j = lines.select(F.from_json(F.col(value_col), APP_LOG_SCHEMA, {"mode": "PERMISSIVE"}).alias("j"))
+    j = lines.select(parse_once(F.from_json(F.col(value_col), APP_LOG_SCHEMA, {"mode": "PERMISSIVE"})).alias("j"))
     u = "j.user"
     cols = {
         "eventid": F.col("j.eventid"),

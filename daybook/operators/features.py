@@ -23,8 +23,10 @@ def encode_categories(c: str | Column, mapping: dict[str, float], default: float
 def hash_vector_array(cols: list[str | Column], n: int = 20) -> Column:
     """M3 as ``array<double>``: 1.0 at ``hash_bucket(v, n)`` of every value, else 0.0."""
     buckets = F.array(*[hash_bucket(c, n) for c in cols])
-    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
-                       lambda i: F.when(F.array_contains(buckets, i), F.lit(1.0)).otherwise(F.lit(0.0)))
+    # ``buckets`` is the aggregate's input, so each value is hashed once per row
+    zero = F.array_repeat(F.lit(0.0), n)
+    return F.aggregate(buckets, zero, lambda acc, b: F.transform(
+        acc, lambda x, i: F.when(i == b, F.lit(1.0)).otherwise(x)))
 
 
 def hash_vectorize(cols: list[str | Column], n: int = 20) -> Column:

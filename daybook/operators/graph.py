@@ -13,18 +13,26 @@ from daybook.sources.session import checkpoint_dir
 
 
 # --------------------------------------------------------------------------- X3, X4
-def pairwise(arr: Column) -> Column:
+def pairwise(arr: Column, max_width: int | None = None) -> Column:
     """All pairs ``(arr[i], arr[j])`` with ``i < j`` as ``array<struct<src,dst>>``.
 
-    The arrays are id fields of one record (a fixed, small width), so the pair count
-    per row is bounded by ``width * (width - 1) / 2``.
+    The arrays are the id fields of one record, so the pair count per row is bounded
+    by ``width * (width - 1) / 2``. With ``max_width`` the pairs are unrolled into
+    plain (code-generated) expressions for arrays up to that width; longer arrays
+    still get every pair through the general lambda form.
     """
     n = F.size(arr)
-    pairs = F.flatten(F.transform(
+    general = F.flatten(F.transform(
         F.sequence(F.lit(0), n - 2),
         lambda i: F.transform(F.slice(arr, i + 2, n - i - 1),
                               lambda y: F.struct(F.element_at(arr, i + 1).alias("src"), y.alias("dst")))))
-    return F.when(n >= 2, pairs)
+    general = F.when(n >= 2, general)
+    if not max_width:
+        return general
+    unrolled = F.array(*[
+        F.when(n > j, F.struct(arr[i].alias("src"), arr[j].alias("dst")))
+        for i in range(max_width) for j in range(i + 1, max_width)])
+    return F.when(n <= max_width, unrolled).otherwise(general)
 
 
 def chain(arr: Column) -> Column:
@@ -83,18 +91,22 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     canonical edge set ``(a > b)``. Every step is a partial ``min`` aggregate plus an
     equi-join on one endpoint, so a hub's edges are split by AQE's skew-join handling
     rather than gathered into one task; no step collects a neighbour list. Rounds are
-    O(log^2 n) for any diameter. Each round is written with a reliable ``checkpoint``
-    into ``spark.checkpoint.dir`` (lineage stays one round long and a lost executor
-    recomputes at most one round); the driver only reads one (count, xor-hash) row per
-    round to detect the fixpoint.
+    O(log^2 n) for any diameter.
+
+    Inputs are read once: the edge list and the vertex set are written with a
+    reliable ``checkpoint`` (into ``spark.checkpoint.dir``) before the loop, and each
+    round's edge set is checkpointed too, so lineage stays one round long and a lost
+    executor recomputes at most one round. The driver reads one (count, xor-hash) row
+    per round to detect the fixpoint.
     """
-    spark = vertices.sparkSession
-    checkpoint_dir(spark)
-    e = (edges.select(F.greatest("src", "dst").cast("long").alias("a"),
-                      F.least("src", "dst").cast("long").alias("b"))
-         .where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
-         .distinct()
-         .checkpoint())
+    checkpoint_dir(vertices.sparkSession)
+    ed = (edges.select(F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst"))
+          .where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+          .checkpoint())
+    vset = graph_vertices(vertices, ed).checkpoint()
+    e = (ed.select(F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b"))
+         .where(F.col("a") != F.col("b"))
+         .distinct())
     prev = None
     for _ in range(max_rounds):
         e = _small_star(_large_star(e)).checkpoint()
@@ -108,6 +120,4 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
         raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
     # Converged: every non-root node has exactly one edge, to its component minimum.
     labels = e.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    return (graph_vertices(vertices, edges)
-            .join(labels, "id", "left")
-            .select("id", F.coalesce("component", "id").alias("component")))
+    return vset.join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component"))

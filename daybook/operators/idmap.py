@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from daybook.functions.core import java_hash, not_blank
+from daybook.functions.core import java_hash, not_blank, parse_once
 from daybook.operators.graph import chain, connected_components, cooccurrence_edges, pairwise
 
 # Identifier fields of a log record, in the reference's order.
@@ -36,8 +36,7 @@ def extract_ids(lines: DataFrame, value_col: str = "value", phone_first: bool =
     ``user.f`` (``phone_first=False`` reverses that). Lines that are not JSON yield an
     empty array instead of failing the job.
     """
-    j = F.from_json(F.col(value_col), _ID_SCHEMA, {"mode": "PERMISSIVE"}).alias("j")
-    parsed = lines.select(j)
+    parsed = lines.select(parse_once(F.from_json(F.col(value_col), _ID_SCHEMA, {"mode": "PERMISSIVE"})).alias("j"))
     cols: list[Column] = []
     for f in ID_FIELDS:
         if f == "uid":
@@ -57,13 +56,43 @@ def id_vertices(ids: DataFrame, ids_col: str = "ids") -> DataFrame:
             .dropDuplicates(["id"]))
 
 
-def id_edges(ids: DataFrame, ids_col: str = "ids", min_count: int = 3) -> DataFrame:
-    """X3 + A7: directed hashed pairs (field order) seen at least ``min_count`` times."""
-    pairs = (ids.select(F.explode(pairwise(F.col(ids_col))).alias("p"))
-             .select(java_hash("p.src").alias("src"), java_hash("p.dst").alias("dst")))
+def _hashed(ids: DataFrame, ids_col: str) -> Column:
+    return F.transform(F.col(ids_col), lambda x: java_hash(x))
+
+
+def id_edges(ids: DataFrame, ids_col: str = "ids", min_count: int = 3,
+             max_width: int = len(ID_FIELDS)) -> DataFrame:
+    """X3 + A7: directed hashed pairs (field order) seen at least ``min_count`` times.
+    Ids are hashed once per record, then paired."""
+    hashed = ids.select(_hashed(ids, ids_col).alias("h"))  # hashed once, referenced by column
+    pairs = (hashed.select(F.explode_outer(pairwise(F.col("h"), max_width)).alias("p"))
+             .where(F.col("p").isNotNull())
+             .select("p.src", "p.dst"))
     return cooccurrence_edges(pairs, min_count)
 
 
+def id_graph(ids: DataFrame, ids_col: str = "ids", min_count: int = 3,
+             max_width: int = len(ID_FIELDS)) -> tuple[DataFrame, DataFrame]:
+    """X5 + X3 + A7 in one pass over the records: each record emits its vertices as
+    ``(id, null)`` and its pairs as ``(src, dst)``; one partial aggregate counts both,
+    and the (much smaller) result is checkpointed. Returns ``(vertices, edges)``."""
+    from daybook.sources.session import checkpoint_dir
+
+    checkpoint_dir(ids.sparkSession)
+    hashed = ids.select(_hashed(ids, ids_col).alias("h"))  # hashed once, referenced by column
+    h = F.col("h")
+    entries = F.concat(
+        F.transform(h, lambda x: F.struct(x.alias("src"), F.lit(None).cast("long").alias("dst"))),
+        F.coalesce(pairwise(h, max_width), F.array().cast("array<struct<src:bigint,dst:bigint>>")))
+    g = (hashed.select(F.explode_outer(entries).alias("p"))
+         .where(F.col("p").isNotNull())
+         .groupBy("p.src", "p.dst").agg(F.count(F.lit(1)).alias("n"))
+         .checkpoint())
+    vertices = g.where(F.col("dst").isNull()).select(F.col("src").alias("id"))
+    edges = g.where(F.col("dst").isNotNull() & (F.col("n") >= min_count)).select("src", "dst")
+    return vertices, edges
+
+
 # --------------------------------------------------------------------------- Q-IDM / Q-IDR
 def identity_map(ids: DataFrame, prev: DataFrame | None = None, ids_col: str = "ids",
                  min_count: int = 3) -> DataFrame:
@@ -75,8 +104,7 @@ def identity_map(ids: DataFrame, prev: DataFrame | None = None, ids_col: str = "
     yesterday keeps the smallest of their previous guids (deviation D3: the
     reference takes whichever it meets first).
     """
-    vertices = ids.select(F.explode(ids_col).alias("name")).select(java_hash("name").alias("id"))
-    edges = id_edges(ids, ids_col, min_count).select("src", "dst")
+    vertices, edges = id_graph(ids, ids_col, min_count)
     if prev is not None:
         vertices = vertices.unionByName(prev.select(F.col("biaoshi_hashcode").alias("id")))
         edges = edges.unionByName(prev.select(F.col("biaoshi_hashcode").alias("src"),

@@ -37,16 +37,21 @@ def token_rows(df: DataFrame, doc_col: str, words_col: str = "words") -> DataFra
 
 
 def remove_stopwords(df: DataFrame, words_col: str, stop: list[str] | DataFrame, out_col: str | None = None,
-                     doc_col: str | None = None) -> DataFrame:
+                     doc_col: str | None = None, inline_max: int = 10_000) -> DataFrame:
     """Drop stop words from a word array, keeping order and duplicates of the rest.
 
     A Python list (a fixed, small vocabulary) is inlined as a literal array. A
-    DataFrame of stop words (``term``) is applied without collecting it: words are
-    exploded with their position, anti-joined with the stop list, and the array is
-    rebuilt per document in position order (``doc_col`` required; the group of one
-    document is bounded by its length).
+    DataFrame of stop words (``term``) is inlined the same way when a bounded check
+    (``limit(inline_max + 1).count()``) shows at most ``inline_max`` terms; a larger
+    one is applied without collecting it: words are exploded with their position,
+    anti-joined with the stop list, and the array is rebuilt per document in position
+    order (``doc_col`` required; one document's group is bounded by its length).
     """
     out_col = out_col or words_col
+    if not isinstance(stop, list):
+        terms = stop.select(F.col("term").cast("string")).distinct()
+        if terms.limit(inline_max + 1).count() <= inline_max:
+            stop = [r[0] for r in terms.collect() if r[0] is not None]
     if isinstance(stop, list):
         lit = F.array(*[F.lit(w) for w in stop]) if stop else F.array().cast("array<string>")
         return df.withColumn(out_col, F.filter(words_col, lambda w: ~F.array_contains(lit, w)))
