@@ -75,3 +75,15 @@ def document_frequency(tf: DataFrame, doc_col: str, term_col: str = "term", docs
         docs = tf.select(F.count_distinct(doc_col)).scalar()
     d = tf.groupBy(term_col).agg(F.count(F.lit(1)).alias("df"))
     return d.select(term_col, "df", F.ln((docs + 1) / (F.col("df") + 1)).alias("idf"))
+
+
+def document_frequency_of_words(df: DataFrame, words_col: str, term_col: str = "term",
+                                docs: Column | None = None) -> DataFrame:
+    """M8 from word arrays: each document contributes its distinct terms once
+    (``array_distinct`` before the explode), so one partial aggregate counts document
+    frequency without a separate de-duplication shuffle. ``(term, df, idf)``."""
+    if docs is None:
+        docs = df.select(F.count(F.lit(1))).scalar()
+    d = (df.select(F.explode(F.array_distinct(words_col)).alias(term_col))
+         .groupBy(term_col).agg(F.count(F.lit(1)).alias("df")))
+    return d.select(term_col, "df", F.ln((docs + 1) / (F.col("df") + 1)).alias("idf"))

@@ -53,8 +53,13 @@ def remove_stopwords(df: DataFrame, words_col: str, stop: list[str] | DataFrame,
         if terms.limit(inline_max + 1).count() <= inline_max:
             stop = [r[0] for r in terms.collect() if r[0] is not None]
     if isinstance(stop, list):
-        lit = F.array(*[F.lit(w) for w in stop]) if stop else F.array().cast("array<string>")
-        return df.withColumn(out_col, F.filter(words_col, lambda w: ~F.array_contains(lit, w)))
+        from pyspark.ml.feature import StopWordsRemover
+
+        # JVM hash-set lookup per word; case-sensitive like a plain set membership test
+        tmp = "__kept" if out_col == words_col else out_col
+        out = StopWordsRemover(inputCol=words_col, outputCol=tmp, stopWords=list(stop),
+                               caseSensitive=True).transform(df)
+        return out.drop(words_col).withColumnRenamed(tmp, out_col) if tmp != out_col else out
     if doc_col is None:
         raise ValueError("doc_col is required with a stop-word DataFrame")
     rows = token_rows(df.select(doc_col, words_col), doc_col, words_col)

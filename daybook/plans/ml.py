@@ -210,9 +210,8 @@ SELECT doc_id, CAST(len(kept) AS INTEGER) AS n_kept,
 def q_stopwords(spark, sf_dir):
     """T2 with a corpus stop list: terms in more than half of the documents."""
     w = _doc_words(spark, sf_dir)
-    rows = text.token_rows(w, "doc_id")
-    dfreq = rows.groupBy("term").agg(F.count_distinct("doc_id").alias("df"))
     m = table(spark, sf_dir, "documents").select(F.count(F.lit(1))).scalar()
+    dfreq = features.document_frequency_of_words(w, "words", docs=m)
     stop = dfreq.where(F.col("df") * 2 > m).select("term")
     kept = text.remove_stopwords(w, "words", stop, "kept", doc_col="doc_id")
     return kept.select("doc_id", F.size("kept").alias("n_kept"),
@@ -232,9 +231,9 @@ SELECT term, df, round(ln(((SELECT count(*) FROM documents) + 1.0) / (df + 1.0))
 def q_doc_freq(spark, sf_dir):
     """M8 in exact form: ``(term, df, idf)`` with ``idf = ln((m+1)/(df+1))`` over all
     documents."""
-    tf = features.exact_term_frequency(text.token_rows(_doc_words(spark, sf_dir), "doc_id"), "doc_id")
     m = table(spark, sf_dir, "documents").select(F.count(F.lit(1))).scalar()
-    return features.document_frequency(tf, "doc_id", docs=m).select("term", "df", F.round("idf", 9).alias("idf"))
+    d = features.document_frequency_of_words(_doc_words(spark, sf_dir), "words", docs=m)
+    return d.select("term", "df", F.round("idf", 9).alias("idf"))
 
 
 def _comments(spark, sf_dir):

@@ -9,4 +9,6 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    from daybook.sources.io import spread
+
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))

@@ -89,3 +89,17 @@ def lines_of(df: DataFrame, *cols: str, sep: str = ",") -> DataFrame:
     """Render columns as delimited text lines (``value``), the shape S1 reads back."""
     return df.select(F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
                      .alias("value"))
+
+
+def spread(df: DataFrame, min_bytes: int = 1 << 20) -> DataFrame:
+    """Scan parallelism guard: when a scan yields fewer splits than the cluster's
+    default parallelism (one big row group, a single gzip file, ...) and the planner
+    estimates more than ``min_bytes``, redistribute it round-robin so the per-row work
+    after the scan uses every core. Planning only; on inputs that are already well
+    split (the normal case for large tables) it returns ``df`` unchanged."""
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(target) if size > min_bytes else df
