@@ -68,13 +68,17 @@ def append_table(df: DataFrame, name: str, partition_by: list[str] | None = None
     """Append to a catalog table. With ``overwrite_partitions`` a rerun of the same
     ``dt`` replaces that partition instead of duplicating it (dynamic overwrite)."""
     spark = df.sparkSession
-    exists = spark.catalog.tableExists(name)
-    if overwrite_partitions and exists:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        df.write.mode("overwrite").insertInto(name)
+    if spark.catalog.tableExists(name):
+        # insertInto is positional: follow the table's column order
+        ordered = df.select(*spark.table(name).columns)
+        if overwrite_partitions:
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+            ordered.write.mode("overwrite").insertInto(name)
+        else:
+            ordered.write.mode("append").insertInto(name)
         return
     w = df.write.mode("append").format("parquet")
-    if partition_by and not exists:
+    if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(name)
 

@@ -18,6 +18,7 @@ def spark():
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="daybook-test-ckpt-"))
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="daybook-test-wh-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s
