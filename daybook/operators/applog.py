@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType, StructField, StructType
 
 from daybook.functions.core import geohash, has_identity, java_hash, not_blank, parse_once
+from daybook.operators.joins import HOT_MIN_ROWS, broadcast_if_small, skew_join, top_hot_keys
 
 # Fixed value: the "unknown area" default of the reference's record type.
 UNKNOWN = "未知"
@@ -117,8 +118,6 @@ def enrich_area(df: DataFrame, geo_dict: DataFrame, lat: str = "latitude", lng:
     the cell is unknown. The dictionary must have one row per cell (see
     ``geo_dictionary``); it is broadcast only after a row-count check, otherwise the
     join shuffles (and AQE may still switch to broadcast on measured sizes)."""
-    from daybook.operators.joins import broadcast_if_small
-
     d = broadcast_if_small(geo_dict.select(F.col("geo").alias("_geo"), "province", "city", "district"),
                            broadcast_max_rows)
     j = (df.withColumn("_geo", geohash(F.col(lat), F.col(lng), precision))
@@ -127,24 +126,28 @@ def enrich_area(df: DataFrame, geo_dict: DataFrame, lat: str = "latitude", lng:
 
 
 # --------------------------------------------------------------------------- J4
-def resolve_guid(df: DataFrame, idmap: DataFrame, priority: tuple[str, ...] = GUID_PRIORITY) -> DataFrame:
+def resolve_guid(df: DataFrame, idmap: DataFrame, priority: tuple[str, ...] = GUID_PRIORITY,
+                 hot_min: int = HOT_MIN_ROWS) -> DataFrame:
     """``guid`` from the identity dictionary ``(biaoshi_hashcode, guid)``: the first
     of ``priority`` whose hash is in the dictionary. Null ids are skipped (D6).
 
     Resolved once per distinct id tuple rather than per record: distinct tuples are
     unpivoted to ``(tuple, priority, hash)``, equi-joined with the dictionary (no
     broadcast: it grows with the user base), reduced with ``min_by`` over priority,
-    and joined back on the tuple with null-safe keys. The wide records shuffle once.
-    Records without a hit get a null ``guid``.
+    and joined back on the tuple with null-safe keys. The wide records shuffle once,
+    except those of hot tuples (one device with a huge share of the log), which are
+    joined map-side against a broadcast of the few hot tuples' guids. Records without
+    a hit get a null ``guid``.
     """
-    tuples = df.select(*priority).distinct()
+    counts = df.groupBy(*priority).agg(F.count(F.lit(1)).alias("_n"))  # distinct tuples + sizes
+    tuples = counts.select(*priority)
     cand = tuples.select(*priority, F.explode(F.array(*[
         F.struct(F.lit(i).alias("prio"), java_hash(c).alias("h")) for i, c in enumerate(priority)
     ])).alias("c")).select(*priority, "c.prio", "c.h").where(F.col("h").isNotNull())
     hits = cand.join(idmap.select(F.col("biaoshi_hashcode").alias("h"), "guid"), "h")
     best = hits.groupBy(*priority).agg(F.min_by("guid", "prio").alias("guid"))
-    cond = [df[c].eqNullSafe(best[c]) for c in priority]
-    return df.join(best, cond, "left").select(df["*"], best["guid"])
+    hot = top_hot_keys(counts, list(priority), "_n", hot_min)  # devices with a huge share of records
+    return skew_join(df, best, list(priority), hot, "left", null_safe=True)
 
 
 # --------------------------------------------------------------------------- Q-LOG

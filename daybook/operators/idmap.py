@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from daybook.functions.core import java_hash, not_blank, parse_once
 from daybook.operators.graph import chain, connected_components, cooccurrence_edges, pairwise
+from daybook.operators.joins import HOT_MIN_ROWS, skew_join, top_hot_keys
 
 # Identifier fields of a log record, in the reference's order.
 ID_FIELDS = ("uid", "imei", "mac", "imsi", "androidId", "deviceId", "uuid")
@@ -95,7 +96,7 @@ def id_graph(ids: DataFrame, ids_col: str = "ids", min_count: int = 3,
 
 # --------------------------------------------------------------------------- Q-IDM / Q-IDR
 def identity_map(ids: DataFrame, prev: DataFrame | None = None, ids_col: str = "ids",
-                 min_count: int = 3) -> DataFrame:
+                 min_count: int = 3, hot_min: int = HOT_MIN_ROWS) -> DataFrame:
     """Q-IDM (``prev=None``) and Q-IDR: ``(biaoshi_hashcode, guid)`` for every id.
 
     ``guid`` is the smallest hashed id of the connected component. With yesterday's
@@ -109,24 +110,27 @@ def identity_map(ids: DataFrame, prev: DataFrame | None = None, ids_col: str = "
         vertices = vertices.unionByName(prev.select(F.col("biaoshi_hashcode").alias("id")))
         edges = edges.unionByName(prev.select(F.col("biaoshi_hashcode").alias("src"),
                                               F.col("guid").alias("dst")))
-    comp = connected_components(vertices, edges)
+    comp = connected_components(vertices, edges, hot_min=hot_min)
     if prev is None:
         return comp.select(F.col("id").alias("biaoshi_hashcode"), F.col("component").alias("guid"))
-    return stabilise_guid(comp, prev)
+    return stabilise_guid(comp, prev, hot_min)
 
 
-def stabilise_guid(comp: DataFrame, prev: DataFrame) -> DataFrame:
+def stabilise_guid(comp: DataFrame, prev: DataFrame, hot_min: int = HOT_MIN_ROWS) -> DataFrame:
     """Per component, the minimum previous guid of its members when any member
     was in yesterday's dictionary, else the component id.
 
     A left join on the id, a partial ``min`` per component and a join back on the
-    component; nothing is collected per component, so a giant component is combined
-    map-side and its join-back rows are split by AQE's skew handling.
+    component; nothing is collected per component. A giant component is combined
+    map-side, and its join-back rows are joined against a broadcast of the few hot
+    components instead of being shuffled into one task.
     """
     p = prev.select(F.col("biaoshi_hashcode").alias("id"), F.col("guid").alias("prev_guid"))
     tagged = comp.join(p, "id", "left")
-    per_comp = tagged.groupBy("component").agg(F.min("prev_guid").alias("old"))
-    return (comp.join(per_comp, "component", "left")
+    per_comp = tagged.groupBy("component").agg(F.min("prev_guid").alias("old"),
+                                                F.count(F.lit(1)).alias("_n"))
+    hot = top_hot_keys(per_comp, ["component"], "_n", hot_min)  # giant components
+    return (skew_join(comp, per_comp.select("component", "old"), "component", hot, "left")
             .select(F.col("id").alias("biaoshi_hashcode"),
                     F.coalesce("old", "component").alias("guid")))
 
@@ -137,7 +141,8 @@ def split_fields(value: Column, sep: str = ",") -> Column:
     return F.split(F.regexp_replace(value, f"{sep}+$", ""), sep)
 
 
-def link_lines(lines: DataFrame, value_col: str = "value", sep: str = ",") -> DataFrame:
+def link_lines(lines: DataFrame, value_col: str = "value", sep: str = ",",
+               hot_min: int = HOT_MIN_ROWS) -> DataFrame:
     """Q-LINK: tag each delimited line with the group id of the first non-blank field:
     ``(gid, line)``.
 
@@ -151,7 +156,8 @@ def link_lines(lines: DataFrame, value_col: str = "value", sep: str = ",") -> Da
                 .select(java_hash("name").alias("id")))
     edges = (f.select(F.explode(chain(F.col("fields"))).alias("p"))
              .select(java_hash("p.src").alias("src"), java_hash("p.dst").alias("dst")))
-    comp = connected_components(vertices, edges)
+    comp = connected_components(vertices, edges, hot_min=hot_min)
     first = f.select("line", java_hash(F.try_element_at(F.filter("fields", lambda x: not_blank(x)), F.lit(1))).alias("id"))
-    return (first.join(comp, "id", "left")
+    hot = top_hot_keys(first.groupBy("id").agg(F.count(F.lit(1)).alias("_n")), ["id"], "_n", hot_min)
+    return (skew_join(first, comp, "id", hot, "left")
             .select(F.col("component").alias("gid"), "line"))

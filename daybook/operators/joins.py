@@ -1,10 +1,26 @@
-"""Join helpers: size-checked broadcast and hot-key splitting (survey J9)."""
+"""Join helpers: size-checked broadcast and hot-key splitting (survey J9).
+
+Rules followed throughout the library:
+
+* a side is broadcast only when its size has a proven bound (a row-count check or a
+  construction that bounds it), with a shuffle join beyond the bound;
+* when one key may hold a large share of the rows (a giant component, a hot device,
+  a popular cell), the rows on hot keys are joined map-side against a broadcast of
+  the (bounded) hot part of the other side, and only the remaining rows shuffle.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# A key is hot when it holds at least this many rows ...
+HOT_MIN_ROWS = 100_000
+# ... or enough rows that no more than this many keys can qualify.
+HOT_MAX_KEYS = 10_000
+
 
 def broadcast_if_small(small: DataFrame, max_rows: int) -> DataFrame:
     """Mark ``small`` for broadcast only when it has at most ``max_rows`` rows.
@@ -17,23 +33,64 @@ def broadcast_if_small(small: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(small) if n <= max_rows else small
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
-    """Keys holding at least ``min_rows`` rows. There are at most
-    ``rows(df) / min_rows`` of them, which bounds the result for a broadcast."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_rows).select(key)
+def hot_threshold(total_rows: int, min_rows: int = HOT_MIN_ROWS, max_keys: int = HOT_MAX_KEYS) -> int:
+    """Row count from which a key counts as hot. At most ``total_rows / threshold <=
+    max_keys`` keys can reach it, which bounds the broadcast hot-key table."""
+    return max(int(min_rows), math.ceil(total_rows / max_keys), 1)
 
 
-def split_skewed_join(big: DataFrame, dim: DataFrame, key: str, min_rows: int, how: str = "inner") -> DataFrame:
-    """Equi-join where ``dim`` has one row per ``key`` and ``big`` may hold a huge share
-    of its rows on a few keys.
+def hot_keys(df: DataFrame, keys: list[str], threshold: int) -> DataFrame:
+    """Keys of ``df`` with at least ``threshold`` rows (one partial aggregate)."""
+    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") >= threshold).select(*keys))
+
+
+def top_hot_keys(counts: DataFrame, keys: list[str], count_col: str, min_rows: int = HOT_MIN_ROWS,
+                 max_keys: int = HOT_MAX_KEYS) -> DataFrame:
+    """Hot keys from an aggregate that already carries per-key row counts: keys with
+    at least ``min_rows`` rows, the ``max_keys`` largest of them (a per-partition top-k,
+    no full sort). The bound makes the result safe to broadcast; keys beyond it are
+    merely joined the ordinary way."""
+    return (counts.where(F.col(count_col) >= min_rows)
+            .orderBy(F.col(count_col).desc()).limit(max_keys).select(*keys))
 
-    Rows of ``big`` on hot keys (``>= min_rows`` rows; at most ``rows/min_rows`` keys)
-    are joined map-side against the broadcast hot part of ``dim`` without shuffling
-    ``big``; the remaining rows take an ordinary shuffle join. No row is dropped or
-    sampled: the two halves are a partition of ``big``.
+
+def _on(keys: list[str], other: list[str], null_safe: bool) -> Column:
+    c = None
+    for k, o in zip(keys, other):
+        e = F.col(k).eqNullSafe(F.col(o)) if null_safe else F.col(k) == F.col(o)
+        c = e if c is None else c & e
+    return c
+
+
+def skew_join(big: DataFrame, dim: DataFrame, keys: str | list[str], hot: DataFrame | None,
+              how: str = "inner", null_safe: bool = False) -> DataFrame:
+    """Equi-join ``big`` with ``dim`` (at most one ``dim`` row per key), splitting hot keys.
+
+    ``hot`` holds the hot key values and must be bounded by construction (see
+    ``hot_threshold``). Rows of ``big`` on hot keys are joined with a broadcast of the
+    matching ``dim`` rows (no shuffle of the hot rows); the other rows take an ordinary
+    shuffle join. The two halves partition ``big``, so no row is lost or duplicated.
+    ``how`` is ``inner`` or ``left``. The result has ``big``'s columns then ``dim``'s
+    non-key columns (their names must not clash with ``big``'s).
     """
-    hot = F.broadcast(hot_keys(big, key, min_rows))
-    big_hot = big.join(hot, key, "left_semi")
-    big_cold = big.join(hot, key, "left_anti")
-    dim_hot = F.broadcast(dim.join(hot, key, "left_semi"))
-    return big_hot.join(dim_hot, key, how).unionByName(big_cold.join(dim, key, how))
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    vals = [c for c in dim.columns if c not in keys]
+    dk = [f"__dim_key{i}" for i in range(len(keys))]
+    hk = [f"__hot_key{i}" for i in range(len(keys))]
+    d = dim.select(*[F.col(k).alias(x) for k, x in zip(keys, dk)], *vals)
+    out_cols = [*big.columns, *vals]
+    if hot is None:
+        return big.join(d, _on(keys, dk, null_safe), how).select(*out_cols)
+    h = F.broadcast(hot.select(*[F.col(k).alias(x) for k, x in zip(keys, hk)]))
+    big_hot = big.join(h, _on(keys, hk, null_safe), "left_semi")
+    big_cold = big.join(h, _on(keys, hk, null_safe), "left_anti")
+    d_hot = F.broadcast(d.join(h, _on(dk, hk, null_safe), "left_semi"))
+    hot_part = big_hot.join(d_hot, _on(keys, dk, null_safe), how).select(*out_cols)
+    cold_part = big_cold.join(d, _on(keys, dk, null_safe), how).select(*out_cols)
+    return hot_part.unionByName(cold_part)
+
+
+def split_skewed_join(big: DataFrame, dim: DataFrame, key: str, min_rows: int, how: str = "inner") -> DataFrame:
+    """``skew_join`` with hot keys measured on ``big`` (keys with ``>= min_rows`` rows)."""
+    return skew_join(big, dim, key, hot_keys(big, [key], min_rows), how)

@@ -24,7 +24,11 @@ def _uf_components(vertices, edges):
     return {v: find(v) for v in parent}
 
 
-def test_cc_random_against_union_find(spark):
+import pytest
+
+
+@pytest.mark.parametrize("hot_min", [100_000, 3])
+def test_cc_random_against_union_find(spark, hot_min):
     rnd = random.Random(7)
     for n, m in ((30, 20), (200, 180), (60, 0)):
         verts = list(range(-n // 2, n // 2))
@@ -33,15 +37,16 @@ def test_cc_random_against_union_find(spark):
         edges += [(1000 + i, 1001 + i) for i in range(40)]
         v = spark.createDataFrame([(x,) for x in verts], "id long")
         e = spark.createDataFrame(edges, "src long, dst long")
-        got = {r.id: r.component for r in graph.connected_components(v, e).collect()}
+        got = {r.id: r.component for r in graph.connected_components(v, e, hot_min=hot_min).collect()}
         assert got == _uf_components(verts, edges)
 
 
-def test_link_fixture(spark):
+@pytest.mark.parametrize("hot_min", [100_000, 1])
+def test_link_fixture(spark, hot_min):
     lines = ["13866778899,n1,wx_hz,2000", "13877669988,n2,wx_hz,3000", ",n1,wx_ldh,5000",
              "13912344321,n3,wx_mdh,12000", "13912344321,n4,wx_bj,3500", "13912664321,n5,wx_bj,5600"]
     df = spark.createDataFrame([(x,) for x in lines], "value string")
-    got = {r.line: r.gid for r in idmap.link_lines(df).collect()}
+    got = {r.line: r.gid for r in idmap.link_lines(df, hot_min=hot_min).collect()}
     assert {got[x] for x in lines[:3]} == {-1485777898}
     assert {got[x] for x in lines[3:]} == {-1095633001}
 
@@ -55,7 +60,8 @@ def _line(**ids):
     return json.dumps({"user": {"uid": ids.pop("uid", None), "phone": ids}})
 
 
-def test_identity_map_and_roll(spark):
+@pytest.mark.parametrize("hot_min", [100_000, 1])
+def test_identity_map_and_roll(spark, hot_min):
     # a-b seen 3 times (edge), c-d seen twice (no edge), e isolated
     lines = [_line(uid="a", imei="b")] * 3 + [_line(uid="c", imei="d")] * 2 + [_line(uid="e"), "not json"]
     ids = idmap.extract_ids(spark.createDataFrame([(x,) for x in lines], "value string"))
@@ -68,7 +74,7 @@ def test_identity_map_and_roll(spark):
     prev = spark.createDataFrame(list(day1.items()), "biaoshi_hashcode long, guid long")
     lines2 = [_line(uid="c", imei="d")] * 3 + [_line(uid="e", imei="a")] * 3
     ids2 = idmap.extract_ids(spark.createDataFrame([(x,) for x in lines2], "value string"))
-    day2 = {r.biaoshi_hashcode: r.guid for r in idmap.identity_map(ids2, prev).collect()}
+    day2 = {r.biaoshi_hashcode: r.guid for r in idmap.identity_map(ids2, prev, hot_min=hot_min).collect()}
     ab = day1[h["a"]]
     assert day2[h["a"]] == day2[h["b"]] == day2[h["e"]] == ab
     assert day2[h["c"]] == day2[h["d"]] == min(day1[h["c"]], day1[h["d"]])
@@ -82,3 +88,20 @@ def test_pairwise_and_chain(spark):
     df2 = spark.createDataFrame([(["a", "", "c", " "],)], "ids array<string>")
     got = [(r.p.src, r.p.dst) for r in df2.select(F.explode(graph.chain(F.col("ids"))).alias("p")).collect()]
     assert got == [("a", ""), ("c", " ")]
+
+
+def test_skew_join_split_matches_plain_join(spark):
+    from daybook.operators.joins import hot_keys, skew_join
+    big = spark.createDataFrame([(k if i % 3 else 7, i) for i, k in enumerate(list(range(20)) * 5)] + [(None, -1)],
+                                "k long, v long")
+    dim = spark.createDataFrame([(k, k * 10) for k in range(0, 20, 2)] + [(None, -10)], "k long, w long")
+    key = lambda t: tuple((x is None, x) for x in t)
+    plain = sorted((tuple(r) for r in big.join(dim, "k", "left").select("k", "v", "w").collect()), key=key)
+    hot = hot_keys(big, ["k"], 10)
+    assert [r.k for r in hot.collect()] == [7]
+    split = sorted((tuple(r) for r in skew_join(big, dim, "k", hot, "left").collect()), key=key)
+    assert split == plain
+    inner = sorted((tuple(r) for r in skew_join(big, dim, "k", hot, "inner").collect()), key=key)
+    assert inner == [t for t in plain if t[2] is not None]
+    ns = [tuple(r) for r in skew_join(big, dim, "k", hot, "left", null_safe=True).collect()]
+    assert (None, -1, -10) in ns and len(ns) == len(plain)
