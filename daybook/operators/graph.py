@@ -5,11 +5,11 @@ A graph is two DataFrames: vertices ``(id long)`` and edges ``(src long, dst lon
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions.core import not_blank
-from daybook.operators.joins import HOT_MIN_ROWS, skew_join, top_hot_keys
+from daybook.operators.joins import HOT_MAX_KEYS, HOT_MIN_ROWS, skew_join
 from daybook.sources.session import checkpoint_dir
 
 
@@ -66,30 +66,56 @@ def graph_vertices(vertices: DataFrame, edges: DataFrame) -> DataFrame:
             .distinct())
 
 
-def _large_star(e: DataFrame, hot_min: int) -> DataFrame:
+def _round_info(e: DataFrame, hot_min: int, max_keys: int = HOT_MAX_KEYS):
+    """One job over the checkpointed edge set: the fixpoint fingerprint
+    ``(count, xor of pair hashes)`` and the nodes with at least ``hot_min`` edges as the
+    larger (``a``) or smaller (``b``) end, at most ``max_keys`` per side, largest first.
+    Returns ``(stat, hot_a, hot_b)``."""
+    sides = e.select(F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("a").alias("k")),
+                                       F.struct(F.lit(1).alias("side"), F.col("b").alias("k")))).alias("s"))
+    deg = (sides.groupBy("s.side", "s.k").agg(F.count(F.lit(1)).alias("n"))
+           .where(F.col("n") >= hot_min).orderBy(F.col("n").desc()).limit(2 * max_keys))
+    stat = e.agg(F.lit(2).alias("side"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0)).alias("k"),
+                 F.count(F.lit(1)).alias("n"))
+    rows = deg.unionByName(stat).collect()
+    st = next((r.k, r.n) for r in rows if r.side == 2)
+    hot_a = [r.k for r in rows if r.side == 0][:max_keys]
+    hot_b = [r.k for r in rows if r.side == 1][:max_keys]
+    return st, hot_a, hot_b
+
+
+def _large_star(e: DataFrame, hot_b: list) -> DataFrame:
     # For every node u, m(u) = min(u, smaller neighbours). Each edge (a > b) is
     # re-emitted from its smaller end b as (a, m(b)). A node that is the smaller end of
     # very many edges (a hub, or the root of a giant star) is a hot join key: its rows
-    # are joined map-side against a broadcast of the few hot ``mins`` rows.
+    # are joined map-side against a broadcast of the few hot ``mins`` rows. Duplicates
+    # are left for the small-star step's de-duplication (at most one row per input edge).
     mins = e.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "b")
-    deg = e.groupBy("b").agg(F.count(F.lit(1)).alias("_n"))
-    j = skew_join(e, mins, "b", top_hot_keys(deg, ["b"], "_n", hot_min), "left")
-    return j.select("a", F.coalesce("m", "b").alias("b")).distinct()
+    j = skew_join(e, mins, "b", hot_b, "left")
+    return j.select("a", F.coalesce("m", "b").alias("b"))
 
 
-def _small_star(e: DataFrame, hot_min: int) -> DataFrame:
+def _small_star(e: DataFrame, hot_a: list) -> DataFrame:
     # For every node u with smaller neighbours N(u), m = min N(u); link u and every
-    # v in N(u) to m. The same aggregate gives the degree that marks hot keys.
-    agg = e.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("_n"))
-    mins = agg.select("a", "m")
-    spokes = (skew_join(e, mins, "a", top_hot_keys(agg, ["a"], "_n", hot_min), "inner")
-              .select(F.col("b").alias("a"), F.col("m").alias("b"))
-              .where(F.col("a") != F.col("b")))
-    return spokes.unionByName(mins.select("a", F.col("m").alias("b"))).distinct()
+    # v in N(u) to m. Ordinary nodes get m from a window over their (fewer than
+    # ``hot_min``) edges, one shuffle; hot nodes get it from a broadcast of their
+    # aggregated minima, without moving their edges. Large-star keeps every edge's
+    # larger end, so the hot ``a`` nodes measured before the round still cover this step.
+    per_a = Window.partitionBy("a")
+    if hot_a:
+        in_hot = F.col("a").isin(hot_a)
+        hot_e = e.where(in_hot)
+        hot_m = F.broadcast(hot_e.groupBy("a").agg(F.min("b").alias("m")))
+        j = hot_e.join(hot_m, "a").unionByName(e.where(~in_hot).withColumn("m", F.min("b").over(per_a)))
+    else:
+        j = e.withColumn("m", F.min("b").over(per_a))
+    out = j.select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
+                                     F.struct(F.col("a").alias("a"), F.col("m").alias("b")))).alias("p"))
+    return out.select("p.a", "p.b").where(F.col("a") != F.col("b")).distinct()
 
 
 def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100,
-                         hot_min: int = HOT_MIN_ROWS) -> DataFrame:
+                         hot_min: int = HOT_MIN_ROWS, inputs_materialized: bool = False) -> DataFrame:
     """``(id, component)`` where ``component`` is the smallest vertex id of its
     connected component (signed comparison); isolated vertices are their own.
 
@@ -97,32 +123,36 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     canonical edge set ``(a > b)``. Every step is a partial ``min`` aggregate plus an
     equi-join on one endpoint, so a hub's edges are split by AQE's skew-join handling
     rather than gathered into one task; no step collects a neighbour list. Rounds are
-    O(log^2 n) for any diameter. Keys with at least ``hot_min`` edges (hubs, roots of
-    giant components) are split off and joined map-side (``skew_join``).
+    O(log^2 n) for any diameter. Nodes with at least ``hot_min`` edges (hubs, roots of
+    giant components) are found each round by one aggregate over the checkpointed
+    edges (at most ``HOT_MAX_KEYS`` per side reach the driver) and their edges are
+    joined map-side against a broadcast of their few ``min`` rows (``skew_join``).
 
     Inputs are read once: the edge list and the vertex set are written with a
-    reliable ``checkpoint`` (into ``spark.checkpoint.dir``) before the loop, and each
+    reliable ``checkpoint`` (into ``spark.checkpoint.dir``) before the loop (skipped
+    with ``inputs_materialized`` when the caller already wrote them), and each
     round's edge set is checkpointed too, so lineage stays one round long and a lost
     executor recomputes at most one round. The driver reads one (count, xor-hash) row
-    per round to detect the fixpoint.
+    and the bounded hot-node lists per round.
     """
     checkpoint_dir(vertices.sparkSession)
     ed = (edges.select(F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst"))
-          .where(F.col("src").isNotNull() & F.col("dst").isNotNull())
-          .checkpoint())
-    vset = graph_vertices(vertices, ed).checkpoint()
+          .where(F.col("src").isNotNull() & F.col("dst").isNotNull()))
+    vset = graph_vertices(vertices, ed)
+    if not inputs_materialized:
+        ed = ed.checkpoint()
+        vset = graph_vertices(vertices, ed).checkpoint()
     e = (ed.select(F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b"))
          .where(F.col("a") != F.col("b"))
-         .distinct())
+         .distinct()
+         .checkpoint())
     prev = None
-    for _ in range(max_rounds):
-        e = _small_star(_large_star(e, hot_min), hot_min).checkpoint()
-        stat = e.agg(F.count(F.lit(1)).alias("n"),
-                     F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0)).alias("h")).first()
-        cur = (stat["n"], stat["h"])
-        if cur == prev:
+    for _ in range(max_rounds + 1):
+        stat, hot_a, hot_b = _round_info(e, hot_min)
+        if stat == prev:  # the last round changed nothing
             break
-        prev = cur
+        prev = stat
+        e = _small_star(_large_star(e, hot_b), hot_a).checkpoint()
     else:
         raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
     # Converged: every non-root node has exactly one edge, to its component minimum.

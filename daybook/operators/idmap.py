@@ -110,7 +110,7 @@ def identity_map(ids: DataFrame, prev: DataFrame | None = None, ids_col: str = "
         vertices = vertices.unionByName(prev.select(F.col("biaoshi_hashcode").alias("id")))
         edges = edges.unionByName(prev.select(F.col("biaoshi_hashcode").alias("src"),
                                               F.col("guid").alias("dst")))
-    comp = connected_components(vertices, edges, hot_min=hot_min)
+    comp = connected_components(vertices, edges, hot_min=hot_min, inputs_materialized=prev is None)
     if prev is None:
         return comp.select(F.col("id").alias("biaoshi_hashcode"), F.col("component").alias("guid"))
     return stabilise_guid(comp, prev, hot_min)
@@ -151,12 +151,21 @@ def link_lines(lines: DataFrame, value_col: str = "value", sep: str = ",",
     on the first non-blank field's hash (J5). A line without any non-blank field gets
     a null ``gid`` (the reference fails the job).
     """
+    from daybook.sources.session import checkpoint_dir
+
+    checkpoint_dir(lines.sparkSession)
     f = lines.select(F.col(value_col).alias("line"), split_fields(F.col(value_col), sep).alias("fields"))
-    vertices = (f.select(F.explode(F.filter("fields", lambda x: not_blank(x))).alias("name"))
-                .select(java_hash("name").alias("id")))
-    edges = (f.select(F.explode(chain(F.col("fields"))).alias("p"))
-             .select(java_hash("p.src").alias("src"), java_hash("p.dst").alias("dst")))
-    comp = connected_components(vertices, edges, hot_min=hot_min)
+    # one pass over the lines: vertices as (id, null), chained pairs as (src, dst)
+    entries = F.concat(
+        F.transform(F.filter("fields", lambda x: not_blank(x)),
+                    lambda x: F.struct(x.alias("src"), F.lit(None).cast("string").alias("dst"))),
+        F.coalesce(chain(F.col("fields")), F.array().cast("array<struct<src:string,dst:string>>")))
+    g = (f.select(F.explode_outer(entries).alias("p")).where(F.col("p").isNotNull())
+         .select(java_hash("p.src").alias("src"), java_hash("p.dst").alias("dst"))
+         .distinct().checkpoint())
+    vertices = g.where(F.col("dst").isNull()).select(F.col("src").alias("id"))
+    edges = g.where(F.col("dst").isNotNull())
+    comp = connected_components(vertices, edges, hot_min=hot_min, inputs_materialized=True)
     first = f.select("line", java_hash(F.try_element_at(F.filter("fields", lambda x: not_blank(x)), F.lit(1))).alias("id"))
     hot = top_hot_keys(first.groupBy("id").agg(F.count(F.lit(1)).alias("_n")), ["id"], "_n", hot_min)
     return (skew_join(first, comp, "id", hot, "left")

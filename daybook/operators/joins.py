@@ -63,12 +63,13 @@ def _on(keys: list[str], other: list[str], null_safe: bool) -> Column:
     return c
 
 
-def skew_join(big: DataFrame, dim: DataFrame, keys: str | list[str], hot: DataFrame | None,
+def skew_join(big: DataFrame, dim: DataFrame, keys: str | list[str], hot: DataFrame | list | None,
               how: str = "inner", null_safe: bool = False) -> DataFrame:
     """Equi-join ``big`` with ``dim`` (at most one ``dim`` row per key), splitting hot keys.
 
     ``hot`` holds the hot key values and must be bounded by construction (see
-    ``hot_threshold``). Rows of ``big`` on hot keys are joined with a broadcast of the
+    ``top_hot_keys``): a DataFrame, or a short Python list of single-key values
+    (an empty list means a plain join). Rows of ``big`` on hot keys are joined with a broadcast of the
     matching ``dim`` rows (no shuffle of the hot rows); the other rows take an ordinary
     shuffle join. The two halves partition ``big``, so no row is lost or duplicated.
     ``how`` is ``inner`` or ``left``. The result has ``big``'s columns then ``dim``'s
@@ -80,8 +81,16 @@ def skew_join(big: DataFrame, dim: DataFrame, keys: str | list[str], hot: DataFr
     hk = [f"__hot_key{i}" for i in range(len(keys))]
     d = dim.select(*[F.col(k).alias(x) for k, x in zip(keys, dk)], *vals)
     out_cols = [*big.columns, *vals]
-    if hot is None:
+    if hot is None or (isinstance(hot, list) and not hot):
         return big.join(d, _on(keys, dk, null_safe), how).select(*out_cols)
+    if isinstance(hot, list):
+        if len(keys) != 1:
+            raise ValueError("a hot-key list needs a single join key")
+        in_hot = F.col(keys[0]).isin(hot)
+        d_hot = F.broadcast(d.where(F.col(dk[0]).isin(hot)))
+        hot_part = big.where(in_hot).join(d_hot, _on(keys, dk, null_safe), how).select(*out_cols)
+        cold_part = big.where(~in_hot | F.col(keys[0]).isNull()).join(d, _on(keys, dk, null_safe), how)
+        return hot_part.unionByName(cold_part.select(*out_cols))
     h = F.broadcast(hot.select(*[F.col(k).alias(x) for k, x in zip(keys, hk)]))
     big_hot = big.join(h, _on(keys, hk, null_safe), "left_semi")
     big_cold = big.join(h, _on(keys, hk, null_safe), "left_anti")
