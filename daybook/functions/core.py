@@ -149,7 +149,8 @@ def register_functions(spark: SparkSession) -> None:
 
     ``euclidean_similarity(a, b)``, ``cosine_similarity(a, b)``,
     ``squared_distance(a, b)`` take two numeric arrays; ``java_hash(s)`` and
-    ``hash_bucket(s, n)`` take a string. They are SQL-bodied temporary functions, so
+    ``hash_bucket(s, n)`` take a string; ``hash_vector(arr, n)`` is R4's binary
+    hashed vector as ``array<double>`` (wrap with ``array_to_vector`` for ML). They are SQL-bodied temporary functions, so
     the optimizer inlines them like any expression (no Python in the plan).
     """
     stmts = [
@@ -169,6 +170,11 @@ def register_functions(spark: SparkSession) -> None:
              CAST(reflect('java.util.Objects', 'hashCode', s) AS BIGINT))""",
         """CREATE OR REPLACE TEMPORARY FUNCTION hash_bucket(s STRING, n INT)
            RETURNS INT RETURN CAST(pmod(java_hash(s) & 2147483647, n) AS INT)""",
+        """CREATE OR REPLACE TEMPORARY FUNCTION hash_vector(arr ARRAY<STRING>, n INT)
+           RETURNS ARRAY<DOUBLE> RETURN aggregate(arr, array_repeat(0D, n),
+             (acc, s) -> transform(acc, (x, i) -> IF(
+               i = pmod(CAST(reflect('java.util.Objects', 'hashCode', s) AS BIGINT) & 2147483647, n),
+               1D, x)))""",
     ]
     for s in stmts:
         spark.sql(s)

@@ -50,6 +50,15 @@ def sparse_vector(size: int, index: str | Column, value: str | Column) -> Column
                                        lambda i: F.when(i == idx, val.cast("double")).otherwise(F.lit(0.0))))
 
 
+def assemble(df: DataFrame, cols: list[str], out_col: str = "features") -> DataFrame:
+    """``VectorAssembler`` over numeric / vector columns; each row's vector is stored
+    sparse or dense, whichever is smaller (so one-hot columns from ``sparse_vector``
+    come out sparse)."""
+    from pyspark.ml.feature import VectorAssembler
+
+    return VectorAssembler(inputCols=cols, outputCol=out_col, handleInvalid="error").transform(df)
+
+
 def term_frequency(df: DataFrame, words_col: str, out_col: str = "tf_vec", n: int = 100_000) -> DataFrame:
     """M7: hashed term-frequency vector (``HashingTF``, ``n`` buckets)."""
     return HashingTF(inputCol=words_col, outputCol=out_col, numFeatures=n).transform(df)

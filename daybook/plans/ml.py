@@ -266,3 +266,31 @@ def q_comment_accuracy(spark, sf_dir):
     """Q-CMT accuracy row."""
     _, _, acc = _comment_model(spark, sf_dir)
     return acc
+
+
+@register("q_sqdist", """WITH o AS (SELECT o_orderkey, o_custkey,
+    CAST(CASE o_orderpriority WHEN '1-URGENT' THEN 0.0 WHEN '2-HIGH' THEN 1.0 ELSE 2.0 END AS DOUBLE) AS c0,
+    coalesce(CAST(CASE o_orderstatus WHEN 'F' THEN 0.0 WHEN 'O' THEN 1.0 END AS DOUBLE), 0.0) AS c1,
+    o_totalprice / 1000.0 AS c2 FROM orders),
+c AS (SELECT o_custkey, avg(c0) AS m0, avg(c1) AS m1, avg(c2) AS m2 FROM o GROUP BY o_custkey)
+SELECT o_orderkey, round((c0 - m0) * (c0 - m0) + (c1 - m1) * (c1 - m1) + (c2 - m2) * (c2 - m2), 6) AS sqdist
+FROM o JOIN c ON o.o_custkey = c.o_custkey""")
+def q_sqdist(spark, sf_dir):
+    """F18 (M5): squared distance of every order's coded vector (priority code,
+    status code with null as 0.0, price in thousands) to its customer's mean vector.
+    The per-customer mean is one partial aggregate joined back, with a customer that
+    holds a huge share of the orders joined map-side (``skew_join``)."""
+    from daybook.functions import squared_distance
+    from daybook.operators.joins import skew_join, top_hot_keys
+
+    o = table(spark, sf_dir, "orders")
+    v = o.select("o_orderkey", "o_custkey", F.array(
+        features.encode_categories("o_orderpriority", {"1-URGENT": 0, "2-HIGH": 1}, 2.0),
+        F.coalesce(features.encode_categories("o_orderstatus", {"F": 0, "O": 1}), F.lit(0.0)),
+        F.col("o_totalprice") / 1000.0).alias("vec"))
+    cent = v.groupBy("o_custkey").agg(*[F.avg(F.col("vec")[i]).alias(f"m{i}") for i in range(3)],
+                                      F.count(F.lit(1)).alias("_n"))
+    hot = top_hot_keys(cent, ["o_custkey"], "_n")
+    j = skew_join(v.where(F.col("o_custkey").isNotNull()),
+                  cent.select("o_custkey", F.array("m0", "m1", "m2").alias("mean")), "o_custkey", hot)
+    return j.select("o_orderkey", F.round(squared_distance("vec", "mean"), 6).alias("sqdist"))

@@ -126,3 +126,18 @@ def test_tokens_and_stopwords(spark):
     stop = spark.createDataFrame([("hello",)], "term string")
     b = {r.id: r.words for r in text.remove_stopwords(w, "words", stop, doc_col="id").collect()}
     assert a[1] == b[1] == ["world", "again", "中华", "华人", "人民"] and b[2] == []
+
+
+def test_sparse_vector_and_assemble(spark):
+    from pyspark.ml.linalg import SparseVector
+    df = spark.createDataFrame([(0, 3, 2.5), (1, 0, 1.0)], "id int, idx int, v double")
+    v = df.select("id", features.sparse_vector(10, "idx", "v").alias("sv"))
+    got = {r.id: r.vec for r in features.assemble(v, ["sv"], "vec").select("id", "vec").collect()}
+    assert isinstance(got[0], SparseVector) and got[0][3] == 2.5 and got[0].numNonzeros() == 1
+
+
+def test_sql_hash_vector(spark):
+    from daybook.functions import register_functions
+    register_functions(spark)
+    r = spark.sql("SELECT hash_vector(array('老师', '中', '青年', '女'), 20) AS v").first()
+    assert [i for i, x in enumerate(r.v) if x] == [11, 13, 18, 19]
