@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType, StructField, StructType
 
 from daybook.functions.core import geohash, has_identity, java_hash, not_blank, parse_once
-from daybook.operators.joins import HOT_MIN_ROWS, broadcast_if_small, skew_join, top_hot_keys
+from daybook.operators.joins import HOT_MIN_ROWS, broadcast_if_small, salted_join, top_hot_keys
 
 # Fixed value: the "unknown area" default of the reference's record type.
 UNKNOWN = "未知"
@@ -117,11 +117,16 @@ def enrich_area(df: DataFrame, geo_dict: DataFrame, lat: str = "latitude", lng:
     """Add ``province, city, district`` by the record's geohash cell, ``未知`` when
     the cell is unknown. The dictionary must have one row per cell (see
     ``geo_dictionary``); it is broadcast only after a row-count check, otherwise the
-    join shuffles (and AQE may still switch to broadcast on measured sizes)."""
-    d = broadcast_if_small(geo_dict.select(F.col("geo").alias("_geo"), "province", "city", "district"),
-                           broadcast_max_rows)
-    j = (df.withColumn("_geo", geohash(F.col(lat), F.col(lng), precision))
-         .join(d, "_geo", "left").drop("_geo"))
+    join shuffles with busy cells salted over several partitions (``salted_join``)."""
+    d = geo_dict.select(F.col("geo").alias("_geo"), "province", "city", "district")
+    cells = df.withColumn("_geo", geohash(F.col(lat), F.col(lng), precision))
+    if d.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows:
+        j = cells.join(F.broadcast(d), "_geo", "left")
+    else:
+        # shuffle join; a busy cell (a city centre) is split off and joined map-side
+        counts = cells.groupBy("_geo").agg(F.count(F.lit(1)).alias("_n"))
+        j = salted_join(cells, d, "_geo", top_hot_keys(counts, ["_geo"], "_n"), "left")
+    j = j.drop("_geo")
     return j.withColumns({c: F.coalesce(F.col(c), F.lit(UNKNOWN)) for c in ("province", "city", "district")})
 
 
@@ -134,20 +139,21 @@ def resolve_guid(df: DataFrame, idmap: DataFrame, priority: tuple[str, ...] = GU
     Resolved once per distinct id tuple rather than per record: distinct tuples are
     unpivoted to ``(tuple, priority, hash)``, equi-joined with the dictionary (no
     broadcast: it grows with the user base), reduced with ``min_by`` over priority,
-    and joined back on the tuple with null-safe keys. The wide records shuffle once,
-    except those of hot tuples (one device with a huge share of the log), which are
-    joined map-side against a broadcast of the few hot tuples' guids. Records without
-    a hit get a null ``guid``.
+    and joined back on the tuple (a struct key, so null fields match). The wide
+    records shuffle once; a hot tuple (one device with a huge share of the log) is
+    salted over several partitions (``salted_join``). Records without a hit get a
+    null ``guid``.
     """
-    counts = df.groupBy(*priority).agg(F.count(F.lit(1)).alias("_n"))  # distinct tuples + sizes
-    tuples = counts.select(*priority)
+    keyed = df.withColumn("_k", F.struct(*priority))  # struct equality matches null fields too
+    counts = keyed.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))  # distinct tuples + sizes
+    tuples = counts.select("_k.*")
     cand = tuples.select(*priority, F.explode(F.array(*[
         F.struct(F.lit(i).alias("prio"), java_hash(c).alias("h")) for i, c in enumerate(priority)
     ])).alias("c")).select(*priority, "c.prio", "c.h").where(F.col("h").isNotNull())
     hits = cand.join(idmap.select(F.col("biaoshi_hashcode").alias("h"), "guid"), "h")
-    best = hits.groupBy(*priority).agg(F.min_by("guid", "prio").alias("guid"))
-    hot = top_hot_keys(counts, list(priority), "_n", hot_min)  # devices with a huge share of records
-    return skew_join(df, best, list(priority), hot, "left", null_safe=True)
+    best = (hits.groupBy(F.struct(*priority).alias("_k")).agg(F.min_by("guid", "prio").alias("guid")))
+    hot = top_hot_keys(counts, ["_k"], "_n", hot_min)  # devices with a huge share of records
+    return salted_join(keyed, best, "_k", hot, "left").drop("_k")
 
 
 # --------------------------------------------------------------------------- Q-LOG

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.operators.joins import salted_join, top_hot_keys
+
 
 
 @dataclass
@@ -25,8 +27,10 @@ def bayes_fit(df: DataFrame, features: list[str], label: str, positive: str) ->
 
     The feature columns are unpivoted to ``(feature, value)`` and counted in a single
     partial aggregate, with the positive-class count as a ``count_if`` of the same
-    aggregate (A5 + A6). Totals come from window sums over that aggregate, which has
-    one row per distinct value, so no extra scan, scalar join or driver round trip.
+    aggregate (A5 + A6). Per-feature totals are a second aggregate over that small
+    result (one row per feature column, broadcast), and the class total is a scalar
+    subquery, so no extra scan of the input, no single-task window over a
+    high-cardinality feature and no driver round trip.
     ``feature_prob = count / N``; ``cond_prob = count(label = positive) / N_pos``.
     """
     is_pos = F.col(label) == F.lit(positive)
@@ -35,13 +39,15 @@ def bayes_fit(df: DataFrame, features: list[str], label: str, positive: str) ->
     ])).alias("_fv")).select("_pos", "_fv.feature", "_fv.value")
     counts = long.groupBy("feature", "value").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("_pos")).alias("n_pos"))
-    per_feature = Window.partitionBy("feature")
-    feats = counts.select(
+    # one row per feature: a broadcast whose size is the number of feature columns
+    totals = F.broadcast(counts.groupBy("feature").agg(F.sum("n").alias("t"), F.sum("n_pos").alias("t_pos")))
+    feats = counts.join(totals, "feature").select(
         "feature", "value",
-        (F.col("n") / F.sum("n").over(per_feature)).alias("feature_prob"),
-        F.try_divide(F.col("n_pos"), F.sum("n_pos").over(per_feature)).alias("cond_prob"))
+        (F.col("n") / F.col("t")).alias("feature_prob"),
+        F.try_divide(F.col("n_pos"), F.col("t_pos")).alias("cond_prob"))
     labels = df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    prior = labels.select("label", (F.col("n") / F.sum("n").over(Window.partitionBy())).alias("label_prob"))
+    total = labels.agg(F.sum("n")).scalar()
+    prior = labels.select("label", (F.col("n") / total).alias("label_prob"))
     return BayesModel(prior, feats, positive)
 
 
@@ -52,7 +58,10 @@ def bayes_score(model: BayesModel, df: DataFrame, id_col: str, features: list[st
     An unseen value contributes 1 to both products (J8); the result is not
     normalised and can exceed 1. One left join per feature against that feature's
     slice of the model; the model is broadcast only when its row count is within
-    ``broadcast_max_rows`` (it grows with the number of distinct values). The products
+    ``broadcast_max_rows`` (it grows with the number of distinct values). Beyond that
+    the joins shuffle, and each feature's common values are salted across partitions
+    (``salted_join``) so that a value held by a third of the rows does not land in
+    one task. The products
     are evaluated in the reference's order, so values are bit-identical to it.
     """
     small = model.features.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
@@ -64,7 +73,13 @@ def bayes_score(model: BayesModel, df: DataFrame, id_col: str, features: list[st
         part = model.features.where(F.col("feature") == F.lit(f)).select(
             F.col("value").alias(f"_v{i}"), F.col("cond_prob").alias(f"_c{i}"),
             F.col("feature_prob").alias(f"_p{i}"))
-        out = out.join(F.broadcast(part) if small else part, f"_v{i}", "left")
+        if small:
+            out = out.join(F.broadcast(part), f"_v{i}", "left")
+        else:
+            # a common value (a third of the rows) is a hot join key: salt it
+            vals = df.select(F.col(f).cast("string").alias(f"_v{i}"))
+            counts = vals.groupBy(f"_v{i}").agg(F.count(F.lit(1)).alias("_n"))
+            out = salted_join(out, part, f"_v{i}", top_hot_keys(counts, [f"_v{i}"], "_n"))
     num = F.coalesce(prior, F.lit(1.0))
     den = None
     for i in range(len(features)):

@@ -12,7 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from daybook.functions.core import java_hash, not_blank, parse_once
 from daybook.operators.graph import chain, connected_components, cooccurrence_edges, pairwise
-from daybook.operators.joins import HOT_MIN_ROWS, skew_join, top_hot_keys
+from daybook.operators.joins import HOT_MIN_ROWS, salted_join, top_hot_keys
 
 # Identifier fields of a log record, in the reference's order.
 ID_FIELDS = ("uid", "imei", "mac", "imsi", "androidId", "deviceId", "uuid")
@@ -122,15 +122,15 @@ def stabilise_guid(comp: DataFrame, prev: DataFrame, hot_min: int = HOT_MIN_ROWS
 
     A left join on the id, a partial ``min`` per component and a join back on the
     component; nothing is collected per component. A giant component is combined
-    map-side, and its join-back rows are joined against a broadcast of the few hot
-    components instead of being shuffled into one task.
+    map-side, and its join-back rows are salted over several partitions instead of
+    being shuffled into one task.
     """
     p = prev.select(F.col("biaoshi_hashcode").alias("id"), F.col("guid").alias("prev_guid"))
     tagged = comp.join(p, "id", "left")
     per_comp = tagged.groupBy("component").agg(F.min("prev_guid").alias("old"),
                                                 F.count(F.lit(1)).alias("_n"))
     hot = top_hot_keys(per_comp, ["component"], "_n", hot_min)  # giant components
-    return (skew_join(comp, per_comp.select("component", "old"), "component", hot, "left")
+    return (salted_join(comp, per_comp.select("component", "old"), "component", hot, "left")
             .select(F.col("id").alias("biaoshi_hashcode"),
                     F.coalesce("old", "component").alias("guid")))
 
@@ -168,5 +168,5 @@ def link_lines(lines: DataFrame, value_col: str = "value", sep: str = ",",
     comp = connected_components(vertices, edges, hot_min=hot_min, inputs_materialized=True)
     first = f.select("line", java_hash(F.try_element_at(F.filter("fields", lambda x: not_blank(x)), F.lit(1))).alias("id"))
     hot = top_hot_keys(first.groupBy("id").agg(F.count(F.lit(1)).alias("_n")), ["id"], "_n", hot_min)
-    return (skew_join(first, comp, "id", hot, "left")
+    return (salted_join(first, comp, "id", hot, "left")
             .select(F.col("component").alias("gid"), "line"))

@@ -52,7 +52,8 @@ def top_hot_keys(counts: DataFrame, keys: list[str], count_col: str, min_rows: i
     no full sort). The bound makes the result safe to broadcast; keys beyond it are
     merely joined the ordinary way."""
     return (counts.where(F.col(count_col) >= min_rows)
-            .orderBy(F.col(count_col).desc()).limit(max_keys).select(*keys))
+            .orderBy(F.col(count_col).desc()).limit(max_keys)
+            .select(*keys, F.col(count_col).alias("_n")))
 
 
 def _on(keys: list[str], other: list[str], null_safe: bool) -> Column:
@@ -103,3 +104,47 @@ def skew_join(big: DataFrame, dim: DataFrame, keys: str | list[str], hot: DataFr
 def split_skewed_join(big: DataFrame, dim: DataFrame, key: str, min_rows: int, how: str = "inner") -> DataFrame:
     """``skew_join`` with hot keys measured on ``big`` (keys with ``>= min_rows`` rows)."""
     return skew_join(big, dim, key, hot_keys(big, [key], min_rows), how)
+
+
+def hot_values(df: DataFrame, key: str, min_rows: int = HOT_MIN_ROWS, max_keys: int = HOT_MAX_KEYS) -> list:
+    """Values of ``key`` holding at least ``min_rows`` rows: one partial aggregate, at
+    most ``max_keys`` values (largest first) reach the driver."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return [r[0] for r in top_hot_keys(counts, [key], "_n", min_rows, max_keys).collect()]
+
+
+# Rows per salt bucket of a hot key.
+SALT_ROWS = 1_000_000
+
+
+def salted_join(big: DataFrame, dim: DataFrame, key: str, hot: DataFrame | list | None,
+                how: str = "left", salt_rows: int = SALT_ROWS, salt_buckets: int = 64) -> DataFrame:
+    """Equi-join on ``key`` (one ``dim`` row per key) that spreads hot keys over several
+    partitions instead of one.
+
+    ``hot`` is a bounded DataFrame from ``top_hot_keys`` (key and row count ``_n``) or
+    a short list of key values. Rows of ``big`` on a hot key get a salt from a hash of
+    the row, ``ceil(_n / salt_rows)`` buckets per key (``salt_buckets`` for a list),
+    and ``dim``'s row for that key is replicated once per bucket, a bounded number of
+    extra rows. Hot rows are marked by a broadcast join, so ``big`` is read once and
+    the join can be chained without growing the plan. Output: ``big``'s columns then
+    ``dim``'s non-key columns.
+    """
+    vals = [c for c in dim.columns if c != key]
+    if hot is None or (isinstance(hot, list) and not hot):
+        return big.join(dim, key, how).select(*big.columns, *vals)
+    if isinstance(hot, list):
+        marks = F.when(F.col(key).isin(hot), F.lit(salt_buckets))
+        b = big.withColumn("_buckets", marks)
+        d = dim.withColumn("_buckets", marks)
+    else:
+        h = F.broadcast(hot.select(key, F.greatest(F.lit(1), F.ceil(F.col("_n") / salt_rows))
+                                   .cast("long").alias("_buckets")))
+        b = big.join(h, key, "left")
+        d = dim.join(h, key, "left")
+    hashable = [f.name for f in big.schema.fields if "map<" not in f.dataType.simpleString()] or big.columns[:1]
+    b = b.withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(*hashable), F.col("_buckets")), F.lit(0)).cast("long"))
+    d = d.withColumn("_salt", F.explode(F.when(F.col("_buckets").isNotNull(),
+                                               F.sequence(F.lit(0).cast("long"), F.col("_buckets") - 1))
+                                        .otherwise(F.array(F.lit(0).cast("long")))))
+    return b.join(d.drop("_buckets"), [key, "_salt"], how).select(*big.columns, *vals)

@@ -279,9 +279,9 @@ def q_sqdist(spark, sf_dir):
     """F18 (M5): squared distance of every order's coded vector (priority code,
     status code with null as 0.0, price in thousands) to its customer's mean vector.
     The per-customer mean is one partial aggregate joined back, with a customer that
-    holds a huge share of the orders joined map-side (``skew_join``)."""
+    holds a huge share of the orders salted over several partitions."""
     from daybook.functions import squared_distance
-    from daybook.operators.joins import skew_join, top_hot_keys
+    from daybook.operators.joins import salted_join, top_hot_keys
 
     o = table(spark, sf_dir, "orders")
     v = o.select("o_orderkey", "o_custkey", F.array(
@@ -291,6 +291,6 @@ def q_sqdist(spark, sf_dir):
     cent = v.groupBy("o_custkey").agg(*[F.avg(F.col("vec")[i]).alias(f"m{i}") for i in range(3)],
                                       F.count(F.lit(1)).alias("_n"))
     hot = top_hot_keys(cent, ["o_custkey"], "_n")
-    j = skew_join(v.where(F.col("o_custkey").isNotNull()),
-                  cent.select("o_custkey", F.array("m0", "m1", "m2").alias("mean")), "o_custkey", hot)
+    j = salted_join(v.where(F.col("o_custkey").isNotNull()),
+                    cent.select("o_custkey", F.array("m0", "m1", "m2").alias("mean")), "o_custkey", hot, "inner")
     return j.select("o_orderkey", F.round(squared_distance("vec", "mean"), 6).alias("sqdist"))

@@ -66,3 +66,10 @@ def test_cleanse_cases(spark, hot_min):
     assert got["maconly"].guid == 200 and got["imeiwins"].guid == 300
     full = applog.cleanse_app_log(lines, geo_dict, idm)
     assert list(full.columns) == list(applog.APP_LOG_COLUMNS) and full.count() == len(KEPT)
+
+
+def test_enrich_area_without_broadcast(spark):
+    df = spark.createDataFrame([(39.9, 116.4), (10.0, 10.0)], "latitude double, longtitude double")
+    geo = spark.createDataFrame([("wx4fb", "P", "C", "D")], "geo string, province string, city string, district string")
+    got = sorted(r.province for r in applog.enrich_area(df, geo, broadcast_max_rows=0).collect())
+    assert got == ["P", "未知"]

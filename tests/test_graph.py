@@ -105,3 +105,20 @@ def test_skew_join_split_matches_plain_join(spark):
     assert inner == [t for t in plain if t[2] is not None]
     ns = [tuple(r) for r in skew_join(big, dim, "k", hot, "left", null_safe=True).collect()]
     assert (None, -1, -10) in ns and len(ns) == len(plain)
+
+
+def test_salted_join_matches_plain_join(spark):
+    from daybook.operators.joins import hot_values, salted_join
+    big = spark.createDataFrame([(k if i % 3 else "h", i) for i, k in enumerate(["a", "b", "c", None] * 10)],
+                                "k string, v long")
+    dim = spark.createDataFrame([("a", 1), ("h", 2), (None, 3)], "k string, w long")
+    hot = hot_values(big, "k", 10)
+    assert hot == ["h"]
+    key = lambda t: tuple((x is None, x) for x in t)
+    plain = sorted((tuple(r) for r in big.join(dim, "k", "left").select("k", "v", "w").collect()), key=key)
+    salted = sorted((tuple(r) for r in salted_join(big, dim, "k", hot, "left", salt_buckets=4).collect()), key=key)
+    from daybook.operators.joins import top_hot_keys
+    hot_df = top_hot_keys(big.groupBy("k").count(), ["k"], "count", 10)
+    salted2 = sorted((tuple(r) for r in salted_join(big, dim, "k", hot_df, "left", salt_rows=3).collect()), key=key)
+    assert salted2 == plain
+    assert salted == plain

@@ -141,3 +141,9 @@ def test_sql_hash_vector(spark):
     register_functions(spark)
     r = spark.sql("SELECT hash_vector(array('老师', '中', '青年', '女'), 20) AS v").first()
     assert [i for i, x in enumerate(r.v) if x] == [11, 13, 18, 19]
+
+
+def test_bayes_score_without_broadcast(sample, test_df):
+    m = bayes.bayes_fit(sample, FEATS, "label", "pos")
+    got = {r.name: r.probability for r in bayes.bayes_score(m, test_df, "name", FEATS, broadcast_max_rows=0).collect()}
+    assert got["t3"] == pytest.approx(0.19679300291545185, abs=1e-9)
