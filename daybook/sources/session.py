@@ -9,11 +9,16 @@ from pyspark.sql import SparkSession
 # Defaults a job sets on its own session. Sizes are for a large cluster; local runs
 # override the partition count.
 DEFAULT_CONF: dict[str, str] = {
+    # Many initial shuffle partitions; AQE coalesces them to ~advisory size at run time.
+    "spark.sql.shuffle.partitions": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # Iterative jobs (connected components) checkpoint every round; let the cleaner
+    # delete a round's files once nothing references it.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.files.maxPartitionBytes": "128m",
     # Joins decide broadcast by measured size; 64 MB keeps the build side small
     # relative to executor memory even when statistics are estimates.

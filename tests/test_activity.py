@@ -82,3 +82,11 @@ def test_active_ranges(spark):
     got = sorted(tuple(r) for r in act.active_ranges(df, "u", "ts", "2024-01-30").collect())
     assert got == [(1, "2024-01-01", "2024-01-01", "2024-01-03"), (1, "2024-01-01", "2024-01-05", "2024-01-06"),
                    (1, "2024-01-01", "2024-01-30", "9999-12-31"), (2, "2024-01-29", "2024-01-29", "2024-01-29")]
+
+
+def test_uca_counts_ranges_not_distinct_users(spark):
+    rows = [("g", "x", "2020-06-07", "9999-12-31"), ("g", "x", "2020-06-08", "9999-12-31")]
+    rng = spark.createDataFrame(rows, SCHEMA)
+    for m in ("explode", "histogram"):
+        got = sorted((r.act_days, r.users) for r in act.continuous_active_users(rng, "2020-06-08", m).collect())
+        assert got == [(1, 2), (2, 1)], m

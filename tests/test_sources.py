@@ -77,3 +77,36 @@ def test_spread_is_noop_for_split_inputs(spark):
     one = spark.range(0, 10, numPartitions=1)
     assert sources.spread(one) is one  # tiny: not worth a shuffle
     assert F is not None
+
+
+def _bisect_geohash(lat, lng, precision):
+    alphabet = "0123456789bcdefghjkmnpqrstuvwxyz"
+    lat_r, lng_r = [-90.0, 90.0], [-180.0, 180.0]
+    bits, even, out, ch = 0, True, [], 0
+    while len(out) < precision:
+        rng, v = (lng_r, lng) if even else (lat_r, lat)
+        mid = (rng[0] + rng[1]) / 2
+        if v >= mid:
+            ch = ch * 2 + 1
+            rng[0] = mid
+        else:
+            ch = ch * 2
+            rng[1] = mid
+        even = not even
+        bits += 1
+        if bits == 5:
+            out.append(alphabet[ch])
+            bits, ch = 0, 0
+    return "".join(out)
+
+
+def test_geohash_matches_bisection(spark):
+    import random
+    from daybook.functions import geohash
+    rnd = random.Random(3)
+    pts = [(rnd.uniform(-89.999, 89.999), rnd.uniform(-179.999, 179.999)) for _ in range(2000)]
+    df = spark.createDataFrame(pts, "lat double, lng double")
+    got = df.select("lat", "lng", geohash("lat", "lng", 5).alias("g5"), geohash("lat", "lng", 9).alias("g9")).collect()
+    for r in got:
+        assert r.g5 == _bisect_geohash(r.lat, r.lng, 5)
+        assert r.g9 == _bisect_geohash(r.lat, r.lng, 9)
