@@ -158,11 +158,21 @@ def resolve_guid(df: DataFrame, idmap: DataFrame, priority: tuple[str, ...] = GU
 
 # --------------------------------------------------------------------------- Q-LOG
 def cleanse_app_log(lines: DataFrame, geo_dict: DataFrame, idmap: DataFrame,
-                    value_col: str = "value") -> DataFrame:
+                    value_col: str = "value", materialize: bool = True) -> DataFrame:
     """Q-LOG: parse, validate, add area and guid, keep records with a guid (P7) and a
-    known area (P8). Returns ``APP_LOG_COLUMNS``."""
+    known area (P8). Returns ``APP_LOG_COLUMNS``.
+
+    The guid lookup reads the records twice (distinct id tuples, then the join back).
+    With ``materialize`` the parsed records of known areas are written once with a
+    reliable ``checkpoint`` first, so the JSON is parsed once and a lost executor does
+    not re-parse the whole log."""
+    from daybook.sources.session import checkpoint_dir
+
     rec = parse_app_log(lines, value_col)
-    rec = enrich_area(rec, geo_dict)
+    rec = enrich_area(rec, geo_dict).where(F.col("province") != F.lit(UNKNOWN))
+    if materialize:
+        checkpoint_dir(lines.sparkSession)
+        rec = rec.checkpoint()
     rec = resolve_guid(rec, idmap)
     return (rec.where(F.col("guid").isNotNull() & (F.col("province") != F.lit(UNKNOWN)))
             .select(*APP_LOG_COLUMNS))
