@@ -67,21 +67,35 @@ def graph_vertices(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def _round_info(e: DataFrame, hot_min: int, max_keys: int = HOT_MAX_KEYS):
-    """One job over the checkpointed edge set: the fixpoint fingerprint
-    ``(count, xor of pair hashes)`` and the nodes with at least ``hot_min`` edges as the
-    larger (``a``) or smaller (``b``) end, at most ``max_keys`` per side, largest first.
-    Returns ``(stat, hot_a, hot_b)``."""
+    """One job over the checkpointed canonical edge set ``(a > b)``. Returns
+    ``(stat, is_star, hot_a, hot_b)``:
+
+    * ``stat`` = (count, xor of pair hashes), the fixpoint fingerprint;
+    * ``is_star``: every node is either only a larger end with exactly one edge, or only
+      a smaller end, i.e. the edges already form stars around each component's
+      minimum and the contraction is done;
+    * ``hot_a`` / ``hot_b``: nodes with at least ``hot_min`` edges as the larger /
+      smaller end, at most ``max_keys`` each, largest first (bounded driver traffic).
+    """
     sides = e.select(F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("a").alias("k")),
                                        F.struct(F.lit(1).alias("side"), F.col("b").alias("k")))).alias("s"))
-    deg = (sides.groupBy("s.side", "s.k").agg(F.count(F.lit(1)).alias("n"))
-           .where(F.col("n") >= hot_min).orderBy(F.col("n").desc()).limit(2 * max_keys))
-    stat = e.agg(F.lit(2).alias("side"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0)).alias("k"),
-                 F.count(F.lit(1)).alias("n"))
-    rows = deg.unionByName(stat).collect()
-    st = next((r.k, r.n) for r in rows if r.side == 2)
-    hot_a = [r.k for r in rows if r.side == 0][:max_keys]
-    hot_b = [r.k for r in rows if r.side == 1][:max_keys]
-    return st, hot_a, hot_b
+    per_k = sides.groupBy(F.col("s.k").alias("k")).agg(
+        F.count_if(F.col("s.side") == 0).alias("na"), F.count_if(F.col("s.side") == 1).alias("nb"))
+    hot = (per_k.where((F.col("na") >= hot_min) | (F.col("nb") >= hot_min))
+           .orderBy(F.greatest("na", "nb").desc()).limit(2 * max_keys)
+           .select(F.lit(0).alias("kind"), "k", "na", "nb"))
+    flags = per_k.agg(F.lit(1).alias("kind"), F.lit(None).cast("long").alias("k"),
+                      F.coalesce(F.max("na"), F.lit(0)).alias("na"),
+                      F.count_if((F.col("na") > 0) & (F.col("nb") > 0)).alias("nb"))
+    stat = e.agg(F.lit(2).alias("kind"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0)).alias("k"),
+                 F.count(F.lit(1)).alias("na"), F.lit(0).cast("long").alias("nb"))
+    rows = hot.unionByName(flags).unionByName(stat).collect()
+    st = next((r.k, r.na) for r in rows if r.kind == 2)
+    fl = next(r for r in rows if r.kind == 1)
+    is_star = fl.na <= 1 and fl.nb == 0
+    hot_a = [r.k for r in rows if r.kind == 0 and r.na >= hot_min][:max_keys]
+    hot_b = [r.k for r in rows if r.kind == 0 and r.nb >= hot_min][:max_keys]
+    return st, is_star, hot_a, hot_b
 
 
 def _large_star(e: DataFrame, hot_b: list) -> DataFrame:
@@ -132,8 +146,9 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     reliable ``checkpoint`` (into ``spark.checkpoint.dir``) before the loop (skipped
     with ``inputs_materialized`` when the caller already wrote them), and each
     round's edge set is checkpointed too, so lineage stays one round long and a lost
-    executor recomputes at most one round. The driver reads one (count, xor-hash) row
-    and the bounded hot-node lists per round.
+    executor recomputes at most one round. Per round the driver reads one summary
+    row (star-forest test, count and xor-hash of the edges) and the bounded hot-node
+    lists; the loop ends as soon as the edges form stars.
     """
     checkpoint_dir(vertices.sparkSession)
     ed = (edges.select(F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst"))
@@ -142,14 +157,14 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     if not inputs_materialized:
         ed = ed.checkpoint()
         vset = graph_vertices(vertices, ed).checkpoint()
+    # canonical form of the (materialized) edge list; every later round is checkpointed
     e = (ed.select(F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b"))
          .where(F.col("a") != F.col("b"))
-         .distinct()
-         .checkpoint())
+         .distinct())
     prev = None
     for _ in range(max_rounds + 1):
-        stat, hot_a, hot_b = _round_info(e, hot_min)
-        if stat == prev:  # the last round changed nothing
+        stat, is_star, hot_a, hot_b = _round_info(e, hot_min)
+        if is_star or stat == prev:  # stars around each minimum, or a round changed nothing
             break
         prev = stat
         e = _small_star(_large_star(e, hot_b), hot_a).checkpoint()
