@@ -101,9 +101,11 @@ def spread(df: DataFrame, min_bytes: int = 1 << 20) -> DataFrame:
     estimates more than ``min_bytes``, redistribute it round-robin so the per-row work
     after the scan uses every core. Planning only; on inputs that are already well
     split (the normal case for large tables) it returns ``df`` unchanged."""
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the scan as it is
         return df
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.repartition(target) if size > min_bytes else df
