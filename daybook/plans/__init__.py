@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ("reports", "identity", "applog", "ml")
+_MODULES = ("reports", "identity", "applog", "ml", "io")
 
 
 def load_all():
