@@ -147,3 +147,27 @@ def test_bayes_score_without_broadcast(sample, test_df):
     m = bayes.bayes_fit(sample, FEATS, "label", "pos")
     got = {r.name: r.probability for r in bayes.bayes_score(m, test_df, "name", FEATS, broadcast_max_rows=0).collect()}
     assert got["t3"] == pytest.approx(0.19679300291545185, abs=1e-9)
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "cosine"])
+def test_block_top_k_matches_brute_force(spark, metric):
+    import numpy as np
+    rnd = np.random.default_rng(5)
+    vecs = rnd.normal(size=(40, 6)).round(1)  # rounding makes exact ties likely
+    vecs[7] = vecs[3]                          # a duplicate vector: a tie at distance 0
+    labels = rnd.integers(0, 2, size=40).astype(float)
+    df = spark.createDataFrame([(i, float(labels[i]), [float(x) for x in v]) for i, v in enumerate(vecs)],
+                               "id long, label double, vec array<double>")
+    k = 5
+    got = neighbors.top_k_neighbors(df, df, k, metric, label="label", exclude_self=True, rows_per_block=7)
+    got = {(r.qid, r.rank): r.cid for r in got.collect()}
+
+    def sim(a, b):
+        if metric == "euclidean":
+            return 1.0 / (1.0 + np.sqrt(((a - b) ** 2).sum()))
+        return float(a @ b / (np.linalg.norm(a) * np.linalg.norm(b)))
+
+    for q in range(40):
+        cands = sorted((-round(sim(vecs[q], vecs[c]), 12), labels[c], c) for c in range(40) if c != q)
+        for rank, (_, _, c) in enumerate(cands[:k], 1):
+            assert got[(q, rank)] == c, (q, rank)
