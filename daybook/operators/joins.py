@@ -11,8 +11,6 @@ Rules followed throughout the library:
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,12 +31,6 @@ def broadcast_if_small(small: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(small) if n <= max_rows else small
 
 
-def hot_threshold(total_rows: int, min_rows: int = HOT_MIN_ROWS, max_keys: int = HOT_MAX_KEYS) -> int:
-    """Row count from which a key counts as hot. At most ``total_rows / threshold <=
-    max_keys`` keys can reach it, which bounds the broadcast hot-key table."""
-    return max(int(min_rows), math.ceil(total_rows / max_keys), 1)
-
-
 def hot_keys(df: DataFrame, keys: list[str], threshold: int) -> DataFrame:
     """Keys of ``df`` with at least ``threshold`` rows (one partial aggregate)."""
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -101,11 +93,6 @@ def skew_join(big: DataFrame, dim: DataFrame, keys: str | list[str], hot: DataFr
     return hot_part.unionByName(cold_part)
 
 
-def split_skewed_join(big: DataFrame, dim: DataFrame, key: str, min_rows: int, how: str = "inner") -> DataFrame:
-    """``skew_join`` with hot keys measured on ``big`` (keys with ``>= min_rows`` rows)."""
-    return skew_join(big, dim, key, hot_keys(big, [key], min_rows), how)
-
-
 def hot_values(df: DataFrame, key: str, min_rows: int = HOT_MIN_ROWS, max_keys: int = HOT_MAX_KEYS) -> list:
     """Values of ``key`` holding at least ``min_rows`` rows: one partial aggregate, at
     most ``max_keys`` values (largest first) reach the driver."""

@@ -90,3 +90,11 @@ def test_uca_counts_ranges_not_distinct_users(spark):
     for m in ("explode", "histogram"):
         got = sorted((r.act_days, r.users) for r in act.continuous_active_users(rng, "2020-06-08", m).collect())
         assert got == [(1, 2), (2, 1)], m
+
+
+def test_date_helpers(spark):
+    from daybook.functions import date_add_str, date_diff_days
+    df = spark.createDataFrame([("2019-12-31", "2020-01-01"), ("bad", "2020-01-01")], "a string, b string")
+    got = df.select(date_diff_days("b", "a").alias("d"), date_add_str("a", 2).alias("p")).collect()
+    assert (got[0].d, got[0].p) == (1, "2020-01-02")  # D1: true calendar difference across a new year
+    assert (got[1].d, got[1].p) == (None, None)
