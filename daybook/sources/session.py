@@ -29,12 +29,16 @@ DEFAULT_CONF: dict[str, str] = {
 
 
 def build_session(app_name: str = "daybook", master: str | None = None,
-                  conf: dict[str, str] | None = None, hive: bool = False) -> SparkSession:
-    """Session helper: app name, optional master, a config map and optional catalog
-    support. On a cluster leave ``master`` unset so spark-submit decides."""
+                  conf: dict[str, str] | None = None, hive: bool = False,
+                  warehouse_dir: str | None = None) -> SparkSession:
+    """Session helper: app name, optional master, a config map, optional catalog
+    support and warehouse folder. On a cluster leave ``master`` unset so spark-submit
+    decides."""
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
+    if warehouse_dir:
+        b = b.config("spark.sql.warehouse.dir", warehouse_dir)
     for k, v in {**DEFAULT_CONF, **(conf or {})}.items():
         b = b.config(k, v)
     if hive:

@@ -110,3 +110,24 @@ def test_geohash_matches_bisection(spark):
     for r in got:
         assert r.g5 == _bisect_geohash(r.lat, r.lng, 5)
         assert r.g9 == _bisect_geohash(r.lat, r.lng, 9)
+
+
+def _java_string_hash(s):
+    h = 0
+    data = s.encode("utf-16-be")
+    for i in range(0, len(data), 2):
+        h = (31 * h + int.from_bytes(data[i:i + 2], "big")) & 0xFFFFFFFF
+    return h - (1 << 32) if h >= (1 << 31) else h
+
+
+def test_java_hash_matches_utf16_definition(spark):
+    import random
+    from daybook.functions import hash_bucket, java_hash
+    rnd = random.Random(11)
+    alphabet = "abcXYZ019 _-,老师程序员公务员中华é€😀\U0001F680"
+    words = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 30))) for _ in range(300)]
+    df = spark.createDataFrame([(w,) for w in words], "s string")
+    got = df.select("s", java_hash("s").alias("h"), hash_bucket("s", 20).alias("b")).collect()
+    for r in got:
+        assert r.h == _java_string_hash(r.s)
+        assert r.b == (r.h & 0x7FFFFFFF) % 20
