@@ -134,13 +134,13 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     connected component (signed comparison); isolated vertices are their own.
 
     Alternating large-star / small-star contraction (Kiveris et al., SoCC 2014) on a
-    canonical edge set ``(a > b)``. Every step is a partial ``min`` aggregate plus an
-    equi-join on one endpoint, so a hub's edges are split by AQE's skew-join handling
-    rather than gathered into one task; no step collects a neighbour list. Rounds are
-    O(log^2 n) for any diameter. Nodes with at least ``hot_min`` edges (hubs, roots of
-    giant components) are found each round by one aggregate over the checkpointed
-    edges (at most ``HOT_MAX_KEYS`` per side reach the driver) and their edges are
-    joined map-side against a broadcast of their few ``min`` rows (``skew_join``).
+    canonical edge set ``(a > b)``. Large-star is a partial ``min`` aggregate plus an
+    equi-join on the smaller end; small-star is a ``min`` window on the larger end. No
+    step collects a neighbour list, and rounds are O(log^2 n) for any diameter. Nodes
+    with at least ``hot_min`` edges (hubs, roots of giant components) are found each
+    round by one aggregate over the checkpointed edges (at most ``HOT_MAX_KEYS`` per
+    side reach the driver); their edges never go into one task: they are joined
+    map-side against a broadcast of their few ``min`` rows.
 
     Inputs are read once: the edge list and the vertex set are written with a
     reliable ``checkpoint`` (into ``spark.checkpoint.dir``) before the loop (skipped
