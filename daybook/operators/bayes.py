@@ -22,7 +22,8 @@ class BayesModel:
     positive: str
 
 
-def bayes_fit(df: DataFrame, features: list[str], label: str, positive: str) -> BayesModel:
+def bayes_fit(df: DataFrame, features: list[str], label: str, positive: str,
+              materialize: bool = True) -> BayesModel:
     """M1: priors and likelihoods from one scan.
 
     The feature columns are unpivoted to ``(feature, value)`` and counted in a single
@@ -30,7 +31,9 @@ def bayes_fit(df: DataFrame, features: list[str], label: str, positive: str) ->
     aggregate (A5 + A6). Per-feature totals are a second aggregate over that small
     result (one row per feature column, broadcast), and the class total is a scalar
     subquery, so no extra scan of the input, no single-task window over a
-    high-cardinality feature and no driver round trip.
+    high-cardinality feature and no driver round trip. With ``materialize`` the two
+    model tables are written with a reliable ``checkpoint`` (the reference collects
+    its model to the driver instead).
     ``feature_prob = count / N``; ``cond_prob = count(label = positive) / N_pos``.
     """
     is_pos = F.col(label) == F.lit(positive)
@@ -48,6 +51,13 @@ def bayes_fit(df: DataFrame, features: list[str], label: str, positive: str) ->
     labels = df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
     total = labels.agg(F.sum("n")).scalar()
     prior = labels.select("label", (F.col("n") / total).alias("label_prob"))
+    if materialize:
+        # the model is small (one row per distinct value); write it once so scoring
+        # reads it instead of re-aggregating the training data for every use
+        from daybook.sources.session import checkpoint_dir
+
+        checkpoint_dir(df.sparkSession)
+        feats, prior = feats.checkpoint(), prior.checkpoint()
     return BayesModel(prior, feats, positive)
 
 
