@@ -143,13 +143,11 @@ def knn_job(spark: SparkSession, sample_csv: str, test_csv: str, n_features: int
     return neighbors.knn_classify(test, sample, k, "id", "vec", "label")
 
 
-def similarity_job(spark: SparkSession, csv: str, n_features: int = 5, k: int | None = None) -> DataFrame:
-    """Q-SIM: ``id, f1..fn`` header CSV -> ``(id, other_id, rank, cos, eud)``, the k most
-    similar per item; ``k=None`` gives every other item (the reference's table, each
-    pair once per direction; only for small inputs)."""
+def similarity_job(spark: SparkSession, csv: str, n_features: int = 5, k: int = 10) -> DataFrame:
+    """Q-SIM: ``id, f1..fn`` header CSV -> ``(id, other_id, rank, cos, eud)``, the ``k``
+    most similar items per item (a top-k report; the reference's all-pairs table is the
+    case ``k = rows - 1``, which only suits small inputs)."""
     df = _numeric_csv(spark, csv, "id", n_features).withColumn("id", F.col("id").cast("long"))
-    if k is None:
-        k = max(df.count() - 1, 1)
     return neighbors.similar_items(df, k, "id", "vec")
 
 

@@ -66,7 +66,7 @@ def test_knn_and_similarity_jobs(spark, tmp_path):
     assert got == {1: 0, 2: 0, 3: 1, 4: 1, 5: 1}
     demo = _write(tmp_path / "d.csv", "id,f1,f2,f3,f4,f5\n1,40,50,10,2,5\n2,80,100,20,4,10\n3,121,148,28,6,15\n"
                   "4,35,45,8,2,4\n5,70,92,16,4,7.9\n6,103,136,23,6.6,12.5\n")
-    sim = {(r.id, r.other_id): r.eud for r in jobs.similarity_job(spark, demo).collect()}
+    sim = {(r.id, r.other_id): r.eud for r in jobs.similarity_job(spark, demo, k=5).collect()}
     assert len(sim) == 30 and sim[(1, 2)] == pytest.approx(0.015144456469147692, abs=1e-9)
 
 
