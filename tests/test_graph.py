@@ -122,3 +122,24 @@ def test_salted_join_matches_plain_join(spark):
     salted2 = sorted((tuple(r) for r in salted_join(big, dim, "k", hot_df, "left", salt_rows=3).collect()), key=key)
     assert salted2 == plain
     assert salted == plain
+
+
+def test_cc_giant_star_uses_hot_paths(spark, monkeypatch):
+    # node 0 is the smaller end of 60 edges and node 1000 the larger end of 60 edges
+    edges = [(0, i) for i in range(1, 61)] + [(1000, 100 + i) for i in range(60)] + [(60, 100)]
+    edges += [(2000 + i, 2001 + i) for i in range(30)]  # a long chain
+    seen = {"a": 0, "b": 0}
+    orig = graph._round_info
+
+    def spy(e, hot_min, **kw):
+        st, star, ha, hb = orig(e, hot_min, **kw)
+        seen["a"] += len(ha)
+        seen["b"] += len(hb)
+        return st, star, ha, hb
+
+    monkeypatch.setattr(graph, "_round_info", spy)
+    v = spark.createDataFrame([(5000,)], "id long")
+    e = spark.createDataFrame(edges, "src long, dst long")
+    got = {r.id: r.component for r in graph.connected_components(v, e, hot_min=20).collect()}
+    assert got == _uf_components([5000], edges)
+    assert seen["a"] > 0 and seen["b"] > 0
