@@ -144,13 +144,28 @@ def date_add_str(c: ColumnOrName, n: int | Column) -> Column:
     return F.date_format(F.date_add(to_day(c), n), "yyyy-MM-dd")
 
 
+def _geohash12_sql(lat: str, lng: str) -> str:
+    """Spark SQL text of the 12-character geohash of two DOUBLE expressions. Scaling by a
+    power of two is exact, so a shorter geohash is a prefix of this one."""
+    la = f"least(floor(({lat} + 90D) / 180D * {1 << 30}), {(1 << 30) - 1})"
+    lo = f"least(floor(({lng} + 180D) / 360D * {1 << 30}), {(1 << 30) - 1})"
+    terms = []
+    for i in range(60):
+        src, k = (lo, i // 2) if i % 2 == 0 else (la, i // 2)
+        terms.append(f"shiftleft(shiftright({src}, {29 - k}) & 1L, {59 - i})")
+    code = " + ".join(terms)
+    return (f"translate(lpad(conv(CAST(({code}) AS STRING), 10, 32), 12, '0'), "
+            f"'{_BASE32_DIGITS}', '{GEOHASH_ALPHABET}')")
+
+
 def register_functions(spark: SparkSession) -> None:
     """R1-R4 as SQL functions, with names that do not shadow built-ins.
 
     ``euclidean_similarity(a, b)``, ``cosine_similarity(a, b)``,
     ``squared_distance(a, b)`` take two numeric arrays; ``java_hash(s)`` and
     ``hash_bucket(s, n)`` take a string; ``hash_vector(arr, n)`` is R4's binary
-    hashed vector as ``array<double>`` (wrap with ``array_to_vector`` for ML). They are SQL-bodied temporary functions, so
+    hashed vector as ``array<double>`` (wrap with ``array_to_vector`` for ML);
+    ``geohash_cell(lat, lng, p)`` is F6 for precisions up to 12. They are SQL-bodied temporary functions, so
     the optimizer inlines them like any expression (no Python in the plan).
     """
     stmts = [
@@ -176,5 +191,8 @@ def register_functions(spark: SparkSession) -> None:
                i = pmod(CAST(reflect('java.util.Objects', 'hashCode', s) AS BIGINT) & 2147483647, n),
                1D, x)))""",
     ]
+    stmts.append(f"""CREATE OR REPLACE TEMPORARY FUNCTION geohash_cell(lat DOUBLE, lng DOUBLE, p INT)
+           RETURNS STRING RETURN IF(lat BETWEEN -90D AND 90D AND lng BETWEEN -180D AND 180D,
+             substr({_geohash12_sql('lat', 'lng')}, 1, p), NULL)""")
     for s in stmts:
         spark.sql(s)

@@ -131,3 +131,17 @@ def test_java_hash_matches_utf16_definition(spark):
     for r in got:
         assert r.h == _java_string_hash(r.s)
         assert r.b == (r.h & 0x7FFFFFFF) % 20
+
+
+def test_sql_geohash_cell(spark):
+    import random
+    register_functions(spark)
+    rnd = random.Random(9)
+    pts = [(rnd.uniform(-89.99, 89.99), rnd.uniform(-179.99, 179.99)) for _ in range(300)] + [(90.0, 180.0), (91.0, 0.0)]
+    spark.createDataFrame(pts, "lat double, lng double").createOrReplaceTempView("pts")
+    rows = spark.sql("SELECT lat, lng, geohash_cell(lat, lng, 5) AS g5, geohash_cell(lat, lng, 12) AS g12 FROM pts").collect()
+    for r in rows:
+        if r.lat > 90:
+            assert r.g5 is None
+            continue
+        assert r.g5 == _bisect_geohash(r.lat, r.lng, 5) and r.g12 == _bisect_geohash(r.lat, r.lng, 12)
