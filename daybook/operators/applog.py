@@ -123,7 +123,7 @@ def enrich_area(df: DataFrame, geo_dict: DataFrame, lat: str = "latitude", lng:
     if d.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows:
         j = cells.join(F.broadcast(d), "_geo", "left")
     else:
-        # shuffle join; a busy cell (a city centre) is split off and joined map-side
+        # shuffle join; a busy cell (a city centre) is salted over several partitions
         counts = cells.groupBy("_geo").agg(F.count(F.lit(1)).alias("_n"))
         j = salted_join(cells, d, "_geo", top_hot_keys(counts, ["_geo"], "_n"), "left")
     j = j.drop("_geo")
@@ -150,7 +150,10 @@ def resolve_guid(df: DataFrame, idmap: DataFrame, priority: tuple[str, ...] = GU
     cand = tuples.select(*priority, F.explode(F.array(*[
         F.struct(F.lit(i).alias("prio"), java_hash(c).alias("h")) for i, c in enumerate(priority)
     ])).alias("c")).select(*priority, "c.prio", "c.h").where(F.col("h").isNotNull())
-    hits = cand.join(idmap.select(F.col("biaoshi_hashcode").alias("h"), "guid"), "h")
+    # one id value can be shared by very many tuples (the empty string hashes to 0)
+    h_counts = cand.groupBy("h").agg(F.count(F.lit(1)).alias("_n"))
+    hits = salted_join(cand, idmap.select(F.col("biaoshi_hashcode").alias("h"), "guid"), "h",
+                       top_hot_keys(h_counts, ["h"], "_n", hot_min), "inner")
     best = (hits.groupBy(F.struct(*priority).alias("_k")).agg(F.min_by("guid", "prio").alias("guid")))
     hot = top_hot_keys(counts, ["_k"], "_n", hot_min)  # devices with a huge share of records
     return salted_join(keyed, best, "_k", hot, "left").drop("_k")
