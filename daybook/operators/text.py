@@ -40,9 +40,9 @@ def remove_stopwords(df: DataFrame, words_col: str, stop: list[str] | DataFrame,
                      doc_col: str | None = None, inline_max: int = 10_000) -> DataFrame:
     """Drop stop words from a word array, keeping order and duplicates of the rest.
 
-    A Python list (a fixed, small vocabulary) is inlined as a literal array. A
-    DataFrame of stop words (``term``) is inlined the same way when a bounded check
-    (``limit(inline_max + 1).count()``) shows at most ``inline_max`` terms; a larger
+    A Python list (a fixed, small vocabulary) is applied as a JVM hash set. A
+    DataFrame of stop words (``term``) is applied the same way when a bounded fetch
+    (``limit(inline_max + 1)``) shows at most ``inline_max`` terms; a larger
     one is applied without collecting it: words are exploded with their position,
     anti-joined with the stop list, and the array is rebuilt per document in position
     order (``doc_col`` required; one document's group is bounded by its length).
@@ -50,8 +50,9 @@ def remove_stopwords(df: DataFrame, words_col: str, stop: list[str] | DataFrame,
     out_col = out_col or words_col
     if not isinstance(stop, list):
         terms = stop.select(F.col("term").cast("string")).distinct()
-        if terms.limit(inline_max + 1).count() <= inline_max:
-            stop = [r[0] for r in terms.collect() if r[0] is not None]
+        head = terms.limit(inline_max + 1).collect()  # one bounded job: the list or proof it is big
+        if len(head) <= inline_max:
+            stop = [r[0] for r in head if r[0] is not None]
     if isinstance(stop, list):
         from pyspark.ml.feature import StopWordsRemover
 
