@@ -41,13 +41,16 @@ def vectorize(cols: list[str | Column]) -> Column:
 
 
 def sparse_vector(size: int, index: str | Column, value: str | Column) -> Column:
-    """M6: one-hot style vector of ``size`` with ``value`` at ``index``. Returned as a
-    dense-array-backed vector; ``VectorAssembler`` compresses it to sparse storage
-    when that is smaller."""
-    idx = F.col(index) if isinstance(index, str) else index
-    val = F.col(value) if isinstance(value, str) else value
-    return array_to_vector(F.transform(F.sequence(F.lit(0), F.lit(size - 1)),
-                                       lambda i: F.when(i == idx, val.cast("double")).otherwise(F.lit(0.0))))
+    """M6: one-hot style vector of ``size`` with ``value`` at ``index`` (no lambda: two
+    zero runs around the value). Returned dense; ``assemble`` (``VectorAssembler``)
+    stores it sparse when that is smaller. Meant for modest sizes; text features come
+    sparse from ``term_frequency`` directly."""
+    idx = (F.col(index) if isinstance(index, str) else index).cast("int")
+    val = (F.col(value) if isinstance(value, str) else value).cast("double")
+    zeros = F.array_repeat(F.lit(0.0), F.lit(size))
+    placed = F.concat(F.array_repeat(F.lit(0.0), idx), F.array(F.coalesce(val, F.lit(0.0))),
+                      F.array_repeat(F.lit(0.0), F.lit(size - 1) - idx))
+    return array_to_vector(F.when((idx >= 0) & (idx < size), placed).otherwise(zeros))
 
 
 def assemble(df: DataFrame, cols: list[str], out_col: str = "features") -> DataFrame:
