@@ -8,6 +8,7 @@ expression over the whole text.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,3 +71,71 @@ def remove_stopwords(df: DataFrame, words_col: str, stop: list[str] | DataFrame,
     base = df.drop(out_col) if out_col in df.columns else df
     return (base.join(rebuilt, doc_col, "left")
             .withColumn(out_col, F.coalesce(F.col(out_col), F.array().cast("array<string>"))))
+
+
+def _segment_run(run: str, lexicon: frozenset, max_len: int) -> list[str]:
+    """Forward maximum matching of one Han run; characters no lexicon word covers are
+    grouped and emitted as bigrams (a single leftover character stays as it is)."""
+    out: list[str] = []
+    pending: list[str] = []
+
+    def flush():
+        if len(pending) == 1:
+            out.append(pending[0])
+        else:
+            out.extend("".join(pending[i:i + 2]) for i in range(len(pending) - 1))
+        pending.clear()
+
+    i = 0
+    while i < len(run):
+        for n in range(min(max_len, len(run) - i), 1, -1):
+            if run[i:i + n] in lexicon:
+                flush()
+                out.append(run[i:i + n])
+                i += n
+                break
+        else:
+            pending.append(run[i])
+            i += 1
+    flush()
+    return out
+
+
+def segment(df: DataFrame, col: str, lexicon: DataFrame, out_col: str = "words", max_word_len: int = 8,
+            max_lexicon: int = 2_000_000) -> DataFrame:
+    """T1 with a lexicon: letter runs as ``tokens`` makes them, and every Han run
+    segmented by forward maximum matching against ``lexicon`` (column ``term``),
+    with bigrams for uncovered characters.
+
+    The lexicon is a fixed vocabulary, fetched once behind a bound
+    (``limit(max_lexicon + 1)``; larger lexicons are refused rather than collected) and
+    shipped to the tasks as a broadcast variable. The matching is a small per-row
+    helper in an Arrow-batched ``pandas_udf``; the text itself never leaves the tasks.
+    """
+    import regex
+
+    head = lexicon.select(F.col("term").cast("string")).distinct().limit(max_lexicon + 1).collect()
+    if len(head) > max_lexicon:
+        raise ValueError(f"lexicon has more than {max_lexicon} terms")
+    spark = df.sparkSession
+    words = frozenset(r[0] for r in head if r[0])
+    bc = spark.sparkContext.broadcast(words)
+    han = regex.compile(r"\p{Han}+")
+    letters = regex.compile(r"\p{L}+")
+
+    @F.pandas_udf("array<string>")
+    def seg(texts: pd.Series) -> pd.Series:
+        lex = bc.value
+        res = []
+        for t in texts:
+            toks: list[str] = []
+            if t is not None:
+                for run in letters.findall(t.lower()):
+                    if han.fullmatch(run):
+                        toks.extend(_segment_run(run, lex, max_word_len))
+                    else:
+                        toks.append(run)
+            res.append(toks)
+        return pd.Series(res)
+
+    return df.withColumn(out_col, seg(F.col(col)))

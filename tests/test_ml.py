@@ -171,3 +171,11 @@ def test_block_top_k_matches_brute_force(spark, metric):
         cands = sorted((-round(sim(vecs[q], vecs[c]), 12), labels[c], c) for c in range(40) if c != q)
         for rank, (_, _, c) in enumerate(cands[:k], 1):
             assert got[(q, rank)] == c, (q, rank)
+
+
+def test_lexicon_segmentation(spark):
+    df = spark.createDataFrame([(1, "质量很好，物流快 OK!"), (2, None)], "id long, t string")
+    lex = spark.createDataFrame([("质量",), ("很好",), ("物流",)], "term string")
+    got = {r.id: r.words for r in text.segment(df, "t", lex).collect()}
+    assert got[1] == ["质量", "很好", "物流", "快", "ok"] and got[2] == []
+    assert text._segment_run("甲乙丙质量", frozenset({"质量"}), 8) == ["甲乙", "乙丙", "质量"]
