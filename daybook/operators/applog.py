@@ -113,7 +113,7 @@ def geo_dictionary(points: DataFrame, lat: str = "BD09_LAT", lng: str = "BD09_LN
 
 
 def enrich_area(df: DataFrame, geo_dict: DataFrame, lat: str = "latitude", lng: str = "longtitude",
-                precision: int = 5, broadcast_max_rows: int = 2_000_000) -> DataFrame:
+                precision: int = 5, broadcast_max_rows: int = 500_000) -> DataFrame:
     """Add ``province, city, district`` by the record's geohash cell, ``未知`` when
     the cell is unknown. The dictionary must have one row per cell (see
     ``geo_dictionary``); it is broadcast only after a row-count check, otherwise the

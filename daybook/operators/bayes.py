@@ -62,7 +62,7 @@ def bayes_fit(df: DataFrame, features: list[str], label: str, positive: str,
 
 
 def bayes_score(model: BayesModel, df: DataFrame, id_col: str, features: list[str],
-                broadcast_max_rows: int = 1_000_000) -> DataFrame:
+                broadcast_max_rows: int = 500_000) -> DataFrame:
     """M2: ``P(pos) * prod P(v | pos) / prod P(v)`` per row, ``(id, probability)``.
 
     An unseen value contributes 1 to both products (J8); the result is not
