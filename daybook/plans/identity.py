@@ -6,8 +6,6 @@ supplier id and a ship-month id; an ``orders`` row becomes a delimited text line
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,7 +73,8 @@ def q_idmap_roll(spark, sf_dir):
     """Q-IDR: rows shipped before the cut build yesterday's dictionary; the rest are
     today's logs, rolled onto it."""
     ids = lineitem_ids(spark, sf_dir)
-    cut = F.lit(dt.datetime.fromisoformat(ROLL_CUT)).cast("timestamp_ntz")
+    # a string parsed as a zone-less timestamp: independent of any session or OS time zone
+    cut = F.lit(f"{ROLL_CUT} 00:00:00").cast("timestamp_ntz")
     yesterday = idmap.identity_map(ids.where(F.col("l_shipdate") < cut).select("ids"))
     return idmap.identity_map(ids.where(F.col("l_shipdate") >= cut).select("ids"), prev=yesterday)
 
