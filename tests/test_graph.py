@@ -143,3 +143,9 @@ def test_cc_giant_star_uses_hot_paths(spark, monkeypatch):
     got = {r.id: r.component for r in graph.connected_components(v, e, hot_min=20).collect()}
     assert got == _uf_components([5000], edges)
     assert seen["a"] > 0 and seen["b"] > 0
+
+
+def test_id_vertices_keep_names(spark):
+    df = spark.createDataFrame([(["wx_hz", "13912344321"],), (["wx_hz"],)], "ids array<string>")
+    got = {r.id: r.name for r in idmap.id_vertices(df).collect()}
+    assert got == {113568560: "wx_hz", -1095633001: "13912344321"}

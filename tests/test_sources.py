@@ -145,3 +145,11 @@ def test_sql_geohash_cell(spark):
             assert r.g5 is None
             continue
         assert r.g5 == _bisect_geohash(r.lat, r.lng, 5) and r.g12 == _bisect_geohash(r.lat, r.lng, 12)
+
+
+def test_partitioned_parquet_and_pruning(spark, tmp_path):
+    df = spark.createDataFrame([("2020-06-07", 1), ("2020-06-08", 2)], "dt string, v int")
+    sources.write_parquet(df, str(tmp_path / "p"), partition_by=["dt"])
+    back = sources.read_parquet(spark, str(tmp_path / "p")).where("dt = '2020-06-08'")
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and [r.v for r in back.collect()] == [2]
