@@ -68,9 +68,8 @@ def graph_vertices(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
 def _round_info(e: DataFrame, hot_min: int, max_keys: int = HOT_MAX_KEYS):
     """One job over the checkpointed canonical edge set ``(a > b)``. Returns
-    ``(stat, is_star, hot_a, hot_b)``:
+    ``(is_star, hot_a, hot_b)``:
 
-    * ``stat`` = (count, xor of pair hashes), the fixpoint fingerprint;
     * ``is_star``: every node is either only a larger end with exactly one edge, or only
       a smaller end, i.e. the edges already form stars around each component's
       minimum and the contraction is done;
@@ -87,15 +86,12 @@ def _round_info(e: DataFrame, hot_min: int, max_keys: int = HOT_MAX_KEYS):
     flags = per_k.agg(F.lit(1).alias("kind"), F.lit(None).cast("long").alias("k"),
                       F.coalesce(F.max("na"), F.lit(0)).alias("na"),
                       F.count_if((F.col("na") > 0) & (F.col("nb") > 0)).alias("nb"))
-    stat = e.agg(F.lit(2).alias("kind"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0)).alias("k"),
-                 F.count(F.lit(1)).alias("na"), F.lit(0).cast("long").alias("nb"))
-    rows = hot.unionByName(flags).unionByName(stat).collect()
-    st = next((r.k, r.na) for r in rows if r.kind == 2)
+    rows = hot.unionByName(flags).collect()
     fl = next(r for r in rows if r.kind == 1)
     is_star = fl.na <= 1 and fl.nb == 0
     hot_a = [r.k for r in rows if r.kind == 0 and r.na >= hot_min][:max_keys]
     hot_b = [r.k for r in rows if r.kind == 0 and r.nb >= hot_min][:max_keys]
-    return st, is_star, hot_a, hot_b
+    return is_star, hot_a, hot_b
 
 
 def _large_star(e: DataFrame, hot_b: list) -> DataFrame:
@@ -147,8 +143,8 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     with ``inputs_materialized`` when the caller already wrote them), and each
     round's edge set is checkpointed too, so lineage stays one round long and a lost
     executor recomputes at most one round. Per round the driver reads one summary
-    row (star-forest test, count and xor-hash of the edges) and the bounded hot-node
-    lists; the loop ends as soon as the edges form stars.
+    row (the star-forest test) and the bounded hot-node lists; the loop ends as soon
+    as the edges form stars (which the contraction reaches; ``max_rounds`` guards).
     """
     checkpoint_dir(vertices.sparkSession)
     ed = (edges.select(F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst"))
@@ -161,12 +157,10 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     e = (ed.select(F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b"))
          .where(F.col("a") != F.col("b"))
          .distinct())
-    prev = None
     for _ in range(max_rounds + 1):
-        stat, is_star, hot_a, hot_b = _round_info(e, hot_min)
-        if is_star or stat == prev:  # stars around each minimum, or a round changed nothing
+        is_star, hot_a, hot_b = _round_info(e, hot_min)
+        if is_star:  # stars around each component's minimum: done
             break
-        prev = stat
         e = _small_star(_large_star(e, hot_b), hot_a).checkpoint()
     else:
         raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
