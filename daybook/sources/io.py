@@ -103,9 +103,10 @@ def spread(df: DataFrame, min_bytes: int = 1 << 20) -> DataFrame:
     split (the normal case for large tables) it returns ``df`` unchanged."""
     try:
         target = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
+        qe = df._jdf.queryExecution()
+        if qe.executedPlan().execute().getNumPartitions() >= target:  # planning only, no job
             return df
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        size = int(str(qe.optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the scan as it is
         return df
     return df.repartition(target) if size > min_bytes else df
