@@ -72,8 +72,17 @@ def append_table(df: DataFrame, name: str, partition_by: list[str] | None = None
         # insertInto is positional: follow the table's column order
         ordered = df.select(*spark.table(name).columns)
         if overwrite_partitions:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-            ordered.write.mode("overwrite").insertInto(name)
+            # dynamic overwrite for this write only; the session's setting is restored
+            key = "spark.sql.sources.partitionOverwriteMode"
+            old = spark.conf.get(key, None)
+            spark.conf.set(key, "dynamic")
+            try:
+                ordered.write.mode("overwrite").insertInto(name)
+            finally:
+                if old is None:
+                    spark.conf.unset(key)
+                else:
+                    spark.conf.set(key, old)
         else:
             ordered.write.mode("append").insertInto(name)
         return

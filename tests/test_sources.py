@@ -48,8 +48,11 @@ def test_append_table_and_partition_overwrite(spark, tmp_path):
     sources.append_table(df.select("act_days", "users", "dt"), "daybook_uca", partition_by=["dt"])
     sources.append_table(df.select("act_days", "users", "dt"), "daybook_uca", partition_by=["dt"])
     assert sources.read_table(spark, "daybook_uca", "dt = '2020-06-08'").count() == 2
+    other = spark.createDataFrame([(1, 5, "2020-06-07")], "act_days int, users long, dt string")
+    sources.append_table(other, "daybook_uca")
     sources.append_table(df.select("act_days", "users", "dt"), "daybook_uca", overwrite_partitions=True)
     assert sources.read_table(spark, "daybook_uca", "dt = '2020-06-08'").count() == 1
+    assert sources.read_table(spark, "daybook_uca", "dt = '2020-06-07'").count() == 1  # untouched
     spark.sql("DROP TABLE IF EXISTS daybook_uca")
 
 
