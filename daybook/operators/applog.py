@@ -103,9 +103,14 @@ def geo_dictionary(points: DataFrame, lat: str = "BD09_LAT", lng: str = "BD09_LN
     cells = points.select(geohash(F.col(lat), F.col(lng), precision).alias("geo"),
                           F.col(p).alias("province"), F.col(c).alias("city"), F.col(d).alias("district")
                           ).where(F.col("geo").isNotNull())
-    if not one_per_cell:
-        return cells
-    counted = cells.groupBy("geo", "province", "city", "district").agg(F.count(F.lit(1)).alias("n"))
+    return one_area_per_cell(cells) if one_per_cell else cells
+
+
+def one_area_per_cell(rows: DataFrame) -> DataFrame:
+    """Reduce ``(geo, province, city, district)`` rows to one per cell, the most
+    frequent area, ties alphabetical. Idempotent, so it also guards a dictionary that
+    may hold a cell twice (the reference's map silently kept one of them)."""
+    counted = rows.groupBy("geo", "province", "city", "district").agg(F.count(F.lit(1)).alias("n"))
     best = counted.groupBy("geo").agg(F.min_by(
         F.struct("province", "city", "district"),
         F.struct((-F.col("n")).alias("k"), "province", "city", "district")).alias("a"))
@@ -115,10 +120,11 @@ def geo_dictionary(points: DataFrame, lat: str = "BD09_LAT", lng: str = "BD09_LN
 def enrich_area(df: DataFrame, geo_dict: DataFrame, lat: str = "latitude", lng: str = "longtitude",
                 precision: int = 5, broadcast_max_rows: int = 500_000) -> DataFrame:
     """Add ``province, city, district`` by the record's geohash cell, ``未知`` when
-    the cell is unknown. The dictionary must have one row per cell (see
-    ``geo_dictionary``); it is broadcast only after a row-count check, otherwise the
+    the cell is unknown. The dictionary is first reduced to one row per cell (D7, a
+    small aggregate), so rows never multiply; it is broadcast only after a row-count
+    check, otherwise the
     join shuffles with busy cells salted over several partitions (``salted_join``)."""
-    d = geo_dict.select(F.col("geo").alias("_geo"), "province", "city", "district")
+    d = one_area_per_cell(geo_dict.select("geo", "province", "city", "district")).withColumnRenamed("geo", "_geo")
     cells = df.withColumn("_geo", geohash(F.col(lat), F.col(lng), precision))
     if d.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows:
         j = cells.join(F.broadcast(d), "_geo", "left")
@@ -152,8 +158,9 @@ def resolve_guid(df: DataFrame, idmap: DataFrame, priority: tuple[str, ...] = GU
     ])).alias("c")).select(*priority, "c.prio", "c.h").where(F.col("h").isNotNull())
     # one id value can be shared by very many tuples (the empty string hashes to 0)
     h_counts = cand.groupBy("h").agg(F.count(F.lit(1)).alias("_n"))
-    hits = salted_join(cand, idmap.select(F.col("biaoshi_hashcode").alias("h"), "guid"), "h",
-                       top_hot_keys(h_counts, ["h"], "_n", hot_min), "inner")
+    # one guid per id even if the dictionary repeats an id (the smallest)
+    dictionary = idmap.groupBy(F.col("biaoshi_hashcode").alias("h")).agg(F.min("guid").alias("guid"))
+    hits = salted_join(cand, dictionary, "h", top_hot_keys(h_counts, ["h"], "_n", hot_min), "inner")
     best = (hits.groupBy(F.struct(*priority).alias("_k")).agg(F.min_by("guid", "prio").alias("guid")))
     hot = top_hot_keys(counts, ["_k"], "_n", hot_min)  # devices with a huge share of records
     return salted_join(keyed, best, "_k", hot, "left").drop("_k")

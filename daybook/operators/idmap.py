@@ -137,8 +137,9 @@ def stabilise_guid(comp: DataFrame, prev: DataFrame, hot_min: int = HOT_MIN_ROWS
 
 # --------------------------------------------------------------------------- Q-LINK
 def split_fields(value: Column, sep: str = ",") -> Column:
-    """``String.split`` semantics: trailing empty fields are dropped."""
-    return F.split(F.regexp_replace(value, f"{sep}+$", ""), sep)
+    """``String.split`` semantics (``sep`` is a regular expression, as there):
+    trailing empty fields are dropped."""
+    return F.split(F.regexp_replace(value, f"(?:{sep})+$", ""), sep)
 
 
 def link_lines(lines: DataFrame, value_col: str = "value", sep: str = ",",

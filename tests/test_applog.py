@@ -73,3 +73,16 @@ def test_enrich_area_without_broadcast(spark):
     geo = spark.createDataFrame([("wx4fb", "P", "C", "D")], "geo string, province string, city string, district string")
     got = sorted(r.province for r in applog.enrich_area(df, geo, broadcast_max_rows=0).collect())
     assert got == ["P", "未知"]
+
+
+def test_dictionaries_with_repeated_keys_do_not_multiply_rows(spark):
+    df = spark.createDataFrame([(39.9, 116.4, "i1")], "latitude double, longtitude double, imei string")
+    geo = spark.createDataFrame([("wx4fb", "B", "C", "D"), ("wx4fb", "A", "C", "D"), ("wx4fb", "B", "C", "D")],
+                                "geo string, province string, city string, district string")
+    got = applog.enrich_area(df, geo).collect()
+    assert len(got) == 1 and got[0].province == "B"  # most frequent area
+    idm = spark.createDataFrame([(113568560, 5), (113568560, 3)], "biaoshi_hashcode long, guid long")
+    df2 = spark.createDataFrame([("wx_hz",)], "imei string").selectExpr(
+        "imei", *[f"CAST(NULL AS STRING) AS {c}" for c in ("imsi", "mac", "uid", "androidId", "uuid")])
+    got = applog.resolve_guid(df2, idm).collect()
+    assert len(got) == 1 and got[0].guid == 3
