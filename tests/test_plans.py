@@ -47,7 +47,7 @@ def test_scan_pruning_and_pushdown(spark, sf_dir):
 
 def test_no_cartesian_anywhere(spark, sf_dir):
     import __spark_entry__ as E
-    for name in ("q_knn", "q_similarity", "q_bayes_score", "q_sqdist", "q_stopwords"):
+    for name in ("q_knn", "q_similarity", "q_bayes_score", "q_sqdist", "q_stopwords", "q_applog", "q_link"):
         plan = _physical(E.queries()[name](spark, sf_dir))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
     assert F is not None
