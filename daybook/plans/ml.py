@@ -86,8 +86,9 @@ def q_encode(spark, sf_dir):
   + 10 * coalesce(CASE o_orderstatus WHEN 'F' THEN 0.0 WHEN 'O' THEN 1.0 END, 0.0)
   + 100 * o_totalprice AS weighted FROM orders""")
 def q_vectors(spark, sf_dir):
-    """M5 + F18: the coded columns assembled into a vector (null -> 0.0); checked
-    through its dot product with (1, 10, 100) as a squared-distance identity."""
+    """M5 (R5): the coded columns and the price assembled into a vector column (null
+    -> 0.0), read back element by element and compared through the weighted sum
+    ``v0 + 10 v1 + 100 v2``."""
     from pyspark.ml.functions import vector_to_array
     o = table(spark, sf_dir, "orders")
     v = features.vectorize([
