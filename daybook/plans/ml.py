@@ -223,7 +223,8 @@ def q_stopwords(spark, sf_dir):
 SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM t) GROUP BY doc_id, term""")
 def q_term_freq(spark, sf_dir):
     """M7 in exact form: ``(doc_id, term, tf)``."""
-    return features.exact_term_frequency(text.token_rows(_doc_words(spark, sf_dir), "doc_id"), "doc_id")
+    words = _doc_words(spark, sf_dir).select("doc_id", F.explode("words").alias("term"))
+    return features.exact_term_frequency(words, "doc_id")
 
 
 @register("q_doc_freq", rf"""WITH {_TOK_SQL},
