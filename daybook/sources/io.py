@@ -104,18 +104,16 @@ def lines_of(df: DataFrame, *cols: str, sep: str = ",") -> DataFrame:
                      .alias("value"))
 
 
-def spread(df: DataFrame, min_bytes: int = 1 << 20) -> DataFrame:
-    """Scan parallelism guard: when a scan yields fewer splits than the cluster's
-    default parallelism (one big row group, a single gzip file, ...) and the planner
-    estimates more than ``min_bytes``, redistribute it round-robin so the per-row work
-    after the scan uses every core. Planning only; on inputs that are already well
-    split (the normal case for large tables) it returns ``df`` unchanged."""
+def spread(df: DataFrame) -> DataFrame:
+    """Scan parallelism guard for a large input that arrives in fewer splits than the
+    cluster has cores (one big row group, a single gzip file, ...): redistribute it
+    round-robin so the per-row work after the scan uses every core. On inputs that are
+    already well split (the normal case for large tables) it returns ``df`` unchanged.
+    Apply it to fact tables, not to small dimension tables."""
     try:
         target = df.sparkSession.sparkContext.defaultParallelism
-        qe = df._jdf.queryExecution()
-        if qe.executedPlan().execute().getNumPartitions() >= target:  # planning only, no job
+        if df.rdd.getNumPartitions() >= target:
             return df
-        size = int(str(qe.optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the scan as it is
         return df
-    return df.repartition(target) if size > min_bytes else df
+    return df.repartition(target)

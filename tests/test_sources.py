@@ -78,7 +78,7 @@ def test_spread_is_noop_for_split_inputs(spark):
     df = spark.range(0, 100, numPartitions=spark.sparkContext.defaultParallelism)
     assert sources.spread(df) is df
     one = spark.range(0, 10, numPartitions=1)
-    assert sources.spread(one) is one  # tiny: not worth a shuffle
+    assert sources.spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert F is not None
 
 
