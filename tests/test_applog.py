@@ -86,3 +86,18 @@ def test_dictionaries_with_repeated_keys_do_not_multiply_rows(spark):
         "imei", *[f"CAST(NULL AS STRING) AS {c}" for c in ("imsi", "mac", "uid", "androidId", "uuid")])
     got = applog.resolve_guid(df2, idm).collect()
     assert len(got) == 1 and got[0].guid == 3
+
+
+def test_identity_rule_and_id_fields(spark):
+    from daybook.functions import has_identity, not_blank
+    from daybook.operators import idmap
+    df = spark.createDataFrame([("null", None, " ", "nu", "ll", None), (None, None, None, None, None, "x"),
+                                ("", "", "", "", "", "")], "a string, b string, c string, d string, e string, f string")
+    got = [r[0] for r in df.select(has_identity("a", "b", "c", "d", "e", "f")).collect()]
+    # the text "null", blanks and a "null" spelled across two fields all count as no identity
+    assert got == [False, True, False]
+    assert [r[0] for r in df.select(not_blank("f")).collect()] == [False, True, False]
+    line = json.dumps({"user": {"uid": "u", "imei": "top", "phone": {"imei": "phone"}}})
+    lines = spark.createDataFrame([(line,)], "value string")
+    assert idmap.extract_ids(lines).first().ids == ["u", "phone"]            # D2: user.phone first
+    assert idmap.extract_ids(lines, phone_first=False).first().ids == ["u", "top"]
