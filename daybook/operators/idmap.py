@@ -163,11 +163,15 @@ def link_lines(lines: DataFrame, value_col: str = "value", sep: str = ",",
         F.coalesce(chain(F.col("fields")), F.array().cast("array<struct<src:string,dst:string>>")))
     g = (f.select(F.explode_outer(entries).alias("p")).where(F.col("p").isNotNull())
          .select(java_hash("p.src").alias("src"), java_hash("p.dst").alias("dst"))
-         .distinct().checkpoint())
+         .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_n"))
+         .checkpoint())
     vertices = g.where(F.col("dst").isNull()).select(F.col("src").alias("id"))
-    edges = g.where(F.col("dst").isNotNull())
+    edges = g.where(F.col("dst").isNotNull()).select("src", "dst")
     comp = connected_components(vertices, edges, hot_min=hot_min, inputs_materialized=True)
     first = f.select("line", java_hash(F.try_element_at(F.filter("fields", lambda x: not_blank(x)), F.lit(1))).alias("id"))
-    hot = top_hot_keys(first.groupBy("id").agg(F.count(F.lit(1)).alias("_n")), ["id"], "_n", hot_min)
+    # a field's count over all lines bounds its count as a first field: hot candidates
+    # come from the checkpointed graph, without another pass over the lines
+    occurrences = g.where(F.col("dst").isNull()).select(F.col("src").alias("id"), "_n")
+    hot = top_hot_keys(occurrences, ["id"], "_n", hot_min)
     return (salted_join(first, comp, "id", hot, "left")
             .select(F.col("component").alias("gid"), "line"))
