@@ -48,3 +48,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = encode(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
     return decode(ids, path).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op7_minhash_near_dedup")
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm.minhash import near_dedup
+
+    return near_dedup(read(spark, sf_dir, "documents"))
