@@ -55,3 +55,40 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm.minhash import near_dedup
 
     return near_dedup(read(spark, sf_dir, "documents"))
+
+
+# Fixed value: the added conversation of the contract.
+_PROBE = "</s>[INST] ok [/INST]"
+
+
+@query("op8_chat_format", r"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, replace(text, '\', '\\') AS t0, replace(role, '\', '\\') AS r0 FROM r),
+f AS (
+  SELECT *,
+    replace(replace(replace(replace(replace(replace(replace(t0, '<|im_start|>', '<\|im_start|>'), '<|im_sep|>', '<\|im_sep|>'),
+      '<|im_end|>', '<\|im_end|>'), '<s>', '<\s>'), '</s>', '<\/s>'), '[INST]', '[\INST]'), '[/INST]', '[\/INST]') AS et,
+    replace(replace(replace(replace(replace(replace(replace(r0, '<|im_start|>', '<\|im_start|>'), '<|im_sep|>', '<\|im_sep|>'),
+      '<|im_end|>', '<\|im_end|>'), '<s>', '<\s>'), '</s>', '<\/s>'), '[INST]', '[\INST]'), '[/INST]', '[\/INST]') AS er
+  FROM e)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('<|im_start|>' || er || '<|im_sep|>' || et || '<|im_end|>')) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id""")
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm import chat
+
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    probe = spark.createDataFrame([(-1, 0, "user", _PROBE), (-1, 1, "assistant", _PROBE)], rows.schema)
+    out = chat.render(chat.fold(chat.events_of_rows(rows.unionByName(probe))))
+    turns, learned = chat.parse(F.col("formatted")), chat.learned_text(F.col("segments"))
+    out = out.select("conv_id", "formatted", turns.alias("turns"), learned.alias("learned"))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(told.cast("binary"), 256).alias("turns_sha256"),
+                      F.char_length("learned").cast("long").alias("loss_chars"),
+                      F.sha2(F.col("learned").cast("binary"), 256).alias("loss_sha256"),
+                      F.char_length("formatted").cast("long").alias("formatted_chars"))
