@@ -92,3 +92,10 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.char_length("learned").cast("long").alias("loss_chars"),
                       F.sha2(F.col("learned").cast("binary"), 256).alias("loss_sha256"),
                       F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
+@query("op10_pivotal_mix")
+def op10_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm.mixing import mix
+
+    return mix(read(spark, sf_dir, "documents")).drop("copies")
