@@ -59,7 +59,8 @@ def targets(sources: DataFrame, weights: tuple[float, ...], most: float) -> Data
 
 def _settle(batches: Iterator[pa.RecordBatch], last: bool, seed: int) -> Iterator[pa.RecordBatch]:
     """One pass over rows sorted by (rank, leaf): at most one row a leaf stays fractional;
-    in the ``last`` pass that one is rounded by a throw of its own."""
+    in the ``last`` pass that one, of all its source, goes to the nearer whole number, which
+    leaves the source within half that document of its target."""
     def throw(a: int, b: int) -> float:
         h = (a * 0x9E3779B97F4A7C15 + b * 0xC2B2AE3D27D4EB4F + seed * 0x165667B19E3779F9) & (2**64 - 1)
         for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
@@ -70,7 +71,7 @@ def _settle(batches: Iterator[pa.RecordBatch], last: bool, seed: int) -> Iterato
 
     def close(row):
         if last:
-            row["copies"] += 1 if throw(row["hash"], 1) < row["part"] else 0
+            row["copies"] += 1 if row["part"] >= 0.5 else 0
             row["part"] = 0.0
 
     for batch in batches:
@@ -127,7 +128,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float = 3
     ``size`` is the document's number of words (runs without ``[\\x20\\x09-\\x0D]``; null
     text has none), ``target`` its source's (see ``targets``), ``copies`` how often the mix
     takes it (0 to ``most``) and ``taken`` ``copies * size``. A source's taken words differ
-    from its target by less than one of its documents.
+    from its target by at most half of one of its documents.
 
     * a null source is a source of its own, the last; a document without words is never
       taken, and a source of such documents has target 0;

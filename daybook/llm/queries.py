@@ -99,3 +99,12 @@ def op10_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm.mixing import mix
 
     return mix(read(spark, sf_dir, "documents")).drop("copies")
+
+
+@query("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm import language
+
+    docs = read(spark, sf_dir, "documents")
+    found = language.identify(docs, language.fit(docs))
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
