@@ -108,3 +108,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     found = language.identify(docs, language.fit(docs))
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op5_html_text")
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm.html_text import extract
+
+    return extract(read(spark, sf_dir, "pages"))
