@@ -115,3 +115,10 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm.html_text import extract
 
     return extract(read(spark, sf_dir, "pages"))
+
+
+@query("op9_cap_filter_near_dedup")
+def op9_cap_filter_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm.cap_filters import near_dedup
+
+    return near_dedup(read(spark, sf_dir, "embeddings"))
