@@ -32,22 +32,24 @@ BANDS, ROWS = 40, 5
 WIDTH = 4
 # Characters of text hashed together, shingles multiplied at a time, rows of a piece.
 BATCH_CHARS, STRIP, BLOCK_ROWS = 1_000_000, 1 << 15, 1024
-# Pairs whose signatures agree on less than the threshold minus this share (over five
-# standard deviations of 200 values) are not confirmed in the exhaustive rounds.
-SLACK = 0.15
+# Functions of the finer signature that candidates get. Pairs whose fine signatures agree on
+# less than the threshold minus SLACK (five standard deviations of 800 values) are not
+# confirmed in the exhaustive round.
+FINE, SLACK = 400, 0.07
 
 _RNG = np.random.default_rng(7)
 _FUNCTIONS = (_RNG.integers(0, 2**31, BANDS * ROWS // 2, dtype=np.uint64) * 2 + 1).astype(np.uint32)
+_FINE = (_RNG.integers(0, 2**31, FINE, dtype=np.uint64) * 2 + 1).astype(np.uint32)
 _BAND = _RNG.integers(1, 2**63, BANDS, dtype=np.uint64)
 _ROW = _RNG.integers(1, 2**63, ROWS, dtype=np.uint64) | np.uint64(1)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
+def signature(shingles: np.ndarray, functions: np.ndarray) -> np.ndarray:
     """Minima, then maxima, of a non-empty set under all functions (uint32)."""
     s = (shingles >> np.uint64(32)).astype(np.uint32)
     low, high = None, None
     for i in range(0, len(s), STRIP):
-        h = _FUNCTIONS[:, None] * s[None, i:i + STRIP]
+        h = functions[:, None] * s[None, i:i + STRIP]
         lo, hi = h.min(axis=1), h.max(axis=1)
         low = lo if low is None else np.minimum(low, lo)
         high = hi if high is None else np.maximum(high, hi)
@@ -71,28 +73,32 @@ def _profiles(width: int):
         for ids, raws in _texts(batches):
             sets = shingle_sets(raws, width)
             full = [i for i, s in enumerate(sets) if len(s)]
-            bands, sketch = [None] * len(sets), [None] * len(sets)
+            bands = [None] * len(sets)
             if full:
-                sig = np.stack([signature(sets[i]) for i in full])
+                sig = np.stack([signature(sets[i], _FUNCTIONS) for i in full])
                 with np.errstate(over="ignore"):
                     b = (sig.reshape(len(full), BANDS, ROWS).astype(np.uint64) * _ROW).sum(axis=2, dtype=np.uint64)
                     b = mix(b + _BAND).view(np.int64)
-                low = (sig & np.uint32(255)).astype(np.uint8)
                 for k, i in enumerate(full):
-                    bands[i], sketch[i] = b[k], low[k].tobytes()
+                    bands[i] = b[k]
             digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()),
-                 pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
-                names=["id", "n_shingles", "digest", "bands", "sketch"])
+                 pa.array(bands, pa.list_(pa.int64()))],
+                names=["id", "n_shingles", "digest", "bands"])
     return run
 
 
 def _sets(width: int):
     def run(batches):
         for ids, raws in _texts(batches):
+            sets = shingle_sets(raws, width)
+            full = [i for i, s in enumerate(sets) if len(s)]
+            ids, sets = ids.take(pa.array(full, pa.int64())), [sets[i] for i in full]
+            fine = [(signature(s, _FINE) & np.uint32(255)).astype(np.uint8).tobytes() for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([s.tobytes() for s in shingle_sets(raws, width)], pa.binary())], names=["id", "shingles"])
+                [ids, pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(fine, pa.binary())],
+                names=["id", "shingles", "sketch"])
     return run
 
 
@@ -163,19 +169,19 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Sets are compared as sets of 64-bit hashes, equal sets are recognised by a 128-bit digest.
     """
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = save(d.mapInArrow(_profiles(width), "id bigint, n_shingles bigint, digest binary, bands array<bigint>, sketch binary"))
+    rows = save(d.mapInArrow(_profiles(width), "id bigint, n_shingles bigint, digest binary, bands array<bigint>"))
 
     # classes: documents with the same set
     full = rows.where("n_shingles > 0 and id is not null")
-    classes = save(full.groupBy("digest", "n_shingles", "bands", "sketch").agg(F.min("id").alias("rep")))
+    classes = save(full.groupBy("digest", "n_shingles", "bands").agg(F.min("id").alias("rep")))
     members = full.join(classes.select("digest", "rep"), "digest").where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
 
     # classes that share a band with another
     entry = classes.select(F.explode("bands").alias("key"), F.col("rep").alias("id"))
     crowded = entry.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("centre")).where("size > 1")
     entry = save(entry.join(crowded, "key"))
-    sets = save(d.join(entry.select("id").distinct(), "id", "left_semi").mapInArrow(_sets(width), "id bigint, shingles binary")
-                .dropDuplicates(["id", "shingles"]))
+    wanted = d.where("text is not null").join(entry.select("id").distinct(), "id", "left_semi")
+    sets = save(wanted.mapInArrow(_sets(width), "id bigint, shingles binary, sketch binary"))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         p = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
@@ -190,7 +196,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rest = entry.select("key", "id").join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     apart = rest.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     rest = rest.join(apart.where("lo <> hi").select("key", "size"), "key")
-    rest = rest.join(classes.select(F.col("rep").alias("id"), "n_shingles", "bands", "sketch"), "id")
+    rest = rest.join(classes.select(F.col("rep").alias("id"), "n_shingles", "bands"), "id").join(sets.select("id", "sketch"), "id")
     pairs = spread(rest, ["key"], "size", "id", block_rows).mapInArrow(_candidates(percent), "a bigint, b bigint")
     more = confirmed(pairs)
 
