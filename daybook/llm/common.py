@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,3 +43,9 @@ def drop(df: DataFrame) -> None:
 
 def text_or_empty(col: str) -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
+
+
+def release(spark: SparkSession) -> None:
+    """Let go of finished shuffles: their files stay until the driver collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()

@@ -122,3 +122,10 @@ def op9_cap_filter_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm.cap_filters import near_dedup
 
     return near_dedup(read(spark, sf_dir, "embeddings"))
+
+
+@query("op3_line_dedup")
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm.line_dedup import line_dedup
+
+    return line_dedup(read(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
