@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -129,3 +130,18 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm.line_dedup import line_dedup
 
     return line_dedup(read(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
+def _is_kind(k: int, span) -> object:
+    return span["kind"] == k
+
+
+@query("op2_contextual_pii")
+def op2_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm.pii import KINDS, find_personal_data, spans_text
+
+    out = find_personal_data(read(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", functools.partial(_is_kind, k))).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    every = F.sort_array(F.concat("base", "found"))
+    return out.select("doc_id", *counts, F.sha2(spans_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                      spans_text(every).alias("spans"), F.size("found").cast("long").alias("n_found"))
