@@ -162,7 +162,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
     return train(np.concatenate(x), np.array(y), labels, seed=seed)
 
 
-def _predict(model: Model | None):
+def _predict(model: Model | None, with_text: bool):
+    def names(batch: pa.RecordBatch) -> list[str]:
+        return [k for k in batch.schema.names if with_text or k != "text"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model) if model else None
         for batch in batches:
@@ -199,9 +202,8 @@ def _predict(model: Model | None):
                     k = int(sums[i].argmax())
                     labels[i], scores[i] = model.labels[k], min(1.0, float(sums[i, k]))
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(k) for k in range(batch.num_columns) if batch.schema.names[k] != "text"],
-                 pa.array(labels, pa.string()), pa.array(scores, pa.float64())],
-                names=[*[k for k in batch.schema.names if k != "text"], "lang_pred", "score"])
+                [*[batch.column(k) for k in names(batch)], pa.array(labels, pa.string()), pa.array(scores, pa.float64())],
+                names=[*names(batch), "lang_pred", "score"])
     return run
 
 
@@ -215,6 +217,19 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     scored in batches of windows.
     """
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    kind = d.schema["id"].dataType.simpleString()
-    out = d.mapInArrow(_predict(model), f"id {kind}, lang_pred string, score double")
+    out = d.mapInArrow(_predict(model, False), f"id {_kind(d, 'id')}, lang_pred string, score double")
     return out.withColumnRenamed("id", id_col)
+
+
+def select(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """The rows and columns of ``docs`` that have a language: ``lang_pred`` is not ``und``."""
+    names = docs.columns
+    at = ["text" if c == text_col else f"c{i}" for i, c in enumerate(names)]
+    d = docs.select(*[F.col(c).alias(a) for c, a in zip(names, at)])
+    schema = ", ".join(f"{a} {_kind(d, a)}" for a in at)
+    out = d.mapInArrow(_predict(model, True), f"{schema}, lang_pred string, score double")
+    return out.where(F.col("lang_pred") != UNKNOWN).select(*[F.col(a).alias(c) for a, c in zip(at, names)])
+
+
+def _kind(d: DataFrame, column: str) -> str:
+    return d.schema[column].dataType.simpleString()

@@ -141,9 +141,9 @@ def _fits(a: Column, b: Column) -> Column:
             & (9 * F.bit_count(a["sig"].bitwiseXOR(b["sig"])) <= na + nb))
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = True) -> DataFrame:
     """All rows and columns of ``docs`` with repeated lines removed from ``text_col``, and
-    ``n_lines, n_removed``.
+    with ``counts`` also ``n_lines, n_removed`` (in place of columns of these names).
 
     A line (between line feeds) is the set of its words (between blanks, in lower case).
     It is removed if an earlier line, by document id then line number, has the same set or
@@ -169,6 +169,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     lines = F.split(t, "\n")
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("gone", i)), "\n")
     text = F.when(F.col("gone").isNull(), F.col(t)).otherwise(kept)
-    names = [text.alias(c) if c == text_col else F.col(f"p.c{i}").alias(c) for i, c in enumerate(docs.columns)]
-    return joined.select(*names, F.when(F.col(t).isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-                         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"))
+    added = {"n_lines": F.when(F.col(t).isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long"),
+             "n_removed": F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone")).cast("long")} if counts else {}
+    columns = [text.alias(c) if c == text_col else F.col(f"p.c{i}").alias(c) for i, c in enumerate(docs.columns) if c not in added]
+    return joined.select(*columns, *[v.alias(k) for k, v in added.items()])

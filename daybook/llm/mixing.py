@@ -119,25 +119,10 @@ def _settle(batches: Iterator[pa.RecordBatch], last: bool, seed: int) -> Iterato
         yield pa.RecordBatch.from_pylist([held], schema=schema)
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float = 3, seed: int = 0, id_col: str = "doc_id",
-        source_col: str = "source", text_col: str = "text", leaf_rows: int = LEAF_ROWS, fan_in: int = FAN_IN,
-        keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: ``id_col, size, source_size, target, copies, taken`` (and the
-    columns named in ``keep``).
-
-    ``size`` is the document's number of words (runs without ``[\\x20\\x09-\\x0D]``; null
-    text has none), ``target`` its source's (see ``targets``), ``copies`` how often the mix
-    takes it (0 to ``most``) and ``taken`` ``copies * size``. A source's taken words differ
-    from its target by at most half of one of its documents.
-
-    * a null source is a source of its own, the last; a document without words is never
-      taken, and a source of such documents has target 0;
-    * repeated ids and rows are separate documents; null ids stay; an empty table gives no
-      rows; other columns are neither read nor returned.
-    """
-    d = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text_or_empty(text_col)).alias("size"),
-                    F.xxhash64(F.lit(seed), F.col(id_col)).alias("hash"), *[F.col(c).alias(f"keep_{c}") for c in keep])
-    d = save(d)
+def _copies(d: DataFrame, weights: tuple[float, ...], most: float, seed: int, leaf_rows: int, fan_in: int) -> DataFrame:
+    """Rounded ``copies`` (and ``source_size, target``) of the rows ``(id, source, size,
+    hash, ...)`` of a saved table."""
+    extra = [c for c in d.columns if c not in ("id", "source", "size", "hash")]
     sources = d.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
     sources = save(targets(sources, weights, most).select(F.col("source").alias("_source"), "source_size", "n", "rank", "target"))
     known = sources.agg(F.count(F.lit(1)).alias("n"), F.max("n").alias("most")).first()
@@ -146,7 +131,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float = 3
     rows = d.join(small, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_e", expected)
     empty = F.col("size") == 0
     rows = rows.select(
-        "id", "size", "source_size", "target", "rank", "hash", *[f"keep_{c}" for c in keep],
+        "id", "size", "source_size", "target", "rank", "hash", *extra,
         F.pmod(F.xxhash64(F.lit(seed + 1), F.col("hash")), F.ceil(F.col("n") / leaf_rows)).alias("leaf"),
         F.when(empty, F.lit(0)).otherwise(F.floor("_e")).cast("long").alias("copies"),
         F.when(empty, F.lit(0.0)).otherwise(F.col("_e") - F.floor("_e")).alias("part"))
@@ -155,13 +140,53 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float = 3
     while True:
         last = leaves <= 1
         ordered = rows.repartition("rank", "leaf").sortWithinPartitions(
-            "rank", "leaf", F.col("size").desc(), "hash", "id")
+            "rank", "leaf", F.col("size").desc(), "hash", "id", *extra)
         done = save(ordered.mapInArrow(functools.partial(_settle, last=last, seed=seed + level), ordered.schema))
         settled.append(done.where("part = 0.0"))
         if last:
             break
         leaves, level = -(-leaves // fan_in), level + 1
         rows = done.where("part > 0.0").withColumn("leaf", F.expr(f"leaf div {fan_in}"))
-    out = functools.reduce(DataFrame.unionByName, settled)
+    return functools.reduce(DataFrame.unionByName, settled)
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float = 3, seed: int = 0, id_col: str = "doc_id",
+        source_col: str = "source", text_col: str = "text", leaf_rows: int = LEAF_ROWS, fan_in: int = FAN_IN) -> DataFrame:
+    """One row per document: ``id_col, size, source_size, target, copies, taken``.
+
+    ``size`` is the document's number of words (runs without ``[\\x20\\x09-\\x0D]``; null
+    text has none), ``target`` its source's (see ``targets``), ``copies`` how often the mix
+    takes it (0 to ``most``) and ``taken`` ``copies * size``. A source's taken words differ
+    from its target by at most half of one of its documents.
+
+    * a null source is a source of its own, the last; a document without words is never
+      taken, and a source of such documents has target 0;
+    * repeated ids and rows are separate documents; null ids stay; an empty table gives no
+      rows; other columns are neither read nor returned.
+    """
+    d = save(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text_or_empty(text_col)).alias("size"),
+                         F.xxhash64(F.lit(seed), F.col(id_col)).alias("hash")))
+    out = _copies(d, weights, most, seed, leaf_rows, fan_in)
     return out.select(F.col("id").alias(id_col), "size", "source_size", "target", "copies",
-                      (F.col("copies") * F.col("size")).alias("taken"), *[F.col(f"keep_{c}").alias(c) for c in keep])
+                      (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def sample(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float = 3, seed: int = 0, id_col: str = "doc_id",
+           source_col: str = "source", text_col: str = "text", leaf_rows: int = LEAF_ROWS, fan_in: int = FAN_IN) -> DataFrame:
+    """The rows and columns of ``docs``, each as often as the mix takes it.
+
+    As ``mix``, except that rows equal in id, source and text are taken alike. Decisions are
+    made without the texts, which move once, to meet them.
+    """
+    names = docs.columns
+    d = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)])
+    at = {k: F.col(f"c{names.index(c)}") for k, c in (("id", id_col), ("source", source_col), ("text", text_col))}
+    narrow = d.select(at["id"].alias("id"), at["source"].alias("source"), word_count(F.coalesce(at["text"].cast("string"), F.lit(""))).alias("size"),
+                      F.xxhash64(at["text"]).alias("th"))
+    narrow = narrow.groupBy("id", "source", "th").agg(F.sum("size").alias("size"))
+    narrow = save(narrow.withColumn("hash", F.xxhash64(F.lit(seed), F.col("id"))).withColumn("of", F.col("source")))
+    taken = _copies(narrow, weights, most, seed, leaf_rows, fan_in).where("copies > 0").select("id", "th", "of", "copies")
+    met = d.withColumn("_h", F.xxhash64(at["text"])).join(
+        taken, at["id"].eqNullSafe(F.col("id")) & (F.col("_h") == F.col("th")) & at["source"].eqNullSafe(F.col("of")))
+    met = met.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return met.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
