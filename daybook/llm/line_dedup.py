@@ -1,7 +1,7 @@
 """Line dedup by an exact set-similarity join (DataFrame functions only).
 
 A line is the set of its words. Words are ordered by rarity (how often their hash bucket
-occurs in all lines); two sets of Jaccard similarity 0.8 then share a word among the first
+occurs in all texts); two sets of Jaccard similarity 0.8 then share a word among the first
 fifth of either (prefix filter), neither is smaller than 0.8 of the other (length filter),
 the words left after the shared one must suffice (positional filter), and a parity signature
 of 64 bits bounds in how many words they agree. What passes is verified on the whole sets.
@@ -30,15 +30,22 @@ _PLACE = ["id", "th", "no"]  # a line: document id, hash of its text, number
 _CLASS = ["h", "sig", "n"]  # a set of words
 
 
-def _words(line: Column) -> Column:
-    return F.split(F.translate(F.lower(line), "\t\x0b\x0c\r", "    "), " ")
+def _plain(text: Column) -> Column:
+    """Text in lower case with spaces for all blanks but line feeds."""
+    blanks = functools.reduce(Column.__or__, [F.contains(text, F.lit(c)) for c in "\t\x0b\x0c\r"])
+    return F.lower(F.when(blanks, F.translate(text, "\t\x0b\x0c\r", "    ")).otherwise(text))
 
 
-def rarity(docs: DataFrame, text_col: str = "text") -> Column:
+def _hashes(line: Column) -> Column:
+    """Hashes of a line's distinct words."""
+    return F.array_remove(F.array_distinct(F.transform(F.split(line, " "), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
+
+
+def rarity(docs: DataFrame) -> Column:
     """An array literal: by hash bucket, how often its words occur in all texts, in quarter
     octaves. The driver gets at most ``RARITY_BUCKETS`` pairs of numbers."""
-    words = docs.select(F.explode(_words(F.translate(text_or_empty(text_col), "\n", " "))).alias("w"))
-    counts = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(RARITY_BUCKETS)).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    words = docs.select(F.explode(F.split(F.translate(_plain(F.col("text")), "\n", " "), " ")).alias("w"))
+    counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(RARITY_BUCKETS - 1)).alias("b")).agg(F.count(F.lit(1)).alias("n"))
     levels = [0] * RARITY_BUCKETS
     for b, level in counts.select("b", (F.log2("n") * 4).cast("int") + 1).collect():
         levels[b] = level
@@ -47,16 +54,22 @@ def rarity(docs: DataFrame, text_col: str = "text") -> Column:
 
 def word_codes(line: Column, levels: Column) -> Column:
     """A line's distinct words as 64-bit codes, rarest first: rarity, then hash."""
-    def code(w: Column) -> Column:
-        h = F.xxhash64(w)
-        level = F.element_at(levels, (F.pmod(h, F.lit(RARITY_BUCKETS)) + 1).cast("int"))
+    def code(h: Column) -> Column:
+        level = F.get(levels, h.bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int"))
         return F.shiftleft(level.cast("long"), 55).bitwiseOR(h.bitwiseAND(F.lit(_LOW)))
-    return F.sort_array(F.array_distinct(F.transform(F.array_remove(_words(line), ""), code)))
+    return F.sort_array(F.transform(_hashes(line), code))
 
 
-def _lines(docs: DataFrame, levels: Column) -> DataFrame:
-    lines = docs.select("id", F.xxhash64("text").alias("th"), F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    return lines.select(*_PLACE, word_codes(F.col("line"), levels).alias("codes")).where(F.size("codes") > 0)
+def _lines(docs: DataFrame, levels: Column, numbers: str | None = None) -> DataFrame:
+    """The lines of ``(id, th, text)`` that have words, or of these the ones whose number is
+    in the array ``numbers``."""
+    lines = F.split(_plain(F.col("text")), "\n")
+    if numbers is None:
+        rows = docs.select("id", "th", F.posexplode(lines).alias("no", "line"))
+    else:
+        chosen = F.transform(numbers, lambda i: F.struct(i.alias("no"), F.get("lines", i).alias("line")))
+        rows = docs.withColumn("lines", lines).select("id", "th", F.inline(chosen))
+    return rows.select(*_PLACE, word_codes(F.col("line"), levels).alias("codes")).where(F.size("codes") > 0)
 
 
 def _compatible(a: str, b: str) -> Column:
@@ -75,7 +88,9 @@ def _entries(classes: DataFrame, *cols: str) -> DataFrame:
 def removed_lines(docs: DataFrame) -> DataFrame:
     """``(id, th, no)`` of every line of ``(id, text)`` that repeats an earlier one."""
     spark = docs.sparkSession
+    docs = docs.withColumn("th", F.xxhash64("text"))
     levels = rarity(docs)
+    release(spark)
     lines = _lines(docs, levels)
     n = F.size("codes")
     lines = save(lines.select(
@@ -95,12 +110,11 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     release(spark)
 
     # their words
-    wanted = some.select("ord.id", "ord.th", "ord.no", "ord")
-    place_of = [F.col(f"p.{c}").eqNullSafe(F.col(f"w.{c}")) for c in _PLACE]
-    texts = docs.withColumn("th", F.xxhash64("text")).alias("p").join(
-        wanted.select("id", "th").distinct().alias("w"), functools.reduce(Column.__and__, place_of[:2]), "left_semi")
-    codes = save(_lines(texts.select("id", "text"), levels).alias("p")
-                 .join(wanted.alias("w"), functools.reduce(Column.__and__, place_of)).select("ord", "codes"))
+    wanted = some.select("ord.*").groupBy("id", "th").agg(F.collect_list("no").alias("numbers"))
+    same = F.col("p.id").eqNullSafe(F.col("w.id")) & (F.col("p.th") == F.col("w.th"))
+    texts = docs.alias("p").join(wanted.alias("w"), same).select("p.id", "p.th", "text", "numbers")
+    codes = save(_lines(texts, levels, "numbers").select(F.struct(*_PLACE).alias("ord"), "codes")
+                 .dropDuplicates(["ord"]))
     release(spark)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
@@ -124,8 +138,8 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     pairs = e.alias("a").join(later.alias("b"), (F.col("a.word") == F.col("b.word")) & (F.col("a.ord") < F.col("b.ord")) & _compatible("a", "b"))
     gone = gone.unionByName(confirmed(pairs.select("a.ord", "b.ord").toDF("a", "b")))
 
-    copies = lines.select(*_PLACE).alias("p").join(
-        classes.select("ord.*").alias("w"), functools.reduce(Column.__and__, place_of), "left_anti")
+    same = functools.reduce(Column.__and__, [F.col(f"p.{c}").eqNullSafe(F.col(f"w.{c}")) for c in _PLACE])
+    copies = lines.select(*_PLACE).alias("p").join(classes.select("ord.*").alias("w"), same, "left_anti")
     out = save(copies.unionByName(gone.select("ord.*")).distinct())
     for t in (lines, classes, some, codes):
         drop(t)
