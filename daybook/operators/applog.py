@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType, StructField, StructType
 
 from daybook.functions.core import geohash, has_identity, java_hash, not_blank, parse_once
-from daybook.operators.joins import HOT_MIN_ROWS, salted_join, top_hot_keys
+from daybook.operators.joins import BROADCAST_BYTES, HOT_MIN_ROWS, measured_bytes, salted_join, top_hot_keys
 
 # Fixed value: the "unknown area" default of the reference's record type.
 UNKNOWN = "未知"
@@ -118,15 +118,15 @@ def one_area_per_cell(rows: DataFrame) -> DataFrame:
 
 
 def enrich_area(df: DataFrame, geo_dict: DataFrame, lat: str = "latitude", lng: str = "longtitude",
-                precision: int = 5, broadcast_max_rows: int = 500_000) -> DataFrame:
+                precision: int = 5, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Add ``province, city, district`` by the record's geohash cell, ``未知`` when
     the cell is unknown. The dictionary is first reduced to one row per cell (D7, a
-    small aggregate), so rows never multiply; it is broadcast only after a row-count
-    check, otherwise the
+    small aggregate), so rows never multiply; it is broadcast only when its measured
+    size is within ``broadcast_bytes``, otherwise the
     join shuffles with busy cells salted over several partitions (``salted_join``)."""
     d = one_area_per_cell(geo_dict.select("geo", "province", "city", "district")).withColumnRenamed("geo", "_geo")
     cells = df.withColumn("_geo", geohash(F.col(lat), F.col(lng), precision))
-    if d.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows:
+    if measured_bytes(d) <= broadcast_bytes:
         j = cells.join(F.broadcast(d), "_geo", "left")
     else:
         # shuffle join; a busy cell (a city centre) is salted over several partitions
@@ -137,52 +137,55 @@ def enrich_area(df: DataFrame, geo_dict: DataFrame, lat: str = "latitude", lng:
 
 
 # --------------------------------------------------------------------------- J4
+def guid_of_tuples(tuples: DataFrame, idmap: DataFrame, priority: tuple[str, ...] = GUID_PRIORITY,
+                   hot_min: int = HOT_MIN_ROWS) -> DataFrame:
+    """J4 for distinct id tuples (the ``priority`` columns, one row each): ``(_k, guid)``,
+    ``_k`` the struct of the tuple, for those of which an id is in the dictionary."""
+    cand = tuples.select(*priority, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("prio"), java_hash(c).alias("h")) for i, c in enumerate(priority)
+    ])).alias("c")).select(*priority, "c.prio", "c.h").where(F.col("h").isNotNull())
+    # one id value can be shared by very many tuples (the empty string hashes to 0)
+    cand = cand.checkpoint()
+    h_counts = cand.groupBy("h").agg(F.count(F.lit(1)).alias("_n"))
+    # one guid per id even if the dictionary repeats an id (the smallest)
+    dictionary = idmap.groupBy(F.col("biaoshi_hashcode").alias("h")).agg(F.min("guid").alias("guid"))
+    hits = salted_join(cand, dictionary, "h", top_hot_keys(h_counts, ["h"], "_n", hot_min), "inner")
+    return hits.groupBy(F.struct(*priority).alias("_k")).agg(F.min_by("guid", "prio").alias("guid"))
+
+
 def resolve_guid(df: DataFrame, idmap: DataFrame, priority: tuple[str, ...] = GUID_PRIORITY,
                  hot_min: int = HOT_MIN_ROWS) -> DataFrame:
     """``guid`` from the identity dictionary ``(biaoshi_hashcode, guid)``: the first
     of ``priority`` whose hash is in the dictionary. Null ids are skipped (D6).
 
     Resolved once per distinct id tuple rather than per record: distinct tuples are
-    unpivoted to ``(tuple, priority, hash)``, equi-joined with the dictionary (no
+    counted in a pass that reads the id columns alone and written, unpivoted to ``(tuple,
+    priority, hash)``, equi-joined with the dictionary (no
     broadcast: it grows with the user base), reduced with ``min_by`` over priority,
     and joined back on the tuple (a struct key, so null fields match). The wide
-    records shuffle once; a hot tuple (one device with a huge share of the log) is
-    salted over several partitions (``salted_join``). Records without a hit get a
-    null ``guid``.
+    records shuffle once and are never written; a hot tuple (one device with a huge share
+    of the log) is salted over several partitions (``salted_join``). Records without a hit
+    get a null ``guid``.
     """
-    keyed = df.withColumn("_k", F.struct(*priority))  # struct equality matches null fields too
-    counts = keyed.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))  # distinct tuples + sizes
-    tuples = counts.select("_k.*")
-    cand = tuples.select(*priority, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("prio"), java_hash(c).alias("h")) for i, c in enumerate(priority)
-    ])).alias("c")).select(*priority, "c.prio", "c.h").where(F.col("h").isNotNull())
-    # one id value can be shared by very many tuples (the empty string hashes to 0)
-    h_counts = cand.groupBy("h").agg(F.count(F.lit(1)).alias("_n"))
-    # one guid per id even if the dictionary repeats an id (the smallest)
-    dictionary = idmap.groupBy(F.col("biaoshi_hashcode").alias("h")).agg(F.min("guid").alias("guid"))
-    hits = salted_join(cand, dictionary, "h", top_hot_keys(h_counts, ["h"], "_n", hot_min), "inner")
-    best = (hits.groupBy(F.struct(*priority).alias("_k")).agg(F.min_by("guid", "prio").alias("guid")))
+    from daybook.sources.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    counts = df.select(F.struct(*priority).alias("_k")).groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).checkpoint()
+    best = guid_of_tuples(counts.select("_k.*"), idmap, priority, hot_min)
     hot = top_hot_keys(counts, ["_k"], "_n", hot_min)  # devices with a huge share of records
+    keyed = df.withColumn("_k", F.struct(*priority))  # struct equality matches null fields too
     return salted_join(keyed, best, "_k", hot, "left").drop("_k")
 
 
 # --------------------------------------------------------------------------- Q-LOG
 def cleanse_app_log(lines: DataFrame, geo_dict: DataFrame, idmap: DataFrame,
-                    value_col: str = "value", materialize: bool = True) -> DataFrame:
+                    value_col: str = "value") -> DataFrame:
     """Q-LOG: parse, validate, add area and guid, keep records with a guid (P7) and a
     known area (P8). Returns ``APP_LOG_COLUMNS``.
 
-    The guid lookup reads the records twice (distinct id tuples, then the join back).
-    With ``materialize`` the parsed records of known areas are written once with a
-    reliable ``checkpoint`` first, so the JSON is parsed once and a lost executor does
-    not re-parse the whole log."""
-    from daybook.sources.session import checkpoint_dir
-
-    rec = parse_app_log(lines, value_col)
-    rec = enrich_area(rec, geo_dict).where(F.col("province") != F.lit(UNKNOWN))
-    if materialize:
-        checkpoint_dir(lines.sparkSession)
-        rec = rec.checkpoint()
-    rec = resolve_guid(rec, idmap)
-    return (rec.where(F.col("guid").isNotNull() & (F.col("province") != F.lit(UNKNOWN)))
-            .select(*APP_LOG_COLUMNS))
+    The log is read twice: once for the distinct id tuples, of which only the table of
+    tuples is written, and once for the records, which are joined with their guid and then
+    given their area where they lie."""
+    rec = resolve_guid(parse_app_log(lines, value_col), idmap).where(F.col("guid").isNotNull())
+    rec = enrich_area(rec, geo_dict)
+    return rec.where(F.col("province") != F.lit(UNKNOWN)).select(*APP_LOG_COLUMNS)

@@ -33,14 +33,20 @@ def accuracy(pred: DataFrame, label: str = "label", prediction: str = "predictio
         "total", "correct", F.try_divide(F.col("correct"), F.col("total")).alias("accuracy"))
 
 
-def train_eval(df: DataFrame, features: str, label: str, seed: int = 42, train_fraction: float = 0.8,
+def hash_split(df: DataFrame, key: str, train_fraction: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """Train and test part by a hash of ``key`` (thousandths of its MD5): rows of one key
+    fall on one side, and on the same in any run and partitioning. A null key counts as
+    empty."""
+    h = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
+    is_train = F.conv(F.substring(h, 1, 8), 16, 10).cast("long") % 1000 < int(round(train_fraction * 1000))
+    return df.where(is_train), df.where(~is_train)
+
+
+def train_eval(df: DataFrame, features: str, label: str, key: str, train_fraction: float = 0.8,
                smoothing: float = 1.0):
-    """M9: split, fit on the train part, predict the test part. Returns
-    ``(model, predictions, accuracy_row)``. The input is cached once so the split, the
-    fit and the evaluation do not recompute its lineage (the reference recomputes
-    it per action)."""
-    df = df.cache()
-    train, test = df.randomSplit([train_fraction, 1.0 - train_fraction], seed)
+    """M9: split by a hash of ``key``, fit on the train part, predict the test part. Returns
+    ``(model, predictions, accuracy_row)``."""
+    train, test = hash_split(df, key, train_fraction)
     model = nb_fit(train, features, label, smoothing)
     pred = nb_predict(model, test)
     return model, pred, accuracy(pred, label)

@@ -73,24 +73,26 @@ def _round_info(e: DataFrame, hot_min: int, max_keys: int = HOT_MAX_KEYS):
     * ``is_star``: every node is either only a larger end with exactly one edge, or only
       a smaller end, i.e. the edges already form stars around each component's
       minimum and the contraction is done;
-    * ``hot_a`` / ``hot_b``: nodes with at least ``hot_min`` edges as the larger /
-      smaller end, at most ``max_keys`` each, largest first (bounded driver traffic).
+    * ``hot_a`` / ``hot_b``: nodes that hold at least ``hot_min`` edges and at least one
+      ``max_keys``-th of all edges as the larger / smaller end. No more than ``max_keys``
+      nodes can, so none is cut off and the driver's traffic is bounded.
     """
     sides = e.select(F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("a").alias("k")),
                                        F.struct(F.lit(1).alias("side"), F.col("b").alias("k")))).alias("s"))
     per_k = sides.groupBy(F.col("s.k").alias("k")).agg(
         F.count_if(F.col("s.side") == 0).alias("na"), F.count_if(F.col("s.side") == 1).alias("nb"))
-    hot = (per_k.where((F.col("na") >= hot_min) | (F.col("nb") >= hot_min))
-           .orderBy(F.greatest("na", "nb").desc()).limit(2 * max_keys)
-           .select(F.lit(0).alias("kind"), "k", "na", "nb"))
+    least = F.greatest(F.lit(hot_min), F.coalesce(e.agg(F.count(F.lit(1)) / max_keys).scalar(), F.lit(0.0)))
+    hot = (per_k.where((F.col("na") >= least) | (F.col("nb") >= least))
+           .select(F.lit(0).alias("kind"), "k", F.when(F.col("na") >= least, F.col("na")).alias("na"),
+                   F.when(F.col("nb") >= least, F.col("nb")).alias("nb")))
     flags = per_k.agg(F.lit(1).alias("kind"), F.lit(None).cast("long").alias("k"),
                       F.coalesce(F.max("na"), F.lit(0)).alias("na"),
                       F.count_if((F.col("na") > 0) & (F.col("nb") > 0)).alias("nb"))
     rows = hot.unionByName(flags).collect()
     fl = next(r for r in rows if r.kind == 1)
     is_star = fl.na <= 1 and fl.nb == 0
-    hot_a = [r.k for r in rows if r.kind == 0 and r.na >= hot_min][:max_keys]
-    hot_b = [r.k for r in rows if r.kind == 0 and r.nb >= hot_min][:max_keys]
+    hot_a = [r.k for r in rows if r.kind == 0 and r.na]
+    hot_b = [r.k for r in rows if r.kind == 0 and r.nb]
     return is_star, hot_a, hot_b
 
 
@@ -109,14 +111,16 @@ def _small_star(e: DataFrame, hot_a: list) -> DataFrame:
     # For every node u with smaller neighbours N(u), m = min N(u); link u and every
     # v in N(u) to m. Ordinary nodes get m from a window over their (fewer than
     # ``hot_min``) edges, one shuffle; hot nodes get it from a broadcast of their
-    # aggregated minima, without moving their edges. Large-star keeps every edge's
-    # larger end, so the hot ``a`` nodes measured before the round still cover this step.
+    # aggregated minima, and their edges are dealt over many window groups, whose own
+    # minima are not used. Large-star keeps every edge's larger end, so the hot ``a``
+    # nodes measured before the round still cover this step. With hot nodes the edges are
+    # read twice, so the large star is written first.
     per_a = Window.partitionBy("a")
     if hot_a:
-        in_hot = F.col("a").isin(hot_a)
-        hot_e = e.where(in_hot)
-        hot_m = F.broadcast(hot_e.groupBy("a").agg(F.min("b").alias("m")))
-        j = hot_e.join(hot_m, "a").unionByName(e.where(~in_hot).withColumn("m", F.min("b").over(per_a)))
+        e = e.checkpoint()
+        hot_m = F.broadcast(e.where(F.col("a").isin(hot_a)).groupBy("a").agg(F.min("b").alias("hot_m")))
+        per_a = Window.partitionBy("a", F.when(F.col("hot_m").isNotNull(), F.pmod(F.xxhash64("b"), F.lit(HOT_MAX_KEYS))))
+        j = e.join(hot_m, "a", "left").withColumn("m", F.coalesce("hot_m", F.min("b").over(per_a)))
     else:
         j = e.withColumn("m", F.min("b").over(per_a))
     out = j.select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")),

@@ -150,7 +150,7 @@ def link_lines(lines: DataFrame, value_col: str = "value", sep: str = ",",
     Vertices are the non-blank fields; edges chain field i to field i+1 when field i
     is not blank (X4); groups are connected components (G3); the tag is an equi-join
     on the first non-blank field's hash (J5). A line without any non-blank field gets
-    a null ``gid`` (the reference fails the job).
+    a null ``gid`` (the reference fails the job). Equal lines are counted and joined once.
     """
     from daybook.sources.session import checkpoint_dir
 
@@ -173,5 +173,5 @@ def link_lines(lines: DataFrame, value_col: str = "value", sep: str = ",",
     # come from the checkpointed graph, without another pass over the lines
     occurrences = g.where(F.col("dst").isNull()).select(F.col("src").alias("id"), "_n")
     hot = top_hot_keys(occurrences, ["id"], "_n", hot_min)
-    return (salted_join(first, comp, "id", hot, "left")
+    return (salted_join(first, comp, "id", hot, "left", repeats=True)
             .select(F.col("component").alias("gid"), "line"))

@@ -20,31 +20,28 @@ HOT_MIN_ROWS = 100_000
 HOT_MAX_KEYS = 10_000
 
 
-def broadcast_if_small(small: DataFrame, max_rows: int) -> DataFrame:
-    """Mark ``small`` for broadcast only when it has at most ``max_rows`` rows.
-
-    The check is one ``limit(max_rows + 1).count()`` job, so it stops reading once the
-    bound is passed. Beyond the bound the side is returned unmarked and the join
-    shuffles; AQE can still turn it into a broadcast from measured shuffle sizes.
-    """
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
+# Most bytes of rows that a join side may hold to be broadcast.
+BROADCAST_BYTES = 32 << 20
 
 
-def hot_keys(df: DataFrame, keys: list[str], threshold: int) -> DataFrame:
-    """Keys of ``df`` with at least ``threshold`` rows (one partial aggregate)."""
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") >= threshold).select(*keys))
+def measured_bytes(df: DataFrame) -> int:
+    """About how many bytes the rows of ``df`` hold: one aggregate over it."""
+    each = [F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) + 8 if f.dataType.typeName() in ("string", "binary") else F.lit(8)
+            for f in df.schema.fields]
+    total = each[0]
+    for e in each[1:]:
+        total = total + e
+    return df.agg(F.coalesce(F.sum(total.cast("long")), F.lit(0))).first()[0]
 
 
 def top_hot_keys(counts: DataFrame, keys: list[str], count_col: str, min_rows: int = HOT_MIN_ROWS,
                  max_keys: int = HOT_MAX_KEYS) -> DataFrame:
-    """Hot keys from an aggregate that already carries per-key row counts: keys with
-    at least ``min_rows`` rows, the ``max_keys`` largest of them (a per-partition top-k,
-    no full sort). The bound makes the result safe to broadcast; keys beyond it are
-    merely joined the ordinary way."""
-    return (counts.where(F.col(count_col) >= min_rows)
-            .orderBy(F.col(count_col).desc()).limit(max_keys)
+    """Hot keys from an aggregate that already carries per-key row counts: those with at
+    least ``min_rows`` rows and at least one ``max_keys``-th of all rows. No more than
+    ``max_keys`` keys can hold that much, so the result is safe to broadcast, and a key
+    left out holds a ``max_keys``-th of the rows at most, which one task can take."""
+    share = F.coalesce(counts.agg(F.sum(count_col) / max_keys).scalar(), F.lit(0.0))
+    return (counts.where((F.col(count_col) >= min_rows) & (F.col(count_col) >= share))
             .select(*keys, F.col(count_col).alias("_n")))
 
 
@@ -60,9 +57,9 @@ def skew_join(big: DataFrame, dim: DataFrame, keys: str | list[str], hot: DataFr
               how: str = "inner", null_safe: bool = False) -> DataFrame:
     """Equi-join ``big`` with ``dim`` (at most one ``dim`` row per key), splitting hot keys.
 
-    ``hot`` holds the hot key values and must be bounded by construction (see
-    ``top_hot_keys``): a DataFrame, or a short Python list of single-key values
-    (an empty list means a plain join). Rows of ``big`` on hot keys are joined with a broadcast of the
+    ``hot`` holds the hot key values, bounded by construction (see ``top_hot_keys``): a
+    DataFrame, or a short Python list of single-key values (an empty list means a plain
+    join). Rows of ``big`` on hot keys are joined with a broadcast of the
     matching ``dim`` rows (no shuffle of the hot rows); the other rows take an ordinary
     shuffle join. The two halves partition ``big``, so no row is lost or duplicated.
     ``how`` is ``inner`` or ``left``. The result has ``big``'s columns then ``dim``'s
@@ -93,45 +90,41 @@ def skew_join(big: DataFrame, dim: DataFrame, keys: str | list[str], hot: DataFr
     return hot_part.unionByName(cold_part)
 
 
-def hot_values(df: DataFrame, key: str, min_rows: int = HOT_MIN_ROWS, max_keys: int = HOT_MAX_KEYS) -> list:
-    """Values of ``key`` holding at least ``min_rows`` rows: one partial aggregate, at
-    most ``max_keys`` values (largest first) reach the driver."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return [r[0] for r in top_hot_keys(counts, [key], "_n", min_rows, max_keys).collect()]
-
-
-# Rows per salt bucket of a hot key.
-SALT_ROWS = 1_000_000
+# Rows per salt bucket of a hot key, and buckets that rows without a key are dealt over.
+SALT_ROWS, NULL_SALTS = 1_000_000, 4096
 
 
-def salted_join(big: DataFrame, dim: DataFrame, key: str, hot: DataFrame | list | None,
-                how: str = "left", salt_rows: int = SALT_ROWS, salt_buckets: int = 64) -> DataFrame:
+def salted_join(big: DataFrame, dim: DataFrame, key: str, hot: DataFrame | None, how: str = "left",
+                salt_rows: int = SALT_ROWS, repeats: bool = False) -> DataFrame:
     """Equi-join on ``key`` (one ``dim`` row per key) that spreads hot keys over several
     partitions instead of one.
 
-    ``hot`` is a bounded DataFrame from ``top_hot_keys`` (key and row count ``_n``) or
-    a short list of key values. Rows of ``big`` on a hot key get a salt from a hash of
-    the row, ``ceil(_n / salt_rows)`` buckets per key (``salt_buckets`` for a list),
-    and ``dim``'s row for that key is replicated once per bucket, a bounded number of
-    extra rows. Hot rows are marked by a broadcast join, so ``big`` is read once and
-    the join can be chained without growing the plan. Output: ``big``'s columns then
-    ``dim``'s non-key columns.
+    ``hot`` comes from ``top_hot_keys`` (key and row count ``_n``; None: no key is hot).
+    Rows of ``big`` on a hot key get a salt from a hash of the row, ``ceil(_n / salt_rows)``
+    buckets per key, and ``dim``'s row for that key is replicated once per bucket, a bounded
+    number of extra rows. Hot rows are marked by a broadcast join, so ``big`` is read once
+    and the join can be chained without growing the plan. Rows with a null key match
+    nothing and are salted too, so that they don't meet in one task.
+
+    Equal rows have equal salts; with ``repeats`` they are counted first, joined once and
+    expanded again, so that a row repeated without end is one row of the join. Output:
+    ``big``'s columns then ``dim``'s non-key columns.
     """
     vals = [c for c in dim.columns if c != key]
-    if hot is None or (isinstance(hot, list) and not hot):
-        return big.join(dim, key, how).select(*big.columns, *vals)
-    if isinstance(hot, list):
-        marks = F.when(F.col(key).isin(hot), F.lit(salt_buckets))
-        b = big.withColumn("_buckets", marks)
-        d = dim.withColumn("_buckets", marks)
+    names = big.columns
+    if repeats:
+        big = big.groupBy(*names).agg(F.count(F.lit(1)).alias("_times"))
+    hashable = [f.name for f in big.schema.fields if "map<" not in f.dataType.simpleString()] or names[:1]
+    row = F.xxhash64(*hashable)
+    if hot is None:
+        b, d = big.withColumn("_buckets", F.lit(1).cast("long")), dim.withColumn("_buckets", F.lit(1).cast("long"))
     else:
         h = F.broadcast(hot.select(key, F.greatest(F.lit(1), F.ceil(F.col("_n") / salt_rows))
                                    .cast("long").alias("_buckets")))
-        b = big.join(h, key, "left")
-        d = dim.join(h, key, "left")
-    hashable = [f.name for f in big.schema.fields if "map<" not in f.dataType.simpleString()] or big.columns[:1]
-    b = b.withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(*hashable), F.col("_buckets")), F.lit(0)).cast("long"))
-    d = d.withColumn("_salt", F.explode(F.when(F.col("_buckets").isNotNull(),
-                                               F.sequence(F.lit(0).cast("long"), F.col("_buckets") - 1))
-                                        .otherwise(F.array(F.lit(0).cast("long")))))
-    return b.join(d.drop("_buckets"), [key, "_salt"], how).select(*big.columns, *vals)
+        b, d = (x.join(h, key, "left").withColumn("_buckets", F.coalesce("_buckets", F.lit(1).cast("long"))) for x in (big, dim))
+    b = b.withColumn("_salt", F.pmod(row, F.when(F.col(key).isNull(), F.lit(NULL_SALTS)).otherwise(F.col("_buckets"))).cast("long"))
+    d = d.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_buckets") - 1)))
+    out = b.join(d.drop("_buckets"), [key, "_salt"], how)
+    if repeats:
+        out = out.withColumn("_again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
+    return out.select(*names, *vals)

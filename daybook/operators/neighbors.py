@@ -1,116 +1,185 @@
 """Nearest neighbours and similarity (survey: J1, J2, W1, O2, A9, F16, F17, M10, M11).
 
-Exact top-k by block pairs: both sides are hashed into blocks of bounded size, every
-(query block, candidate block) pair is one cogroup task that scores its block pair
-with numpy and keeps only the best ``k`` candidates per query, and a final
-``row_number`` window (with Spark's per-partition group limit applied before the
-shuffle) keeps the global best ``k``. No join ever emits all pairs: a task holds at
-most two blocks and emits at most ``k`` rows per query.
+Two shapes, neither of which replicates a large table or emits all pairs:
+
+* against a labelled sample (KNN): the sample is what a fitted classifier consists of, so
+  it is bounded by a documented parameter, broadcast once, and the queries stream past it
+  with no shuffle;
+* among the rows of one table (similarity report): within a declared block key. A block of
+  any size is dealt into pieces of bounded size, one task step each, and a piece emits at
+  most ``k`` rows for each of its rows.
+
+Scores are evaluated in numpy: a matrix product makes a shortlist with an error margin, and
+the shortlist is scored and ranked by the defining formula, so equal vectors score exactly
+alike wherever they stand.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Most rows of a KNN sample: it is collected and broadcast (at 64 cells about 50 MB).
+MAX_SAMPLE = 100_000
+# Rows of a block that meet in one piece, and scores held at a time.
+BLOCK_ROWS, SCORES = 2048, 1 << 22
+_EPS = 1e-13
 
-_OUT_SCHEMA = "qid long, cid long, sim double, label double, sim2 double"
-_OTHER = {"euclidean": "cosine", "cosine": "euclidean"}
 
+class _Vectors:
+    """Vectors of one side: cells (null and missing ones 0.0), lengths, ids, labels."""
 
-def _matrix(vecs: pd.Series) -> np.ndarray:
-    rows = [np.zeros(0) if v is None else np.asarray(v, dtype=float) for v in vecs]
-    dim = max((len(r) for r in rows), default=0)
-    m = np.zeros((len(rows), dim))
-    for i, r in enumerate(rows):
-        m[i, :len(r)] = np.nan_to_num(r, nan=0.0)  # null cells count as 0.0
-    return m
+    def __init__(self, ids: pa.Array, vecs: pa.Array, labels: np.ndarray):
+        vecs = vecs.combine_chunks() if isinstance(vecs, pa.ChunkedArray) else vecs
+        self.ids = ids.combine_chunks() if isinstance(ids, pa.ChunkedArray) else ids
+        self.labels = labels
+        self.length = pc.fill_null(pc.list_value_length(vecs), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = pc.fill_null(vecs.flatten(), 0.0).to_numpy(zero_copy_only=False).astype(np.float64)
+        n, width = len(self.length), int(self.length.max(initial=0))
+        self.cells = np.zeros((n, width))
+        row = np.repeat(np.arange(n), self.length)
+        col = np.arange(len(flat)) - np.repeat(np.cumsum(self.length) - self.length, self.length)
+        self.cells[row, col] = np.nan_to_num(flat, nan=0.0)
+        self.square = (self.cells * self.cells).sum(axis=1)
 
+    def __len__(self) -> int:
+        return len(self.length)
 
-def _scores(q: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
-    if q.shape[1] != c.shape[1]:
-        d = max(q.shape[1], c.shape[1])
-        q = np.pad(q, ((0, 0), (0, d - q.shape[1])))
-        c = np.pad(c, ((0, 0), (0, d - c.shape[1])))
-    dot = q @ c.T
+
+def _widen(m: np.ndarray, width: int) -> np.ndarray:
+    return np.pad(m, ((0, 0), (0, width - m.shape[1])))
+
+
+def _similarity(metric: str, q: np.ndarray, c: np.ndarray, both: np.ndarray) -> np.ndarray:
+    """F16 or F17 of row pairs by definition; ``both``: cells that both vectors of a pair
+    have (the Euclidean form compares as far as both go, like a zip)."""
     if metric == "euclidean":
-        sq = (q * q).sum(1)[:, None] + (c * c).sum(1)[None, :] - 2.0 * dot
-        return 1.0 / (1.0 + np.sqrt(np.maximum(sq, 0.0)))
-    if metric == "cosine":
-        norm = np.sqrt((q * q).sum(1))[:, None] * np.sqrt((c * c).sum(1))[None, :]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            return np.where(norm > 0, dot / norm, np.nan)
-    raise ValueError(f"unknown metric {metric}")
-
-
-def _block_top_k(k: int, metric: str, exclude_self: bool):
-    def fn(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"qid": [], "cid": [], "sim": [], "label": [], "sim2": []})
-        qm, cm = _matrix(left["vec"]), _matrix(right["vec"])
-        s = _scores(qm, cm, metric)
-        s2 = _scores(qm, cm, _OTHER[metric])
-        qid = left["qid"].to_numpy()
-        cid = right["cid"].to_numpy()
-        lab = right["label"].to_numpy(dtype=float)
-        rank_s = np.where(np.isnan(s), -np.inf, s)
-        if exclude_self:
-            rank_s[qid[:, None] == cid[None, :]] = np.nan  # removed below
-        out_q, out_c, out_s, out_l, out_s2 = [], [], [], [], []
-        for i in range(len(qid)):
-            row = rank_s[i]
-            keep = np.nonzero(~np.isnan(row))[0]
-            if len(keep) > k:
-                t = np.partition(row[keep], len(keep) - k)[len(keep) - k]
-                keep = keep[row[keep] >= t]  # ties at the threshold all stay
-            order = np.lexsort((cid[keep], lab[keep], -row[keep]))[:k]
-            sel = keep[order]
-            out_q.append(np.full(len(sel), qid[i]))
-            out_c.append(cid[sel])
-            out_s.append(s[i, sel])
-            out_l.append(lab[sel])
-            out_s2.append(s2[i, sel])
-        return pd.DataFrame({"qid": np.concatenate(out_q), "cid": np.concatenate(out_c),
-                             "sim": np.concatenate(out_s), "label": np.concatenate(out_l),
-                             "sim2": np.concatenate(out_s2)})
-    return fn
-
-
-def top_k_neighbors(queries: DataFrame, candidates: DataFrame, k: int, metric: str = "euclidean",
-                    query_id: str = "id", cand_id: str = "id", vec: str = "vec", label: str | None = None,
-                    exclude_self: bool = False, rows_per_block: int = 2048) -> DataFrame:
-    """Exact ``k`` most similar candidates per query: ``(qid, cid, sim, label, sim2,
-    rank)``; ``sim2`` is the other metric of the same pair.
-
-    ``metric`` is ``euclidean`` (F16, ``1/(1+dist)``) or ``cosine`` (F17). Ranking is
-    ``sim desc, label, cid`` (deviation D4 makes ties deterministic). With
-    ``exclude_self`` a query never matches the candidate with the same id.
-
-    Blocks: ``ceil(n / rows_per_block)`` per side from two row counts, ids hashed
-    into blocks; each side is replicated once per block of the other side, so the
-    shuffle is O(n * blocks) vectors while the work per task stays bounded.
+        d = np.where(np.arange(q.shape[1]) < both[:, None], q - c, 0.0)
+        return 1.0 / (1.0 + np.sqrt((d * d).sum(axis=1)))
+    norm = np.sqrt((q * q).sum(axis=1)) * np.sqrt((c * c).sum(axis=1))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(norm > 0, (q * c).sum(axis=1) / norm, np.nan)
+
+
+def _best(q: _Vectors, c: _Vectors, k: int, metric: str, other: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of every query the ``k`` best candidates by ``similarity desc (NaN last), label,
+    id``: arrays ``query, candidate, similarity``. ``other[i, j]``: whether candidate j is
+    another row than query i."""
+    width = max(q.cells.shape[1], c.cells.shape[1])
+    x, y = _widen(q.cells, width), _widen(c.cells, width)
+    id_rank = np.empty(len(c), dtype=np.int64)
+    id_rank[pc.sort_indices(c.ids).to_numpy()] = np.arange(len(c))
+    out = []
+    step = max(1, SCORES // max(1, len(c)))
+    for a in range(0, len(q), step):
+        b = min(a + step, len(q))
+        dot = x[a:b] @ y.T
+        if metric == "euclidean":
+            if (q.length[a:b, None] == c.length[None, :]).all():
+                rough = -(q.square[a:b, None] + c.square[None, :] - 2.0 * dot)
+                margin = _EPS * width * (q.square[a:b, None] + c.square.max(initial=0.0))
+            else:  # unequal lengths: no product says it, so all are scored
+                rough, margin = np.zeros_like(dot), np.zeros((b - a, 1))
+        else:
+            norm = np.sqrt(q.square[a:b])[:, None] * np.sqrt(c.square)[None, :]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                rough = np.where(norm > 0, dot / norm, -2.0)
+            margin = np.full((b - a, 1), _EPS * max(1, width))
+        rough = np.where(other[a:b], rough, -np.inf)
+        if k < len(c):
+            least = np.partition(rough, len(c) - k, axis=1)[:, len(c) - k][:, None]
+            near = (rough >= least - 2 * margin) & other[a:b]
+        else:
+            near = other[a:b]
+        i, j = np.nonzero(near)
+        s, strip = np.empty(len(i)), max(1, SCORES // max(1, width))
+        for p in range(0, len(i), strip):
+            ip, jp = a + i[p:p + strip], j[p:p + strip]
+            s[p:p + strip] = _similarity(metric, x[ip], y[jp], np.minimum(q.length[ip], c.length[jp]))
+        order = np.lexsort((id_rank[j], c.labels[j], np.where(np.isnan(s), np.inf, -s), i))
+        i, j, s = i[order], j[order], s[order]
+        place = np.arange(len(i)) - np.searchsorted(i, i)
+        top = place < k
+        out.append((a + i[top], j[top], s[top]))
+    if not out:
+        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+    return tuple(np.concatenate(p) for p in zip(*out))
+
+
+def _other(metric: str) -> str:
+    return "cosine" if metric == "euclidean" else "euclidean"
+
+
+def _rows(q: _Vectors, c: _Vectors, i: np.ndarray, j: np.ndarray, s: np.ndarray, metric: str, names: list[str]) -> pa.RecordBatch:
+    width = max(q.cells.shape[1], c.cells.shape[1])
+    s2 = _similarity(_other(metric), _widen(q.cells, width)[i], _widen(c.cells, width)[j], np.minimum(q.length[i], c.length[j]))
+    return pa.RecordBatch.from_arrays(
+        [q.ids.take(pa.array(i)), c.ids.take(pa.array(j)), pa.array(s, from_pandas=True), pa.array(c.labels[j]),
+         pa.array(s2, from_pandas=True)], names=names)
+
+
+def _differ(q: pa.Array, c: pa.Array, exclude_self: bool) -> np.ndarray:
+    if not exclude_self:
+        return np.ones((len(q), len(c)), dtype=bool)
+    known = pc.unique(c)
+    qi = pc.fill_null(pc.index_in(q, value_set=known), -1).to_numpy(zero_copy_only=False)
+    ci = pc.index_in(c, value_set=known).to_numpy(zero_copy_only=False)
+    return qi[:, None] != ci[None, :]
+
+
+_NAMES = ["qid", "cid", "sim", "label", "sim2"]
+
+
+def _schema(query_kind: str, cand_kind: str) -> str:
+    return f"qid {query_kind}, cid {cand_kind}, sim double, label double, sim2 double"
+
+
+def top_k_neighbors(queries: DataFrame, sample: DataFrame, k: int, metric: str = "euclidean", query_id: str = "id",
+                    cand_id: str = "id", vec: str = "vec", label: str | None = None, exclude_self: bool = False,
+                    max_sample: int = MAX_SAMPLE) -> DataFrame:
+    """Exact ``k`` most similar rows of ``sample`` per query: ``(qid, cid, sim, label, sim2,
+    rank)``; ``sim2`` is the other metric of the same pair. Ids keep their types.
+
+    ``metric`` is ``euclidean`` (F16, ``1/(1+dist)``) or ``cosine`` (F17; null for a zero
+    vector, ranked last). Ranking is ``sim desc, label, cid`` (deviation D4 makes ties
+    deterministic). With ``exclude_self`` a query never matches a row with its own id.
+
+    The sample is a fitted model and bounded as such: more than ``max_sample`` rows are an
+    error. It is broadcast, and the queries, however many, are scored where they lie.
     """
-    nq = queries.count()
-    nc = candidates.count()
-    bq = max(1, math.ceil(nq / rows_per_block))
-    bc = max(1, math.ceil(nc / rows_per_block))
-    q = queries.select(F.col(query_id).cast("long").alias("qid"),
-                       F.col(vec).cast("array<double>").alias("vec"),
-                       F.pmod(F.xxhash64(query_id), F.lit(bq)).alias("qb"))
-    q = q.withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(bc - 1))))
-    c = candidates.select(F.col(cand_id).cast("long").alias("cid"),
-                          F.col(vec).cast("array<double>").alias("vec"),
-                          (F.col(label).cast("double") if label else F.lit(0.0)).alias("label"),
-                          F.pmod(F.xxhash64(cand_id), F.lit(bc)).alias("cb"))
-    c = c.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(bq - 1))))
-    partial = (q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb"))
-               .applyInPandas(_block_top_k(k, metric, exclude_self), _OUT_SCHEMA))
+    if metric not in ("euclidean", "cosine"):
+        raise ValueError(f"unknown metric {metric}")
+    lab = F.coalesce(F.col(label).cast("double"), F.lit(0.0)) if label else F.lit(0.0)
+    s = sample.select(F.col(cand_id).alias("id"), F.col(vec).cast("array<double>").alias("vec"), lab.alias("label"))
+    known = s.limit(max_sample + 1).toArrow()
+    if known.num_rows > max_sample:
+        raise ValueError(f"a sample of more than max_sample = {max_sample} rows is no model to broadcast")
+    spark = queries.sparkSession
+    shared = spark.sparkContext.broadcast(known)
+    d = queries.select(F.col(query_id).alias("id"), F.col(vec).cast("array<double>").alias("vec"))
+    kinds = d.schema["id"].dataType.simpleString(), s.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = shared.value
+        c = _Vectors(t.column("id"), t.column("vec"), t.column("label").to_numpy())
+        for batch in batches:
+            if not batch.num_rows or not len(c):
+                continue
+            q = _Vectors(batch.column(0), batch.column(1), np.zeros(batch.num_rows))
+            step = max(1, SCORES // len(c))
+            for a in range(0, len(q), step):
+                part = _Vectors(batch.column(0)[a:a + step], batch.column(1)[a:a + step], np.zeros(len(batch.column(0)[a:a + step])))
+                i, j, sim = _best(part, c, k, metric, _differ(part.ids, c.ids, exclude_self))
+                yield _rows(part, c, i, j, sim, metric, _NAMES)
+
+    found = d.mapInArrow(run, _schema(*kinds))
     w = Window.partitionBy("qid").orderBy(F.col("sim").desc_nulls_last(), "label", "cid")
-    return partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 def knn_classify(test: DataFrame, sample: DataFrame, k: int = 4, id_col: str = "id",
@@ -123,10 +192,37 @@ def knn_classify(test: DataFrame, sample: DataFrame, k: int = 4, id_col: str = "
             .agg(F.when(F.sum("label") > k / 2, F.lit(1)).otherwise(F.lit(0)).alias("predict")))
 
 
-def similar_items(df: DataFrame, k: int, id_col: str = "id", vec: str = "vec") -> DataFrame:
-    """M11 as a top-k report: for every item its ``k`` most cosine-similar other items
-    with both similarities: ``(id, other_id, rank, cos, eud)``. With ``k = n - 1`` it
-    is the reference's all-pairs table (each pair once per direction)."""
-    nn = top_k_neighbors(df, df, k, "cosine", id_col, id_col, vec, None, exclude_self=True)
-    return nn.select(F.col("qid").alias(id_col), F.col("cid").alias("other_id"), "rank",
-                     F.col("sim").alias("cos"), F.col("sim2").alias("eud"))
+def similar_items(df: DataFrame, k: int, id_col: str = "id", vec: str = "vec", block: str | None = None,
+                  block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """M11 as a top-k report: for every item its ``k`` most cosine-similar other items of
+    the same ``block`` (a declared column; null is a block of its own; without one the
+    whole table is one block) with both similarities: ``(id, other_id, rank, cos, eud)``.
+    With one block and ``k = n - 1`` it is the reference's all-pairs table (each pair once
+    per direction).
+
+    A block of ``n`` rows is dealt into ``ceil(n / block_rows)`` parts by a hash of the id,
+    and each pair of parts is scored as one piece of at most about ``2 * block_rows`` rows.
+    """
+    key = F.col(block) if block else F.lit(0)
+    d = df.select(F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("vec"), key.alias("block"))
+    sizes = d.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("parts")).withColumnRenamed("block", "_block")
+    d = d.join(sizes, F.col("block").eqNullSafe(F.col("_block"))).drop("_block")
+    d = d.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    d = d.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    d = d.withColumn("i", F.least("part", "k")).withColumn("j", F.greatest("part", "k")).drop("k", "parts")
+    kind = d.schema["id"].dataType.simpleString()
+
+    def piece(t: pa.Table) -> pa.Table:
+        part = t.column("part").to_numpy()
+        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+        v = _Vectors(t.column("id"), t.column("vec"), np.zeros(t.num_rows))
+        other = _differ(v.ids, v.ids, True)
+        if i != j:
+            other &= part[:, None] != part[None, :]
+        return pa.Table.from_batches([_rows(v, v, *_best(v, v, k, "cosine", other), "cosine", _NAMES)])
+
+    nn = d.groupBy("block", "i", "j").applyInArrow(piece, _schema(kind, kind))
+    w = Window.partitionBy("qid").orderBy(F.col("sim").desc_nulls_last(), "cid")
+    return (nn.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+            .select(F.col("qid").alias(id_col), F.col("cid").alias("other_id"), "rank",
+                    F.col("sim").alias("cos"), F.col("sim2").alias("eud")))

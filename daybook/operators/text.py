@@ -8,10 +8,11 @@ expression over the whole text.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.operators.joins import salted_join, top_hot_keys
+
 _LETTERS = r"\p{L}+"
 _HAN = r"^\p{IsHan}{3,}$"
 
@@ -37,105 +38,118 @@ def token_rows(df: DataFrame, doc_col: str, words_col: str = "words") -> DataFra
     return df.select(doc_col, F.posexplode(words_col).alias("pos", "term")).withColumn("pos", F.col("pos") + 1)
 
 
+# A stop list is handed to the tasks whole up to this many bytes of terms; a longer one is
+# joined. Either way the result is the same.
+INLINE_BYTES = 1 << 20
+
+
 def remove_stopwords(df: DataFrame, words_col: str, stop: list[str] | DataFrame, out_col: str | None = None,
-                     doc_col: str | None = None, inline_max: int = 10_000) -> DataFrame:
+                     inline_bytes: int = INLINE_BYTES) -> DataFrame:
     """Drop stop words from a word array, keeping order and duplicates of the rest.
 
-    A Python list (a fixed, small vocabulary) is applied as a JVM hash set. A
-    DataFrame of stop words (``term``) is applied the same way when a bounded fetch
-    (``limit(inline_max + 1)``) shows at most ``inline_max`` terms; a larger
-    one is applied without collecting it: words are exploded with their position,
-    anti-joined with the stop list, and the array is rebuilt per document in position
-    order (``doc_col`` required; one document's group is bounded by its length).
+    ``stop`` is a list or a DataFrame with a column ``term``; nulls in it mean nothing. A
+    null array stays null, a null word stays; every row is treated by itself, whatever its
+    other columns hold, and no column needs to identify it.
+
+    A list of at most ``inline_bytes`` bytes (measured first) is a hash set in the JVM. A
+    longer one is joined: words are exploded with their position, common ones dealt over
+    several tasks by their counts, and each row's array is rebuilt in order.
     """
+    from pyspark.ml.feature import StopWordsRemover
+
     out_col = out_col or words_col
     if not isinstance(stop, list):
-        terms = stop.select(F.col("term").cast("string")).distinct()
-        head = terms.limit(inline_max + 1).collect()  # one bounded job: the list or proof it is big
-        if len(head) <= inline_max:
-            stop = [r[0] for r in head if r[0] is not None]
-    if isinstance(stop, list):
-        from pyspark.ml.feature import StopWordsRemover
-
-        # JVM hash-set lookup per word; case-sensitive like a plain set membership test
-        tmp = "__kept" if out_col == words_col else out_col
-        out = StopWordsRemover(inputCol=words_col, outputCol=tmp, stopWords=list(stop),
-                               caseSensitive=True).transform(df)
-        return out.drop(words_col).withColumnRenamed(tmp, out_col) if tmp != out_col else out
-    if doc_col is None:
-        raise ValueError("doc_col is required with a stop-word DataFrame")
-    rows = token_rows(df.select(doc_col, words_col), doc_col, words_col)
-    kept = rows.join(stop.select(F.col("term")).distinct(), "term", "left_anti")
-    rebuilt = kept.groupBy(doc_col).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "term"))), lambda s: s["term"]).alias(out_col))
-    base = df.drop(out_col) if out_col in df.columns else df
-    return (base.join(rebuilt, doc_col, "left")
-            .withColumn(out_col, F.coalesce(F.col(out_col), F.array().cast("array<string>"))))
-
-
-def _segment_run(run: str, lexicon: frozenset, max_len: int) -> list[str]:
-    """Forward maximum matching of one Han run; characters no lexicon word covers are
-    grouped and emitted as bigrams (a single leftover character stays as it is)."""
-    out: list[str] = []
-    pending: list[str] = []
-
-    def flush():
-        if len(pending) == 1:
-            out.append(pending[0])
-        else:
-            out.extend("".join(pending[i:i + 2]) for i in range(len(pending) - 1))
-        pending.clear()
-
-    i = 0
-    while i < len(run):
-        for n in range(min(max_len, len(run) - i), 1, -1):
-            if run[i:i + n] in lexicon:
-                flush()
-                out.append(run[i:i + n])
-                i += n
-                break
-        else:
-            pending.append(run[i])
-            i += 1
-    flush()
-    return out
-
-
-def segment(df: DataFrame, col: str, lexicon: DataFrame, out_col: str = "words", max_word_len: int = 8,
-            max_lexicon: int = 2_000_000) -> DataFrame:
-    """T1 with a lexicon: letter runs as ``tokens`` makes them, and every Han run
-    segmented by forward maximum matching against ``lexicon`` (column ``term``),
-    with bigrams for uncovered characters.
-
-    The lexicon is a fixed vocabulary, fetched once behind a bound
-    (``limit(max_lexicon + 1)``; larger lexicons are refused rather than collected) and
-    shipped to the tasks as a broadcast variable. The matching is a small per-row
-    helper in an Arrow-batched ``pandas_udf``; the text itself never leaves the tasks.
+        terms = stop.select(F.col("term").cast("string").alias("term")).where("term is not null").distinct()
+        size = terms.agg(F.coalesce(F.sum(F.octet_length("term") + 8), F.lit(0))).first()[0]
+        if size > inline_bytes:
+            return _anti_join_words(df, words_col, terms, out_col)
+        stop = [r[0] for r in terms.collect()]
+    stop = [t for t in stop if t is not None]
+    words = F.coalesce(F.col(words_col), F.array().cast("array<string>"))
+    kept = StopWordsRemover(inputCol="__words", outputCol="__kept", stopWords=stop, caseSensitive=True).transform(
+        df.withColumn("__words", words))
+    kept = kept.withColumn("__kept", F.when(F.col(words_col).isNotNull(), F.col("__kept")))
+    return kept.withColumn(out_col, F.col("__kept")).drop("__words", "__kept")
+
+
+def _per_array(df: DataFrame, words_col: str, wanted: Column, work, out_col: str) -> DataFrame:
+    """Adds ``out_col``: for arrays that are ``wanted`` what ``work`` makes of them, else null.
+
+    ``work`` gets the distinct arrays as ``(__row, __words)`` and returns ``(__row, __out)``.
+    They are written first (``checkpoint``), so a number names the same array in every use;
+    the result goes back to the rows by the array itself."""
+    from daybook.sources.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    each = (df.where(wanted).groupBy(F.col(words_col).alias("__words")).agg(F.count(F.lit(1)).alias("__uses"))
+            .withColumn("__row", F.monotonically_increasing_id()).checkpoint())
+    made = each.join(work(each.select("__row", "__words")), "__row", "left").select("__words", F.col("__out").alias(out_col))
+    keyed = df.withColumn("__words", F.when(wanted, F.col(words_col)))
+    return salted_join(keyed, made, "__words", top_hot_keys(each, ["__words"], "__uses"), "left").drop("__words")
+
+
+def _anti_join_words(df: DataFrame, words_col: str, terms: DataFrame, out_col: str) -> DataFrame:
+    def work(arrays: DataFrame) -> DataFrame:
+        rows = arrays.select("__row", F.posexplode("__words").alias("pos", "term"))
+        counts = rows.where("term is not null").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+        marked = salted_join(rows, terms.withColumn("is_stop", F.lit(True)), "term", top_hot_keys(counts, ["term"], "n"), "left")
+        return marked.where("is_stop is null").groupBy("__row").agg(
+            F.transform(F.sort_array(F.collect_list(F.struct("pos", "term"))), lambda s: s["term"]).alias("__out"))
+
+    out = _per_array(df, words_col, F.col(words_col).isNotNull(), work, "__kept")
+    rest = F.when(F.col(words_col).isNotNull(), F.coalesce("__kept", F.array().cast("array<string>")))
+    return out.withColumn(out_col, rest).drop("__kept")
+
+
+def segment(df: DataFrame, col: str, lexicon: DataFrame, out_col: str = "words", script: str = r"\p{IsHan}") -> DataFrame:
+    """T1 with a lexicon: letter runs as ``tokens`` makes them, and every run of ``script``
+    segmented by forward maximum matching against ``lexicon`` (column ``term``); stretches
+    that no word covers become bigrams (a single character stays). Null text gives [].
+
+    Neither words nor lexicon are limited: at each place of each distinct run all
+    substrings up to the length of the longest word are joined with the lexicon (common
+    substrings dealt over several tasks), and the longest matches are walked through in
+    order. Rows without such a run take no part in any shuffle of words.
     """
-    import regex
-
-    head = lexicon.select(F.col("term").cast("string")).distinct().limit(max_lexicon + 1).collect()
-    if len(head) > max_lexicon:
-        raise ValueError(f"lexicon has more than {max_lexicon} terms")
-    spark = df.sparkSession
-    words = frozenset(r[0] for r in head if r[0])
-    bc = spark.sparkContext.broadcast(words)
-    han = regex.compile(r"\p{Han}+")
-    letters = regex.compile(r"\p{L}+")
-
-    @F.pandas_udf("array<string>")
-    def seg(texts: pd.Series) -> pd.Series:
-        lex = bc.value
-        res = []
-        for t in texts:
-            toks: list[str] = []
-            if t is not None:
-                for run in letters.findall(t.lower()):
-                    if han.fullmatch(run):
-                        toks.extend(_segment_run(run, lex, max_word_len))
-                    else:
-                        toks.append(run)
-            res.append(toks)
-        return pd.Series(res)
-
-    return df.withColumn(out_col, seg(F.col(col)))
+    def wanted(w: Column) -> Column:
+        return (F.length(w) >= 2) & F.regexp(w, F.lit(f"^(?:{script})+$"))
+
+    lex = lexicon.select(F.col("term").cast("string").alias("sub")).where("length(sub) >= 2").distinct()
+
+    def work(arrays: DataFrame) -> DataFrame:
+        hit = arrays.select("__row", F.posexplode("__words").alias("pos", "run"))
+        runs = hit.where(wanted(F.col("run"))).groupBy("run").agg(F.count(F.lit(1)).alias("uses"))
+        longest = F.coalesce(lex.agg(F.max(F.length("sub"))).scalar(), F.lit(0))
+        at = runs.select("run", F.explode(F.sequence(F.lit(1), F.length("run") - 1)).alias("i"), longest.alias("most"))
+        reach = F.least(F.col("most"), F.length("run") - F.col("i") + 1)
+        at = at.where(reach >= 2).select("run", "i", F.explode(F.sequence(F.lit(2), reach)).alias("n"))
+        at = at.withColumn("sub", F.substring("run", F.col("i"), F.col("n")))
+        hot = top_hot_keys(at.groupBy("sub").agg(F.count(F.lit(1)).alias("c")), ["sub"], "c")
+        found = salted_join(at, lex.withColumn("known", F.lit(True)), "sub", hot, "inner").groupBy("run", "i").agg(F.max("n").alias("n"))
+        found = found.groupBy("run").agg(F.sort_array(F.collect_list(F.struct("i", "n"))).alias("matches"))
+        none = F.array().cast("array<struct<i:int,n:int>>")
+        cut = runs.join(found, "run", "left").select("run", "uses", _walk(F.col("run"), F.coalesce("matches", none)).alias("seg"))
+        parts = salted_join(hit, cut.select("run", "seg"), "run", top_hot_keys(cut, ["run"], "uses"), "left")
+        parts = parts.select("__row", F.struct("pos", F.coalesce("seg", F.array("run")).alias("seg")).alias("p"))
+        return parts.groupBy("__row").agg(F.flatten(F.transform(F.sort_array(F.collect_list("p")), lambda p: p["seg"])).alias("__out"))
+
+    words = F.coalesce(tokens(col, han_bigrams=False), F.array().cast("array<string>"))
+    out = _per_array(df.withColumn("__runs", words), "__runs", F.exists("__runs", wanted), work, "__seg")
+    return out.withColumn(out_col, F.coalesce("__seg", "__runs")).drop(*{"__runs", "__seg"} - {out_col})
+
+
+def _walk(run: Column, matches: Column) -> Column:
+    """Forward maximum matching: of the longest matches by place, each that starts at or
+    after the end of the one taken before; bigrams in between."""
+    def gap(start: Column, end: Column) -> Column:
+        n = end - start
+        bigrams = F.transform(F.sequence(start, F.greatest(start, end - 2)), lambda i: F.substring(run, i, F.lit(2)))
+        return F.when(n <= 0, F.array().cast("array<string>")).when(n == 1, F.array(F.substring(run, start, F.lit(1)))).otherwise(bigrams)
+
+    def take(acc: Column, m: Column) -> Column:
+        taken = F.struct((m["i"] + m["n"]).alias("at"), F.concat(
+            acc["out"], gap(acc["at"], m["i"]), F.array(F.substring(run, m["i"], m["n"]))).alias("out"))
+        return F.when(m["i"] >= acc["at"], taken).otherwise(acc)
+
+    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("out"))
+    return F.aggregate(matches, start, take, lambda acc: F.concat(acc["out"], gap(acc["at"], F.length(run) + 1)))

@@ -152,21 +152,28 @@ def similarity_job(spark: SparkSession, csv: str, n_features: int = 5, k: int =
 
 
 def comment_classify_job(spark: SparkSession, good: str, neutral: str, poor: str,
-                         stopwords_path: str | None = None, model_path: str | None = None, seed: int = 42):
-    """Q-CMT: three text files of comments (labels 0, 1, 2) + optional stop-word file
-    -> tokens (T1), stop words removed (T2), hashed TF (M7), IDF (M8), seeded 80/20
-    split, naive Bayes (M9). Returns ``(model, predictions, accuracy_row)``."""
+                         stopwords_path: str | None = None, model_path: str | None = None,
+                         lexicon_path: str | None = None):
+    """Q-CMT: three text files of comments (labels 0, 1, 2, united) + optional stop-word
+    file -> tokens (T1; with a lexicon, one term a line, Han runs are segmented by it), stop
+    words removed (T2), hashed TF (M7), IDF (M8), 80/20 split by a hash of the comment,
+    naive Bayes (M9). Returns ``(model, predictions, accuracy_row)``."""
     parts = [sources.read_lines(spark, p).select(F.col("value").alias("cmt"), F.lit(float(i)).alias("label"))
              for i, p in enumerate((good, neutral, poor))]
     sample = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    words = text.tokenize(sample, "cmt", "words")
+
+    def terms(path: str) -> DataFrame:
+        return sources.read_lines(spark, path).select(F.col("value").alias("term"))
+
+    if lexicon_path:
+        words = text.segment(sample, "cmt", terms(lexicon_path), "words")
+    else:
+        words = text.tokenize(sample, "cmt", "words")
     if stopwords_path:
-        stop = sources.read_lines(spark, stopwords_path).select(F.col("value").alias("term"))
-        words = text.remove_stopwords(words.withColumn("_doc", F.monotonically_increasing_id()), "words", stop,
-                                      doc_col="_doc").drop("_doc")
+        words = text.remove_stopwords(words, "words", terms(stopwords_path))
     tf = features.term_frequency(words, "words", "tf_vec", 100_000)
     _, tfidf = features.tf_idf(tf)
-    model, pred, acc = classify.train_eval(tfidf, "tf_idf_vec", "label", seed)
+    model, pred, acc = classify.train_eval(tfidf, "tf_idf_vec", "label", "cmt")
     if model_path:
         classify.save_model(model, model_path, overwrite=True)
     return model, pred, acc

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from daybook.operators import bayes, classify, features, neighbors, text
 from daybook.plans.registry import register
-from daybook.plans.sqlutil import jh
+from daybook.plans.sqlutil import hashing_tf_bucket, jh
 from daybook.plans.tables import table
 
 BAYES_FEATURES = ["priority", "segment", "year", "nation"]
@@ -26,19 +26,23 @@ _ORDER_FEATURES_SQL = """d AS (SELECT o_orderkey, o_orderstatus AS label, o_orde
        CAST(year(o_orderdate) AS VARCHAR) AS year, CAST(c_nationkey AS VARCHAR) AS nation
        FROM orders JOIN customer ON o_custkey = c_custkey)"""
 
-_BAYES_MODEL_CTE = f"""{_ORDER_FEATURES_SQL},
-l AS (SELECT 'priority' AS feature, priority AS value, label FROM d UNION ALL SELECT 'segment', segment, label FROM d
-      UNION ALL SELECT 'year', year, label FROM d UNION ALL SELECT 'nation', nation, label FROM d),
+_BAYES_MODEL_CTE = f"""{_ORDER_FEATURES_SQL}, FIT
+l AS (SELECT 'priority' AS feature, priority AS value, label FROM fit UNION ALL SELECT 'segment', segment, label FROM fit
+      UNION ALL SELECT 'year', year, label FROM fit UNION ALL SELECT 'nation', nation, label FROM fit),
 c AS (SELECT feature, value, count(*) AS n, count(*) FILTER (WHERE label = 'F') AS n_pos FROM l GROUP BY ALL),
 m AS (SELECT feature, value, n / sum(n) OVER (PARTITION BY feature) AS feature_prob,
              n_pos / sum(n_pos) OVER (PARTITION BY feature) AS cond_prob FROM c)"""
 
 
-def _bayes_model(spark, sf_dir):
-    return bayes.bayes_fit(order_features(spark, sf_dir), BAYES_FEATURES, "label", "F")
+def _bayes_model(spark, sf_dir, before: str | None = None):
+    d = order_features(spark, sf_dir)
+    return bayes.bayes_fit(d.where(F.col("year") < before) if before else d, BAYES_FEATURES, "label", "F")
+
+
+_FIT_ALL, _FIT_EARLY = "fit AS (SELECT * FROM d),", "fit AS (SELECT * FROM d WHERE year < '1997'),"
 
 
-@register("q_bayes_model", f"WITH {_BAYES_MODEL_CTE} SELECT * FROM m")
+@register("q_bayes_model", f"WITH {_BAYES_MODEL_CTE} SELECT * FROM m".replace("FIT", _FIT_ALL))
 def q_bayes_model(spark, sf_dir):
     """M1 (A4-A6): per (feature, value) frequency and positive-class likelihood;
     positive = finished order (``o_orderstatus = 'F'``)."""
@@ -56,17 +60,18 @@ _SCORE_JOINS = "\n".join(
 
 
 @register("q_bayes_score", f"""WITH {_BAYES_MODEL_CTE},
-p AS (SELECT count(*) FILTER (WHERE label = 'F') / count(*) AS prior FROM d)
+p AS (SELECT count(*) FILTER (WHERE label = 'F') / count(*) AS prior FROM fit)
 SELECT d.o_orderkey,
   ((SELECT prior FROM p) * coalesce(m0.cond_prob, 1.0) * coalesce(m1.cond_prob, 1.0) * coalesce(m2.cond_prob, 1.0)
     * coalesce(m3.cond_prob, 1.0))
   / (coalesce(m0.feature_prob, 1.0) * coalesce(m1.feature_prob, 1.0) * coalesce(m2.feature_prob, 1.0)
     * coalesce(m3.feature_prob, 1.0)) AS probability
-FROM d {_SCORE_JOINS}""")
+FROM d {_SCORE_JOINS}""".replace("FIT", _FIT_EARLY))
 def q_bayes_score(spark, sf_dir):
-    """M2: score every order with the model fitted on all orders."""
+    """M2: score every order with the model fitted on the orders before 1997, so that later
+    years are unseen values (J8)."""
     d = order_features(spark, sf_dir)
-    return bayes.bayes_score(_bayes_model(spark, sf_dir), d, "o_orderkey", BAYES_FEATURES)
+    return bayes.bayes_score(_bayes_model(spark, sf_dir, "1997"), d, "o_orderkey", BAYES_FEATURES)
 
 
 @register("q_encode", """SELECT o_orderkey,
@@ -135,24 +140,25 @@ def q_nb_hash(spark, sf_dir):
 # --------------------------------------------------------------------------- vectors
 def _embeddings(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select(
-        "vec_id", F.col("embedding").cast("array<double>").alias("vec"),
+        "vec_id", F.col("embedding").cast("array<double>").alias("vec"), F.col("label").alias("class"),
         F.when(F.col("label") >= 5, 1.0).otherwise(0.0).alias("label"))
 
 
-_EMB_PAIRS = """e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, CAST(CASE WHEN label >= 5 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS label
+_EMB_PAIRS = """e AS (SELECT vec_id, label AS class, CAST(embedding AS DOUBLE[]) AS v, CAST(CASE WHEN label >= 5 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS label
        FROM embeddings),
-pr AS (SELECT a.vec_id AS qid, b.vec_id AS cid, b.label,
+pr AS (SELECT a.vec_id AS qid, b.vec_id AS cid, b.label, a.class IS NOT DISTINCT FROM b.class AS same,
               list_cosine_similarity(a.v, b.v) AS cos, 1.0 / (1.0 + list_distance(a.v, b.v)) AS eud
        FROM e a JOIN e b ON a.vec_id <> b.vec_id)"""
 
 
 @register("q_similarity", f"""WITH {_EMB_PAIRS},
-r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY cos DESC, cid) AS rank FROM pr)
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY cos DESC, cid) AS rank FROM pr WHERE same)
 SELECT qid AS vec_id, cid AS other_id, CAST(rank AS INTEGER) AS rank, round(cos, 9) AS cos, round(eud, 9) AS eud
 FROM r WHERE rank <= 5""")
 def q_similarity(spark, sf_dir):
-    """M11 (F16, F17) as a top-5 report: each embedding's 5 most cosine-similar others."""
-    s = neighbors.similar_items(_embeddings(spark, sf_dir), 5, "vec_id", "vec")
+    """M11 (F16, F17) as a top-5 report: each embedding's 5 most cosine-similar others of
+    its class (the block key)."""
+    s = neighbors.similar_items(_embeddings(spark, sf_dir), 5, "vec_id", "vec", "class")
     return s.select("vec_id", "other_id", "rank", F.round("cos", 9).alias("cos"), F.round("eud", 9).alias("eud"))
 
 
@@ -214,7 +220,7 @@ def q_stopwords(spark, sf_dir):
     m = table(spark, sf_dir, "documents").select(F.count(F.lit(1))).scalar()
     dfreq = features.document_frequency_of_words(w, "words", docs=m)
     stop = dfreq.where(F.col("df") * 2 > m).select("term")
-    kept = text.remove_stopwords(w, "words", stop, "kept", doc_col="doc_id")
+    kept = text.remove_stopwords(w, "words", stop, "kept")
     return kept.select("doc_id", F.size("kept").alias("n_kept"),
                        F.aggregate("kept", F.lit(0).cast("long"), lambda a, x: a + F.length(x)).alias("n_letters"))
 
@@ -238,34 +244,104 @@ def q_doc_freq(spark, sf_dir):
     return d.select("term", "df", F.round("idf", 9).alias("idf"))
 
 
+_SEG_MIN_SHARE, _SEG_SCRIPT = 50, r"\p{L}"
+
+
+def _lexicon(words: DataFrame, m) -> DataFrame:
+    """Terms of two to six letters in more than one of ``_SEG_MIN_SHARE`` documents."""
+    df = features.document_frequency_of_words(words, "words", docs=m)
+    return df.where(F.col("df") * _SEG_MIN_SHARE > m).where(F.length("term").between(2, 6)).select("term")
+
+
+@register("q_segment", rf"""WITH RECURSIVE {_TOK_SQL},
+docs AS (SELECT doc_id, unnest(w) AS run, generate_subscripts(w, 1) AS pos FROM t),
+lex AS (SELECT run AS term, length(run) AS n FROM docs GROUP BY run
+        HAVING count(DISTINCT doc_id) * {_SEG_MIN_SHARE} > (SELECT count(*) FROM documents) AND length(run) BETWEEN 2 AND 6),
+runs AS (SELECT DISTINCT run FROM docs WHERE length(run) >= 2),
+subs AS (SELECT run, i, n, substr(run, CAST(i AS BIGINT), CAST(n AS BIGINT)) AS sub
+         FROM (SELECT run, unnest(range(1, length(run))) AS i FROM runs), (SELECT unnest(range(2, 7)) AS n) WHERE i + n <= length(run) + 1),
+m AS (SELECT run, i, max(subs.n) AS n FROM subs JOIN lex ON sub = term GROUP BY run, i),
+nx AS (SELECT a.run, a.i, a.n, min(b.i) AS nx FROM m a LEFT JOIN m b ON a.run = b.run AND b.i >= a.i + a.n GROUP BY ALL),
+walk AS (SELECT run, min(i) AS i FROM m GROUP BY run
+         UNION ALL SELECT w.run, nx.nx FROM walk w JOIN nx ON w.run = nx.run AND w.i = nx.i WHERE nx.nx IS NOT NULL),
+taken AS (SELECT w.run, w.i, m.n, lag(w.i + m.n, 1, 1) OVER (PARTITION BY w.run ORDER BY w.i) AS prev
+          FROM walk w JOIN m ON w.run = m.run AND w.i = m.i),
+gaps AS (SELECT run, prev AS a, i AS b, substr(run, CAST(i AS BIGINT), CAST(n AS BIGINT)) AS word FROM taken
+         UNION ALL SELECT r.run, coalesce(max(t.i + t.n), 1), length(r.run) + 1, NULL FROM runs r LEFT JOIN taken t ON r.run = t.run GROUP BY r.run),
+cut AS (SELECT run, a, list_concat(CASE WHEN b - a <= 0 THEN [] WHEN b - a = 1 THEN [substr(run, CAST(a AS BIGINT), 1)]
+          ELSE list_transform(range(CAST(a AS BIGINT), CAST(b AS BIGINT) - 1), lambda q: substr(run, q, 2)) END,
+          CASE WHEN word IS NULL THEN [] ELSE [word] END) AS toks FROM gaps),
+seg AS (SELECT run, flatten(list(toks ORDER BY a)) AS toks FROM cut GROUP BY run),
+tok AS (SELECT doc_id, flatten(list(coalesce(toks, [docs.run]) ORDER BY pos)) AS words FROM docs LEFT JOIN seg ON docs.run = seg.run GROUP BY doc_id)
+SELECT documents.doc_id, CAST(coalesce(len(words), 0) AS INTEGER) AS n_words, md5(coalesce(array_to_string(words, ' '), '')) AS words_md5
+FROM documents LEFT JOIN tok ON documents.doc_id = tok.doc_id""")
+def q_segment(spark, sf_dir):
+    """T1 with a lexicon: every letter run of every document by forward maximum matching
+    against the frequent short words of the table, bigrams for the rest."""
+    w = _doc_words(spark, sf_dir)
+    m = table(spark, sf_dir, "documents").select(F.count(F.lit(1))).scalar()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    seg = text.segment(docs, "text", _lexicon(w, m), script=_SEG_SCRIPT)
+    return seg.select("doc_id", F.size("words").alias("n_words"), F.md5(F.array_join("words", " ")).alias("words_md5"))
+
+
+# --------------------------------------------------------------------------- comments
+_CMT_BUCKETS = 100_000
+
+
 def _comments(spark, sf_dir):
+    """The three label sets (good 0, neutral 1, poor 2) as the reference unions them."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
-    lab = table(spark, sf_dir, "labels")
-    j = d.join(lab, "doc_id")
-    label = (F.when((F.col("quality") == 1) & (F.col("toxic") == 0), 0.0)
-             .when(F.col("quality") == 1, 1.0).otherwise(2.0))
-    return text.tokenize(j.select("doc_id", label.alias("label"), "text"), "text", "words")
+    j = d.join(table(spark, sf_dir, "labels"), "doc_id")
+    good = (F.col("quality") == 1) & (F.col("toxic") == 0)
+    neutral = (F.col("quality") == 1) & ~good
+    sets = [j.where(F.coalesce(c, F.lit(False))).select("doc_id", F.lit(float(i)).alias("label"), "text")
+            for i, c in enumerate((good, neutral, ~(good | neutral)))]
+    return text.tokenize(sets[0].unionByName(sets[1]).unionByName(sets[2]), "text", "words")
 
 
 def _comment_model(spark, sf_dir):
-    w = _comments(spark, sf_dir)
-    tf = features.term_frequency(w, "words", "tf_vec", 100_000)
+    tf = features.term_frequency(_comments(spark, sf_dir), "words", "tf_vec", _CMT_BUCKETS)
     _, tfidf = features.tf_idf(tf, "tf_vec", "tf_idf_vec")
-    return classify.train_eval(tfidf.select("doc_id", "label", "tf_idf_vec"), "tf_idf_vec", "label", seed=42)
-
-
-@register("q_comment_classify")
+    return classify.train_eval(tfidf.select("doc_id", "label", "tf_idf_vec"), "tf_idf_vec", "label", "doc_id")
+
+
+_CMT_SQL = rf"""WITH c AS (SELECT documents.doc_id, CAST(CASE WHEN quality = 1 AND toxic = 0 THEN 0 WHEN quality = 1 THEN 1 ELSE 2 END AS DOUBLE) AS label,
+         regexp_extract_all(lower(text), '\p{{L}}+') AS w,
+         CAST('0x' || substr(md5(CAST(documents.doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 1000 < 800 AS train
+       FROM documents JOIN labels ON documents.doc_id = labels.doc_id),
+tw AS (SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest(w) AS term FROM c) GROUP BY ALL),
+hb AS (SELECT term, {hashing_tf_bucket('term', _CMT_BUCKETS)} AS j FROM (SELECT DISTINCT term FROM tw)),
+tf AS (SELECT doc_id, j, sum(n) AS tf FROM tw JOIN hb USING (term) GROUP BY doc_id, j),
+idf AS (SELECT j, ln(((SELECT count(*) FROM c) + 1.0) / (count(*) + 1.0)) AS idf FROM tf GROUP BY j),
+x AS (SELECT tf.doc_id, tf.j, tf.tf * idf.idf AS v FROM tf JOIN idf USING (j)),
+cls AS (SELECT label, count(*) AS n FROM c WHERE train GROUP BY label),
+pi AS (SELECT label, ln(n + 1.0) - ln((SELECT sum(n) FROM cls) + 1.0 * (SELECT count(*) FROM cls)) AS p FROM cls),
+s AS (SELECT c.label, x.j, sum(x.v) AS s FROM x JOIN c USING (doc_id) WHERE c.train GROUP BY ALL),
+tot AS (SELECT label, sum(s) AS t FROM s GROUP BY label),
+raw AS (SELECT c.doc_id, c.label, cls.label AS k, pi.p + coalesce(sum(x.v * (coalesce(ln(s.s + 1.0), 0.0) - ln(tot.t + {_CMT_BUCKETS}.0))), 0.0) AS r
+        FROM c CROSS JOIN cls JOIN pi ON pi.label = cls.label JOIN tot ON tot.label = cls.label LEFT JOIN x ON x.doc_id = c.doc_id
+        LEFT JOIN s ON s.label = cls.label AND s.j = x.j WHERE NOT c.train GROUP BY c.doc_id, c.label, cls.label, pi.p),
+pred AS (SELECT doc_id, label, arg_max(k, r + 0.0 - k * 1e-12) AS prediction, 
+         exp(max(r) FILTER (WHERE k = 0) - max(r)) / sum(exp(r - mx)) AS p0 FROM (SELECT *, max(r) OVER (PARTITION BY doc_id) AS mx FROM raw)
+         GROUP BY doc_id, label)"""
+
+
+@register("q_comment_classify", f"{_CMT_SQL}\nSELECT doc_id, label, prediction, round(p0, 6) AS p0 FROM pred")
 def q_comment_classify(spark, sf_dir):
     """Q-CMT: labelled documents (good 0 / neutral 1 / poor 2 from the quality and
-    toxicity labels), tokens, hashed TF (100,000), IDF, seeded 80/20 split,
+    toxicity labels), tokens, hashed TF (100,000), IDF, 80/20 split by a hash of the id,
     multinomial naive Bayes; predictions of the test part."""
     _, pred, _ = _comment_model(spark, sf_dir)
-    return pred.select("doc_id", "label", "prediction")
+    pred = classify.probability_columns(pred, 1)
+    return pred.select("doc_id", "label", "prediction", F.round("p0", 6).alias("p0"))
 
 
-@register("q_comment_accuracy")
+@register("q_comment_accuracy", f"""{_CMT_SQL}
+SELECT count(*) AS total, count(*) FILTER (WHERE label = prediction) AS correct,
+       count(*) FILTER (WHERE label = prediction) / count(*) AS accuracy FROM pred""")
 def q_comment_accuracy(spark, sf_dir):
-    """Q-CMT accuracy row."""
+    """Q-CMT accuracy row."""
     _, _, acc = _comment_model(spark, sf_dir)
     return acc
 

@@ -41,3 +41,38 @@ def geohash_sql(lat: str, lng: str, precision: int = 5) -> str:
         for j in range(precision))
     return (f"(CASE WHEN {lat} BETWEEN -90.0 AND 90.0 AND {lng} BETWEEN -180.0 AND 180.0 "
             f"THEN {chars} END)")
+
+
+def hashing_tf_bucket(e: str, n: int) -> str:
+    """The index that Spark's ``HashingTF`` gives a VARCHAR expression, in DuckDB SQL:
+    32-bit Murmur3 of its UTF-8 bytes (seed 42), modulo ``n``."""
+    m = 4294967296
+
+    def mul(a: str, b: int) -> str:
+        return f"(({a}) * CAST({b} AS UBIGINT) % {m})"
+
+    def rotl(a: str, r: int) -> str:
+        return f"((({a}) << {r}) % {m} | (({a}) >> {32 - r}))"
+
+    def byte(pos: str) -> str:
+        return f"CAST('0x' || substr(hex({e}), 2 * ({pos}) + 1, 2) AS UBIGINT)"
+
+    def mixed(k: str) -> str:  # with an inner list so that each step is written once
+        step1 = f"list_transform([{k}], lambda k0: {mul('k0', 3432918353)})"
+        step2 = f"list_transform({step1}, lambda k1: {rotl('k1', 15)})"
+        return f"list_transform({step2}, lambda k2: {mul('k2', 461845907)})[1]"
+
+    block = " + ".join(f"{byte(f'4 * i + {j}')} * {256**j}" for j in range(4))
+    blocks = f"list_transform(range(0, strlen({e}) // 4), lambda i: {mixed(block)})"
+    step = (f"list_transform(list_transform([xor(h, k)], lambda x: {rotl('x', 13)}), "
+            f"lambda y: (y * 5 + CAST(3864292196 AS UBIGINT)) % {m})[1]")
+    body = f"list_reduce({blocks}, lambda h, k: {step}, CAST(42 AS UBIGINT))"
+    full = f"strlen({e}) // 4 * 4"
+    tail = " + ".join(f"(CASE WHEN strlen({e}) > {full} + {j} THEN {byte(f'{full} + {j}')} * {256**j} ELSE 0 END)" for j in range(3))
+    h = f"[xor(xor({body}, {mixed(f'CAST({tail} AS UBIGINT)')}), CAST(strlen({e}) AS UBIGINT))]"
+    for shift, factor in ((16, 2246822507), (13, 3266489909), (16, None)):
+        h = f"list_transform({h}, lambda z: xor(z, z >> {shift}))"
+        if factor:
+            h = f"list_transform({h}, lambda z: {mul('z', factor)})"
+    signed = f"(CAST({h}[1] AS BIGINT) + 2147483648) % {m} - 2147483648"
+    return f"((({signed}) % {n} + {n}) % {n})"

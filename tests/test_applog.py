@@ -71,7 +71,7 @@ def test_cleanse_cases(spark, hot_min):
 def test_enrich_area_without_broadcast(spark):
     df = spark.createDataFrame([(39.9, 116.4), (10.0, 10.0)], "latitude double, longtitude double")
     geo = spark.createDataFrame([("wx4fb", "P", "C", "D")], "geo string, province string, city string, district string")
-    got = sorted(r.province for r in applog.enrich_area(df, geo, broadcast_max_rows=0).collect())
+    got = sorted(r.province for r in applog.enrich_area(df, geo, broadcast_bytes=0).collect())
     assert got == ["P", "未知"]
 
 

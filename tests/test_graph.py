@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 import json
 import random
 
@@ -91,13 +92,13 @@ def test_pairwise_and_chain(spark):
 
 
 def test_skew_join_split_matches_plain_join(spark):
-    from daybook.operators.joins import hot_keys, skew_join
+    from daybook.operators.joins import skew_join, top_hot_keys
     big = spark.createDataFrame([(k if i % 3 else 7, i) for i, k in enumerate(list(range(20)) * 5)] + [(None, -1)],
                                 "k long, v long")
     dim = spark.createDataFrame([(k, k * 10) for k in range(0, 20, 2)] + [(None, -10)], "k long, w long")
     key = lambda t: tuple((x is None, x) for x in t)
     plain = sorted((tuple(r) for r in big.join(dim, "k", "left").select("k", "v", "w").collect()), key=key)
-    hot = hot_keys(big, ["k"], 10)
+    hot = top_hot_keys(big.groupBy("k").count(), ["k"], "count", 10)
     assert [r.k for r in hot.collect()] == [7]
     split = sorted((tuple(r) for r in skew_join(big, dim, "k", hot, "left").collect()), key=key)
     assert split == plain
@@ -108,20 +109,50 @@ def test_skew_join_split_matches_plain_join(spark):
 
 
 def test_salted_join_matches_plain_join(spark):
-    from daybook.operators.joins import hot_values, salted_join
-    big = spark.createDataFrame([(k if i % 3 else "h", i) for i, k in enumerate(["a", "b", "c", None] * 10)],
+    from daybook.operators.joins import salted_join, top_hot_keys
+    big = spark.createDataFrame([(k if i % 3 else "h", i % 8) for i, k in enumerate(["a", "b", "c", None] * 10)],
                                 "k string, v long")
     dim = spark.createDataFrame([("a", 1), ("h", 2), (None, 3)], "k string, w long")
-    hot = hot_values(big, "k", 10)
-    assert hot == ["h"]
     key = lambda t: tuple((x is None, x) for x in t)
     plain = sorted((tuple(r) for r in big.join(dim, "k", "left").select("k", "v", "w").collect()), key=key)
-    salted = sorted((tuple(r) for r in salted_join(big, dim, "k", hot, "left", salt_buckets=4).collect()), key=key)
+    hot = top_hot_keys(big.groupBy("k").count(), ["k"], "count", 10)
+    for kw in ({}, {"repeats": True}):
+        for h in (hot, None):
+            got = sorted((tuple(r) for r in salted_join(big, dim, "k", h, "left", salt_rows=3, **kw).collect()), key=key)
+            assert got == plain
+
+
+def _rows_per_partition(df):
+    return sorted((r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()), reverse=True)
+
+
+def test_hot_null_and_repeated_keys_are_spread(spark):
+    """Rows a task gets after the join, without adaptive execution: a hot key, null keys."""
+    from daybook.operators.joins import salted_join, top_hot_keys
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dim = spark.createDataFrame([(1, 10), (2, 20)], "k long, w long")
+        hot_key = spark.range(4000).select(F.lit(1).cast("long").alias("k"), "id")
+        hot = top_hot_keys(hot_key.groupBy("k").count(), ["k"], "count", 100)
+        assert _rows_per_partition(salted_join(hot_key, dim, "k", hot, salt_rows=100))[0] < 2000
+        no_key = spark.range(4000).select(F.lit(None).cast("long").alias("k"), "id")
+        assert _rows_per_partition(salted_join(no_key, dim, "k", None))[0] < 2000
+        # one row 4,000 times: joined once, expanded where it is
+        same = spark.range(4000).select(F.lit(1).cast("long").alias("k"), F.lit("x").alias("v"))
+        out = salted_join(same, dim, "k", None, repeats=True)
+        assert out.count() == 4000 and out.distinct().collect()[0]["w"] == 10
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_more_hot_keys_than_the_limit(spark):
+    """A key left out of the hot ones holds less than its share of all rows."""
     from daybook.operators.joins import top_hot_keys
-    hot_df = top_hot_keys(big.groupBy("k").count(), ["k"], "count", 10)
-    salted2 = sorted((tuple(r) for r in salted_join(big, dim, "k", hot_df, "left", salt_rows=3).collect()), key=key)
-    assert salted2 == plain
-    assert salted == plain
+    counts = spark.createDataFrame([(i, 1000 + i) for i in range(50)], "k long, n long")
+    assert top_hot_keys(counts, ["k"], "n", 1, max_keys=10).count() == 0
+    assert top_hot_keys(counts, ["k"], "n", 1, max_keys=50).count() == 25
 
 
 def test_cc_giant_star_uses_hot_paths(spark, monkeypatch):

@@ -124,7 +124,7 @@ def test_tokens_and_stopwords(spark):
     w = df.select("id", text.tokens("t").alias("words"))
     a = {r.id: r.words for r in text.remove_stopwords(w, "words", ["hello"]).collect()}
     stop = spark.createDataFrame([("hello",)], "term string")
-    b = {r.id: r.words for r in text.remove_stopwords(w, "words", stop, doc_col="id").collect()}
+    b = {r.id: r.words for r in text.remove_stopwords(w, "words", stop).collect()}
     assert a[1] == b[1] == ["world", "again", "中华", "华人", "人民"] and b[2] == []
 
 
@@ -145,7 +145,7 @@ def test_sql_hash_vector(spark):
 
 def test_bayes_score_without_broadcast(sample, test_df):
     m = bayes.bayes_fit(sample, FEATS, "label", "pos")
-    got = {r.name: r.probability for r in bayes.bayes_score(m, test_df, "name", FEATS, broadcast_max_rows=0).collect()}
+    got = {r.name: r.probability for r in bayes.bayes_score(m, test_df, "name", FEATS, broadcast_bytes=0).collect()}
     assert got["t3"] == pytest.approx(0.19679300291545185, abs=1e-9)
 
 
@@ -159,7 +159,7 @@ def test_block_top_k_matches_brute_force(spark, metric):
     df = spark.createDataFrame([(i, float(labels[i]), [float(x) for x in v]) for i, v in enumerate(vecs)],
                                "id long, label double, vec array<double>")
     k = 5
-    got = neighbors.top_k_neighbors(df, df, k, metric, label="label", exclude_self=True, rows_per_block=7)
+    got = neighbors.top_k_neighbors(df, df, k, metric, label="label", exclude_self=True)
     got = {(r.qid, r.rank): r.cid for r in got.collect()}
 
     def sim(a, b):
@@ -173,9 +173,51 @@ def test_block_top_k_matches_brute_force(spark, metric):
             assert got[(q, rank)] == c, (q, rank)
 
 
+def test_identical_and_distant_vectors_score_by_definition(spark):
+    from daybook.functions import euclidean_similarity, register_functions
+    big = [[1e8, 0.0], [1e8 + 1, 3.0], [1e8, 1.0]]
+    c = spark.createDataFrame([(float(i), v) for i, v in enumerate(big)], "id double, vec array<double>")
+    q = spark.createDataFrame([(1.2, [1e8, 1.0]), (1.7, [1e8, 1.0])], "id double, vec array<double>")
+    got = {(r.qid, r.cid): r.sim for r in neighbors.top_k_neighbors(q, c, 3).collect()}
+    assert set(k[0] for k in got) == {1.2, 1.7}  # ids keep their type
+    cols = q.alias("q").crossJoin(c.alias("c")).select("q.id", F.col("c.id").alias("cid"), euclidean_similarity("q.vec", "c.vec").alias("s"))
+    assert got == {(r.id, r.cid): r.s for r in cols.collect()}
+    assert got[(1.2, 2.0)] == 1.0
+    # unequal lengths: as far as both go, in all three forms
+    register_functions(spark)
+    a = spark.createDataFrame([(1, [1.0, 2.0])], "id long, vec array<double>")
+    b = spark.createDataFrame([(2, [1.0, 2.0, 3.0])], "id long, vec array<double>")
+    assert neighbors.top_k_neighbors(a, b, 1).first().sim == 1.0
+    assert spark.sql("select euclidean_similarity(array(1D, 2D), array(1D, 2D, 3D)) s").first().s == 1.0
+    with pytest.raises(ValueError):
+        neighbors.top_k_neighbors(a, c, 1, max_sample=2)
+
+
+def test_similar_items_in_pieces_match_one_piece(spark):
+    import numpy as np
+    rnd = np.random.default_rng(6)
+    df = spark.createDataFrame([(i, i % 2 if i % 7 else None, [float(x) for x in rnd.normal(size=4).round(1)]) for i in range(60)],
+                               "id long, class long, vec array<double>")
+    want = sorted(map(tuple, neighbors.similar_items(df, 4, block="class").collect()))
+    got = sorted(map(tuple, neighbors.similar_items(df, 4, block="class", block_rows=5).collect()))
+    assert got == want and len(got) == 240
+
+
+def test_stopword_branches_agree(spark):
+    df = spark.createDataFrame([(1, ["a", "b", "a"]), (1, ["c"]), (2, None), (3, ["b", None]), (4, [])], "id long, w array<string>")
+    stop = spark.createDataFrame([("b",), ("b",), (None,)], "term string")
+    small = text.remove_stopwords(df, "w", stop, "kept")
+    large = text.remove_stopwords(df, "w", stop, "kept", inline_bytes=0)
+    rows = lambda d: sorted(map(repr, d.select("id", "w", "kept").collect()))
+    assert rows(small) == rows(large) == rows(text.remove_stopwords(df, "w", ["b"], "kept"))
+    assert {repr(r.kept) for r in small.collect()} == {"['a', 'a']", "['c']", "None", "[None]", "[]"}
+
+
 def test_lexicon_segmentation(spark):
-    df = spark.createDataFrame([(1, "质量很好，物流快 OK!"), (2, None)], "id long, t string")
-    lex = spark.createDataFrame([("质量",), ("很好",), ("物流",)], "term string")
-    got = {r.id: r.words for r in text.segment(df, "t", lex).collect()}
-    assert got[1] == ["质量", "很好", "物流", "快", "ok"] and got[2] == []
-    assert text._segment_run("甲乙丙质量", frozenset({"质量"}), 8) == ["甲乙", "乙丙", "质量"]
+    long_word = "一二三四五六七八九十"
+    df = spark.createDataFrame([(1, "质量很好，物流快 OK!"), (2, None), (1, "甲乙丙质量"), (3, long_word), (3, "一" + long_word)],
+                               "id long, t string")
+    lex = spark.createDataFrame([("质量",), ("很好",), ("物流",), ("快",), (long_word,), ("一二",), (None,)], "term string")
+    got = sorted(repr(r.words) for r in text.segment(df, "t", lex).collect())
+    assert got == sorted(map(repr, [["质量", "很好", "物流", "快", "ok"], [], ["甲乙", "乙丙", "质量"], [long_word], ["一", long_word]]))
+    assert [r.words for r in text.segment(df, "t", lex.where("false")).where("t = '甲乙丙质量'").collect()] == [["甲乙", "乙丙", "丙质", "质量"]]
