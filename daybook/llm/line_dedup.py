@@ -105,7 +105,9 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     # classes with any compatible partner
     e = _entries(classes)
     other = (F.col("a.word") == F.col("b.word")) & ((F.col("a.h") != F.col("b.h")) | (F.col("a.sig") != F.col("b.sig")))
-    some = e.alias("a").join(e.alias("b"), other & _compatible("a", "b"), "left_semi").select(*_CLASS).distinct()
+    # written by itself: the two sides of this join are then one exchange
+    some = save(e.alias("a").join(e.alias("b"), other & _compatible("a", "b"), "left_semi").select(*_CLASS).distinct())
+    release(spark)
     some = save(classes.join(some, _CLASS, "left_semi"))
     release(spark)
 
