@@ -40,17 +40,24 @@ def vectorize(cols: list[str | Column]) -> Column:
                                                 F.lit(0.0)) for c in cols]))
 
 
-def sparse_vector(size: int, index: str | Column, value: str | Column) -> Column:
-    """M6: one-hot style vector of ``size`` with ``value`` at ``index`` (no lambda: two
-    zero runs around the value). Returned dense; ``assemble`` (``VectorAssembler``)
-    stores it sparse when that is smaller. Meant for modest sizes; text features come
-    sparse from ``term_frequency`` directly."""
-    idx = (F.col(index) if isinstance(index, str) else index).cast("int")
-    val = (F.col(value) if isinstance(value, str) else value).cast("double")
-    zeros = F.array_repeat(F.lit(0.0), F.lit(size))
-    placed = F.concat(F.array_repeat(F.lit(0.0), idx), F.array(F.coalesce(val, F.lit(0.0))),
-                      F.array_repeat(F.lit(0.0), F.lit(size - 1) - idx))
-    return array_to_vector(F.when((idx >= 0) & (idx < size), placed).otherwise(zeros))
+def sparse_vector(size: int, index: str | Column | list, value: str | Column | list) -> Column:
+    """M6: vector of ``size`` with values at indices, zero elsewhere. ``index`` and ``value``
+    are columns, or lists of columns of one length for several places.
+
+    An index outside the vector or null is left out, of an index given twice the first
+    value counts, and a null value is 0.0. Returned dense; ``assemble``
+    (``VectorAssembler``) stores it sparse when that is smaller. Meant for modest sizes;
+    text features come sparse from ``term_frequency`` directly."""
+    idx = [(F.col(c) if isinstance(c, str) else c).cast("int") for c in (index if isinstance(index, list) else [index])]
+    val = [(F.col(c) if isinstance(c, str) else c).cast("double") for c in (value if isinstance(value, list) else [value])]
+    if len(idx) != len(val):
+        raise ValueError("as many values as indices")
+    indices, values = F.array(*idx), F.array(*[F.coalesce(v, F.lit(0.0)) for v in val])
+
+    def cell(i: Column) -> Column:
+        return F.coalesce(F.get(values, F.coalesce(F.array_position(indices, i), F.lit(0)).cast("int") - 1), F.lit(0.0))
+
+    return array_to_vector(F.transform(F.sequence(F.lit(0), F.lit(size - 1)), cell))
 
 
 def assemble(df: DataFrame, cols: list[str], out_col: str = "features") -> DataFrame:

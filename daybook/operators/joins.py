@@ -11,7 +11,7 @@ Rules followed throughout the library:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # A key is hot when it holds at least this many rows ...
@@ -128,3 +128,12 @@ def salted_join(big: DataFrame, dim: DataFrame, key: str, hot: DataFrame | None,
     if repeats:
         out = out.withColumn("_again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
     return out.select(*names, *vals)
+
+
+def top_k_per_key(df: DataFrame, key: str | list[str], order: list, k: int, rank_col: str = "rank") -> DataFrame:
+    """Of each ``key`` the first ``k`` rows by ``order``, numbered from 1 in
+    ``rank_col``. Spark keeps ``k`` rows a key and partition before the shuffle, so a hot
+    key doesn't move its rows. Ties fall as ``order`` leaves them: end it with a unique
+    column for one answer."""
+    w = Window.partitionBy(*([key] if isinstance(key, str) else key)).orderBy(*order)
+    return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)

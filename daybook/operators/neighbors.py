@@ -21,9 +21,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.operators.joins import top_k_per_key
+
 # Most rows of a KNN sample: it is collected and broadcast (at 64 cells about 50 MB).
 MAX_SAMPLE = 100_000
 # Rows of a block that meet in one piece, and scores held at a time.
@@ -178,8 +180,7 @@ def top_k_neighbors(queries: DataFrame, sample: DataFrame, k: int, metric: str =
                 yield _rows(part, c, i, j, sim, metric, _NAMES)
 
     found = d.mapInArrow(run, _schema(*kinds))
-    w = Window.partitionBy("qid").orderBy(F.col("sim").desc_nulls_last(), "label", "cid")
-    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return top_k_per_key(found, "qid", [F.col("sim").desc_nulls_last(), "label", "cid"], k)
 
 
 def knn_classify(test: DataFrame, sample: DataFrame, k: int = 4, id_col: str = "id",
@@ -222,7 +223,6 @@ def similar_items(df: DataFrame, k: int, id_col: str = "id", vec: str = "vec", b
         return pa.Table.from_batches([_rows(v, v, *_best(v, v, k, "cosine", other), "cosine", _NAMES)])
 
     nn = d.groupBy("block", "i", "j").applyInArrow(piece, _schema(kind, kind))
-    w = Window.partitionBy("qid").orderBy(F.col("sim").desc_nulls_last(), "cid")
-    return (nn.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return (top_k_per_key(nn, "qid", [F.col("sim").desc_nulls_last(), "cid"], k)
             .select(F.col("qid").alias(id_col), F.col("cid").alias("other_id"), "rank",
                     F.col("sim").alias("cos"), F.col("sim2").alias("eud")))

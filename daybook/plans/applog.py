@@ -107,9 +107,11 @@ def _kv(k: str, v: Column) -> Column:
 def app_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON line per event (``value``). Defects by ``floor(value)``: 0 blank
     eventid, 1 quoted timestamp (valid), 2 no ``event``, 3 empty ``event`` (valid), 4 only
-    a deviceId, 5 quoted latitude (valid), 6 latitude ``abc``, 7 not JSON, 8 latitude
+    a deviceId and a full-width blank uid, 5 quoted latitude (valid), 6 latitude ``abc``, 7 not JSON, 8 latitude
     out of range, 9 shifted longitude (unknown cell), 10 no imei, 11 blank sessionId.
-    Users without a customer row have no ``loc`` object."""
+    Blanks are plain spaces or the
+    empty string in one line, full-width or em spaces in the next. Users without a customer
+    row have no ``loc`` object."""
     e = table(spark, sf_dir, "events")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     j = e.join(c, e.user_id == c.c_custkey, "left")
@@ -121,14 +123,15 @@ def app_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lat_txt = (F.when(cat == 5, _q(lat.cast("string"))).when(cat == 6, F.lit('"abc"'))
                .when(cat == 8, (lat + 200.0).cast("string")).otherwise(lat.cast("string")))
     lng_txt = F.when(cat == 9, (lng + 90.0).cast("string")).otherwise(lng.cast("string"))
+    odd = F.col("event_id") % 2 == 1
     phone = F.concat_ws(",",
                         F.when(~cat.isin(4, 10), _kv("imei", _q(F.concat(F.lit("imei-"), uid)))),
                         F.when(cat != 4, _kv("mac", _q(F.concat(F.lit("mac-"), (F.col("user_id") / 2).cast("long").cast("string"))))),
                         _kv("osName", F.lit('"android"')),
                         _kv("deviceId", _q(F.concat(F.lit("dev-"), uid))))
     user = F.concat_ws(",",
-                       F.when(cat != 4, _kv("uid", _q(F.concat(F.lit("u"), uid)))),
-                       _kv("sessionId", _q(F.when(cat == 11, F.lit("  ")).otherwise(
+                       _kv("uid", _q(F.when(cat == 4, F.lit("\u3000")).otherwise(F.concat(F.lit("u"), uid)))),
+                       _kv("sessionId", _q(F.when((cat == 11) & odd, F.lit("\u2003")).when(cat == 11, F.lit("  ")).otherwise(
                            F.concat(F.lit("s"), uid, F.lit("-"), F.date_format("ts", "yyyyMMdd"))))),
                        _kv("phone", F.concat(F.lit("{"), phone, F.lit("}"))),
                        _kv("app", F.lit('{"appid":"cn.app","appVer":"2.1"}')),
@@ -136,7 +139,7 @@ def app_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.lit("{"), _kv("longtitude", lng_txt), F.lit(","), _kv("latitude", lat_txt),
                            F.lit(',"carrier":"cm","netType":"wifi"}')))))
     body = F.concat_ws(",",
-                       _kv("eventid", _q(F.when(cat == 0, F.lit("")).otherwise(F.col("event_type")))),
+                       _kv("eventid", _q(F.when((cat == 0) & odd, F.lit("\u3000 ")).when(cat == 0, F.lit("")).otherwise(F.col("event_type")))),
                        _kv("timestamp", F.when(cat == 1, _q(millis.cast("string"))).otherwise(millis.cast("string"))),
                        F.when(cat == 3, _kv("event", F.lit("{}"))).when(cat != 2, _kv("event", F.col("props"))),
                        _kv("user", F.concat(F.lit("{"), user, F.lit("}"))))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from daybook.operators import idmap
 from daybook.plans.registry import register
-from daybook.plans.sqlutil import cc_sql, jh
+from daybook.plans.sqlutil import NOT_BLANK, cc_sql, jh
 from daybook.plans.tables import table
 
 ROLL_CUT = "1998-01-01"
@@ -81,23 +81,25 @@ def q_idmap_roll(spark, sf_dir):
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``customer,order,date`` text lines; a partially filled order has a blank order
-    field, which links its customer to the empty-string vertex as in the reference."""
+    field, empty or one full-width space by turns, which links its customer to that blank's
+    vertex as in the reference, but is no vertex of its own and no start of a link."""
     o = table(spark, sf_dir, "orders")
     return o.select(F.concat_ws(
         ",",
         F.concat(F.lit("C"), F.col("o_custkey").cast("string")),
-        F.when(F.col("o_orderstatus") == "P", F.lit("")).otherwise(
+        F.when((F.col("o_orderstatus") == "P") & (F.col("o_orderkey") % 2 == 1), F.lit("\u3000"))
+        .when(F.col("o_orderstatus") == "P", F.lit("")).otherwise(
             F.concat(F.lit("O"), F.col("o_orderkey").cast("string"))),
         F.date_format("o_orderdate", "yyyy-MM-dd")).alias("value"))
 
 
 _LINK_SQL = f"""WITH RECURSIVE
-lines AS (SELECT 'C' || o_custkey || ',' || (CASE WHEN o_orderstatus = 'P' THEN '' ELSE 'O' || o_orderkey END)
+lines AS (SELECT 'C' || o_custkey || ',' || (CASE WHEN o_orderstatus = 'P' AND o_orderkey % 2 = 1 THEN chr(12288) WHEN o_orderstatus = 'P' THEN '' ELSE 'O' || o_orderkey END)
                  || ',' || coalesce(strftime(o_orderdate, '%Y-%m-%d'), '') AS line FROM orders),
 f AS (SELECT line, string_split(regexp_replace(line, ',+$', ''), ',') AS fs FROM lines),
-nb AS (SELECT line, list_filter(fs, lambda x: regexp_matches(x, '\\S')) AS names, fs FROM f),
+nb AS (SELECT line, list_filter(fs, lambda x: regexp_matches(x, '{NOT_BLANK}')) AS names, fs FROM f),
 pr AS (SELECT fs[i] AS a, fs[i + 1] AS b FROM (SELECT fs, unnest(generate_series(1, len(fs) - 1)) AS i FROM f)
-       WHERE regexp_matches(a, '\\S')),
+       WHERE regexp_matches(a, '{NOT_BLANK}')),
 {cc_sql('cc', f"SELECT {jh('n')} AS id FROM (SELECT unnest(names) AS n FROM nb)", f"SELECT {jh('a')} AS src, {jh('b')} AS dst FROM pr")}
 SELECT cc.comp AS gid, nb.line FROM nb LEFT JOIN cc ON cc.id = {jh('nb.names[1]')}"""
 

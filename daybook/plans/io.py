@@ -15,6 +15,8 @@ from daybook.plans.tables import table
 
 @register("q_sources", """SELECT 'text' AS fmt, c_custkey, c_name, c_acctbal FROM customer
 UNION ALL SELECT 'csv', c_custkey, c_name, c_acctbal FROM customer
+UNION ALL SELECT 'csv strings', c_custkey, c_name, c_acctbal FROM customer
+UNION ALL SELECT 'csv plain', c_custkey, c_name, c_acctbal FROM customer
 UNION ALL SELECT 'parquet', c_custkey, c_name, c_acctbal FROM customer""")
 def q_sources(spark, sf_dir):
     base = f"{sources.checkpoint_dir(spark).rstrip('/')}/daybook-sources-{uuid.uuid4().hex}"
@@ -25,6 +27,12 @@ def q_sources(spark, sf_dir):
     # Header CSV with a declared schema
     c.write.option("header", True).csv(f"{base}/csv")
     csv = sources.read_csv(spark, f"{base}/csv", "c_custkey long, c_name string, c_acctbal double", header=True)
+    # The same without a schema, all strings
+    strings = sources.read_csv(spark, f"{base}/csv", header=True).select(
+        F.col("c_custkey").cast("long"), "c_name", F.col("c_acctbal").cast("double"))
+    # S3: a declared schema over files without a header
+    c.write.csv(f"{base}/plain")
+    plain = sources.read_csv(spark, f"{base}/plain", "c_custkey long, c_name string, c_acctbal double", header=False)
     # Text lines (tab-separated; names hold no tabs), parsed back with split
     c.select(F.concat_ws("\t", "c_custkey", "c_name", F.col("c_acctbal").cast("string")).alias("value")) \
         .write.text(f"{base}/text")
@@ -33,4 +41,6 @@ def q_sources(spark, sf_dir):
         parts[0].cast("long").alias("c_custkey"), parts[1].alias("c_name"), parts[2].cast("double").alias("c_acctbal"))
     return (txt.select(F.lit("text").alias("fmt"), "*")
             .unionByName(csv.select(F.lit("csv").alias("fmt"), "*"))
+            .unionByName(strings.select(F.lit("csv strings").alias("fmt"), "*"))
+            .unionByName(plain.select(F.lit("csv plain").alias("fmt"), "*"))
             .unionByName(pq.select(F.lit("parquet").alias("fmt"), "*")))

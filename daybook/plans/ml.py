@@ -3,12 +3,15 @@ Q-CMT, T1, T2, M7, M8)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook import sources
 from daybook.operators import bayes, classify, features, neighbors, text
 from daybook.plans.registry import register
-from daybook.plans.sqlutil import hashing_tf_bucket, jh
+from daybook.plans.sqlutil import geohash_sql, hashing_tf_bucket, jh
 from daybook.plans.tables import table
 
 BAYES_FEATURES = ["priority", "segment", "year", "nation"]
@@ -103,6 +106,49 @@ def q_vectors(spark, sf_dir):
     return o.select("o_orderkey", (arr[0] + 10 * arr[1] + 100 * arr[2]).alias("weighted"))
 
 
+@register("q_sparse_vectors", """SELECT o_orderkey, CAST(CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 ELSE 2 END AS DOUBLE)
+  + 100.0 * (3 + o_orderkey % 7) AS at, o_totalprice + 2.0 AS total FROM orders""")
+def q_sparse_vectors(spark, sf_dir):
+    """M6 with two indices: the price at the priority's place and 2.0 at 3 to 9, assembled
+    (sparse) and read back: the places weighted 1 and 100, and the sum of the cells."""
+    from pyspark.ml.functions import vector_to_array
+    o = table(spark, sf_dir, "orders")
+    code = F.when(F.col("o_orderpriority") == "1-URGENT", 0).when(F.col("o_orderpriority") == "2-HIGH", 1).otherwise(2)
+    v = o.select("o_orderkey", "o_totalprice", features.sparse_vector(
+        10, [code, 3 + F.col("o_orderkey") % 7], ["o_totalprice", F.lit(2.0)]).alias("sv"))
+    cells = vector_to_array(F.col("vec"))
+    at = F.aggregate(F.transform(cells, lambda x, i: F.when(x == 0, 0.0).when(i < 3, i.cast("double")).otherwise(100.0 * i)), F.lit(0.0),
+                     lambda a, x: a + x)
+    return features.assemble(v, ["sv"], "vec").select("o_orderkey", at.alias("at"),
+                                                      F.aggregate(cells, F.lit(0.0), lambda a, x: a + x).alias("total"))
+
+
+_SF_D = "((c_nationkey - c_custkey % 9) * (c_nationkey - c_custkey % 9) + (c_acctbal - 100.0) * (c_acctbal - 100.0))"
+
+
+@register("q_sql_functions", f"""SELECT c_custkey, round({_SF_D}, 6) AS d2, round(1.0 / (1.0 + sqrt({_SF_D})), 12) AS eud,
+  round(CASE WHEN c_nationkey = 0 AND c_acctbal = 0 THEN NULL ELSE (c_nationkey * (c_custkey % 9) + c_acctbal * 100.0)
+    / (sqrt(c_nationkey * c_nationkey + c_acctbal * c_acctbal) * sqrt((c_custkey % 9) * (c_custkey % 9) + 10025.0)) END, 12) AS cos,
+  {jh('c_name')} AS h, CAST(({jh('c_name')} & 2147483647) % 20 AS INTEGER) AS bucket,
+  CAST(len(list_distinct([({jh('c_name')} & 2147483647) % 20, ({jh('c_mktsegment')} & 2147483647) % 20])) AS DOUBLE) AS ones,
+  {geohash_sql("(c_acctbal * CAST(0.0175 AS DOUBLE) - CAST(87.5 AS DOUBLE))", "(CAST((c_custkey * 37) % 360 AS DOUBLE) - CAST(179.5 AS DOUBLE))", 7)} AS geo
+FROM customer""")
+def q_sql_functions(spark, sf_dir):
+    """R1 to R4 and the geohash as SQL functions through ``spark.sql``, over every customer;
+    the arrays compared have two and three cells."""
+    from daybook.functions import register_functions
+
+    register_functions(spark)
+    view = f"daybook_customer_{uuid.uuid4().hex}"
+    sources.as_view(table(spark, sf_dir, "customer"), view)
+    return spark.sql(f"""WITH x AS (SELECT *, array(double(c_nationkey), c_acctbal) AS a,
+          array(double(c_custkey % 9), 100D, 5D) AS b FROM {view})
+        SELECT c_custkey, round(squared_distance(a, b), 6) AS d2, round(euclidean_similarity(a, b), 12) AS eud,
+          round(cosine_similarity(a, b), 12) AS cos, java_hash(c_name) AS h, hash_bucket(c_name, 20) AS bucket,
+          aggregate(hash_vector(array(c_name, c_mktsegment, null), 20), 0D, (s, v) -> s + v) AS ones,
+          geohash_cell(c_acctbal * 0.0175D - 87.5D, double((c_custkey * 37) % 360) - 179.5D, 7) AS geo FROM x""")
+
+
 _HB = [f"CAST(({jh(c)} & 2147483647) % 20 AS INTEGER)" for c in ("o_orderpriority", "c_mktsegment",
                                                                   "CAST(year(o_orderdate) AS VARCHAR)")]
 _NB_SQL = f"""WITH x AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 0.0 ELSE 1.0 END AS label,
@@ -127,12 +173,15 @@ FROM r"""
 @register("q_nb_hash", _NB_SQL)
 def q_nb_hash(spark, sf_dir):
     """Q-NB: 20-bucket binary hash vectors (M3) of priority, segment and year, library
-    multinomial naive Bayes (M4, smoothing 1) fitted and applied to every order."""
+    multinomial naive Bayes (M4, smoothing 1) fitted, saved and loaded again (S12), and
+    applied to every order."""
     d = order_features(spark, sf_dir)
     cols = [F.col("priority"), F.col("segment"), F.col("year")]
     train = d.select("o_orderkey", F.when(F.col("label") == "F", 0.0).otherwise(1.0).alias("label"),
                      features.hash_vectorize(cols).alias("vec"))
-    model = classify.nb_fit(train, "vec", "label")
+    path = f"{sources.checkpoint_dir(spark).rstrip('/')}/daybook-model-{uuid.uuid4().hex}"
+    classify.save_model(classify.nb_fit(train, "vec", "label"), path)
+    model = classify.load_model(path)
     pred = classify.probability_columns(classify.nb_predict(model, train), 2)
     return pred.select("o_orderkey", "prediction", F.round("p0", 9).alias("p0"))
 

@@ -3,14 +3,21 @@ and ``orders``; each has a DuckDB oracle."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from daybook import sources
+from daybook.functions.core import date_add_str, to_day
 from daybook.operators import activity as act
+from daybook.plans import jobs
 from daybook.plans.registry import register
 from daybook.plans.tables import table
 
 EVENTS_AS_OF = "2024-01-30"
-ORDERS_AS_OF = "2000-01-10"
+# a day with orders a little after the new year, and the last day on which there are orders
+ORDERS_AS_OF, ORDERS_END = "2000-01-10", "2001-08-01"
 
 
 def ranges_sql(src: str, user: str, ts: str, as_of: str) -> str:
@@ -64,8 +71,8 @@ def event_ranges(spark: SparkSession, sf_dir: str):
     return act.active_ranges(table(spark, sf_dir, "events"), "user_id", "ts", EVENTS_AS_OF)
 
 
-def order_ranges(spark: SparkSession, sf_dir: str):
-    return act.active_ranges(table(spark, sf_dir, "orders"), "o_custkey", "o_orderdate", ORDERS_AS_OF)
+def order_ranges(spark: SparkSession, sf_dir: str, as_of: str = ORDERS_AS_OF):
+    return act.active_ranges(table(spark, sf_dir, "orders"), "o_custkey", "o_orderdate", as_of)
 
 
 @register("q_active_ranges", f"WITH {_EV} SELECT * FROM rng")
@@ -106,6 +113,45 @@ def q_interval_new_year(spark, sf_dir):
     return act.visit_intervals(order_ranges(spark, sf_dir), ORDERS_AS_OF, 400)
 
 
-@register("q_uca_orders", _uca_sql(_OR, ORDERS_AS_OF))
+# a customer seldom orders two days running; the orders of a priority do
+_PR = ranges_sql("orders", "o_orderpriority", "o_orderdate", ORDERS_END)
+
+
+@register("q_uca_orders", _uca_sql(_PR, ORDERS_END))
 def q_uca_orders(spark, sf_dir):
-    return act.continuous_active_users(order_ranges(spark, sf_dir), ORDERS_AS_OF)
+    """Q-UCA over the order days of each priority, all orders."""
+    o = table(spark, sf_dir, "orders")
+    return act.continuous_active_users(act.active_ranges(o, "o_orderpriority", "o_orderdate", ORDERS_END), ORDERS_END)
+
+
+@register("q_catalog", f"""SELECT 'uca' AS report, act_days AS days, users, dt FROM ({_uca_sql(_EV, EVENTS_AS_OF)})
+UNION ALL SELECT 'retention', rt_days, rt_users, dt FROM ({_art_sql(_EV, EVENTS_AS_OF)})""")
+def q_catalog(spark, sf_dir):
+    """S6, S10, S11, P4, Q-UCH, Q-ART over catalog tables: the ranges of all events in a
+    table partitioned by ``dt``, read through a view, the reports appended to tables by
+    ``dt`` (twice: a rerun replaces its day). The tables are dropped again."""
+    tag = uuid.uuid4().hex
+    src, uca, ret = (f"daybook_{k}_{tag}" for k in ("ranges", "uca", "retention"))
+    sources.append_table(event_ranges(spark, sf_dir).withColumn("dt", F.lit(EVENTS_AS_OF)), src, partition_by=["dt"])
+    for _ in range(2):
+        jobs.uca_report_table(spark, src, uca, EVENTS_AS_OF, source_dt=EVENTS_AS_OF)
+        jobs.retention_table(spark, src, ret, EVENTS_AS_OF)
+    sources.as_view(sources.read_table(spark, uca, f"dt = '{EVENTS_AS_OF}'"), f"{uca}_view")
+    out = spark.sql(f"""SELECT 'uca' AS report, act_days AS days, users, dt FROM {uca}_view
+        UNION ALL SELECT 'retention', rt_days, rt_users, dt FROM {ret}""")
+    sources.checkpoint_dir(spark)
+    out = out.checkpoint()
+    spark.catalog.dropTempView(f"{uca}_view")
+    for t in (src, uca, ret):
+        spark.sql(f"DROP TABLE {t}")
+    return out
+
+
+@register("q_date_add", """SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 60 - 30 AS INTEGER), '%Y-%m-%d') AS shifted,
+  strftime(CAST(o_orderdate AS DATE) + 7, '%Y-%m-%d') AS week_on FROM orders""")
+def q_date_add(spark, sf_dir):
+    """F4 (text) and F5 (date) over every order day."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", date_add_str(day, (F.col("o_orderkey") % 60 - 30).cast("int")).alias("shifted"),
+        F.date_add(to_day(day), 7).cast("string").alias("week_on"))

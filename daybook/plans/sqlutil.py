@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 
+# RE2 class of the characters that Java does not count as white space.
+NOT_BLANK = (r"[^\x09-\x0D\x1C-\x20\x{1680}\x{2000}-\x{2006}\x{2008}-\x{200A}\x{2028}\x{2029}\x{205F}\x{3000}]")
+
+
 def jh(e: str) -> str:
     """Java ``String.hashCode`` of a VARCHAR expression in DuckDB SQL (BMP text)."""
     return (f"(CASE WHEN {e} IS NULL THEN NULL WHEN {e} = '' THEN CAST(0 AS BIGINT) ELSE "
