@@ -42,25 +42,26 @@ def fold(events: DataFrame) -> DataFrame:
     * ``edit``: text replaces what the message has so far;
     * ``delete``: the message goes (until a later ``start``);
     * ``regenerate``: the message and all after it are undone as far as the log has come,
-      and the message begins anew with this event's text.
+      and the message begins anew with this event's text, in its role.
 
     Null text is empty; a null kind is a delta; a message's role is the last one given,
-    empty if none is. Events of equal ``seq`` are taken by kind, then text; repeated events
-    each count. A delta without a start makes a message. A null ``conv_id`` is a
+    empty if none is. Of events of equal ``seq`` deltas come last, else by kind and text;
+    repeated events each count. A delta without a start makes a message. A null ``conv_id`` is a
     conversation of its own; an empty log gives no rows; other columns are ignored.
     """
     e = events.select("conv_id", "seq", "message", F.coalesce("kind", F.lit("delta")).alias("kind"), "role",
                       F.coalesce("text", F.lit("")).alias("text"))
-    later = (Window.partitionBy("conv_id").orderBy(F.col("seq").desc(), F.col("kind").desc(), F.col("text").desc())
-             .rowsBetween(Window.unboundedPreceding, -1))
+    at = [F.col("seq"), F.col("kind") == "delta", F.col("kind"), F.col("text")]
+    here = Window.partitionBy("conv_id", "message").orderBy(*at).rowsBetween(Window.unboundedPreceding, 0)
+    later = Window.partitionBy("conv_id").orderBy(*[c.desc() for c in at]).rowsBetween(Window.unboundedPreceding, -1)
+    e = e.withColumn("role", F.last("role", ignorenulls=True).over(here))
     undone = F.min(F.when(F.col("kind") == "regenerate", F.col("message"))).over(later)
     e = e.withColumn("_undone", undone).where("_undone is null or message is null or message < _undone")
-    here = Window.partitionBy("conv_id", "message").orderBy("seq", "kind", "text")
-    e = e.withColumn("_part", F.count(F.when(F.col("kind") != "delta", 1)).over(here))
+    e = e.withColumn("_part", F.count(F.when(F.col("kind") != "delta", 1)).over(here)).withColumn("_delta", F.col("kind") == "delta")
     parts = e.groupBy("conv_id", "message", "_part").agg(
         F.max_by("kind", F.struct(F.col("kind") != "delta", "seq")).alias("kind"),
         F.max_by("role", F.when(F.col("role").isNotNull(), F.col("seq"))).alias("role"),
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("seq", "kind", "text"))), lambda x: x["text"]), "").alias("text"))
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("seq", "_delta", "kind", "text"))), lambda x: x["text"]), "").alias("text"))
     last = parts.groupBy("conv_id", "message").agg(
         F.max_by(F.struct("kind", "text"), "_part").alias("m"),
         F.coalesce(F.max_by("role", F.when(F.col("role").isNotNull(), F.col("_part"))), F.lit("")).alias("role"))

@@ -10,7 +10,7 @@ and equal recipes mean equal texts. Long documents never move again.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm.common import BLANKS, save, text_or_empty
@@ -80,12 +80,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def _with_ranks(d: DataFrame, rows: DataFrame, clash: DataFrame, named) -> DataFrame:
     """Adds ``_ranks``: for chunks on a colliding hash, ``position:rank`` in order."""
-    at = d.select("_text", F.posexplode("_chunks").alias("p", "c")).withColumn("h", named(F.col("c")))
+    sha = F.sha2(F.col("_text").cast("binary"), 256).alias("text_sha256")
+    at = d.select(sha, F.posexplode("_chunks").alias("p", "c")).withColumn("h", named(F.col("c")))
     at = at.join(clash, "h", "left_semi")
-    texts = at.select("h", "c").distinct()
-    ranked = texts.join(texts.withColumnRenamed("c", "o"), "h").where("o <= c").groupBy("h", "c").agg(
-        F.count(F.lit(1)).alias("r"))
-    per_text = (at.join(ranked, ["h", "c"]).groupBy(F.sha2(F.col("_text").cast("binary"), 256).alias("text_sha256"))
+    ranked = at.select("h", "c").distinct().withColumn("r", F.row_number().over(Window.partitionBy("h").orderBy("c")))
+    per_text = (at.join(ranked, ["h", "c"]).groupBy("text_sha256")
                 .agg(F.sort_array(F.collect_set(F.struct("p", "r"))).alias("pr")))
     per_text = per_text.select("text_sha256", F.concat_ws(",", F.transform(
         "pr", lambda x: F.concat_ws(":", x["p"].cast("string"), x["r"].cast("string")))).alias("_ranks"))
