@@ -24,7 +24,7 @@ from daybook.llm.common import drop, release, save, text_or_empty
 # Buckets of the table of word counts (its size is fixed, whatever the vocabulary).
 RARITY_BUCKETS = 1 << 18
 # Lines of a prefix word that are compared with all its others first.
-EARLIEST = 4
+EARLIEST = 3
 _LOW = (1 << 55) - 1
 _PLACE = ["id", "th", "no"]  # a line: document id, hash of its text, number
 _CLASS = ["h", "sig", "n"]  # a set of words
@@ -101,6 +101,10 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     place = F.struct(*_PLACE)
     classes = save(lines.groupBy(*_CLASS, "prefix").agg(F.min(place).alias("ord")))
     release(spark)
+    same = functools.reduce(Column.__and__, [F.col(f"p.{c}").eqNullSafe(F.col(f"w.{c}")) for c in _PLACE])
+    copies = save(lines.select(*_PLACE).alias("p").join(classes.select("ord.*").alias("w"), same, "left_anti").distinct())
+    drop(lines)
+    release(spark)
 
     # classes with any compatible partner
     e = _entries(classes)
@@ -109,6 +113,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     some = save(e.alias("a").join(e.alias("b"), other & _compatible("a", "b"), "left_semi").select(*_CLASS).distinct())
     release(spark)
     some = save(classes.join(some, _CLASS, "left_semi"))
+    drop(classes)
     release(spark)
 
     # their words
@@ -134,16 +139,15 @@ def removed_lines(docs: DataFrame) -> DataFrame:
                      F.array(*[F.nth_value(one, k).over(order) for k in range(1, EARLIEST + 1)]).alias("early"))
     near = first.select("b", F.explode(F.filter("early", lambda a: (a["ord"] < F.col("b.ord")) & _fits(a, F.col("b")))).alias("a"))
     gone = confirmed(near.select("a.ord", "b.ord").toDF("a", "b"))
+    release(spark)
 
     # with all, for those still there
     later = _entries(some.join(gone, "ord", "left_anti"), "ord")
     pairs = e.alias("a").join(later.alias("b"), (F.col("a.word") == F.col("b.word")) & (F.col("a.ord") < F.col("b.ord")) & _compatible("a", "b"))
     gone = gone.unionByName(confirmed(pairs.select("a.ord", "b.ord").toDF("a", "b")))
 
-    same = functools.reduce(Column.__and__, [F.col(f"p.{c}").eqNullSafe(F.col(f"w.{c}")) for c in _PLACE])
-    copies = lines.select(*_PLACE).alias("p").join(classes.select("ord.*").alias("w"), same, "left_anti")
     out = save(copies.unionByName(gone.select("ord.*")).distinct())
-    for t in (lines, classes, some, codes):
+    for t in (copies, some, codes):
         drop(t)
     release(spark)
     return out
