@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,7 +46,9 @@ def text_or_empty(col: str) -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
-def release(spark: SparkSession) -> None:
-    """Let go of finished shuffles: their files stay until the driver collects garbage."""
+def release(spark: SparkSession, seconds: float = 1.0) -> None:
+    """Let go of finished shuffles before the next step: their files stay until the driver
+    collects garbage, and are then removed in the background, for which this waits a little."""
     gc.collect()
     spark._jvm.System.gc()
+    time.sleep(seconds)

@@ -120,8 +120,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     wanted = some.select("ord.*").groupBy("id", "th").agg(F.collect_list("no").alias("numbers"))
     same = F.col("p.id").eqNullSafe(F.col("w.id")) & (F.col("p.th") == F.col("w.th"))
     texts = docs.alias("p").join(wanted.alias("w"), same).select("p.id", "p.th", "text", "numbers")
-    codes = save(_lines(texts, levels, "numbers").select(F.struct(*_PLACE).alias("ord"), "codes")
-                 .dropDuplicates(["ord"]))
+    codes = save(_lines(texts, levels, "numbers").select(F.struct(*_PLACE).alias("ord"), "codes"))
     release(spark)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
