@@ -72,17 +72,14 @@ def append_table(df: DataFrame, name: str, partition_by: list[str] | None = None
         # insertInto is positional: follow the table's column order
         ordered = df.select(*spark.table(name).columns)
         if overwrite_partitions:
-            # dynamic overwrite for this write only; the session's setting is restored
-            key = "spark.sql.sources.partitionOverwriteMode"
-            old = spark.conf.get(key, None)
-            spark.conf.set(key, "dynamic")
-            try:
-                ordered.write.mode("overwrite").insertInto(name)
-            finally:
-                if old is None:
-                    spark.conf.unset(key)
-                else:
-                    spark.conf.set(key, old)
+            # an option of this write (insertInto has none): the session's setting isn't touched
+            parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+            about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+            (ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
+             .format(about["Provider"]).save(about["Location"]))
+            if parts:
+                spark.catalog.recoverPartitions(name)
+            spark.catalog.refreshTable(name)
         else:
             ordered.write.mode("append").insertInto(name)
         return
@@ -110,10 +107,5 @@ def spread(df: DataFrame) -> DataFrame:
     round-robin so the per-row work after the scan uses every core. On inputs that are
     already well split (the normal case for large tables) it returns ``df`` unchanged.
     Apply it to fact tables, not to small dimension tables."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the scan as it is
-        return df
-    return df.repartition(target)
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= target else df.repartition(target)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -19,6 +20,7 @@ DEFAULT_CONF: dict[str, str] = {
     # Iterative jobs (connected components) checkpoint every round; let the cleaner
     # delete a round's files once nothing references it.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.checkpoint.compress": "true",
     "spark.sql.files.maxPartitionBytes": "128m",
     # Joins decide broadcast by measured size; 64 MB keeps the build side small
     # relative to executor memory even when statistics are estimates.
@@ -50,8 +52,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The reliable checkpoint folder for lineage cuts.
 
     Reads ``spark.checkpoint.dir`` (or a folder already set on the context). Only a
-    local-mode session without one gets a fresh scratch folder; on a cluster an unset
-    folder is an error, because a machine-local folder does not survive executor loss.
+    session of one process (``local[n]``) without one gets a fresh scratch folder; on a
+    cluster, a local one of several processes included, an unset folder is an error,
+    because executors don't share a machine's folders and these don't survive their loss.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -61,7 +64,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
-    if not sc.master.startswith("local"):
+    if not re.match(r"local(\[|$)", sc.master):
         raise ValueError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) "
                          "before running iterative jobs on a cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="daybook-ckpt-"))
