@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm.common import read
+from daybook.plans.sqlutil import cc_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,7 +52,21 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-@query("op7_minhash_near_dedup")
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@query("op7_minhash_near_dedup", rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\x20\x09-\x0D]+'),
+                             lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+{cc_sql('cc', 'SELECT doc_id AS id FROM documents', 'SELECT x AS src, y AS dst FROM l')}
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, cc.comp AS component_id, cc.comp = d.doc_id AS kept
+FROM documents d JOIN cc ON cc.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""")
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm.minhash import near_dedup
 
@@ -118,7 +133,14 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read(spark, sf_dir, "pages"))
 
 
-@query("op9_cap_filter_near_dedup")
+@query("op9_cap_filter_near_dedup", f"""
+WITH RECURSIVE e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM e a JOIN e b ON a.label = b.label AND a.vec_id < b.vec_id AND len(a.v) = len(b.v)
+      WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+n AS (SELECT id, count(*) AS n FROM (SELECT x AS id FROM l UNION ALL SELECT y FROM l) GROUP BY id),
+{cc_sql('cc', 'SELECT vec_id AS id FROM e', 'SELECT x AS src, y AS dst FROM l')}
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, cc.comp AS component_id, cc.comp = e.vec_id AS kept
+FROM e JOIN cc ON cc.id = e.vec_id LEFT JOIN n ON n.id = e.vec_id""")
 def op9_cap_filter_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm.cap_filters import near_dedup
 
