@@ -3,8 +3,8 @@
 A line is the set of its words. Words are ordered by rarity (how often their hash bucket
 occurs in all texts); two sets of Jaccard similarity 0.8 then share a word among the first
 fifth of either (prefix filter), neither is smaller than 0.8 of the other (length filter),
-the words left after the shared one must suffice (positional filter), and a parity signature
-of 64 bits bounds in how many words they agree. What passes is verified on the whole sets.
+the words left after the shared one must suffice (positional filter), and parity signatures
+(64 bits, then 256) bound in how many words they agree. What passes is verified on the whole sets.
 
 Lines with the same set are one class, so a line that a third of all documents carry is one
 row of the join. A semi-join finds the classes that have any partner passing the filters;
@@ -72,6 +72,12 @@ def _lines(docs: DataFrame, levels: Column, numbers: str | None = None) -> DataF
     return rows.select(*_PLACE, word_codes(F.col("line"), levels).alias("codes")).where(F.size("codes") > 0)
 
 
+def _wide_signature() -> Column:
+    """Parity of the words in ``codes`` in 256 places, as four longs."""
+    lanes = [f"aggregate(filter(codes, c -> (shiftright(c, 6) & 3) = {k}), 0L, (a, c) -> a ^ shiftleft(1L, int(c & 63)))" for k in range(4)]
+    return F.array(*[F.expr(x) for x in lanes])
+
+
 def _compatible(a: str, b: str) -> Column:
     """Length, positional and signature filters on two entries of one prefix word."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
@@ -120,8 +126,9 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     wanted = some.select("ord.*").groupBy("id", "th").agg(F.collect_list("no").alias("numbers"))
     same = F.col("p.id").eqNullSafe(F.col("w.id")) & (F.col("p.th") == F.col("w.th"))
     texts = docs.alias("p").join(wanted.alias("w"), same).select("p.id", "p.th", "text", "numbers")
-    codes = save(_lines(texts, levels, "numbers").select(F.struct(*_PLACE).alias("ord"), "codes"))
+    codes = save(_lines(texts, levels, "numbers").select(F.struct(*_PLACE).alias("ord"), "codes", _wide_signature().alias("wide")))
     release(spark)
+    some = some.join(codes.select("ord", "wide"), "ord")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """The later lines of the pairs that are similar indeed."""
@@ -131,18 +138,19 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         return save(p.where(9 * shared >= 4 * (F.size("ca") + F.size("cb"))).select(F.col("b").alias("ord")).distinct())
 
     # with the earliest lines of each prefix word
-    e = _entries(some, "ord")
+    e = _entries(some, "ord", "wide")
     order = Window.partitionBy("word").orderBy("ord").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    one = F.struct("ord", "n", "pos", "sig")
-    first = e.select(F.struct("ord", "n", "pos", "sig").alias("b"),
+    one = F.struct("ord", "n", "pos", "wide")
+    first = e.select(one.alias("b"),
                      F.array(*[F.nth_value(one, k).over(order) for k in range(1, EARLIEST + 1)]).alias("early"))
     near = first.select("b", F.explode(F.filter("early", lambda a: (a["ord"] < F.col("b.ord")) & _fits(a, F.col("b")))).alias("a"))
     gone = confirmed(near.select("a.ord", "b.ord").toDF("a", "b"))
     release(spark)
 
     # with all, for those still there
-    later = _entries(some.join(gone, "ord", "left_anti"), "ord")
-    pairs = e.alias("a").join(later.alias("b"), (F.col("a.word") == F.col("b.word")) & (F.col("a.ord") < F.col("b.ord")) & _compatible("a", "b"))
+    later = _entries(some.join(gone, "ord", "left_anti"), "ord", "wide")
+    a, b = F.struct("a.ord", "a.n", "a.pos", "a.wide"), F.struct("b.ord", "b.n", "b.pos", "b.wide")
+    pairs = e.alias("a").join(later.alias("b"), (F.col("a.word") == F.col("b.word")) & (F.col("a.ord") < F.col("b.ord")) & _fits(a, b))
     gone = gone.unionByName(confirmed(pairs.select("a.ord", "b.ord").toDF("a", "b")))
 
     out = save(copies.unionByName(gone.select("ord.*")).distinct())
@@ -153,11 +161,12 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 
 
 def _fits(a: Column, b: Column) -> Column:
-    """``_compatible`` on structs."""
+    """The same filters on structs with the wide signature, which also tells long lines
+    apart: sets that differ in d words differ in at most d places."""
     na, nb = a["n"], b["n"]
     room = F.least(na - a["pos"], nb - b["pos"])
-    return ((5 * F.least(na, nb) >= 4 * F.greatest(na, nb)) & (9 * room >= 4 * (na + nb))
-            & (9 * F.bit_count(a["sig"].bitwiseXOR(b["sig"])) <= na + nb))
+    apart = functools.reduce(Column.__add__, [F.bit_count(a["wide"][k].bitwiseXOR(b["wide"][k])) for k in range(4)])
+    return (5 * F.least(na, nb) >= 4 * F.greatest(na, nb)) & (9 * room >= 4 * (na + nb)) & (9 * apart <= na + nb)
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = True) -> DataFrame:
