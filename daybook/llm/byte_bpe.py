@@ -20,9 +20,11 @@ from pyspark.sql import DataFrame
 
 # Encoded pre-tokens a Python worker remembers before it starts afresh, and the longest
 # pre-token (in characters) it remembers: together they bound its memory.
-CACHE_ENTRIES, CACHE_CHARS = 300_000, 64
+CACHE_ENTRIES, CACHE_CHARS = 200_000, 64
+# Pairs of tokens whose merge a worker remembers.
+KNOWN_PAIRS = 500_000
 # Characters of text that are pre-tokenised and merged together.
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
 
 
 class RankQueue:
@@ -159,7 +161,7 @@ class Vocabulary:
                     for p in entries[k + 1:]:
                         push(rank, p)
                     break
-        if len(known) > 2_000_000:
+        if len(known) > KNOWN_PAIRS:
             known.clear()
         out = np.array(ids, dtype=np.int64)
         left = out >= 0

@@ -19,6 +19,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.llm.common import save
+from daybook.operators.joins import BROADCAST_BYTES, measured_bytes
+
 WIDTHS, FILTERS, WINDOW = (2, 3, 4), 16, 256
 # The training sample: at most so many documents of a language, and windows of a document.
 TRAIN_DOCS, TRAIN_WINDOWS = 500, 3
@@ -162,10 +165,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
     return train(np.concatenate(x), np.array(y), labels, seed=seed)
 
 
-def _predict(model: Model | None, with_text: bool):
-    def names(batch: pa.RecordBatch) -> list[str]:
-        return [k for k in batch.schema.names if with_text or k != "text"]
-
+def _predict(model: Model | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model) if model else None
         for batch in batches:
@@ -202,8 +202,8 @@ def _predict(model: Model | None, with_text: bool):
                     k = int(sums[i].argmax())
                     labels[i], scores[i] = model.labels[k], min(1.0, float(sums[i, k]))
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(k) for k in names(batch)], pa.array(labels, pa.string()), pa.array(scores, pa.float64())],
-                names=[*names(batch), "lang_pred", "score"])
+                [batch.column("id"), pa.array(labels, pa.string()), pa.array(scores, pa.float64())],
+                names=["id", "lang_pred", "score"])
     return run
 
 
@@ -217,18 +217,22 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     scored in batches of windows.
     """
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    out = d.mapInArrow(_predict(model, False), f"id {_kind(d, 'id')}, lang_pred string, score double")
+    out = d.mapInArrow(_predict(model), f"id {_kind(d, 'id')}, lang_pred string, score double")
     return out.withColumnRenamed("id", id_col)
 
 
-def select(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """The rows and columns of ``docs`` that have a language: ``lang_pred`` is not ``und``."""
+def select(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows and columns of ``docs`` that have a language: ``lang_pred`` is not ``und``.
+    The texts go to Python, not back: what is rejected is found by id and a hash of the text."""
     names = docs.columns
-    at = ["text" if c == text_col else f"c{i}" for i, c in enumerate(names)]
-    d = docs.select(*[F.col(c).alias(a) for c, a in zip(names, at)])
-    schema = ", ".join(f"{a} {_kind(d, a)}" for a in at)
-    out = d.mapInArrow(_predict(model, True), f"{schema}, lang_pred string, score double")
-    return out.where(F.col("lang_pred") != UNKNOWN).select(*[F.col(a).alias(c) for a, c in zip(at, names)])
+    d = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)])
+    key, text = f"c{names.index(id_col)}", f"c{names.index(text_col)}"
+    d = d.withColumn("_h", F.xxhash64(text))
+    found = identify(d.select(F.struct(F.col(key).alias("id"), F.col("_h").alias("th")).alias("k"), F.col(text).alias("text")), model, "k", "text")
+    gone = save(found.where(F.col("lang_pred") == UNKNOWN).select("k.id", "k.th").distinct())
+    gone = F.broadcast(gone) if measured_bytes(gone) <= BROADCAST_BYTES else gone
+    left = d.join(gone, F.col(key).eqNullSafe(F.col("id")) & (F.col("_h") == F.col("th")), "left_anti")
+    return left.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
 
 
 def _kind(d: DataFrame, column: str) -> str:
