@@ -39,8 +39,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the row with the most code points in its original text stays, then the smallest id.
 
     * null text counts as empty; all empty texts are equal and have no chunk;
-    * repeated ids are separate rows of one group; a null id is kept as null and loses
-      ties to any id;
+    * rows that repeat an id are counted each, and all rows with the id that stays are
+      ``kept`` if their texts are equal; a null id loses ties to any id;
     * an empty table gives no rows; other columns are neither read nor returned.
 
     Chunk hashes that name more than one text (expected: none; ``hash_bits`` shortens the
