@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from daybook.llm.common import drop, release, save, text_or_empty
 
 # Buckets of the table of word counts (its size is fixed, whatever the vocabulary).
-RARITY_BUCKETS = 1 << 18
+RARITY_BUCKETS = 1 << 16
 # Lines of a prefix word that are compared with all its others first.
 EARLIEST = 3
 _LOW = (1 << 55) - 1
@@ -132,10 +132,15 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """The later lines of the pairs that are similar indeed."""
-        p = pairs.distinct().join(codes.select(F.col("ord").alias("b"), F.col("codes").alias("cb")), "b")
+        pairs = save(pairs.distinct())
+        release(spark)
+        p = pairs.join(codes.select(F.col("ord").alias("b"), F.col("codes").alias("cb")), "b")
         p = p.join(codes.select(F.col("ord").alias("a"), F.col("codes").alias("ca")), "a")
         shared = F.size(F.array_intersect("ca", "cb"))
-        return save(p.where(9 * shared >= 4 * (F.size("ca") + F.size("cb"))).select(F.col("b").alias("ord")).distinct())
+        out = save(p.where(9 * shared >= 4 * (F.size("ca") + F.size("cb"))).select(F.col("b").alias("ord")).distinct())
+        drop(pairs)
+        release(spark)
+        return out
 
     # with the earliest lines of each prefix word
     e = _entries(some, "ord", "wide")
@@ -145,7 +150,6 @@ def removed_lines(docs: DataFrame) -> DataFrame:
                      F.array(*[F.nth_value(one, k).over(order) for k in range(1, EARLIEST + 1)]).alias("early"))
     near = first.select("b", F.explode(F.filter("early", lambda a: (a["ord"] < F.col("b.ord")) & _fits(a, F.col("b")))).alias("a"))
     gone = confirmed(near.select("a.ord", "b.ord").toDF("a", "b"))
-    release(spark)
 
     # with all, for those still there
     later = _entries(some.join(gone, "ord", "left_anti"), "ord", "wide")
