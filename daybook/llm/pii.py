@@ -2,7 +2,8 @@
 
 Four kinds of entity are recognised by their form: the base. These are the seeds. The words
 before a seed, one and two of them, are its lexical patterns, and a pattern is as good as
-the share of all its occurrences in the corpus that are followed by an instance of the kind.
+the share of all its occurrences in the corpus, counted exactly, that are followed by an
+instance of the kind.
 Patterns and instances form a graph that is scored in rounds: patterns gain confidence from
 their instances, and instances outside the base (tokens of a fitting shape that the forms
 miss) from their patterns, which then count as instances themselves. Instances that reach a
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import release, save, text_or_empty
+from daybook.operators.joins import BROADCAST_BYTES, measured_bytes, salted_join, top_hot_keys
 
 # The base's kinds in order and their forms (possessive where no shorter match
 # could help, and anchored so that a long run is tried once).
@@ -38,7 +40,6 @@ SHAPES = {
     "phone": r"^[+(]?([0-9][ ().-]{0,3}){6,14}[0-9]$",
 }
 CONTEXT_CHARS = 64
-COUNT_BUCKETS = 1 << 18
 # Rounds of scoring; distinct instances a pattern needs; its least confidence; an instance's.
 ROUNDS, SUPPORT, PATTERN_CONFIDENCE, CONFIDENCE = 3, 3, 0.2, 0.8
 
@@ -120,33 +121,56 @@ def _trimmed(o: Column) -> Column:
                     _context(o["left"]).alias("patterns"))
 
 
-def _occurrences(docs: DataFrame) -> DataFrame:
-    """``(b, n)``: by hash bucket, how often any one or two words occur in all texts. As a
-    pattern's count it is an upper bound."""
+def _occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``(pattern, total)``: how often each of the distinct ``patterns``, one or two whole
+    words, occurs in all texts. Patterns that occur nowhere as whole words (the form begins
+    inside a word) have no row."""
     w = F.array_remove(F.split(F.lower("text"), r"[\x20\x09-\x0D]+"), "")
     d = docs.select(w.alias("w"))
     pairs = F.zip_with(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), F.slice("w", 2, F.greatest(F.size("w"), F.lit(1))),
                        lambda a, b: F.concat_ws(" ", a, b))
-    d = d.select(F.explode(F.concat("w", pairs)).alias("p"))
-    return d.groupBy(_bucket("p").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-
-
-def _bucket(p: str) -> Column:
-    return F.pmod(F.xxhash64(p), F.lit(COUNT_BUCKETS))
+    d = d.select(F.explode(F.concat("w", pairs)).alias("pattern"))
+    total = F.count(F.lit(1)).alias("total")
+    if measured_bytes(patterns) <= BROADCAST_BYTES:
+        return d.join(F.broadcast(patterns), "pattern", "left_semi").groupBy("pattern").agg(total)
+    # counted in each task first, so that a common word is one row a task
+    return d.groupBy("pattern").agg(total).join(patterns, "pattern", "left_semi")
+
+
+def _edges(entities: DataFrame) -> DataFrame:
+    """``(kind, pattern, value, seed)``, a row for each time that a pattern stands before an
+    instance: of the base, or (not ``seed``) of a candidate, for each kind that it fits."""
+    seeds = entities.select(F.explode("base").alias("s")).select("s.kind", F.explode("s.patterns").alias("pattern"), "s.value")
+    fits = F.filter(F.array(*[F.when(F.regexp("s.value", F.lit(SHAPES[k])), F.lit(i)) for i, k in enumerate(KINDS)]), lambda x: x.isNotNull())
+    new = entities.select(F.explode("others").alias("s")).select(fits.alias("kinds"), "s.value", "s.patterns")
+    new = new.select(F.explode("kinds").alias("kind"), "value", "patterns").select("kind", F.explode("patterns").alias("pattern"), "value")
+    return seeds.withColumn("seed", F.lit(True)).unionByName(new.withColumn("seed", F.lit(False)))
+
+
+def _graph(entities: DataFrame, docs: DataFrame) -> DataFrame:
+    """``(kind, pattern, value, seed, n, seen, total)``: the edges of all patterns that can
+    reach the support and the confidence of a pattern, were all their instances accepted."""
+    edges = _edges(entities)
+    each = edges.groupBy("kind", "pattern", "value", "seed").agg(F.count(F.lit(1)).alias("n"))
+    patterns = each.groupBy("kind", "pattern").agg(F.sum("n").alias("seen"), F.count(F.lit(1)).alias("instances"),
+                                                   F.count_if("seed").alias("seeds"))
+    # only patterns that any seed has
+    patterns = save(patterns.where((F.col("instances") >= SUPPORT) & (F.col("seeds") >= 1)))
+    totals = _occurrences(docs, patterns.select("pattern").distinct())
+    patterns = patterns.join(totals, "pattern", "left").withColumn("total", F.greatest("seen", F.coalesce("total", F.lit(0))))
+    key = F.concat_ws(" ", F.col("kind").cast("string"), "pattern")
+    patterns = save(patterns.where(F.col("seen") / F.col("total") >= PATTERN_CONFIDENCE)
+                    .select(key.alias("key"), "seen", "total"))
+    if measured_bytes(patterns) <= BROADCAST_BYTES:
+        return edges.withColumn("key", key).join(F.broadcast(patterns), "key").groupBy(
+            "kind", "pattern", "value", "seed", "seen", "total").agg(F.count(F.lit(1)).alias("n"))
+    hot = top_hot_keys(patterns, ["key"], "seen")
+    return salted_join(each.withColumn("key", key), patterns, "key", hot, "inner").drop("key")
 
 
 def bootstrap(entities: DataFrame, docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """``(kind, value, confidence)`` of the instances outside the base that are accepted."""
-    seeds = entities.select(F.explode("base").alias("s")).select("s.kind", "s.value", F.explode("s.patterns").alias("pattern"))
-    seeds = seeds.groupBy("kind", "pattern", "value").agg(F.count(F.lit(1)).alias("n")).withColumn("seed", F.lit(True))
-    fits = F.filter(F.array(*[F.when(F.regexp("s.value", F.lit(SHAPES[k])), F.lit(i)) for i, k in enumerate(KINDS)]), lambda x: x.isNotNull())
-    new = entities.select(F.explode("others").alias("s")).select(fits.alias("kinds"), "s.value", "s.patterns")
-    new = new.select(F.explode("kinds").alias("kind"), "value", "patterns").select("kind", "value", F.explode("patterns").alias("pattern"))
-    new = new.groupBy("kind", "pattern", "value").agg(F.count(F.lit(1)).alias("n")).withColumn("seed", F.lit(False))
-    # only patterns that any seed has, with their occurrences in the corpus
-    edges = seeds.unionByName(new.join(seeds.select("kind", "pattern").distinct(), ["kind", "pattern"], "left_semi"))
-    edges = edges.withColumn("b", _bucket("pattern")).join(_occurrences(docs).withColumnRenamed("n", "total"), "b").drop("b")
-    edges = save(edges)
+    edges = save(_graph(entities, docs))
     scores = None
     for _ in range(rounds):
         e = edges.withColumn("c", F.col("seed").cast("double"))
@@ -155,8 +179,8 @@ def bootstrap(entities: DataFrame, docs: DataFrame, rounds: int = ROUNDS) -> Dat
                 "c", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("confidence", F.lit(0.0))))
         patterns = e.groupBy("kind", "pattern").agg(
             F.sum(F.col("n") * F.col("c")).alias("mass"), F.count_if(F.col("c") >= CONFIDENCE).alias("support"),
-            F.sum("n").alias("seen"), F.max("total").alias("total"))
-        patterns = patterns.withColumn("p", F.col("mass") / F.greatest("seen", "total")).where(
+            F.max("total").alias("total"))
+        patterns = patterns.withColumn("p", F.col("mass") / F.col("total")).where(
             (F.col("support") >= SUPPORT) & (F.col("p") >= PATTERN_CONFIDENCE)).select("kind", "pattern", "p")
         # an instance is as sure as the chance that not all of its patterns err
         scores = save(edges.where("not seed").join(patterns, ["kind", "pattern"]).groupBy("kind", "value")

@@ -77,6 +77,36 @@ def test_contexts_find_unseen_identifiers(docs_of):
     assert all(len(out[i].base) == 2 for i in range(20))
 
 
+def test_unrelated_documents_do_not_dilute_contexts(spark, docs_of, monkeypatch):
+    """Words that no identifier follows, many of them and many times, among them some whose
+    hash agrees with a pattern's in its last 18 bits."""
+    rows = [(i, f"Some words here. Call us at +1 (555) 555-0{i:03d} any day, mail to: user{i}@site.example.com or else.") for i in range(20)]
+    rows += [(100, "Please, call us at 555-867-5309 tomorrow."), (101, "mail to: root@localhost please")]
+    words = spark.range(1 << 21).select(F.concat(F.lit("w"), F.col("id")).alias("w"))
+    last = F.pmod(F.xxhash64("w"), F.lit(1 << 18))
+    patterns = spark.createDataFrame([("at",), ("us at",), ("to:",), ("mail to:",)], "w string").select(last.alias("b"))
+    same = sorted(r.w for r in words.withColumn("b", last).join(F.broadcast(patterns), "b").select("w").collect())
+    assert len(same) >= 8
+    rows += [(1000 + i, " ".join([w] * 400)) for i, w in enumerate(same)]
+    rows += [(5000 + i, " ".join(f"v{(i * j) % 997}" for j in range(200))) for i in range(200)]
+    for limit in (32 << 20, 0):  # patterns broadcast, and not
+        monkeypatch.setattr(pii, "BROADCAST_BYTES", limit, raising=False)
+        out = {r.doc_id: r.found for r in pii.find_personal_data(docs_of(rows, clash=False)).collect()}
+        assert {i: [(pii.KINDS[s.kind], dict(rows)[i][s.start:s.end]) for s in f] for i, f in out.items() if f} == {
+            100: [("phone", "555-867-5309")], 101: [("email", "root@localhost")]}
+
+
+def test_patterns_are_counted_exactly(spark, docs_of, sf_docs, sf_rows):
+    words = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower()) for _, t in sf_rows]
+    want = {}
+    for w in words:
+        for p in w + [" ".join(x) for x in zip(w, w[1:])]:
+            want[p] = want.get(p, 0) + 1
+    some = sorted(want)[::97] + ["no such words"]
+    got = pii._occurrences(sf_docs.select(F.coalesce("text", F.lit("")).alias("text")), spark.createDataFrame([(p,) for p in some], "pattern string"))
+    assert {r.pattern: r.total for r in got.collect()} == {p: want[p] for p in some if p in want}
+
+
 def test_spans_text(docs_of):
     out = pii.find_personal_data(docs_of([(1, "a@b.cd +1 555 555 0100 1.2.3.4")]))
     assert out.select(pii.spans_text(F.col("base")).alias("t")).first().t == ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in _base("a@b.cd +1 555 555 0100 1.2.3.4"))
