@@ -1,10 +1,11 @@
 """Nearest neighbours and similarity (survey: J1, J2, W1, O2, A9, F16, F17, M10, M11).
 
-Two shapes, neither of which replicates a large table or emits all pairs:
+Two shapes, neither of which emits all pairs:
 
 * against a labelled sample (KNN): the sample is what a fitted classifier consists of, so
   it is bounded by a documented parameter, broadcast once, and the queries stream past it
-  with no shuffle;
+  with no shuffle. A sample that is itself a table of any size is dealt, like the queries,
+  into parts of bounded size, and a piece is a pair of parts;
 * among the rows of one table (similarity report): within a declared block key. A block of
   any size is dealt into pieces of bounded size, one task step each, and a piece emits at
   most ``k`` rows for each of its rows.
@@ -30,6 +31,8 @@ from daybook.operators.joins import top_k_per_key
 MAX_SAMPLE = 100_000
 # Rows of a block that meet in one piece, and scores held at a time.
 BLOCK_ROWS, SCORES = 2048, 1 << 22
+# Rows of either side in a piece where the sample is a table: at 64 cells some 4 MB each.
+PIECE_ROWS = 8192
 _EPS = 1e-13
 
 
@@ -141,9 +144,59 @@ def _schema(query_kind: str, cand_kind: str) -> str:
     return f"qid {query_kind}, cid {cand_kind}, sim double, label double, sim2 double"
 
 
+def _scored(ids: pa.Array, vecs: pa.Array, c: _Vectors, k: int, metric: str, exclude_self: bool) -> Iterator[pa.RecordBatch]:
+    """The ``k`` best of ``c`` for each query, a bounded number of scores at a time."""
+    step = max(1, SCORES // max(1, len(c)))
+    for a in range(0, len(ids), step):
+        part = _Vectors(ids[a:a + step], vecs[a:a + step], np.zeros(len(ids[a:a + step])))
+        i, j, sim = _best(part, c, k, metric, _differ(part.ids, c.ids, exclude_self))
+        yield _rows(part, c, i, j, sim, metric, _NAMES)
+
+
+def _from_sample(d: DataFrame, s: DataFrame, k: int, metric: str, exclude_self: bool, max_sample: int, schema: str) -> DataFrame:
+    known = s.limit(max_sample + 1).toArrow()
+    if known.num_rows > max_sample:
+        raise ValueError(f"a sample of more than max_sample = {max_sample} rows is no model to broadcast")
+    shared = d.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = shared.value
+        c = _Vectors(t.column("id"), t.column("vec"), t.column("label").to_numpy())
+        for batch in batches:
+            if batch.num_rows and len(c):
+                yield from _scored(batch.column(0), batch.column(1), c, k, metric, exclude_self)
+
+    return d.mapInArrow(run, schema)
+
+
+def _from_pieces(d: DataFrame, s: DataFrame, k: int, metric: str, exclude_self: bool, piece_rows: int, schema: str) -> DataFrame:
+    kinds = d.schema["id"].dataType, s.schema["id"].dataType
+
+    def dealt(df: DataFrame, own: str, other: DataFrame, across: str) -> DataFrame:
+        # counted in int64, so that the pieces of any table are
+        pieces = [x.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / piece_rows)).cast("long")).scalar() for x in (df, other)]
+        return (df.withColumn(own, F.pmod(F.xxhash64(*df.columns), pieces[0]))
+                .withColumn(across, F.explode(F.sequence(F.lit(0).cast("long"), pieces[1] - 1))))
+
+    q = dealt(d, "i", s, "j").select("i", "j", F.lit(True).alias("asks"), F.col("id").alias("qid"),
+                                     F.lit(None).cast(kinds[1]).alias("cid"), "vec", F.lit(0.0).alias("label"))
+    c = dealt(s, "j", d, "i").select("i", "j", F.lit(False).alias("asks"), F.lit(None).cast(kinds[0]).alias("qid"),
+                                     F.col("id").alias("cid"), "vec", "label")
+
+    def piece(t: pa.Table) -> pa.Table:
+        asks, known = t.filter(t.column("asks")), t.filter(pc.invert(t.column("asks")))
+        c = _Vectors(known.column("cid"), known.column("vec"), known.column("label").to_numpy())
+        found = _scored(asks.column("qid"), asks.column("vec"), c, k, metric, exclude_self)
+        none = _Vectors(asks.column("qid")[:0], asks.column("vec")[:0], np.zeros(0))
+        empty = np.zeros(0, dtype=int)
+        return pa.Table.from_batches([_rows(none, c, empty, empty, np.zeros(0), metric, _NAMES), *found])
+
+    return q.unionByName(c).groupBy("i", "j").applyInArrow(piece, schema)
+
+
 def top_k_neighbors(queries: DataFrame, sample: DataFrame, k: int, metric: str = "euclidean", query_id: str = "id",
                     cand_id: str = "id", vec: str = "vec", label: str | None = None, exclude_self: bool = False,
-                    max_sample: int = MAX_SAMPLE) -> DataFrame:
+                    max_sample: int | None = MAX_SAMPLE, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Exact ``k`` most similar rows of ``sample`` per query: ``(qid, cid, sim, label, sim2,
     rank)``; ``sim2`` is the other metric of the same pair. Ids keep their types.
 
@@ -151,44 +204,34 @@ def top_k_neighbors(queries: DataFrame, sample: DataFrame, k: int, metric: str =
     vector, ranked last). Ranking is ``sim desc, label, cid`` (deviation D4 makes ties
     deterministic). With ``exclude_self`` a query never matches a row with its own id.
 
-    The sample is a fitted model and bounded as such: more than ``max_sample`` rows are an
-    error. It is broadcast, and the queries, however many, are scored where they lie.
+    A fitted sample is bounded as a model is: more than ``max_sample`` rows are an error. It
+    is broadcast, and the queries, however many, are scored where they lie. With
+    ``max_sample=None`` the sample is a table of any size: both sides are dealt by a hash of
+    the row into parts of about ``piece_rows`` rows, each pair of parts is scored as one
+    piece, and the best ``k`` of all pieces stay. Nothing passes through the driver; each
+    row is sent once per part of the other side.
     """
     if metric not in ("euclidean", "cosine"):
         raise ValueError(f"unknown metric {metric}")
     lab = F.coalesce(F.col(label).cast("double"), F.lit(0.0)) if label else F.lit(0.0)
     s = sample.select(F.col(cand_id).alias("id"), F.col(vec).cast("array<double>").alias("vec"), lab.alias("label"))
-    known = s.limit(max_sample + 1).toArrow()
-    if known.num_rows > max_sample:
-        raise ValueError(f"a sample of more than max_sample = {max_sample} rows is no model to broadcast")
-    spark = queries.sparkSession
-    shared = spark.sparkContext.broadcast(known)
     d = queries.select(F.col(query_id).alias("id"), F.col(vec).cast("array<double>").alias("vec"))
-    kinds = d.schema["id"].dataType.simpleString(), s.schema["id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = shared.value
-        c = _Vectors(t.column("id"), t.column("vec"), t.column("label").to_numpy())
-        for batch in batches:
-            if not batch.num_rows or not len(c):
-                continue
-            q = _Vectors(batch.column(0), batch.column(1), np.zeros(batch.num_rows))
-            step = max(1, SCORES // len(c))
-            for a in range(0, len(q), step):
-                part = _Vectors(batch.column(0)[a:a + step], batch.column(1)[a:a + step], np.zeros(len(batch.column(0)[a:a + step])))
-                i, j, sim = _best(part, c, k, metric, _differ(part.ids, c.ids, exclude_self))
-                yield _rows(part, c, i, j, sim, metric, _NAMES)
-
-    found = d.mapInArrow(run, _schema(*kinds))
+    schema = _schema(d.schema["id"].dataType.simpleString(), s.schema["id"].dataType.simpleString())
+    if max_sample is None:
+        found = _from_pieces(d, s, k, metric, exclude_self, piece_rows, schema)
+    else:
+        found = _from_sample(d, s, k, metric, exclude_self, max_sample, schema)
     return top_k_per_key(found, "qid", [F.col("sim").desc_nulls_last(), "label", "cid"], k)
 
 
 def knn_classify(test: DataFrame, sample: DataFrame, k: int = 4, id_col: str = "id",
-                 vec: str = "vec", label: str = "label", exclude_self: bool = False) -> DataFrame:
+                 vec: str = "vec", label: str = "label", exclude_self: bool = False,
+                 max_sample: int | None = MAX_SAMPLE) -> DataFrame:
     """K nearest labelled samples by Euclidean similarity, majority vote:
     ``predict = 1`` when ``sum(label) > k/2`` (with k = 4, a 2-2 tie predicts 0, as
-    the reference's ``if(sum(label) > 2, 1, 0)``). Returns ``(id, predict)``."""
-    nn = top_k_neighbors(test, sample, k, "euclidean", id_col, id_col, vec, label, exclude_self)
+    the reference's ``if(sum(label) > 2, 1, 0)``). Returns ``(id, predict)``. ``max_sample``
+    as in ``top_k_neighbors``: None for a sample of any size."""
+    nn = top_k_neighbors(test, sample, k, "euclidean", id_col, id_col, vec, label, exclude_self, max_sample)
     return (nn.groupBy(F.col("qid").alias(id_col))
             .agg(F.when(F.sum("label") > k / 2, F.lit(1)).otherwise(F.lit(0)).alias("predict")))
 

@@ -220,7 +220,7 @@ SELECT qid AS vec_id, cid AS neighbor_id, CAST(rank AS INTEGER) AS rank, label,
 def q_knn_top(spark, sf_dir):
     """The 4 nearest labelled neighbours of every embedding (itself excluded)."""
     e = _embeddings(spark, sf_dir)
-    nn = neighbors.top_k_neighbors(e, e, 4, "euclidean", "vec_id", "vec_id", "vec", "label", exclude_self=True)
+    nn = neighbors.top_k_neighbors(e, e, 4, "euclidean", "vec_id", "vec_id", "vec", "label", exclude_self=True, max_sample=None)
     return nn.select(F.col("qid").alias("vec_id"), F.col("cid").alias("neighbor_id"), "rank", "label",
                      F.round("sim", 9).alias("sim"))
 
@@ -230,7 +230,7 @@ SELECT qid AS vec_id, CASE WHEN sum(label) > 2 THEN 1 ELSE 0 END AS predict FROM
 def q_knn(spark, sf_dir):
     """Q-KNN (M10, A9): leave-one-out 4-NN vote over all embeddings, label ``label >= 5``."""
     e = _embeddings(spark, sf_dir)
-    return neighbors.knn_classify(e, e, 4, "vec_id", "vec", "label", exclude_self=True)
+    return neighbors.knn_classify(e, e, 4, "vec_id", "vec", "label", exclude_self=True, max_sample=None)
 
 
 # --------------------------------------------------------------------------- text

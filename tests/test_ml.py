@@ -193,6 +193,35 @@ def test_identical_and_distant_vectors_score_by_definition(spark):
         neighbors.top_k_neighbors(a, c, 1, max_sample=2)
 
 
+@pytest.mark.parametrize("metric", ["euclidean", "cosine"])
+def test_neighbors_of_a_table_in_pieces_match_a_broadcast_sample(spark, metric):
+    import numpy as np
+    rnd = np.random.default_rng(7)
+    df = spark.createDataFrame([(i, float(i % 3 == 0), [float(x) for x in rnd.normal(size=3).round(1)]) for i in range(90)],
+                               "id long, label double, vec array<double>")
+    want = sorted(map(tuple, neighbors.top_k_neighbors(df, df, 4, metric, label="label", exclude_self=True).collect()))
+    got = neighbors.top_k_neighbors(df, df, 4, metric, label="label", exclude_self=True, max_sample=None, piece_rows=20)
+    assert sorted(map(tuple, got.collect())) == want and len(want) == 360
+    few = df.where("id < 2").select(F.col("id").cast("string").alias("id"), "vec")  # k rows aren't there; ids of two types
+    assert neighbors.top_k_neighbors(few, df.where("id < 3"), 4, metric, max_sample=None, piece_rows=1).count() == 6
+    assert neighbors.top_k_neighbors(df, df.limit(0), 4, metric, max_sample=None).count() == 0
+    assert neighbors.top_k_neighbors(df.limit(0), df, 4, metric, max_sample=None).count() == 0
+
+
+def test_knn_queries_take_tables_beyond_a_fitted_sample(spark, sf_dir, monkeypatch):
+    """The registered queries neither raise nor lose rows where the table exceeds what a
+    fitted sample may hold, and no table passes through the driver."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from daybook.plans import ml
+    monkeypatch.setattr(DataFrame, "toArrow", None)
+    monkeypatch.setattr(neighbors.top_k_neighbors, "__defaults__", tuple(
+        {neighbors.MAX_SAMPLE: 10, neighbors.PIECE_ROWS: 300}.get(x, x) if isinstance(x, int) else x for x in neighbors.top_k_neighbors.__defaults__))
+    n = spark.read.parquet(f"{sf_dir}/embeddings.parquet").count()
+    assert n > 300
+    assert ml.q_knn(spark, sf_dir).count() == n and ml.q_knn_top(spark, sf_dir).count() == 4 * n
+
+
 def test_similar_items_in_pieces_match_one_piece(spark):
     import numpy as np
     rnd = np.random.default_rng(6)
