@@ -6,8 +6,9 @@ the share of all its occurrences in the corpus, counted exactly, that are follow
 instance of the kind.
 Patterns and instances form a graph that is scored in rounds: patterns gain confidence from
 their instances, and instances outside the base (tokens of a fitting shape that the forms
-miss) from their patterns, which then count as instances themselves. Instances that reach a
-high confidence are reported wherever they occur.
+miss) from their patterns, which then count as instances themselves and induce patterns of
+their own. It ends when a round accepts no further instance. Instances that reach a high
+confidence are reported wherever they occur.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import functools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import release, save, text_or_empty
+from daybook.llm.common import drop, release, save, text_or_empty
 from daybook.operators.joins import BROADCAST_BYTES, measured_bytes, salted_join, top_hot_keys
 
 # The base's kinds in order and their forms (possessive where no shorter match
@@ -40,7 +41,7 @@ SHAPES = {
     "phone": r"^[+(]?([0-9][ ().-]{0,3}){6,14}[0-9]$",
 }
 CONTEXT_CHARS = 64
-# Rounds of scoring; distinct instances a pattern needs; its least confidence; an instance's.
+# Least rounds of scoring; distinct instances a pattern needs; its least confidence; an instance's.
 ROUNDS, SUPPORT, PATTERN_CONFIDENCE, CONFIDENCE = 3, 3, 0.2, 0.8
 
 
@@ -152,10 +153,8 @@ def _graph(entities: DataFrame, docs: DataFrame) -> DataFrame:
     reach the support and the confidence of a pattern, were all their instances accepted."""
     edges = _edges(entities)
     each = edges.groupBy("kind", "pattern", "value", "seed").agg(F.count(F.lit(1)).alias("n"))
-    patterns = each.groupBy("kind", "pattern").agg(F.sum("n").alias("seen"), F.count(F.lit(1)).alias("instances"),
-                                                   F.count_if("seed").alias("seeds"))
-    # only patterns that any seed has
-    patterns = save(patterns.where((F.col("instances") >= SUPPORT) & (F.col("seeds") >= 1)))
+    patterns = each.groupBy("kind", "pattern").agg(F.sum("n").alias("seen"), F.count(F.lit(1)).alias("instances"))
+    patterns = save(patterns.where(F.col("instances") >= SUPPORT))
     totals = _occurrences(docs, patterns.select("pattern").distinct())
     patterns = patterns.join(totals, "pattern", "left").withColumn("total", F.greatest("seen", F.coalesce("total", F.lit(0))))
     key = F.concat_ws(" ", F.col("kind").cast("string"), "pattern")
@@ -169,10 +168,14 @@ def _graph(entities: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def bootstrap(entities: DataFrame, docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """``(kind, value, confidence)`` of the instances outside the base that are accepted."""
+    """``(kind, value, confidence)`` of the instances outside the base that are accepted.
+
+    After ``rounds`` rounds it goes on until a round accepts no further instance. Accepted
+    instances give patterns support like seeds do, so patterns that no seed has come in.
+    """
     edges = save(_graph(entities, docs))
-    scores = None
-    for _ in range(rounds):
+    scores, accepted, done = None, 0, 0
+    while True:
         e = edges.withColumn("c", F.col("seed").cast("double"))
         if scores is not None:
             e = edges.join(scores, ["kind", "value"], "left").withColumn(
@@ -183,8 +186,14 @@ def bootstrap(entities: DataFrame, docs: DataFrame, rounds: int = ROUNDS) -> Dat
         patterns = patterns.withColumn("p", F.col("mass") / F.col("total")).where(
             (F.col("support") >= SUPPORT) & (F.col("p") >= PATTERN_CONFIDENCE)).select("kind", "pattern", "p")
         # an instance is as sure as the chance that not all of its patterns err
-        scores = save(edges.where("not seed").join(patterns, ["kind", "pattern"]).groupBy("kind", "value")
-                      .agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("p"), F.lit(1e-9)))))).alias("confidence")))
+        last, scores = scores, save(edges.where("not seed").join(patterns, ["kind", "pattern"]).groupBy("kind", "value")
+                                    .agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("p"), F.lit(1e-9)))))).alias("confidence")))
+        if last is not None:
+            drop(last)
+        before, done = accepted, done + 1
+        scored, accepted = scores.agg(F.count(F.lit(1)), F.count_if(F.col("confidence") >= CONFIDENCE)).first()
+        if not scored or (done >= rounds and accepted == before):
+            break
     return scores.where(F.col("confidence") >= CONFIDENCE)
 
 

@@ -96,6 +96,24 @@ def test_unrelated_documents_do_not_dilute_contexts(spark, docs_of, monkeypatch)
             100: [("phone", "555-867-5309")], 101: [("email", "root@localhost")]}
 
 
+def test_accepted_instances_induce_patterns(docs_of):
+    """A chain of contexts: only the first has seeds, each other one shares its instances
+    with the one before, and it is longer than the least number of rounds."""
+    places = ["call us at", "ring desk on", "the front office", "my old number", "reach him by", "her direct line"]
+    texts = [f"Now call us at +1 (555) 555-0{i:03d} any day" for i in range(20)]
+    for k, place in enumerate(places[1:], 1):
+        fresh = [f"555-86{k}-53{i:02d}" for i in range(4)]
+        texts += [f"and {places[k - 1]} {v} today" for v in fresh]
+        texts += [f"but {place} {v} today" for v in fresh for _ in range(3)]
+    texts += [f"so {places[-1]} 555-999-0000 again", "else 555-999-0000 alone", "other words 555-999-1111 here"]
+    assert len(places) > pii.ROUNDS + 1
+    rows = list(enumerate(texts))
+    out = {r.doc_id: r.found for r in pii.find_personal_data(docs_of(rows, clash=False)).collect()}
+    for i, t in rows:
+        want = [] if "+1" in t or "1111" in t else [re.search("555-[0-9-]+", t).group()]
+        assert [t[s.start:s.end] for s in out[i]] == want, t
+
+
 def test_patterns_are_counted_exactly(spark, docs_of, sf_docs, sf_rows):
     words = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower()) for _, t in sf_rows]
     want = {}
