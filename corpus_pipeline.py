@@ -17,7 +17,8 @@ from daybook.llm.common import read, save
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (no letters) go; the others stay as they are."""
+    """Documents without a language (no letters) go; of the others a null ``lang`` becomes
+    the one found, if any document has a label to learn from."""
     return language.select(docs, language.fit(docs))
 
 

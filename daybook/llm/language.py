@@ -165,13 +165,15 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
     return train(np.concatenate(x), np.array(y), labels, seed=seed)
 
 
-def _predict(model: Model | None):
+def _predict(model: Model | None, unscored: str | None = UNKNOWN):
+    """``unscored``: what a text with letters gets without a model."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model) if model else None
         for batch in batches:
             texts = [t.as_py() or "" for t in batch.column("text")]
-            has = [scorer is not None and _LETTER.search(t) is not None for t in texts]
-            labels, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+            letters = [_LETTER.search(t) is not None for t in texts]
+            has = [scorer is not None and x for x in letters]
+            labels, scores = [unscored if x else UNKNOWN for x in letters], [0.0] * len(texts)
             sums = np.zeros((len(texts), len(model.labels) if model else 0))
             owner, share, parts, held = [], [], [], 0
 
@@ -221,18 +223,30 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     return out.withColumnRenamed("id", id_col)
 
 
-def select(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows and columns of ``docs`` that have a language: ``lang_pred`` is not ``und``.
-    The texts go to Python, not back: what is rejected is found by id and a hash of the text."""
+def select(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> DataFrame:
+    """The rows and columns of ``docs`` whose text has letters. A null ``label_col`` (if there
+    is such a column) is filled with the label found; labels given stay. Without a model the
+    same rows stay, and null labels stay null.
+
+    The texts go to Python, not back: what is rejected or filled is found by id and a hash of
+    the text."""
     names = docs.columns
     d = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)])
     key, text = f"c{names.index(id_col)}", f"c{names.index(text_col)}"
+    label = f"c{names.index(label_col)}" if label_col in names else None
     d = d.withColumn("_h", F.xxhash64(text))
-    found = identify(d.select(F.struct(F.col(key).alias("id"), F.col("_h").alias("th")).alias("k"), F.col(text).alias("text")), model, "k", "text")
-    gone = save(found.where(F.col("lang_pred") == UNKNOWN).select("k.id", "k.th").distinct())
-    gone = F.broadcast(gone) if measured_bytes(gone) <= BROADCAST_BYTES else gone
-    left = d.join(gone, F.col(key).eqNullSafe(F.col("id")) & (F.col("_h") == F.col("th")), "left_anti")
-    return left.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
+    fill = F.col(label).isNull() if label else F.lit(False)
+    asked = d.select(F.struct(F.col(key).alias("id"), F.col("_h").alias("th"), fill.alias("fill")).alias("id"),
+                     F.col(text).cast("string").alias("text"))
+    found = asked.mapInArrow(_predict(model, None), f"id {_kind(asked, 'id')}, lang_pred string, score double")
+    found = found.where((F.col("lang_pred") == UNKNOWN) | (F.col("id.fill") & F.col("lang_pred").isNotNull()))
+    found = save(found.groupBy("id.id", "id.th").agg(F.min("lang_pred").alias("_pred")))
+    found = F.broadcast(found) if measured_bytes(found) <= BROADCAST_BYTES else found
+    d = d.join(found, F.col(key).eqNullSafe(F.col("id")) & (F.col("_h") == F.col("th")), "left")
+    d = d.where(F.col("_pred").isNull() | (F.col("_pred") != UNKNOWN))
+    if label:
+        d = d.withColumn(label, F.coalesce(label, F.col("_pred").cast(d.schema[label].dataType)))
+    return d.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
 
 
 def _kind(d: DataFrame, column: str) -> str:

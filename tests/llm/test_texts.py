@@ -39,6 +39,28 @@ def test_language_edges(docs_of, spark):
     assert kept.columns == docs_of(EDGES).columns and kept.count() == len(EDGES) - 4
 
 
+def test_selection_without_labels_keeps_texts(spark, docs_of):
+    import corpus_pipeline
+    docs = docs_of(EDGES).withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.identify_language(spark, docs, "").collect()
+    want = [i for i, t in EDGES if t and any(c.isalpha() for c in t)]
+    assert sorted(map(repr, (r.doc_id for r in kept))) == sorted(map(repr, want))
+    assert all(r.lang is None for r in kept)
+
+
+def test_selection_fills_null_languages(spark):
+    import corpus_pipeline
+    rows = [(i, ("the and of that with " if i % 2 else "der und ist nicht mit ") * 30, ("en" if i % 2 else "de") if i % 3 else None)
+            for i in range(1, 80)]
+    rows += [(200, "12 34", "en"), (201, "56", None), (202, "the and of that with " * 30, "x"), (None, "der und ist nicht mit " * 30, None),
+             (3, rows[2][1], None), (3, rows[2][1], "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = corpus_pipeline.identify_language(spark, df, "")
+    want = [(i, t, lang or ("en" if t.startswith("the") else "de")) for i, t, lang in rows if i not in (200, 201)]
+    assert got.columns == df.columns
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+
+
 def test_language_held_out_accuracy(sf_docs):
     model = language.fit(sf_docs)
     out = language.identify(sf_docs, model).join(sf_docs.select("doc_id", "lang"), "doc_id")
