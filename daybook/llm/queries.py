@@ -188,3 +188,22 @@ def op13_rns_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     e = e.select("vec_id", label.alias("label"), quantize(F.col("embedding")).alias("embedding"))
     return mine(e, is_anchor=F.col("vec_id") % 100 == 0)
+
+
+# Fixed value: the base32 alphabet.
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_BASE32_OF_HEX = " || ".join(
+    f"substr('{_BASE32}', CAST((CAST('0x' || substr(h, {5 * g + 1}, 5) AS BIGINT) >> {s}) & 31 AS INTEGER) + 1, 1)" for g in range(8) for s in (15, 10, 5, 0))
+
+
+@query("op12_warc", f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h,
+                  min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, {_BASE32_OF_HEX} AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p""")
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm.warc import archive_pages
+
+    out = archive_pages(read(spark, sf_dir, "pages"), payloads=False)
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
