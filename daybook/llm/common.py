@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import gc
+import sys
 import time
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,3 +54,14 @@ def release(spark: SparkSession, seconds: float = 1.0) -> None:
     gc.collect()
     spark._jvm.System.gc()
     time.sleep(seconds)
+
+
+def per_worker(key: str, make: Callable[[], object]) -> object:
+    """What ``make`` builds, built once in a Python worker process and kept for its later tasks
+    (functions of this subpackage travel by value, so their modules' globals don't stay).
+    ``key`` says what it is built from; only the last one of a kind (before ``:``) is kept."""
+    kept = sys.__dict__.setdefault("_daybook_kept", {})
+    kind = key.partition(":")[0]
+    if kind not in kept or kept[kind][0] != key:
+        kept[kind] = (key, make())
+    return kept[kind][1]

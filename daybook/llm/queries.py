@@ -207,3 +207,13 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = archive_pages(read(spark, sf_dir, "pages"), payloads=False)
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from daybook.llm.alignment import align
+
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align(read(spark, sf_dir, "documents"), a, b, hashed=True).withColumnRenamed("groups", "groups_sha256")
