@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -163,10 +164,22 @@ class Aligner:
     def __init__(self, a: bytes, b: bytes):
         self.a, self.b = ByteBpe(a), Pieces(b)
         self.len_a, self.len_b = (np.array([len(t) for t in x.token], dtype=np.int64) for x in (self.a, self.b))
+        self.flat = [(np.frombuffer(b"".join(x.token), dtype=np.uint8), np.cumsum(n) - n) for x, n in ((self.a, self.len_a), (self.b, self.len_b))]
         n = max(len(self.a.token), len(self.b.token))
         self.width = n
         self.shown = [f"{i}{sep}" for sep in (",", "|", ";", "") for i in range(n)]
 
+    def _joined(self, one: list, two: list) -> tuple[np.ndarray, ...]:
+        """Ids and numbers of tokens of both sides, and where each token ends."""
+        na, nb = (np.fromiter(map(len, x), dtype=np.int64, count=len(x)) for x in (one, two))
+        ia, ib = (np.fromiter(chain.from_iterable(x), dtype=np.int64, count=int(c.sum())) for x, c in ((one, na), (two, nb)))
+        return ia, ib, na, nb, np.cumsum(self.len_a[ia]), np.cumsum(self.len_b[ib])
+
+    def _bytes(self, side: int, ids: np.ndarray, ends: np.ndarray) -> bytes:
+        flat, start = self.flat[side]
+        n = (self.len_a, self.len_b)[side][ids]
+        return flat[np.repeat(start[ids] - ends + n, n) + np.arange(int(ends[-1]) if len(ends) else 0)].tobytes()
+
     def chunk(self, texts: list[str | None], hashed: bool) -> dict:
         """Of a chunk's texts: counts and groups of each, its id pairs (``pairs``, and
         ``docs``, how many texts hold each) and each text's ``own`` links as (index of the
@@ -177,12 +190,14 @@ class Aligner:
         one, two = self.a.encode(spaced), self.b.encode([texts[k] for k in full])
         raw = [t.encode() for t in spaced]
         tok_a, tok_b = self.a.token.__getitem__, self.b.token.__getitem__
-        same = [b"".join(map(tok_a, x)) == r == b"".join(map(tok_b, y)) for x, y, r in zip(one, two, raw)]
-        full, one, two = ([v for v, ok in zip(x, same) if ok] for x in (full, one, two))
-        na, nb = (np.fromiter(map(len, x), dtype=np.int64, count=len(x)) for x in (one, two))
-        ia, ib = (np.fromiter((i for v in x for i in v), dtype=np.int64, count=int(c.sum())) for x, c in ((one, na), (two, nb)))
-        del one, two, raw, spaced
-        ea, eb = np.cumsum(self.len_a[ia]), np.cumsum(self.len_b[ib])
+        ia, ib, na, nb, ea, eb = self._joined(one, two)
+        whole, sizes = b"".join(raw), list(map(len, raw))
+        sides = ((0, ia, na, ea), (1, ib, nb, eb))
+        if any(np.diff(np.append(0, e)[np.append(0, np.cumsum(n))]).tolist() != sizes or self._bytes(k, i, e) != whole for k, i, n, e in sides):
+            same = [b"".join(map(tok_a, x)) == r == b"".join(map(tok_b, y)) for x, y, r in zip(one, two, raw)]
+            full, one, two = ([v for v, ok in zip(x, same) if ok] for x in (full, one, two))
+            ia, ib, na, nb, ea, eb = self._joined(one, two)
+        del one, two, raw, spaced, whole, sides
         last_a, last_b = np.cumsum(na) - 1, np.cumsum(nb) - 1
         cut_a, cut_b = shared_cuts(ea, eb, last_a, last_b)
 
