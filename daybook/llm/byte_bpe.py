@@ -11,6 +11,7 @@ million steps, where rescanning it for the lowest rank would cost their square.
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,13 +19,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from daybook.llm.common import per_worker
+
 # Encoded pre-tokens a Python worker remembers before it starts afresh, and the longest
 # pre-token (in characters) it remembers: together they bound its memory.
-CACHE_ENTRIES, CACHE_CHARS = 200_000, 64
+CACHE_ENTRIES, CACHE_CHARS = 400_000, 64
 # Pairs of tokens whose merge a worker remembers.
-KNOWN_PAIRS = 500_000
-# Characters of text that are pre-tokenised and merged together.
-BATCH_CHARS = 1_000_000
+KNOWN_PAIRS = 400_000
+# Characters of text that are pre-tokenised and merged together, and ids decoded at a time.
+BATCH_CHARS, DECODED = 1_000_000, 1 << 18
 
 
 class RankQueue:
@@ -86,12 +89,26 @@ class Vocabulary:
         self.token = [b""] * self.size
         for t, r in self.ranks.items():
             self.token[r] = t
+        self.flat = np.frombuffer(b"".join(self.token), dtype=np.uint8)
+        self.length = np.fromiter(map(len, self.token), dtype=np.int64, count=self.size)
+        self.start = np.cumsum(self.length) - self.length
         self.byte_id = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int64)
         none = -1
         self.byte_pair = np.array([self.ranks.get(bytes([a, b]), none) for a in range(256) for b in range(256)],
                                   dtype=np.int64)
         self._pair: dict[int, int] = {}
 
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes that ``ids`` stand for, a stretch of them gathered at a time."""
+        out = []
+        for a in range(0, len(ids), DECODED):
+            part = ids[a:a + DECODED]
+            n = self.length[part]
+            ends = np.cumsum(n)
+            at = np.repeat(self.start[part] - ends + n, n) + np.arange(int(ends[-1]))
+            out.append(self.flat[at].tobytes())
+        return b"".join(out)
+
     def merge(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word, as little-endian unsigned 32-bit integers.
 
@@ -171,35 +188,70 @@ class Vocabulary:
         return [flat[a:b] for a, b in zip(cut, cut[1:])]
 
 
-def _encoder(ranks_file: bytes, pattern: str):
+class Encoder:
+    """A vocabulary, a pre-token pattern and the pre-tokens encoded so far."""
+
+    def __init__(self, ranks_file: bytes, pattern: str):
+        self.vocabulary, self.find = Vocabulary(ranks_file), regex.compile(pattern).findall
+        self.cache: dict[str, bytes] = {}
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as little-endian unsigned 32-bit integers."""
+        cache, words = self.cache, [self.find(t) for t in texts]
+        missing = list({w for ws in words for w in ws if w not in cache})
+        cache.update(zip(missing, self.vocabulary.merge([w.encode() for w in missing])))
+        out = [b"".join(map(cache.__getitem__, ws)) for ws in words]
+        for w in missing:
+            if len(w) > CACHE_CHARS:
+                del cache[w]
+        if len(cache) > CACHE_ENTRIES:
+            cache.clear()
+        return out
+
+
+def _worker(ranks_file: bytes, pattern: str, make):
+    """``mapInArrow`` function of ``(id, text)``: a stretch of texts at a time goes through the
+    worker's encoder, and ``make(encoder, ids)`` gives the columns after ``id``."""
+    key = "byte_bpe:" + hashlib.sha256(ranks_file + pattern.encode()).hexdigest()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, find = Vocabulary(ranks_file), regex.compile(pattern).findall
-        cache: dict[str, bytes] = {}
+        encoder = per_worker(key, lambda: Encoder(ranks_file, pattern))
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
             start, n = 0, batch.num_rows
             while start < n:
-                words, chars, stop = [], 0, start
+                part, chars, stop = [], 0, start
                 while stop < n and (chars < BATCH_CHARS or stop == start):
-                    t = texts[stop].as_py() or ""
-                    chars += len(t)
-                    words.append(find(t))
+                    part.append(texts[stop].as_py() or "")
+                    chars += len(part[-1])
                     stop += 1
-                missing = list({w for ws in words for w in ws if w not in cache})
-                cache.update(zip(missing, vocabulary.merge([w.encode() for w in missing])))
-                ids = [b"".join(map(cache.__getitem__, ws)) for ws in words]
-                for w in missing:
-                    if len(w) > CACHE_CHARS:
-                        del cache[w]
-                if len(cache) > CACHE_ENTRIES:
-                    cache.clear()
-                yield pa.RecordBatch.from_arrays(
-                    [keys.slice(start, stop - start), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                     pa.array(ids, pa.binary())], names=["id", "n_tokens", "ids"])
+                columns = make(encoder, encoder.ids(part))
+                yield pa.RecordBatch.from_arrays([keys.slice(start, stop - start), *columns.values()], names=["id", *columns])
                 start = stop
     return run
 
 
+def _tokens(encoder: Encoder, ids: list[bytes]) -> dict[str, pa.Array]:
+    return {"n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()), "ids": pa.array(ids, pa.binary())}
+
+
+def _digests(encoder: Encoder, ids: list[bytes]) -> dict[str, pa.Array]:
+    def sha(x: bytes) -> str:
+        return hashlib.sha256(x).hexdigest()
+
+    decoded = [sha(encoder.vocabulary.decode(np.frombuffer(x, "<u4"))) for x in ids]
+    return {"n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()), "ids_sha256": pa.array(map(sha, ids), pa.string()),
+            "decoded_sha256": pa.array(decoded, pa.string())}
+
+
+def _mapped(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_col: str, make, columns: str) -> DataFrame:
+    with open(ranks_path, "rb") as f:
+        ranks_file = f.read()
+    d = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
+    kind = d.schema["id"].dataType.simpleString()
+    return d.mapInArrow(_worker(ranks_file, pattern, make), f"id {kind}, n_tokens bigint, {columns}").withColumnRenamed("id", id_col)
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """One row per document: ``id_col, n_tokens, ids`` (binary: little-endian unsigned
@@ -211,29 +263,31 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     no tokens. Repeated ids give repeated rows, null ids stay, an empty table gives no
     rows; other columns are neither read nor returned. Texts are never cut.
     """
-    with open(ranks_path, "rb") as f:
-        ranks_file = f.read()
-    d = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
-    kind = d.schema["id"].dataType.simpleString()
-    out = d.mapInArrow(_encoder(ranks_file, pattern), f"id {kind}, n_tokens bigint, ids binary")
-    return out.withColumnRenamed("id", id_col)
+    return _mapped(docs, ranks_path, pattern, id_col, text_col, _tokens, "ids binary")
+
+
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``encode`` and ``decode`` in one pass, where the ids themselves are not wanted: one row
+    per document, ``id_col, n_tokens, ids_sha256, decoded_sha256`` (lowercase hex digests of
+    the ids as ``encode`` gives them and of the bytes that they decode to). Cases as there."""
+    return _mapped(docs, ranks_path, pattern, id_col, text_col, _digests, "ids_sha256 string, decoded_sha256 string")
 
 
 def decode(ids: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
     """Adds ``decoded`` (binary): the bytes that the token ids in ``ids_col`` stand for.
-    Null ids give null; an id outside the vocabulary is an error."""
+    Null ids give null; an id outside the vocabulary is an error. A column ``decoded`` of the
+    input gives way to the new one."""
     with open(ranks_path, "rb") as f:
         ranks_file = f.read()
+    key = "byte_bpe_tokens:" + hashlib.sha256(ranks_file).hexdigest()
+    ids = ids.select(ids[ids_col].alias("_ids"), *[c for c in ids.columns if c != "decoded"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = Vocabulary(ranks_file).token.__getitem__
+        vocabulary = per_worker(key, lambda: Vocabulary(ranks_file))
         for batch in batches:
-            out = []
-            for x in batch.column(batch.schema.get_field_index(ids_col)):
-                x = x.as_py()
-                out.append(None if x is None else b"".join(map(token, np.frombuffer(x, "<u4").tolist())))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())],
-                                             names=[*batch.schema.names, "decoded"])
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ids.schema.fields)
+            out = [None if x is None else vocabulary.decode(np.frombuffer(x, "<u4")) for x in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(out, pa.binary())],
+                                             names=[*batch.schema.names[1:], "decoded"])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ids.schema.fields[1:])
     return ids.mapInArrow(run, f"{schema}, decoded binary")

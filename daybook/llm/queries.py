@@ -44,12 +44,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    from daybook.llm.byte_bpe import decode, encode
+    from daybook.llm.byte_bpe import round_trip
 
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = encode(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return decode(ids, path).select(
-        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return round_trip(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
