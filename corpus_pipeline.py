@@ -44,9 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, checked by decoding them."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = byte_bpe.encode(docs, path, public_tokenizers.PATTERN)
-    return byte_bpe.decode(ids, path).select(
-        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return byte_bpe.round_trip(docs, path, public_tokenizers.PATTERN)
 
 
 STAGES = [
