@@ -334,6 +334,6 @@ def test_pipeline_of_no_documents(spark, docs_of):
 
 def test_queries_run_on_the_tables(spark, sf_dir):
     from daybook.llm.queries import ORACLES, QUERIES
-    assert sorted(int(re.match(r"op(\d+)_", q).group(1)) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q).group(1)) for q in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
     assert QUERIES["op8_chat_format"](spark, sf_dir).where("conv_id = -1").select("n_turns", "loss_chars").first() == (2, 21)
