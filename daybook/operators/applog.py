@@ -140,27 +140,30 @@ def enrich_area(df: DataFrame, geo_dict: DataFrame, lat: str = "latitude", lng:
 def guid_of_tuples(tuples: DataFrame, idmap: DataFrame, priority: tuple[str, ...] = GUID_PRIORITY,
                    hot_min: int = HOT_MIN_ROWS) -> DataFrame:
     """J4 for distinct id tuples (the ``priority`` columns, one row each): ``(_k, guid)``,
-    ``_k`` the struct of the tuple, for those of which an id is in the dictionary."""
+    ``_k`` the struct of the tuple, for those of which an id is in the dictionary. Ids are
+    looked up by name where the dictionary has names, else by hash."""
+    named = "name" in idmap.columns
     cand = tuples.select(*priority, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("prio"), java_hash(c).alias("h")) for i, c in enumerate(priority)
+        F.struct(F.lit(i).alias("prio"), (F.col(c) if named else java_hash(c)).alias("h")) for i, c in enumerate(priority)
     ])).alias("c")).select(*priority, "c.prio", "c.h").where(F.col("h").isNotNull())
     # one id value can be shared by very many tuples (the empty string hashes to 0)
     cand = cand.checkpoint()
     h_counts = cand.groupBy("h").agg(F.count(F.lit(1)).alias("_n"))
     # one guid per id even if the dictionary repeats an id (the smallest)
-    dictionary = idmap.groupBy(F.col("biaoshi_hashcode").alias("h")).agg(F.min("guid").alias("guid"))
+    dictionary = idmap.groupBy(F.col("name" if named else "biaoshi_hashcode").alias("h")).agg(F.min("guid").alias("guid"))
     hits = salted_join(cand, dictionary, "h", top_hot_keys(h_counts, ["h"], "_n", hot_min), "inner")
     return hits.groupBy(F.struct(*priority).alias("_k")).agg(F.min_by("guid", "prio").alias("guid"))
 
 
 def resolve_guid(df: DataFrame, idmap: DataFrame, priority: tuple[str, ...] = GUID_PRIORITY,
                  hot_min: int = HOT_MIN_ROWS) -> DataFrame:
-    """``guid`` from the identity dictionary ``(biaoshi_hashcode, guid)``: the first
-    of ``priority`` whose hash is in the dictionary. Null ids are skipped (D6).
+    """``guid`` from the identity dictionary ``(name, biaoshi_hashcode, guid)``: the
+    first of ``priority`` that is in the dictionary, by name, or by hash if it was written
+    without names. Null ids are skipped (D6).
 
     Resolved once per distinct id tuple rather than per record: distinct tuples are
     counted in a pass that reads the id columns alone and written, unpivoted to ``(tuple,
-    priority, hash)``, equi-joined with the dictionary (no
+    priority, id)``, equi-joined with the dictionary (no
     broadcast: it grows with the user base), reduced with ``min_by`` over priority,
     and joined back on the tuple (a struct key, so null fields match). The wide
     records shuffle once and are never written; a hot tuple (one device with a huge share

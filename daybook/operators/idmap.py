@@ -1,7 +1,9 @@
 """Identity mapping (survey: G1, G4, G5, J5, J6; jobs Q-IDM, Q-IDR, Q-LINK).
 
-Every identifier string becomes a vertex keyed by its 32-bit Java hash widened to
-long (F7), as in the reference; unrelated ids can therefore collide and merge.
+The reference keys every identifier by its 32-bit Java hash (F7). Here that hash is an
+output: components are found over the strings themselves (``operators.identity``). The hashed
+graph (``id_vertices``, ``id_edges``, ``id_graph``) is kept for its counts, and for rolling a
+dictionary that was written without names.
 """
 
 from __future__ import annotations
@@ -11,8 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from daybook.functions.core import java_hash, not_blank, parse_once
+from daybook.operators import identity
 from daybook.operators.graph import chain, connected_components, cooccurrence_edges, pairwise
 from daybook.operators.joins import HOT_MIN_ROWS, salted_join, top_hot_keys
+from daybook.sources.session import checkpoint_dir
 
 # Identifier fields of a log record, in the reference's order.
 ID_FIELDS = ("uid", "imei", "mac", "imsi", "androidId", "deviceId", "uuid")
@@ -77,8 +81,6 @@ def id_graph(ids: DataFrame, ids_col: str = "ids", min_count: int = 3,
     """X5 + X3 + A7 in one pass over the records: each record emits its vertices as
     ``(id, null)`` and its pairs as ``(src, dst)``; one partial aggregate counts both,
     and the (much smaller) result is checkpointed. Returns ``(vertices, edges)``."""
-    from daybook.sources.session import checkpoint_dir
-
     checkpoint_dir(ids.sparkSession)
     hashed = ids.select(_hashed(ids, ids_col).alias("h"))  # hashed once, referenced by column
     h = F.col("h")
@@ -95,25 +97,36 @@ def id_graph(ids: DataFrame, ids_col: str = "ids", min_count: int = 3,
 
 
 # --------------------------------------------------------------------------- Q-IDM / Q-IDR
+def identity_dictionary(ids: DataFrame, prev: DataFrame | None = None, ids_col: str = "ids", min_count: int = 3,
+                        hot_min: int = HOT_MIN_ROWS, max_width: int = len(ID_FIELDS)) -> DataFrame:
+    """Q-IDM (``prev=None``) and Q-IDR: ``(name, biaoshi_hashcode, guid)`` for every
+    identifier string.
+
+    ``guid`` is the smallest hash of the connected component; components that share it are
+    numbered (``operators.identity``). With yesterday's dictionary ``prev`` (G4, G5/J6) only
+    today's links are contracted over yesterday's guids; a component that contains ids
+    known yesterday keeps the smallest of their guids (deviation D3: the reference takes
+    whichever it meets first).
+    """
+    names, edges = identity.name_graph(ids, ids_col, min_count, max_width)
+    return identity.build(names, edges, hot_min) if prev is None else identity.roll(prev, names, edges, hot_min)
+
+
 def identity_map(ids: DataFrame, prev: DataFrame | None = None, ids_col: str = "ids",
                  min_count: int = 3, hot_min: int = HOT_MIN_ROWS) -> DataFrame:
-    """Q-IDM (``prev=None``) and Q-IDR: ``(biaoshi_hashcode, guid)`` for every id.
+    """The ``(biaoshi_hashcode, guid)`` columns of ``identity_dictionary``, a row for every
+    identifier string.
 
-    ``guid`` is the smallest hashed id of the connected component. With yesterday's
-    dictionary ``prev`` (G4), each of its rows is also a vertex and an edge
-    ``id -> guid`` (no threshold), and (G5/J6) a component that contains ids known
-    yesterday keeps the smallest of their previous guids (deviation D3: the
-    reference takes whichever it meets first).
+    A ``prev`` without the column ``name`` was written by hash alone: it is rolled by hash
+    too, each of its rows a vertex and an edge ``id -> guid`` (no threshold) of one
+    computation over both days, and ids whose hashes collide merge, as in the reference.
     """
+    if prev is None or "name" in prev.columns:
+        return identity_dictionary(ids, prev, ids_col, min_count, hot_min).select("biaoshi_hashcode", "guid")
     vertices, edges = id_graph(ids, ids_col, min_count)
-    if prev is not None:
-        vertices = vertices.unionByName(prev.select(F.col("biaoshi_hashcode").alias("id")))
-        edges = edges.unionByName(prev.select(F.col("biaoshi_hashcode").alias("src"),
-                                              F.col("guid").alias("dst")))
-    comp = connected_components(vertices, edges, hot_min=hot_min, inputs_materialized=prev is None)
-    if prev is None:
-        return comp.select(F.col("id").alias("biaoshi_hashcode"), F.col("component").alias("guid"))
-    return stabilise_guid(comp, prev, hot_min)
+    vertices = vertices.unionByName(prev.select(F.col("biaoshi_hashcode").alias("id")))
+    edges = edges.unionByName(prev.select(F.col("biaoshi_hashcode").alias("src"), F.col("guid").alias("dst")))
+    return stabilise_guid(connected_components(vertices, edges, hot_min=hot_min), prev, hot_min)
 
 
 def stabilise_guid(comp: DataFrame, prev: DataFrame, hot_min: int = HOT_MIN_ROWS) -> DataFrame:
@@ -148,30 +161,28 @@ def link_lines(lines: DataFrame, value_col: str = "value", sep: str = ",",
     ``(gid, line)``.
 
     Vertices are the non-blank fields; edges chain field i to field i+1 when field i
-    is not blank (X4); groups are connected components (G3); the tag is an equi-join
-    on the first non-blank field's hash (J5). A line without any non-blank field gets
-    a null ``gid`` (the reference fails the job). Equal lines are counted and joined once.
+    is not blank (X4); groups are connected components over the field strings (G3), their id
+    the smallest hash as in ``operators.identity``; the tag is an equi-join on the first
+    non-blank field (J5). A line without any non-blank field gets a null ``gid`` (the
+    reference fails the job). Equal lines are counted and joined once.
     """
-    from daybook.sources.session import checkpoint_dir
-
     checkpoint_dir(lines.sparkSession)
     f = lines.select(F.col(value_col).alias("line"), split_fields(F.col(value_col), sep).alias("fields"))
-    # one pass over the lines: vertices as (id, null), chained pairs as (src, dst)
+    # one pass over the lines: vertices as (name, null), chained pairs as (src, dst)
     entries = F.concat(
         F.transform(F.filter("fields", lambda x: not_blank(x)),
                     lambda x: F.struct(x.alias("src"), F.lit(None).cast("string").alias("dst"))),
         F.coalesce(chain(F.col("fields")), F.array().cast("array<struct<src:string,dst:string>>")))
     g = (f.select(F.explode_outer(entries).alias("p")).where(F.col("p").isNotNull())
-         .select(java_hash("p.src").alias("src"), java_hash("p.dst").alias("dst"))
-         .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_n"))
+         .groupBy("p.src", "p.dst").agg(F.count(F.lit(1)).alias("_n"))
          .checkpoint())
-    vertices = g.where(F.col("dst").isNull()).select(F.col("src").alias("id"))
-    edges = g.where(F.col("dst").isNotNull()).select("src", "dst")
-    comp = connected_components(vertices, edges, hot_min=hot_min, inputs_materialized=True)
-    first = f.select("line", java_hash(F.try_element_at(F.filter("fields", lambda x: not_blank(x)), F.lit(1))).alias("id"))
+    names = g.where(F.col("dst").isNull()).select(F.col("src").alias("name"), "_n")
+    comp = identity.name_components(names, g.where(F.col("dst").isNotNull()).select("src", "dst"), hot_min)
+    guids = identity.component_guids(comp)
+    tagged = salted_join(comp, guids.drop("_n"), "component", top_hot_keys(guids, ["component"], "_n", hot_min), "inner")
+    first = f.select("line", F.try_element_at(F.filter("fields", lambda x: not_blank(x)), F.lit(1)).alias("name"))
     # a field's count over all lines bounds its count as a first field: hot candidates
     # come from the checkpointed graph, without another pass over the lines
-    occurrences = g.where(F.col("dst").isNull()).select(F.col("src").alias("id"), "_n")
-    hot = top_hot_keys(occurrences, ["id"], "_n", hot_min)
-    return (salted_join(first, comp, "id", hot, "left", repeats=True)
-            .select(F.col("component").alias("gid"), "line"))
+    hot = top_hot_keys(names, ["name"], "_n", hot_min)
+    return (salted_join(first, tagged.select("name", "guid"), "name", hot, "left", repeats=True)
+            .select(F.col("guid").alias("gid"), "line"))

@@ -193,7 +193,7 @@ def q_applog(spark, sf_dir):
     """Q-LOG end to end: identity dictionary from the same day's lines (Q-IDM), geo
     dictionary from customer points (Q-GEO), then the cleanse."""
     lines = app_log_lines(spark, sf_dir)
-    ids = idmap.identity_map(idmap.extract_ids(lines))
+    ids = idmap.identity_dictionary(idmap.extract_ids(lines))
     geo = applog.geo_dictionary(geo_points(spark, sf_dir))
     out = applog.cleanse_app_log(lines, geo, ids)
     return out.select("guid", "eventid", F.col("event")["k"].alias("event_k"), "uid", "imei", "mac",

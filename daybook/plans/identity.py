@@ -75,10 +75,39 @@ def q_idmap_roll(spark, sf_dir):
     ids = lineitem_ids(spark, sf_dir)
     # a string parsed as a zone-less timestamp: independent of any session or OS time zone
     cut = F.lit(f"{ROLL_CUT} 00:00:00").cast("timestamp_ntz")
-    yesterday = idmap.identity_map(ids.where(F.col("l_shipdate") < cut).select("ids"))
+    yesterday = idmap.identity_dictionary(ids.where(F.col("l_shipdate") < cut).select("ids")).checkpoint()
     return idmap.identity_map(ids.where(F.col("l_shipdate") >= cut).select("ids"), prev=yesterday)
 
 
+def colliding_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two identifiers of each line item, whose rows by turns carry the prefix ``Aa`` or
+    ``BB``: the two have the same Java hash, so every id has a stranger with its hash."""
+    li = table(spark, sf_dir, "lineitem")
+    side = F.when(F.col("l_linenumber") % 2 == 0, F.lit("Aa")).otherwise(F.lit("BB"))
+    return li.select(F.filter(F.array(F.concat(side, F.lit("P"), F.col("l_partkey").cast("string")),
+                                      F.concat(side, F.lit("S"), F.col("l_suppkey").cast("string"))), lambda x: x.isNotNull()).alias("ids"), "l_shipdate")
+
+
+_COLLIDE_IDS = """ids AS (SELECT (CASE WHEN l_linenumber % 2 = 0 THEN 'Aa' ELSE 'BB' END) || 'P' || l_partkey AS a,
+  (CASE WHEN l_linenumber % 2 = 0 THEN 'Aa' ELSE 'BB' END) || 'S' || l_suppkey AS b FROM lineitem)"""
+_COLLIDE_SQL = f"""WITH RECURSIVE {_COLLIDE_IDS},
+nm AS (SELECT a AS name FROM ids UNION SELECT b FROM ids),
+d AS (SELECT name, row_number() OVER (ORDER BY name) AS id FROM nm),
+e AS (SELECT da.id AS src, db.id AS dst FROM (SELECT a, b FROM ids GROUP BY a, b HAVING count(*) >= 2) x JOIN d da ON da.name = x.a JOIN d db ON db.name = x.b),
+{cc_sql('cc', 'SELECT id FROM d', 'SELECT src, dst FROM e')},
+h AS (SELECT d.name, {jh('d.name')} AS h, cc.comp FROM d JOIN cc ON cc.id = d.id),
+g AS (SELECT comp, min(h) AS h FROM h GROUP BY comp),
+k AS (SELECT comp, h + 4294967296 * (row_number() OVER (PARTITION BY h ORDER BY comp) - 1) AS guid FROM g)
+SELECT h.name, h.h AS biaoshi_hashcode, CAST(k.guid AS BIGINT) AS guid FROM h JOIN k ON k.comp = h.comp"""
+
+
+@register("q_idmap_collide", _COLLIDE_SQL)
+def q_idmap_collide(spark, sf_dir):
+    """Q-IDM where every identifier shares its hash with a stranger (G1, G3, F7): the
+    strangers stay apart, in guids too."""
+    return idmap.identity_dictionary(colliding_ids(spark, sf_dir).select("ids"), min_count=2)
+
+
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``customer,order,date`` text lines; a partially filled order has a blank order
     field, empty or one full-width space by turns, which links its customer to that blank's

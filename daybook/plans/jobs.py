@@ -66,14 +66,16 @@ def geo_dictionary_from_jdbc(spark: SparkSession, url: str, table: str, properti
 def identity_map_job(spark: SparkSession, log_paths: list[str], out_path: str,
                      prev_path: str | None = None, files: int | None = None) -> None:
     """Q-IDM / Q-IDR: JSON log lines of several sources (bag union, U1) -> identity
-    dictionary ``(biaoshi_hashcode, guid)`` as parquet; with ``prev_path`` yesterday's
+    dictionary ``(name, biaoshi_hashcode, guid)`` as parquet; with ``prev_path`` yesterday's
     dictionary is rolled in (G4/G5)."""
     lines = None
     for p in log_paths:
         d = sources.read_lines(spark, p)
         lines = d if lines is None else lines.unionByName(d)
     prev = sources.read_parquet(spark, prev_path) if prev_path else None
-    res = idmap.identity_map(idmap.extract_ids(lines), prev)
+    ids = idmap.extract_ids(lines)
+    named = prev is None or "name" in prev.columns
+    res = idmap.identity_dictionary(ids, prev) if named else idmap.identity_map(ids, prev)
     sources.write_parquet(res, out_path, files=files)
 
 
