@@ -26,6 +26,7 @@ from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,8 +41,9 @@ BLOCK_LINES, BLOCK_CHARS = 3000, 1 << 20
 # Captures of an index part, the most parts there are, and characters of a part's first key
 # that are broadcast: 64 MB at most (a key cut there only makes a lookup read one part more).
 PART_CAPTURES, MAX_PARTS, HEAD_CHARS = 20_000, 1 << 16, 256
-# Lookups of a part that one task takes, and bytes of neighbouring records read at once.
-TASK_LOOKUPS, READ_BYTES = 50_000, 4 << 20
+# Lookups of a part that one task takes, bytes of neighbouring records read at once, and bytes
+# of records that a reading task gets.
+TASK_LOOKUPS, READ_BYTES, TASK_BYTES = 50_000, 4 << 20, 64 << 20
 # Records handed on together.
 OUT_BYTES = 4 << 20
 # Fixed values of the format.
@@ -236,15 +238,15 @@ def _indexer(folder: str):
         if sink is not None:
             sink.close()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name]), pa.array([heads], pa.list_(pa.string())), pa.array([starts], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64()))],
-                names=["part", "heads", "starts", "sizes"])
+                [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([name]), pa.array([heads], pa.list_(pa.string())), pa.array([starts], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64()))],
+                names=["place", "part", "heads", "starts", "sizes"])
     return run
 
 
 def write_index(captures: DataFrame, folder: str, part_captures: int = PART_CAPTURES) -> DataFrame:
     """Sorts the captures by key and writes them as compressed blocks into ``folder``, one
-    file a part. Returns the sparse directory, a row a part: ``part`` (its file) and the
-    ``heads`` (first keys), ``starts`` and ``sizes`` of its blocks. A key with very many
+    file a part. Returns the sparse directory, a row a part: ``place`` (its number in the
+    order of keys), ``part`` (its file) and the ``heads`` (first keys), ``starts`` and ``sizes`` of its blocks. A key with very many
     captures goes over as many blocks and parts as it fills."""
     fs, path = _store(folder)
     fs.create_dir(path)
@@ -252,7 +254,7 @@ def write_index(captures: DataFrame, folder: str, part_captures: int = PART_CAPT
     parts = max(1, min(MAX_PARTS, -(-n // part_captures)))
     order = ["key", "page", "archive", "start"]
     c = captures.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    return save(c.mapInArrow(_indexer(folder), "part string, heads array<string>, starts array<bigint>, sizes array<bigint>"))
+    return save(c.mapInArrow(_indexer(folder), "place int, part string, heads array<string>, starts array<bigint>, sizes array<bigint>"))
 
 
 def _part_finder(heads: list[tuple[str, str]]):
@@ -299,20 +301,30 @@ def _searcher(folder: str):
     return run
 
 
+def _tasks(df: DataFrame, n: int) -> int:
+    """``n`` pieces of work as a number of partitions: no more than a shuffle has, several
+    for each core."""
+    spark = df.sparkSession
+    most = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return max(1, min(n, most))
+
+
 def lookup(keys: DataFrame, directory: DataFrame, folder: str, key_col: str = "key") -> DataFrame:
     """The captures of each different key in ``key_col``: ``key, page, archive, start, size``.
     Keys that the index doesn't hold, and null, give no rows. Many lookups that fall into
     one part are dealt over several tasks, each with that part's directory."""
-    tops = sorted((r.head, r.part) for r in directory.select(F.col("heads")[0].substr(1, HEAD_CHARS).alias("head"), "part").collect())
+    # parts that begin with the same key are told apart by their place
+    tops = [(r.head, r.part) for r in sorted(directory.select("place", F.col("heads")[0].substr(1, HEAD_CHARS).alias("head"), "part").collect())]
     asked = keys.select(F.col(key_col).cast("string").alias("key")).where("key IS NOT NULL").distinct()
     found = save(asked.mapInArrow(_part_finder(tops), "key string, part string"))
-    counts = found.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / TASK_LOOKUPS).alias("tasks"))  # MAX_PARTS rows at most
-    deal = F.broadcast(counts)
+    counts = save(found.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / TASK_LOOKUPS).alias("tasks")))  # MAX_PARTS rows at most
+    deal, n = F.broadcast(counts), counts.agg(F.sum("tasks")).first()[0] or 1
     none = [F.lit(None).cast(directory.schema[c].dataType).alias(c) for c in ("heads", "starts", "sizes")]
     asks = found.join(deal, "part").select("part", F.pmod(F.xxhash64("key"), F.col("tasks")).alias("task"), "key", *none)
     dirs = directory.join(deal, "part").select("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tasks") - 1)).alias("task"),
                                                F.lit(None).cast("string").alias("key"), "heads", "starts", "sizes")
-    both = dirs.unionByName(asks).repartition("part", "task").sortWithinPartitions("part", "task", "key")  # a directory before its lookups
+    # a number of its own: the work is in the reading, which the size of these rows doesn't tell
+    both = dirs.unionByName(asks).repartition(_tasks(keys, n), "part", "task").sortWithinPartitions("part", "task", "key")  # a directory before its lookups
     return both.mapInArrow(_searcher(folder), "key string, page string, archive string, start bigint, size bigint")
 
 
@@ -361,7 +373,11 @@ def read_ranges(captures: DataFrame, folder: str, payloads: bool = True) -> Data
     payload_digest, refers_to, payload`` (null for revisits, and without ``payloads``).
     Ranges are dealt by archive and stretch and read in order; a damaged record is an error."""
     c = captures.select("archive", "start", "size").withColumn("stretch", F.expr(f"start div {READ_BYTES}"))
-    c = c.repartition("archive", "stretch").sortWithinPartitions("archive", "start")
+    stored = save(c)
+    total = stored.agg(F.sum("size")).first()[0] or 0
+    # several tasks a core however little there is, and no more than TASK_BYTES each
+    n = max(_tasks(stored, -(-total // READ_BYTES)), -(-total // TASK_BYTES))
+    c = stored.repartition(n, "archive", "stretch").sortWithinPartitions("archive", "start")
     return c.mapInArrow(_reader(folder, payloads), "record_type string, page string, url string, payload_bytes bigint, "
                                                    "payload_digest string, refers_to string, payload binary")
 
