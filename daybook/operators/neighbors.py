@@ -4,11 +4,14 @@ Two shapes, neither of which emits all pairs:
 
 * against a labelled sample (KNN): the sample is what a fitted classifier consists of, so
   it is bounded by a documented parameter, broadcast once, and the queries stream past it
-  with no shuffle. A sample that is itself a table of any size is dealt, like the queries,
-  into parts of bounded size, and a piece is a pair of parts;
+  with no shuffle. A sample that is itself a table of any size is placed into Voronoi cells,
+  of which a query sees those that the triangle inequality doesn't exclude
+  (``operators.cells``); where that can't be (cosine, unequal lengths, or a sample of one
+  cell) both sides are dealt into parts of bounded size, and a piece is a pair of parts;
 * among the rows of one table (similarity report): within a declared block key. A block of
   any size is dealt into pieces of bounded size, one task step each, and a piece emits at
-  most ``k`` rows for each of its rows.
+  most ``k`` rows for each of its rows. Larger blocks go through cells as well, with a bound
+  on the cosine.
 
 Scores are evaluated in numpy: a matrix product makes a shortlist with an error margin, and
 the shortlist is scored and ranked by the defining formula, so equal vectors score exactly
@@ -25,132 +28,25 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.operators import cells
 from daybook.operators.joins import top_k_per_key
+from daybook.operators.vectors import SCORES, Vectors, best, differ, result_schema, rows
 
 # Most rows of a KNN sample: it is collected and broadcast (at 64 cells about 50 MB).
 MAX_SAMPLE = 100_000
-# Rows of a block that meet in one piece, and scores held at a time.
-BLOCK_ROWS, SCORES = 2048, 1 << 22
+# Rows of a block that meet in one piece.
+BLOCK_ROWS = 2048
 # Rows of either side in a piece where the sample is a table: at 64 cells some 4 MB each.
 PIECE_ROWS = 8192
-_EPS = 1e-13
-
-
-class _Vectors:
-    """Vectors of one side: cells (null and missing ones 0.0), lengths, ids, labels."""
-
-    def __init__(self, ids: pa.Array, vecs: pa.Array, labels: np.ndarray):
-        vecs = vecs.combine_chunks() if isinstance(vecs, pa.ChunkedArray) else vecs
-        self.ids = ids.combine_chunks() if isinstance(ids, pa.ChunkedArray) else ids
-        self.labels = labels
-        self.length = pc.fill_null(pc.list_value_length(vecs), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        flat = pc.fill_null(vecs.flatten(), 0.0).to_numpy(zero_copy_only=False).astype(np.float64)
-        n, width = len(self.length), int(self.length.max(initial=0))
-        self.cells = np.zeros((n, width))
-        row = np.repeat(np.arange(n), self.length)
-        col = np.arange(len(flat)) - np.repeat(np.cumsum(self.length) - self.length, self.length)
-        self.cells[row, col] = np.nan_to_num(flat, nan=0.0)
-        self.square = (self.cells * self.cells).sum(axis=1)
-
-    def __len__(self) -> int:
-        return len(self.length)
-
-
-def _widen(m: np.ndarray, width: int) -> np.ndarray:
-    return np.pad(m, ((0, 0), (0, width - m.shape[1])))
-
-
-def _similarity(metric: str, q: np.ndarray, c: np.ndarray, both: np.ndarray) -> np.ndarray:
-    """F16 or F17 of row pairs by definition; ``both``: cells that both vectors of a pair
-    have (the Euclidean form compares as far as both go, like a zip)."""
-    if metric == "euclidean":
-        d = np.where(np.arange(q.shape[1]) < both[:, None], q - c, 0.0)
-        return 1.0 / (1.0 + np.sqrt((d * d).sum(axis=1)))
-    norm = np.sqrt((q * q).sum(axis=1)) * np.sqrt((c * c).sum(axis=1))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return np.where(norm > 0, (q * c).sum(axis=1) / norm, np.nan)
-
-
-def _best(q: _Vectors, c: _Vectors, k: int, metric: str, other: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Of every query the ``k`` best candidates by ``similarity desc (NaN last), label,
-    id``: arrays ``query, candidate, similarity``. ``other[i, j]``: whether candidate j is
-    another row than query i."""
-    width = max(q.cells.shape[1], c.cells.shape[1])
-    x, y = _widen(q.cells, width), _widen(c.cells, width)
-    id_rank = np.empty(len(c), dtype=np.int64)
-    id_rank[pc.sort_indices(c.ids).to_numpy()] = np.arange(len(c))
-    out = []
-    step = max(1, SCORES // max(1, len(c)))
-    for a in range(0, len(q), step):
-        b = min(a + step, len(q))
-        dot = x[a:b] @ y.T
-        if metric == "euclidean":
-            if (q.length[a:b, None] == c.length[None, :]).all():
-                rough = -(q.square[a:b, None] + c.square[None, :] - 2.0 * dot)
-                margin = _EPS * width * (q.square[a:b, None] + c.square.max(initial=0.0))
-            else:  # unequal lengths: no product says it, so all are scored
-                rough, margin = np.zeros_like(dot), np.zeros((b - a, 1))
-        else:
-            norm = np.sqrt(q.square[a:b])[:, None] * np.sqrt(c.square)[None, :]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                rough = np.where(norm > 0, dot / norm, -2.0)
-            margin = np.full((b - a, 1), _EPS * max(1, width))
-        rough = np.where(other[a:b], rough, -np.inf)
-        if k < len(c):
-            least = np.partition(rough, len(c) - k, axis=1)[:, len(c) - k][:, None]
-            near = (rough >= least - 2 * margin) & other[a:b]
-        else:
-            near = other[a:b]
-        i, j = np.nonzero(near)
-        s, strip = np.empty(len(i)), max(1, SCORES // max(1, width))
-        for p in range(0, len(i), strip):
-            ip, jp = a + i[p:p + strip], j[p:p + strip]
-            s[p:p + strip] = _similarity(metric, x[ip], y[jp], np.minimum(q.length[ip], c.length[jp]))
-        order = np.lexsort((id_rank[j], c.labels[j], np.where(np.isnan(s), np.inf, -s), i))
-        i, j, s = i[order], j[order], s[order]
-        place = np.arange(len(i)) - np.searchsorted(i, i)
-        top = place < k
-        out.append((a + i[top], j[top], s[top]))
-    if not out:
-        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
-    return tuple(np.concatenate(p) for p in zip(*out))
-
-
-def _other(metric: str) -> str:
-    return "cosine" if metric == "euclidean" else "euclidean"
-
-
-def _rows(q: _Vectors, c: _Vectors, i: np.ndarray, j: np.ndarray, s: np.ndarray, metric: str, names: list[str]) -> pa.RecordBatch:
-    width = max(q.cells.shape[1], c.cells.shape[1])
-    s2 = _similarity(_other(metric), _widen(q.cells, width)[i], _widen(c.cells, width)[j], np.minimum(q.length[i], c.length[j]))
-    return pa.RecordBatch.from_arrays(
-        [q.ids.take(pa.array(i)), c.ids.take(pa.array(j)), pa.array(s, from_pandas=True), pa.array(c.labels[j]),
-         pa.array(s2, from_pandas=True)], names=names)
-
-
-def _differ(q: pa.Array, c: pa.Array, exclude_self: bool) -> np.ndarray:
-    if not exclude_self:
-        return np.ones((len(q), len(c)), dtype=bool)
-    known = pc.unique(c)
-    qi = pc.fill_null(pc.index_in(q, value_set=known), -1).to_numpy(zero_copy_only=False)
-    ci = pc.index_in(c, value_set=known).to_numpy(zero_copy_only=False)
-    return qi[:, None] != ci[None, :]
-
-
-_NAMES = ["qid", "cid", "sim", "label", "sim2"]
-
-
-def _schema(query_kind: str, cand_kind: str) -> str:
-    return f"qid {query_kind}, cid {cand_kind}, sim double, label double, sim2 double"
-
-
-def _scored(ids: pa.Array, vecs: pa.Array, c: _Vectors, k: int, metric: str, exclude_self: bool) -> Iterator[pa.RecordBatch]:
+
+
+def _scored(ids: pa.Array, vecs: pa.Array, c: Vectors, k: int, metric: str, exclude_self: bool) -> Iterator[pa.RecordBatch]:
     """The ``k`` best of ``c`` for each query, a bounded number of scores at a time."""
     step = max(1, SCORES // max(1, len(c)))
     for a in range(0, len(ids), step):
-        part = _Vectors(ids[a:a + step], vecs[a:a + step], np.zeros(len(ids[a:a + step])))
-        i, j, sim = _best(part, c, k, metric, _differ(part.ids, c.ids, exclude_self))
-        yield _rows(part, c, i, j, sim, metric, _NAMES)
+        part = Vectors(ids[a:a + step], vecs[a:a + step], np.zeros(len(ids[a:a + step])))
+        i, j, sim = best(part, c, k, metric, differ(part.ids, c.ids, exclude_self))
+        yield rows(part, c, i, j, sim, metric)
 
 
 def _from_sample(d: DataFrame, s: DataFrame, k: int, metric: str, exclude_self: bool, max_sample: int, schema: str) -> DataFrame:
@@ -161,7 +57,7 @@ def _from_sample(d: DataFrame, s: DataFrame, k: int, metric: str, exclude_self:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = shared.value
-        c = _Vectors(t.column("id"), t.column("vec"), t.column("label").to_numpy())
+        c = Vectors(t.column("id"), t.column("vec"), t.column("label").to_numpy())
         for batch in batches:
             if batch.num_rows and len(c):
                 yield from _scored(batch.column(0), batch.column(1), c, k, metric, exclude_self)
@@ -185,11 +81,11 @@ def _from_pieces(d: DataFrame, s: DataFrame, k: int, metric: str, exclude_self:
 
     def piece(t: pa.Table) -> pa.Table:
         asks, known = t.filter(t.column("asks")), t.filter(pc.invert(t.column("asks")))
-        c = _Vectors(known.column("cid"), known.column("vec"), known.column("label").to_numpy())
+        c = Vectors(known.column("cid"), known.column("vec"), known.column("label").to_numpy())
         found = _scored(asks.column("qid"), asks.column("vec"), c, k, metric, exclude_self)
-        none = _Vectors(asks.column("qid")[:0], asks.column("vec")[:0], np.zeros(0))
+        none = Vectors(asks.column("qid")[:0], asks.column("vec")[:0], np.zeros(0))
         empty = np.zeros(0, dtype=int)
-        return pa.Table.from_batches([_rows(none, c, empty, empty, np.zeros(0), metric, _NAMES), *found])
+        return pa.Table.from_batches([rows(none, c, empty, empty, np.zeros(0), metric), *found])
 
     return q.unionByName(c).groupBy("i", "j").applyInArrow(piece, schema)
 
@@ -202,26 +98,32 @@ def top_k_neighbors(queries: DataFrame, sample: DataFrame, k: int, metric: str =
 
     ``metric`` is ``euclidean`` (F16, ``1/(1+dist)``) or ``cosine`` (F17; null for a zero
     vector, ranked last). Ranking is ``sim desc, label, cid`` (deviation D4 makes ties
-    deterministic). With ``exclude_self`` a query never matches a row with its own id.
+    deterministic; a null id goes last). With ``exclude_self`` a query never matches a row with its own id.
 
     A fitted sample is bounded as a model is: more than ``max_sample`` rows are an error. It
     is broadcast, and the queries, however many, are scored where they lie. With
-    ``max_sample=None`` the sample is a table of any size: both sides are dealt by a hash of
-    the row into parts of about ``piece_rows`` rows, each pair of parts is scored as one
-    piece, and the best ``k`` of all pieces stay. Nothing passes through the driver; each
-    row is sent once per part of the other side.
+    ``max_sample=None`` the sample is a table of any size. Where one piece can't hold it,
+    ``euclidean`` queries on vectors of one length see the cells that can hold a better row
+    (``operators.cells``). Otherwise both sides are dealt by a hash of the row into parts of
+    about ``piece_rows`` rows, each pair of parts is scored as one piece, and each row is
+    sent once per part of the other side. The best ``k`` of all pieces stay. The result is
+    exact either way.
     """
     if metric not in ("euclidean", "cosine"):
         raise ValueError(f"unknown metric {metric}")
     lab = F.coalesce(F.col(label).cast("double"), F.lit(0.0)) if label else F.lit(0.0)
     s = sample.select(F.col(cand_id).alias("id"), F.col(vec).cast("array<double>").alias("vec"), lab.alias("label"))
     d = queries.select(F.col(query_id).alias("id"), F.col(vec).cast("array<double>").alias("vec"))
-    schema = _schema(d.schema["id"].dataType.simpleString(), s.schema["id"].dataType.simpleString())
-    if max_sample is None:
+    schema = result_schema(d.schema["id"].dataType.simpleString(), s.schema["id"].dataType.simpleString())
+    most, one_length, finite = cells.comparable(d, s.withColumn("block", F.lit(0))) if max_sample is None else (0, False, False)
+    if most > piece_rows and metric == "euclidean" and one_length and finite:
+        d, s = (x.withColumn("block", F.lit(0)) for x in (d, s))
+        found = cells.Search(d, s, k, metric, exclude_self, max(1, piece_rows // 2)).found()
+    elif max_sample is None:
         found = _from_pieces(d, s, k, metric, exclude_self, piece_rows, schema)
     else:
         found = _from_sample(d, s, k, metric, exclude_self, max_sample, schema)
-    return top_k_per_key(found, "qid", [F.col("sim").desc_nulls_last(), "label", "cid"], k)
+    return top_k_per_key(found, "qid", [F.col("sim").desc_nulls_last(), "label", F.col("cid").asc_nulls_last()], k)
 
 
 def knn_classify(test: DataFrame, sample: DataFrame, k: int = 4, id_col: str = "id",
@@ -244,13 +146,19 @@ def similar_items(df: DataFrame, k: int, id_col: str = "id", vec: str = "vec", b
     With one block and ``k = n - 1`` it is the reference's all-pairs table (each pair once
     per direction).
 
-    A block of ``n`` rows is dealt into ``ceil(n / block_rows)`` parts by a hash of the id,
-    and each pair of parts is scored as one piece of at most about ``2 * block_rows`` rows.
+    Where a block has more than ``2 * block_rows`` rows, blocks are placed into cells, and a row
+    sees those that can hold a better one than its ``k``-th so far (``operators.cells``).
+    Otherwise a block of ``n`` rows is dealt into ``ceil(n / block_rows)`` parts by a hash of
+    the id, and each pair of parts is scored as one piece.
     """
-    key = F.col(block) if block else F.lit(0)
+    key = F.struct(F.col(block) if block else F.lit(0))  # null is a block like others
     d = df.select(F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("vec"), key.alias("block"))
-    sizes = d.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("parts")).withColumnRenamed("block", "_block")
-    d = d.join(sizes, F.col("block").eqNullSafe(F.col("_block"))).drop("_block")
+    most, _, finite = cells.comparable(d, d)
+    if most > 2 * block_rows and finite:
+        found = cells.Search(d, d.withColumn("label", F.lit(0.0)), k, "cosine", True, block_rows).found()
+        return _named(found, k, id_col)
+    sizes = d.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("parts"))
+    d = d.join(sizes, "block")
     d = d.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     d = d.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     d = d.withColumn("i", F.least("part", "k")).withColumn("j", F.greatest("part", "k")).drop("k", "parts")
@@ -259,13 +167,16 @@ def similar_items(df: DataFrame, k: int, id_col: str = "id", vec: str = "vec", b
     def piece(t: pa.Table) -> pa.Table:
         part = t.column("part").to_numpy()
         i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
-        v = _Vectors(t.column("id"), t.column("vec"), np.zeros(t.num_rows))
-        other = _differ(v.ids, v.ids, True)
+        v = Vectors(t.column("id"), t.column("vec"), np.zeros(t.num_rows))
+        other = differ(v.ids, v.ids, True)
         if i != j:
             other &= part[:, None] != part[None, :]
-        return pa.Table.from_batches([_rows(v, v, *_best(v, v, k, "cosine", other), "cosine", _NAMES)])
+        return pa.Table.from_batches([rows(v, v, *best(v, v, k, "cosine", other), "cosine")])
+
+    return _named(d.groupBy("block", "i", "j").applyInArrow(piece, result_schema(kind, kind)), k, id_col)
+
 
-    nn = d.groupBy("block", "i", "j").applyInArrow(piece, _schema(kind, kind))
-    return (top_k_per_key(nn, "qid", [F.col("sim").desc_nulls_last(), "cid"], k)
+def _named(found: DataFrame, k: int, id_col: str) -> DataFrame:
+    return (top_k_per_key(found, "qid", [F.col("sim").desc_nulls_last(), F.col("cid").asc_nulls_last()], k)
             .select(F.col("qid").alias(id_col), F.col("cid").alias("other_id"), "rank",
                     F.col("sim").alias("cos"), F.col("sim2").alias("eud")))
