@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook import sources
-from daybook.operators import bayes, classify, features, neighbors, text
+from daybook.operators import bayes, classify, features, neighbors, text, wordgraph
 from daybook.plans.registry import register
 from daybook.plans.sqlutil import geohash_sql, hashing_tf_bucket, jh
 from daybook.plans.tables import table
@@ -334,6 +334,40 @@ def q_segment(spark, sf_dir):
     return seg.select("doc_id", F.size("words").alias("n_words"), F.md5(F.array_join("words", " ")).alias("words_md5"))
 
 
+@register("q_segment_best", rf"""WITH RECURSIVE {_TOK_SQL},
+docs AS (SELECT doc_id, unnest(w) AS run, generate_subscripts(w, 1) AS pos FROM t),
+lex AS (SELECT run AS term, count(DISTINCT doc_id) AS n FROM docs GROUP BY run
+        HAVING count(DISTINCT doc_id) * {_SEG_MIN_SHARE} > (SELECT count(*) FROM documents) AND length(run) BETWEEN 2 AND 6),
+tot AS (SELECT CAST(greatest(coalesce(sum(n), 1), 1) AS DOUBLE) AS t FROM lex),
+cost AS (SELECT term, CAST(round(ln(t / n) * 1000) AS BIGINT) AS cost FROM lex, tot),
+runs AS (SELECT DISTINCT run FROM docs WHERE length(run) >= 2),
+subs AS (SELECT run, i, n, substr(run, CAST(i AS BIGINT), CAST(n AS BIGINT)) AS sub
+         FROM (SELECT run, unnest(range(1, length(run) + 1)) AS i FROM runs), (SELECT unnest(range(1, 7)) AS n) WHERE i + n <= length(run) + 1),
+edge AS (SELECT run, i, n, coalesce(cost, CAST(round(ln(2 * t) * 1000) AS BIGINT)) AS cost
+         FROM subs CROSS JOIN tot LEFT JOIN cost ON sub = term WHERE cost IS NOT NULL OR n = 1),
+lat AS (SELECT run, i, list({{'n': CAST(n AS BIGINT), 'c': cost}}) AS es FROM edge GROUP BY run, i),
+dp AS (SELECT run, CAST(length(run) AS BIGINT) AS i, [CAST(0 AS BIGINT)] AS c, [CAST(0 AS BIGINT)] AS w, CAST([] AS BIGINT[]) AS s FROM runs
+       UNION ALL
+       SELECT run, i - 1, list_prepend(b.c, c), list_prepend(b.w, w), list_prepend(-b.m, s)
+       FROM (SELECT dp.*, list_sort(list_transform(lat.es, lambda e: {{'c': e.c + dp.c[e.n], 'w': 1 + dp.w[e.n], 'm': -e.n}}))[1] AS b
+             FROM dp JOIN lat ON lat.run = dp.run AND lat.i = dp.i)),
+path AS (SELECT run, s, CAST(1 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS toks FROM dp WHERE i = 0
+         UNION ALL SELECT run, s, i + s[i], list_append(toks, substr(run, i, s[i])) FROM path WHERE i <= length(run)),
+seg AS (SELECT run, toks FROM path WHERE i > length(run)),
+tok AS (SELECT doc_id, flatten(list(coalesce(toks, [docs.run]) ORDER BY pos)) AS words FROM docs LEFT JOIN seg ON docs.run = seg.run GROUP BY doc_id)
+SELECT documents.doc_id, CAST(coalesce(len(words), 0) AS INTEGER) AS n_words, md5(coalesce(array_to_string(words, ' '), '')) AS words_md5
+FROM documents LEFT JOIN tok ON documents.doc_id = tok.doc_id""")
+def q_segment_best(spark, sf_dir):
+    """T1 by the best path over a word graph: every letter run of every document, the
+    frequent short words of the table as lexicon with their document counts."""
+    m = table(spark, sf_dir, "documents").select(F.count(F.lit(1))).scalar()
+    df = features.document_frequency_of_words(_doc_words(spark, sf_dir), "words", docs=m)
+    lex = df.where(F.col("df") * _SEG_MIN_SHARE > m).where(F.length("term").between(2, 6)).select("term", F.col("df").alias("count"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    seg = wordgraph.segment_best(docs, "text", lex, script=_SEG_SCRIPT)
+    return seg.select("doc_id", F.size("words").alias("n_words"), F.md5(F.array_join("words", " ")).alias("words_md5"))
+
+
 # --------------------------------------------------------------------------- comments
 _CMT_BUCKETS = 100_000
 
