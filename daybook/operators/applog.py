@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType, StructField, StructType
 
 from daybook.functions.core import geohash, has_identity, java_hash, not_blank, parse_once
-from daybook.operators.joins import BROADCAST_BYTES, HOT_MIN_ROWS, measured_bytes, salted_join, top_hot_keys
+from daybook.operators.joins import BROADCAST_BYTES, HOT_MIN_ROWS, measured_bytes, salted_join, skew_join, top_hot_keys
 
 # Fixed value: the "unknown area" default of the reference's record type.
 UNKNOWN = "未知"
@@ -144,14 +144,18 @@ def guid_of_tuples(tuples: DataFrame, idmap: DataFrame, priority: tuple[str, ...
     looked up by name where the dictionary has names, else by hash."""
     named = "name" in idmap.columns
     cand = tuples.select(*priority, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("prio"), (F.col(c) if named else java_hash(c)).alias("h")) for i, c in enumerate(priority)
-    ])).alias("c")).select(*priority, "c.prio", "c.h").where(F.col("h").isNotNull())
+        F.struct(F.lit(i).alias("prio"), F.col(c).alias("name")) for i, c in enumerate(priority)
+    ])).alias("c")).where("c.name IS NOT NULL").select(*priority, "c.prio", "c.name", java_hash("c.name").alias("h"))
     # one id value can be shared by very many tuples (the empty string hashes to 0)
     cand = cand.checkpoint()
     h_counts = cand.groupBy("h").agg(F.count(F.lit(1)).alias("_n"))
-    # one guid per id even if the dictionary repeats an id (the smallest)
-    dictionary = idmap.groupBy(F.col("name" if named else "biaoshi_hashcode").alias("h")).agg(F.min("guid").alias("guid"))
-    hits = salted_join(cand, dictionary, "h", top_hot_keys(h_counts, ["h"], "_n", hot_min), "inner")
+    # one guid per id even if the dictionary repeats an id (the smallest). The join is by hash
+    # alone, also where names decide: a table bucketed by the hash stays where it is
+    keys = [F.col("biaoshi_hashcode").alias("h"), *([F.col("name").alias("_name")] if named else [])]
+    dictionary = idmap.groupBy(*keys).agg(F.min("guid").alias("guid"))
+    hits = skew_join(cand, dictionary, "h", top_hot_keys(h_counts, ["h"], "_n", hot_min), "inner")
+    if named:
+        hits = hits.where(F.col("name") == F.col("_name"))
     return hits.groupBy(F.struct(*priority).alias("_k")).agg(F.min_by("guid", "prio").alias("guid"))
 
 
@@ -163,8 +167,9 @@ def resolve_guid(df: DataFrame, idmap: DataFrame, priority: tuple[str, ...] = GU
 
     Resolved once per distinct id tuple rather than per record: distinct tuples are
     counted in a pass that reads the id columns alone and written, unpivoted to ``(tuple,
-    priority, id)``, equi-joined with the dictionary (no
-    broadcast: it grows with the user base), reduced with ``min_by`` over priority,
+    priority, id)``, equi-joined with the dictionary by hash (no
+    broadcast: it grows with the user base; one that is bucketed by the hash is not
+    shuffled either), reduced with ``min_by`` over priority,
     and joined back on the tuple (a struct key, so null fields match). The wide
     records shuffle once and are never written; a hot tuple (one device with a huge share
     of the log) is salted over several partitions (``salted_join``). Records without a hit

@@ -112,6 +112,21 @@ def _low(guid: Column) -> Column:
     return F.pmod(guid + _LOW, F.lit(_STEP)) - _LOW
 
 
+def look_up(prev: DataFrame, names: DataFrame) -> DataFrame:
+    """``(name, h, guid, taken)`` of today's names: the guid that ``prev`` has for the name
+    (null for a new one), and for new names how many guids their hash ``h`` has already.
+
+    One join by hash tells both; a ``prev`` bucketed by ``biaoshi_hashcode`` isn't shuffled.
+    """
+    of_hash = prev.select("biaoshi_hashcode", F.col("name").alias("_name"), F.col("guid").alias("_guid"))
+    same = F.col("_name") == F.col("name")
+    # a stranger's row with this hash: the hash may have been a guid even if it is none now
+    taken = F.when(_low(F.col("_guid")) == F.col("h"), F.floor((F.col("_guid") - F.col("h")) / F.lit(_STEP)) + 1).otherwise(F.lit(1))
+    taken = F.when(F.col("_guid").isNotNull() & ~same, taken)
+    return (names.select("name", java_hash("name").alias("h")).join(of_hash, F.col("h") == F.col("biaoshi_hashcode"), "left").groupBy("name", "h")
+            .agg(F.max(F.when(same, F.col("_guid"))).alias("guid"), F.coalesce(F.max(taken), F.lit(0)).cast("long").alias("taken")))
+
+
 def roll(prev: DataFrame, names: DataFrame, edges: DataFrame, hot_min: int = HOT_MIN_ROWS) -> DataFrame:
     """Yesterday's dictionary ``prev`` with today's ``names`` and ``edges``, without
     recomputing it: the rows that a full computation over both days gives.
@@ -122,17 +137,8 @@ def roll(prev: DataFrame, names: DataFrame, edges: DataFrame, hot_min: int = HOT
     that lost theirs to a smaller one are a table of their own, which ``prev`` is joined
     with once (broadcast where its measured size allows); all other rows pass unchanged.
     """
-    h = java_hash("name")
-    # by hash, so that one join tells a known name and the guids that its hash already has
-    of_hash = prev.select(F.col("biaoshi_hashcode").alias("h"), F.col("name").alias("_name"), F.col("guid").alias("_guid"))
-    same = F.col("_name") == F.col("name")
-    # a stranger's row with this hash: the hash may have been a guid even if it is none now
-    taken = F.when(_low(F.col("_guid")) == F.col("h"), F.floor((F.col("_guid") - F.col("h")) / F.lit(_STEP)) + 1).otherwise(F.lit(1))
-    taken = F.when(F.col("_guid").isNotNull() & ~same, taken)
-    seen = (names.select("name", h.alias("h")).join(of_hash, "h", "left").groupBy("name", "h")
-            .agg(F.max(F.when(same, F.col("_guid"))).alias("guid"), F.coalesce(F.max(taken), F.lit(0)).cast("long").alias("taken"))
-            .withColumn("node", F.when(F.col("guid").isNull(), F.concat(F.lit("~"), "name")).otherwise(F.concat(F.lit("="), F.col("guid").cast("string"))))
-            .checkpoint())
+    seen = look_up(prev, names).withColumn(
+        "node", F.when(F.col("guid").isNull(), F.concat(F.lit("~"), "name")).otherwise(F.concat(F.lit("="), F.col("guid").cast("string")))).checkpoint()
     contracted = _ends_of(edges.where("src != dst"), seen, "name", "node", hot_min).where("src != dst").distinct().checkpoint()
     comp = name_components(None, contracted, hot_min).withColumnRenamed("name", "node")
 

@@ -79,6 +79,16 @@ def identity_map_job(spark: SparkSession, log_paths: list[str], out_path: str,
     sources.write_parquet(res, out_path, files=files)
 
 
+def identity_table_job(spark: SparkSession, log_paths: list[str], table: str, prev_table: str | None = None,
+                       buckets: int = 4096) -> None:
+    """Q-IDM / Q-IDR over the catalog: the dictionary as a table bucketed by
+    ``biaoshi_hashcode``. Neither the next day's roll (J6) nor the log cleanse (J4) shuffles
+    it again. ``prev_table`` is yesterday's (another table)."""
+    lines = sources.read_lines(spark, log_paths)
+    prev = sources.read_table(spark, prev_table) if prev_table else None
+    sources.write_bucketed(idmap.identity_dictionary(idmap.extract_ids(lines), prev), table, "biaoshi_hashcode", buckets)
+
+
 def link_lines_job(spark: SparkSession, path: str) -> DataFrame:
     """Q-LINK: text lines -> ``gid,line`` strings."""
     tagged = idmap.link_lines(sources.read_lines(spark, path))

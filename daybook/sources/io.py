@@ -89,6 +89,13 @@ def append_table(df: DataFrame, name: str, partition_by: list[str] | None = None
     w.saveAsTable(name)
 
 
+def write_bucketed(df: DataFrame, name: str, by: str, buckets: int) -> None:
+    """S8 as a catalog table of ``buckets`` buckets hashed and sorted by ``by``, replacing a
+    table of that name: joins and aggregates on ``by`` read it without a shuffle. Rows are
+    dealt by ``by`` first, so each bucket is one file."""
+    (df.repartition(buckets, by).write.mode("overwrite").format("parquet").bucketBy(buckets, by).sortBy(by).saveAsTable(name))
+
+
 def as_view(df: DataFrame, name: str) -> DataFrame:
     """Make a DataFrame visible to SQL."""
     df.createOrReplaceTempView(name)
