@@ -87,6 +87,29 @@ def parse_app_log(lines: DataFrame, value_col: str = "value") -> DataFrame:
         & not_blank("eventid") & not_blank("sessionId"))
 
 
+def app_log_rejects(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """The lines that ``parse_app_log`` drops, with all their columns and a ``reason``: the
+    first rule that the line breaks, of ``malformed`` (not JSON, or not of its shape),
+    ``missing object``, ``timestamp``, ``coordinates`` (P17), ``identity`` (P10),
+    ``eventid``, ``sessionId`` (P11). With ``parse_app_log`` it accounts for every line; null
+    lines are malformed."""
+    schema = StructType([*APP_LOG_SCHEMA.fields, StructField("bad", StringType())])
+    parsed = F.from_json(F.col(value_col), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad"})
+    j = lines.select("*", parse_once(parsed).alias("__j"))
+    ids = {f: F.col("__j.user.uid") if f == "uid" else F.col(f"__j.user.phone.{f}") for f in IDENTITY_RULE_FIELDS}
+    objects = [F.col(f"__j.{f}") for f in ("event", "user.phone", "user.app", "user.loc")]
+    place = [F.col(f"__j.user.loc.{f}").try_cast("double") for f in ("longtitude", "latitude")]
+    rules = [("malformed", F.col(value_col).isNotNull() & F.col("__j").isNotNull() & F.col("__j.bad").isNull()),
+             ("missing object", objects[0].isNotNull() & objects[1].isNotNull() & objects[2].isNotNull() & objects[3].isNotNull()),
+             ("timestamp", _to_long(F.col("__j.timestamp")).isNotNull()),
+             ("coordinates", place[0].isNotNull() & place[1].isNotNull()),
+             ("identity", has_identity(*ids.values())),
+             ("eventid", not_blank("__j.eventid")),
+             ("sessionId", not_blank("__j.user.sessionId"))]
+    reason = F.coalesce(*[F.when(~holds, F.lit(name)) for name, holds in rules])
+    return j.withColumn("reason", reason).where("reason IS NOT NULL").drop("__j")
+
+
 # --------------------------------------------------------------------------- Q-GEO, J3
 def geo_dictionary(points: DataFrame, lat: str = "BD09_LAT", lng: str = "BD09_LNG",
                    area: tuple[str, str, str] = ("province", "city", "district"),

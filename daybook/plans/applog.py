@@ -8,9 +8,12 @@ reject rule of the cleanse is exercised by the whole table.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook import sources
 from daybook.functions.core import geohash, hash_bucket, java_hash
 from daybook.operators import applog, idmap
 from daybook.plans.registry import register
@@ -201,6 +204,43 @@ def q_applog(spark, sf_dir):
                       "province", "city", "district")
 
 
+@register("q_rejects", f"""WITH ev AS (SELECT e.*, CAST(floor(value) AS INTEGER) AS cat, c.c_custkey FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey),
+log AS (SELECT CASE WHEN cat = 7 THEN 'malformed' WHEN cat = 2 OR c_custkey IS NULL THEN 'missing object' WHEN cat = 6 THEN 'coordinates'
+                    WHEN cat = 4 THEN 'identity' WHEN cat = 0 THEN 'eventid' WHEN cat = 11 THEN 'sessionId' END AS reason FROM ev),
+csv AS (SELECT CASE o_orderkey % 7 WHEN 0 THEN 'short row' WHEN 1 THEN 'cell price' WHEN 2 THEN 'long row' WHEN 3 THEN 'cell day' END AS reason FROM orders)
+SELECT 'log' AS source, reason, count(*) AS n FROM log WHERE reason IS NOT NULL GROUP BY reason
+UNION ALL SELECT 'log', 'parsed', count(*) FROM log WHERE reason IS NULL
+UNION ALL SELECT 'csv', reason, count(*) FROM csv WHERE reason IS NOT NULL GROUP BY reason
+UNION ALL SELECT 'csv rows', 'all', count(*) FROM csv
+UNION ALL SELECT 'csv rows', 'no price', count(*) FROM csv WHERE reason IN ('short row', 'cell price')
+UNION ALL SELECT 'csv rows', 'no day', count(*) FROM csv WHERE reason IN ('short row', 'cell day')""")
+def q_rejects(spark, sf_dir):
+    """How many lines of a malformed CSV of all orders and of the app log are
+    rejected, by reason, beside what the reads themselves return."""
+    o = table(spark, sf_dir, "orders")
+    turn = F.col("o_orderkey") % 7
+    price = F.when(turn == 1, F.lit("abc")).otherwise(F.col("o_totalprice").cast("string"))
+    day = F.when(turn == 3, F.lit("no day")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    line = F.when(turn == 0, F.concat_ws(",", "o_orderkey", "o_custkey")).when(turn == 2, F.concat_ws(",", "o_orderkey", "o_custkey", price, day, F.lit("more")))
+    line = line.otherwise(F.concat_ws(",", "o_orderkey", "o_custkey", price, day))
+    path = f"{sources.checkpoint_dir(spark).rstrip('/')}/daybook-rejects-{uuid.uuid4().hex}"
+    o.select(line.alias("value")).write.text(path)
+    schema = "order_id long, customer_id long, price double, day date"
+    csv = sources.csv_rejects(spark, path, schema, header=False)
+    rows = sources.read_csv(spark, path, schema, header=False)
+    lines = app_log_lines(spark, sf_dir)
+
+    def counted(df: DataFrame, source: str, reason: Column) -> DataFrame:
+        return df.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(source).alias("source"), "reason", "n")
+
+    return (counted(applog.app_log_rejects(lines), "log", F.col("reason"))
+            .unionByName(counted(applog.parse_app_log(lines), "log", F.lit("parsed")))
+            .unionByName(counted(csv, "csv", F.col("reason")))
+            .unionByName(counted(rows, "csv rows", F.lit("all")))
+            .unionByName(counted(rows.where("price IS NULL"), "csv rows", F.lit("no price")))
+            .unionByName(counted(rows.where("day IS NULL"), "csv rows", F.lit("no day"))))
+
+
 @register("q_union_logs", """SELECT event_id, user_id, event_type FROM events WHERE event_type IN ('view', 'click')
 UNION ALL SELECT event_id, user_id, event_type FROM events WHERE event_type = 'purchase'
 UNION ALL SELECT event_id, user_id, event_type FROM events WHERE event_type NOT IN ('view', 'click', 'purchase')""")

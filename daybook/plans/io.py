@@ -44,3 +44,20 @@ def q_sources(spark, sf_dir):
             .unionByName(strings.select(F.lit("csv strings").alias("fmt"), "*"))
             .unionByName(plain.select(F.lit("csv plain").alias("fmt"), "*"))
             .unionByName(pq.select(F.lit("parquet").alias("fmt"), "*")))
+
+
+_FILE_BYTES = 64 << 10
+
+
+@register("q_sized_files", """SELECT CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS rows, true AS in_band
+FROM lineitem GROUP BY year(l_shipdate)""")
+def q_sized_files(spark, sf_dir):
+    """Line items written by ship year in files of about 64 KB; every file of a year is
+    between half and twice that, unless it is the year's only one."""
+    path = f"{sources.checkpoint_dir(spark).rstrip('/')}/daybook-sized-{uuid.uuid4().hex}"
+    li = table(spark, sf_dir, "lineitem").withColumn("year", F.year("l_shipdate"))
+    sources.write_sized(li, path, _FILE_BYTES, ["year"])
+    year = F.regexp_extract("file", "/year=([0-9]+)/", 1)
+    sizes = sources.file_sizes(spark, path).withColumn("year", F.when(year != "", year.cast("int")))
+    fits = F.col("bytes").between(_FILE_BYTES // 2, 2 * _FILE_BYTES)
+    return sizes.groupBy("year").agg(F.sum("rows").alias("rows"), ((F.count(F.lit(1)) == 1) | F.every(fits)).alias("in_band"))

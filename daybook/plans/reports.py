@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
 from daybook import sources
@@ -155,3 +155,16 @@ def q_date_add(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(
         "o_orderkey", date_add_str(day, (F.col("o_orderkey") % 60 - 30).cast("int")).alias("shifted"),
         F.date_add(to_day(day), 7).cast("string").alias("week_on"))
+
+
+@register("q_uca_ordered", f"""WITH u AS ({_uca_sql(_EV, EVENTS_AS_OF)})
+SELECT CAST(row_number() OVER (ORDER BY act_days) AS INTEGER) AS place, act_days, users FROM u""")
+def q_uca_ordered(spark, sf_dir):
+    """Q-UCA from a header CSV, as the job does it (S2, O1): the report with the place at
+    which each row comes out, which is that of its ``act_days``."""
+    path = f"{sources.checkpoint_dir(spark).rstrip('/')}/daybook-ranges-{uuid.uuid4().hex}"
+    event_ranges(spark, sf_dir).write.option("header", True).csv(path)
+    # partitions of a sorted table follow one another: the id rises with the place
+    out = jobs.uca_report(spark, path, EVENTS_AS_OF).withColumn("_at", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_at"))  # a row for each day of history
+    return out.select(place.cast("int").alias("place"), F.col("act_days").cast("int").alias("act_days"), "users")
