@@ -196,8 +196,9 @@ class Search:
         blocks = members.groupBy("block").agg(F.count(F.lit(1)).alias("n"), usable.alias("cells"), F.max(F.size("vec")).alias("width")).checkpoint()
         most, width = blocks.agg(F.max("cells"), F.max("width")).first()
         n = max(1, min(max(SAMPLE, 2 * (most or 1)), PIVOT_BYTES // (8 * max(1, width or 1))))
-        sample = members.orderBy(F.xxhash64("id", "vec")).limit(n).select("id", "vec").toArrow()
-        m = Vectors(sample.column("id"), sample.column("vec"), np.zeros(sample.num_rows)).cells
+        # a bounded sample, whatever the table's size
+        sample = [r[0] for r in members.orderBy(F.xxhash64("id", "vec")).limit(n).select("vec").collect()]
+        m = Vectors(pa.array(range(len(sample))), pa.array(sample, pa.list_(pa.float64())), np.zeros(len(sample))).cells
         pivots = Pivots(metric, np.pad(m, ((0, 0), (0, max(0, (width or 0) - m.shape[1])))) if len(m) else np.zeros((1, max(1, width or 1))), most or 1)
         self.pivots = spark.sparkContext.broadcast(pivots)
         marks = 1 if metric == "euclidean" else min(LEADING, pivots.width) + 2

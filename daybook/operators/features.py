@@ -87,6 +87,26 @@ def exact_term_frequency(tokens: DataFrame, doc_col: str, term_col: str = "term"
     return tokens.groupBy(doc_col, term_col).agg(F.count(F.lit(1)).alias("tf"))
 
 
+def term_counts(words: str | Column) -> Column:
+    """M7 in exact form within a row: ``array<struct<term, tf>>`` of a word array, terms in
+    order, null words left out; a null array gives null. A document that is one row needs no
+    shuffle: its words are sorted and the runs of equal ones measured."""
+    def once(value: Column, use) -> Column:
+        # a lambda's variable is evaluated once, an expression in its body for every element
+        return F.get(F.transform(F.array(value), use), 0)
+
+    def runs(w: Column) -> Column:
+        n = F.size(w)
+        # where a term begins, and the place after the last word
+        first = F.filter(F.sequence(F.lit(0), n), lambda i: (i == 0) | (i == n) | (F.get(w, i) != F.get(w, i - 1)))
+        counted = once(first, lambda f: F.transform(F.slice(f, 1, F.size(f) - 1), lambda i, k: F.struct(
+            F.get(w, i).alias("term"), (F.get(f, k + 1) - i).cast("long").alias("tf"))))
+        return F.when(n > 0, counted).otherwise(F.array().cast("array<struct<term:string,tf:bigint>>"))
+
+    arr = F.col(words) if isinstance(words, str) else words
+    return F.when(arr.isNotNull(), once(F.array_sort(F.filter(arr, lambda x: x.isNotNull())), runs))
+
+
 def document_frequency(tf: DataFrame, doc_col: str, term_col: str = "term", docs: Column | None = None) -> DataFrame:
     """M8 in exact form: ``(term, df, idf)`` with ``idf = ln((m + 1) / (df + 1))`` where
     ``m`` is the number of documents (a scalar subquery unless given)."""

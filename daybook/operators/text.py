@@ -8,10 +8,13 @@ expression over the whole text.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.operators.joins import salted_join, top_hot_keys
+from daybook.operators.joins import BROADCAST_BYTES, measured_bytes, salted_join, top_hot_keys
 
 _LETTERS = r"\p{L}+"
 _HAN = r"^\p{IsHan}{3,}$"
@@ -101,21 +104,78 @@ def _anti_join_words(df: DataFrame, words_col: str, terms: DataFrame, out_col: s
     return out.withColumn(out_col, rest).drop("__kept")
 
 
-def segment(df: DataFrame, col: str, lexicon: DataFrame, out_col: str = "words", script: str = r"\p{IsHan}") -> DataFrame:
+# Cut runs that a task remembers, where the lexicon is broadcast.
+REMEMBERED = 200_000
+
+
+def cut_beside(df: DataFrame, runs_col: str, wanted: Callable[[Column], Column], lexicon: DataFrame,
+               cut: Callable[[str, dict, int], list[str]], out_col: str) -> DataFrame:
+    """Adds ``out_col``, the words of ``runs_col`` with each ``wanted`` run replaced by what
+    ``cut(run, lexicon, longest)`` makes of it, where the rows lie. ``lexicon`` (a term and a
+    value) is sent to every task: check its size before."""
+    known = lexicon.toArrow()
+    terms = known.column(0).to_pylist()
+    shared = df.sparkSession.sparkContext.broadcast((dict(zip(terms, known.column(1).to_pylist())), max(map(len, terms), default=0)))
+    marked = df.withColumn("__cut", F.transform(runs_col, wanted))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, longest = shared.value
+        remembered: dict[str, list[str]] = {}
+
+        def parts(run: str) -> list[str]:
+            if run not in remembered:
+                if len(remembered) >= REMEMBERED:
+                    remembered.clear()
+                remembered[run] = cut(run, words, longest)
+            return remembered[run]
+
+        for batch in batches:
+            names = batch.schema.names
+            runs, cuts = (batch.column(names.index(c)).to_pylist() for c in (runs_col, "__cut"))
+            out = [[t for w, c in zip(ws, cs) for t in (parts(w) if c else (w,))] for ws, cs in zip(runs, cuts)]
+            rest = [n for n in names if n not in (runs_col, "__cut", out_col)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(names.index(n)) for n in rest), pa.array(out, pa.list_(pa.string()))], names=[*rest, out_col])
+
+    kept = [f for f in marked.schema.fields if f.name not in (runs_col, "__cut", out_col)]
+    return marked.mapInArrow(work, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), f"`{out_col}` array<string>"]))
+
+
+def longest_match(run: str, words: dict, longest: int) -> list[str]:
+    """Forward maximum matching by words of two characters or more; bigrams in between."""
+    out, gap, i = [], 0, 0
+    while i <= len(run):
+        n = next((k for k in range(min(longest, len(run) - i), 1, -1) if run[i:i + k] in words), 0)
+        if n or i == len(run):
+            between = run[gap:i]
+            out += [between[k:k + 2] for k in range(max(1, len(between) - 1))] if between else []
+            if n:
+                out.append(run[i:i + n])
+            gap = i + n
+        i += max(1, n)
+    return out
+
+
+def segment(df: DataFrame, col: str, lexicon: DataFrame, out_col: str = "words", script: str = r"\p{IsHan}",
+            broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """T1 with a lexicon: letter runs as ``tokens`` makes them, and every run of ``script``
     segmented by forward maximum matching against ``lexicon`` (column ``term``); stretches
     that no word covers become bigrams (a single character stays). Null text gives [].
 
-    Neither words nor lexicon are limited: at each place of each distinct run all
-    substrings up to the length of the longest word are joined with the lexicon (common
-    substrings dealt over several tasks), and the longest matches are walked through in
-    order. Rows without such a run take no part in any shuffle of words.
+    A lexicon of at most ``broadcast_bytes`` (measured) is sent to the tasks, and rows are cut
+    where they lie. Neither words nor lexicon are limited: with a larger one, at each place
+    of each distinct run all substrings up to the length of the longest word are joined with
+    it (common substrings dealt over several tasks), and the longest matches are walked
+    through in order. Rows without such a run take no part in any shuffle of words.
     """
     def wanted(w: Column) -> Column:
         return (F.length(w) >= 2) & F.regexp(w, F.lit(f"^(?:{script})+$"))
 
     lex = lexicon.select(F.col("term").cast("string").alias("sub")).where("length(sub) >= 2").distinct()
 
+    words = F.coalesce(tokens(col, han_bigrams=False), F.array().cast("array<string>"))
+    if measured_bytes(lex) <= broadcast_bytes:
+        return cut_beside(df.withColumn("__runs", words), "__runs", wanted, lex.withColumn("known", F.lit(True)), longest_match, out_col)
+
     def work(arrays: DataFrame) -> DataFrame:
         hit = arrays.select("__row", F.posexplode("__words").alias("pos", "run"))
         runs = hit.where(wanted(F.col("run"))).groupBy("run").agg(F.count(F.lit(1)).alias("uses"))
@@ -133,7 +193,6 @@ def segment(df: DataFrame, col: str, lexicon: DataFrame, out_col: str = "words",
         parts = parts.select("__row", F.struct("pos", F.coalesce("seg", F.array("run")).alias("seg")).alias("p"))
         return parts.groupBy("__row").agg(F.flatten(F.transform(F.sort_array(F.collect_list("p")), lambda p: p["seg"])).alias("__out"))
 
-    words = F.coalesce(tokens(col, han_bigrams=False), F.array().cast("array<string>"))
     out = _per_array(df.withColumn("__runs", words), "__runs", F.exists("__runs", wanted), work, "__seg")
     return out.withColumn(out_col, F.coalesce("__seg", "__runs")).drop(*{"__runs", "__seg"} - {out_col})
 

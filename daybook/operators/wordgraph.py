@@ -17,11 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.operators.joins import BROADCAST_BYTES, measured_bytes, salted_join, top_hot_keys
-from daybook.operators.text import tokens
+from daybook.operators.text import cut_beside, tokens
 from daybook.sources.session import checkpoint_dir
 
-# Segmented runs that a task remembers, where the lexicon is broadcast.
-REMEMBERED = 200_000
 # Fixed value: thousandths of a nat are the unit of cost.
 UNIT = 1000.0
 
@@ -73,36 +71,12 @@ def segment_best(df: DataFrame, col: str, lexicon: DataFrame, out_col: str = "wo
     costs = costs.checkpoint()
     runs = F.coalesce(tokens(col, han_bigrams=False), F.array().cast("array<string>"))
     if measured_bytes(costs) <= broadcast_bytes:
-        return _beside(df.withColumn("__runs", runs), costs, alone, script, out_col)
-    return _joined(df.withColumn("__runs", runs), costs, alone, script, out_col)
-
-
-def _beside(df: DataFrame, costs: DataFrame, alone: int, script: str, out_col: str) -> DataFrame:
-    known = costs.toArrow()  # BROADCAST_BYTES at most
-    lexicon = df.sparkSession.sparkContext.broadcast((dict(zip(known.column(0).to_pylist(), known.column(1).to_pylist())),
-                                                      max([len(t) for t in known.column(0).to_pylist()], default=0)))
-    marked = df.withColumn("__cut", F.transform("__runs", lambda w: _wanted(w, script)))
-
-    def cut(run: str, remembered: dict[str, list[str]]) -> list[str]:
-        if run not in remembered:
-            words, most = lexicon.value
-            edges = [[(k, words[run[i:i + k]]) for k in range(1, min(most, len(run) - i) + 1) if run[i:i + k] in words] for i in range(len(run))]
-            if len(remembered) >= REMEMBERED:
-                remembered.clear()
-            remembered[run] = best_path(run, edges, alone)
-        return remembered[run]
+        def cut(run: str, words: dict, longest: int) -> list[str]:
+            edges = [[(k, words[run[i:i + k]]) for k in range(1, min(longest, len(run) - i) + 1) if run[i:i + k] in words] for i in range(len(run))]
+            return best_path(run, edges, alone)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        remembered: dict[str, list[str]] = {}
-        for batch in batches:
-            names = batch.schema.names
-            out = [[t for w, c in zip(ws, cs) for t in (cut(w, remembered) if c else (w,))]
-                   for ws, cs in zip(batch.column(names.index("__runs")).to_pylist(), batch.column(names.index("__cut")).to_pylist())]
-            rest = [n for n in names if n not in ("__runs", "__cut", out_col)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(names.index(n)) for n in rest), pa.array(out, pa.list_(pa.string()))], names=[*rest, out_col])
-
-    kept = [f for f in marked.schema.fields if f.name not in ("__runs", "__cut", out_col)]
-    return marked.mapInArrow(work, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), f"`{out_col}` array<string>"]))
+        return cut_beside(df.withColumn("__runs", runs), "__runs", lambda w: _wanted(w, script), costs, cut, out_col)
+    return _joined(df.withColumn("__runs", runs), costs, alone, script, out_col)
 
 
 def _joined(df: DataFrame, costs: DataFrame, alone: int, script: str, out_col: str) -> DataFrame:

@@ -278,8 +278,8 @@ def q_stopwords(spark, sf_dir):
 SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM t) GROUP BY doc_id, term""")
 def q_term_freq(spark, sf_dir):
     """M7 in exact form: ``(doc_id, term, tf)``."""
-    words = _doc_words(spark, sf_dir).select("doc_id", F.explode("words").alias("term"))
-    return features.exact_term_frequency(words, "doc_id")
+    counted = _doc_words(spark, sf_dir).select("doc_id", features.term_counts("words").alias("counts"))
+    return counted.select("doc_id", F.explode("counts").alias("c")).select("doc_id", "c.term", "c.tf")
 
 
 @register("q_doc_freq", rf"""WITH {_TOK_SQL},
@@ -375,7 +375,8 @@ _CMT_BUCKETS = 100_000
 def _comments(spark, sf_dir):
     """The three label sets (good 0, neutral 1, poor 2) as the reference unions them."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
-    j = d.join(table(spark, sf_dir, "labels"), "doc_id")
+    sources.checkpoint_dir(spark)
+    j = d.join(table(spark, sf_dir, "labels"), "doc_id").checkpoint()  # once, for the three sets and the passes of the model
     good = (F.col("quality") == 1) & (F.col("toxic") == 0)
     neutral = (F.col("quality") == 1) & ~good
     sets = [j.where(F.coalesce(c, F.lit(False))).select("doc_id", F.lit(float(i)).alias("label"), "text")

@@ -242,11 +242,23 @@ def test_stopword_branches_agree(spark):
     assert {repr(r.kept) for r in small.collect()} == {"['a', 'a']", "['c']", "None", "[None]", "[]"}
 
 
+def test_term_counts_within_a_row(spark):
+    from collections import Counter
+
+    from daybook.operators import features
+    rows = [["b", "a", "b"], [], None, ["x"], [None, "a", None], [f"w{i % 97}" for i in range(5000)], ["", "", "é"]]
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(rows)], "i int, w array<string>").select("i", features.term_counts("w").alias("c"))
+    got = {r.i: r.c and [tuple(x) for x in r.c] for r in df.collect()}
+    assert got == {i: None if w is None else sorted(Counter(x for x in w if x is not None).items()) for i, w in enumerate(rows)}
+    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_lexicon_segmentation(spark):
     long_word = "一二三四五六七八九十"
     df = spark.createDataFrame([(1, "质量很好，物流快 OK!"), (2, None), (1, "甲乙丙质量"), (3, long_word), (3, "一" + long_word)],
                                "id long, t string")
     lex = spark.createDataFrame([("质量",), ("很好",), ("物流",), ("快",), (long_word,), ("一二",), (None,)], "term string")
     got = sorted(repr(r.words) for r in text.segment(df, "t", lex).collect())
+    assert got == sorted(repr(r.words) for r in text.segment(df, "t", lex, broadcast_bytes=0).collect())
     assert got == sorted(map(repr, [["质量", "很好", "物流", "快", "ok"], [], ["甲乙", "乙丙", "质量"], [long_word], ["一", long_word]]))
     assert [r.words for r in text.segment(df, "t", lex.where("false")).where("t = '甲乙丙质量'").collect()] == [["甲乙", "乙丙", "丙质", "质量"]]
