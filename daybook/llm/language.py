@@ -11,7 +11,6 @@ in batches; a document's probabilities are the means over its windows, by their
 from __future__ import annotations
 
 import dataclasses
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import save
-from daybook.operators.joins import BROADCAST_BYTES, measured_bytes
+from daybook.operators.joins import BROADCAST_BYTES, measured_bytes, top_k_per_key
 
 WIDTHS, FILTERS, WINDOW = (2, 3, 4), 16, 256
 # The training sample: at most so many documents of a language, and windows of a document.
@@ -28,7 +27,6 @@ TRAIN_DOCS, TRAIN_WINDOWS = 500, 3
 # Windows scored together.
 BATCH = 2048
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 @dataclasses.dataclass
@@ -138,9 +136,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
         train_windows: int = TRAIN_WINDOWS, seed: int = 0) -> Model | None:
     """Train on documents that are not held out and have text and label.
 
-    Of each language at most about ``train_docs`` documents, drawn by a hash of their ids
-    over the whole table, give ``train_windows`` windows each from evenly spread places of
-    the text; the driver gets nothing else. None if there is no such document.
+    Of each language at most ``train_docs`` documents, drawn by a hash of id and text over
+    the whole table (repeated rows share a draw, and the bound holds for them too), give
+    ``train_windows`` windows each from evenly spread places of the text; the driver gets
+    these and a count per language. None if there is no such document.
     """
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("string").alias("label"))
     d = d.where(~held_out("id") & F.col("text").isNotNull() & F.col("label").isNotNull() & (F.char_length("text") > 0))
@@ -148,7 +147,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
     if not counts:
         return None
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, train_docs / n))])
-    drawn = d.where(F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 20)) < share[F.col("label")] * (1 << 20))
+    draw = F.pmod(F.xxhash64(F.lit(seed), "id", "text"), F.lit(1 << 20))
+    # somewhat more than wanted by the hash, then the first of them
+    drawn = d.withColumn("draw", draw).where(F.col("draw") < 1.5 * share[F.col("label")] * (1 << 20))
+    drawn = top_k_per_key(drawn, "label", ["draw", "id", "text"], train_docs)
     room = F.greatest(F.char_length("text") - WINDOW, F.lit(0))
     pieces = F.transform(F.sequence(F.lit(0), F.lit(train_windows - 1)), lambda k: F.substring(
         "text", (room * k / max(1, train_windows - 1)).cast("int") + 1, WINDOW))
@@ -171,7 +173,7 @@ def _predict(model: Model | None, unscored: str | None = UNKNOWN):
         scorer = Scorer(model) if model else None
         for batch in batches:
             texts = [t.as_py() or "" for t in batch.column("text")]
-            letters = [_LETTER.search(t) is not None for t in texts]
+            letters = [any(map(str.isalpha, t)) for t in texts]  # number signs are none
             has = [scorer is not None and x for x in letters]
             labels, scores = [unscored if x else UNKNOWN for x in letters], [0.0] * len(texts)
             sums = np.zeros((len(texts), len(model.labels) if model else 0))

@@ -309,3 +309,45 @@ def test_rank_queue_orders_like_a_heap():
     while (r := q.first()) >= 0:
         out += [(r, p) for p in q.take(r)]
     assert out == sorted(out) and len(out) == 500
+
+
+# ------------------------------------------------------------------ op1, more
+def test_scorer_equals_the_convolution():
+    """Every filter over every place by definition: a sum of table rows, its maximum, a
+    rectifier and a softmax."""
+    rng = np.random.default_rng(4)
+    tables = {w: rng.normal(size=(w, 256, language.FILTERS)).astype(np.float32) for w in language.WIDTHS}
+    model = language.Model(["a", "b", "c"], tables, rng.normal(size=(len(tables) * language.FILTERS, 3)).astype(np.float32),
+                           rng.normal(size=3).astype(np.float32))
+    x = rng.integers(0, 256, size=(5, language.WINDOW)).astype(np.uint8)
+    got = language.Scorer(model).probabilities(x)
+    for row, p in zip(x, got):
+        hidden = []
+        for w in language.WIDTHS:
+            at = np.array([sum(tables[w][k][row[i + k]].astype(float) for k in range(w)) for i in range(len(row) - w + 1)])
+            hidden.append(np.maximum(at.max(axis=0), 0))
+        z = np.concatenate(hidden) @ model.weight.astype(float) + model.bias
+        e = np.exp(z - z.max())
+        assert np.allclose(p, e / e.sum(), atol=1e-4)
+
+
+def test_number_signs_are_no_letters(spark, docs_of, sf_docs):
+    model = language.fit(sf_docs)
+    rows = [(1, "½"), (2, "²³ 12 ⅷ"), (3, "½ a"), (4, "٣"), (5, "ª"), (6, "日")]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs_of(rows), model).collect()}
+    want = {i: any(c.isalpha() for c in t) for i, t in rows}
+    assert {i: v[0] != "und" for i, v in got.items()} == want and got[1] == ("und", 0.0)
+
+
+def test_sample_bound_holds_for_repeated_ids(spark):
+    from pyspark.sql import functions as F
+    same = next(i for i in range(99) if __import__("zlib").crc32(str(i).encode()) % 5)
+    for text in (F.concat(F.lit("text "), F.col("id").cast("string")), F.concat(F.lit("text "), (F.col("id") % 30).cast("string"))):
+        df = spark.range(6000).select(F.lit(same).cast("long").alias("doc_id"), text.alias("text"), F.when(F.col("id") % 3 == 0, "x").otherwise("y").alias("lang"))
+        seen = []
+        train, language.train = language.train, lambda x, y, labels, seed=0: seen.append(np.bincount(y))
+        try:
+            language.fit(df, train_docs=50, train_windows=1)
+        finally:
+            language.train = train
+        assert all(0 < n <= 50 for n in seen[0]) if "id) AS" in str(text) else all(n <= 50 for s in seen for n in s)
