@@ -24,7 +24,8 @@ def test_entry_runs(spark):
 
 @pytest.mark.parametrize("name", ["q_uca", "q_interval", "q_idmap_roll", "q_applog", "q_knn", "q_bayes_score",
                                   "q_tokens", "q_geo_dict", "q_segment", "q_comment_classify", "q_similarity", "q_link",
-                                  "q_catalog", "q_sources", "q_sql_functions", "q_sparse_vectors", "q_date_add"])
+                                  "q_catalog", "q_sources", "q_sql_functions", "q_sparse_vectors", "q_date_add",
+                                  "q_idmap_collide", "q_segment_best", "q_rejects", "q_sized_files", "q_uca_ordered", "q_term_freq"])
 def test_matches_duckdb_in_another_time_zone(spark, sf_dir, name):
     import duckdb
     from check_oracle import digest

@@ -114,7 +114,7 @@ def test_colliding_strings_stay_apart(spark):
 
 @pytest.mark.parametrize("hot_min", [100_000, 1])
 def test_dictionary_and_rolls_equal_brute_force(spark, hot_min):
-    days = _records(7, 3)
+    days = _records(7, 2)
     got = want = None
     for day in days:
         prev = None if got is None else spark.createDataFrame(
