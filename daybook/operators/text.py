@@ -10,7 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -104,8 +106,8 @@ def _anti_join_words(df: DataFrame, words_col: str, terms: DataFrame, out_col: s
     return out.withColumn(out_col, rest).drop("__kept")
 
 
-# Cut runs that a task remembers, where the lexicon is broadcast.
-REMEMBERED = 200_000
+# Cut runs that a task remembers where the lexicon is broadcast, and runs it holds at a time.
+REMEMBERED, HELD_RUNS = 50_000, 100_000
 
 
 def cut_beside(df: DataFrame, runs_col: str, wanted: Callable[[Column], Column], lexicon: DataFrame,
@@ -131,10 +133,16 @@ def cut_beside(df: DataFrame, runs_col: str, wanted: Callable[[Column], Column],
 
         for batch in batches:
             names = batch.schema.names
-            runs, cuts = (batch.column(names.index(c)).to_pylist() for c in (runs_col, "__cut"))
-            out = [[t for w, c in zip(ws, cs) for t in (parts(w) if c else (w,))] for ws, cs in zip(runs, cuts)]
             rest = [n for n in names if n not in (runs_col, "__cut", out_col)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(names.index(n)) for n in rest), pa.array(out, pa.list_(pa.string()))], names=[*rest, out_col])
+            before = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(names.index(runs_col))), 0).to_numpy(zero_copy_only=False))
+            start = 0
+            while start < batch.num_rows:  # a stretch of rows at a time; a longer row is one by itself
+                stop = int(np.searchsorted(before, (before[start - 1] if start else 0) + HELD_RUNS, side="right"))
+                part = batch.slice(start, max(1, stop - start))
+                start += part.num_rows
+                runs, cuts = (part.column(names.index(c)).to_pylist() for c in (runs_col, "__cut"))
+                out = [[t for w, c in zip(ws, cs) for t in (parts(w) if c else (w,))] for ws, cs in zip(runs, cuts)]
+                yield pa.RecordBatch.from_arrays([*(part.column(names.index(n)) for n in rest), pa.array(out, pa.list_(pa.string()))], names=[*rest, out_col])
 
     kept = [f for f in marked.schema.fields if f.name not in (runs_col, "__cut", out_col)]
     return marked.mapInArrow(work, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), f"`{out_col}` array<string>"]))

@@ -38,7 +38,8 @@ def _brute(run):
     return best[1]
 
 
-def test_best_path_equals_all_ways(spark):
+def test_best_path_equals_all_ways(spark, monkeypatch):
+    monkeypatch.setattr(text, "HELD_RUNS", 2)
     lex = spark.createDataFrame(LEX, "term string, count long")
     df = spark.createDataFrame([(i, t, "k") for i, t in enumerate(TEXTS)] + [(0, TEXTS[0], "k")], "id int, t string, run string")
     got = [sorted(map(repr, wordgraph.segment_best(df, "t", lex, "pos", broadcast_bytes=b).select("id", "run", "pos").collect())) for b in (1 << 20, 0)]
