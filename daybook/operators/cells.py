@@ -177,8 +177,8 @@ def _asker(pivots, k: int):
                         sub = np.zeros(len(q), dtype=np.int64)
                     ends = np.searchsorted(q, np.arange(part.num_rows + 1)).astype(np.int32)
                     asked = [pa.ListArray.from_arrays(pa.array(ends), pa.array(v.astype(np.int64))) for v in (cells[c], sub)]
-                    yield pa.RecordBatch.from_arrays([*(part.column(n) for n in ("block", "uid", "id", "vec")), *asked],
-                                                     names=["block", "uid", "id", "vec", "cell", "sub"])
+                    yield pa.RecordBatch.from_arrays([*(part.column(n) for n in ("block", "uid", "id", "vec", "kth")), *asked],
+                                                     names=["block", "uid", "id", "vec", "kth", "cell", "sub"])
     return run
 
 
@@ -232,20 +232,21 @@ class Search:
             "block", F.pmod(F.xxhash64("uid"), F.col("tasks")).alias("task"), F.lit(None).cast(held).alias("of_cells"), "uid", "id", "vec", "home", "kth")
         known = cells.unionByName(asks)
         known = known.repartition("block", "task").sortWithinPartitions("block", "task", F.col("uid").asc_nulls_first())
-        kind = f"block {self.kinds['block']}, uid bigint, id {self.ask_kind}, vec array<double>, cell array<bigint>, sub array<bigint>"
+        kind = f"block {self.kinds['block']}, uid bigint, id {self.ask_kind}, vec array<double>, kth double, cell array<bigint>, sub array<bigint>"
         return known.mapInArrow(_asker(self.pivots, self.k), kind).where(F.size("cell") > 0).checkpoint()
 
     def _scored(self, asks: DataFrame) -> DataFrame:
-        """The best ``k`` of each asked piece: ``uid`` and the result columns."""
+        """The best ``k`` of each asked piece, without those that score below the query's
+        ``kth``: ``uid`` and the result columns."""
         piece = F.struct("block", F.col("at.cell").alias("cell"), F.col("at.sub").alias("sub"))
-        each = asks.select("uid", "id", "vec", "block", F.explode(F.arrays_zip("cell", "sub")).alias("at")).select(piece.alias("piece"), "uid", "id", "vec")
+        each = asks.select("uid", "id", "vec", "kth", "block", F.explode(F.arrays_zip("cell", "sub")).alias("at")).select(piece.alias("piece"), "uid", "id", "vec", "kth")
         counts = each.groupBy("piece").agg(F.count(F.lit(1)).alias("n"), F.ceil(F.count(F.lit(1)) / self.piece_rows).cast("long").alias("parts")).checkpoint()
         q = with_counts(each, counts, "piece", "n").withColumn("part", F.pmod(F.xxhash64("uid"), F.col("parts")))
         c = with_counts(self.members.withColumn("piece", F.struct("block", "cell", "sub")), counts, "piece", "n")
         c = c.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
         none = F.lit(None)
-        q = q.select("piece", "part", "uid", F.col("id").alias("qid"), none.cast(self.kinds["id"]).alias("cid"), "vec", F.lit(0.0).alias("label"))
-        c = c.select("piece", "part", none.cast("long").alias("uid"), none.cast(self.ask_kind).alias("qid"), F.col("id").alias("cid"), "vec", "label")
+        q = q.select("piece", "part", "uid", F.col("id").alias("qid"), none.cast(self.kinds["id"]).alias("cid"), "vec", F.lit(0.0).alias("label"), "kth")
+        c = c.select("piece", "part", none.cast("long").alias("uid"), none.cast(self.ask_kind).alias("qid"), F.col("id").alias("cid"), "vec", "label", none.cast("double").alias("kth"))
         k, metric, exclude_self = self.k, self.metric, self.exclude_self
 
         def score(t: pa.Table) -> pa.Table:
@@ -257,6 +258,9 @@ class Search:
                 of = a.slice(s, step)
                 query = Vectors(of.column("qid"), of.column("vec"), np.zeros(of.num_rows))
                 i, j, sim = best(query, members, k, metric, differ(query.ids, members.ids, exclude_self))
+                kth = of.column("kth").to_numpy().astype(float)[i]
+                worth = np.isnan(kth) | (sim >= kth)  # the first round has k rows no worse than others
+                i, j, sim = i[worth], j[worth], sim[worth]
                 got = rows(query, members, i, j, sim, metric)
                 out.append(pa.Table.from_batches([got]).append_column("uid", of.column("uid").take(pa.array(i))))
             return pa.concat_tables(out)
