@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from daybook.sources.session import checkpoint_dir
 
-# Rows of the sample that tells how many bytes of Parquet a byte of row makes.
-SAMPLE_ROWS = 100_000
+# Rows, and bytes of rows, of the sample that tells how many bytes of Parquet a byte of row makes.
+SAMPLE_ROWS, SAMPLE_BYTES = 100_000, 256 << 20
 
 
 def _row_bytes(df: DataFrame):
@@ -38,7 +38,7 @@ def write_sized(df: DataFrame, path: str, file_bytes: int = 256 << 20, partition
 
     One aggregate measures rows and bytes of each value of ``partition_by`` (these values are
     folders, so their list is small enough for the driver), and a sample of at most about
-    ``SAMPLE_ROWS`` rows, written beside, how much of that Parquet keeps. Each partition's
+    ``SAMPLE_ROWS`` rows and ``SAMPLE_BYTES``, written beside, how much of that Parquet keeps. Each partition's
     rows are then dealt by a hash over the files that its bytes make, one writing task a
     file. ``df`` is read twice, and once more for the sample: write an expensive one first.
     Rows equal in all columns go into one file. An empty table writes an empty folder.
@@ -51,7 +51,9 @@ def write_sized(df: DataFrame, path: str, file_bytes: int = 256 << 20, partition
         df.write.mode(mode).partitionBy(*keys).parquet(path)
         return 0
     probe = f"{checkpoint_dir(spark).rstrip('/')}/daybook-probe-{uuid.uuid4().hex}"
-    body.sample(min(1.0, SAMPLE_ROWS / rows), seed=1).coalesce(1).write.parquet(probe)
+    # the table is sampled by all tasks that read it; the sample alone is dealt into one
+    part = min(1.0, SAMPLE_ROWS / rows, SAMPLE_BYTES / max(1, raw))
+    body.sample(part, seed=1).repartition(1).write.parquet(probe)
     kept, tried = file_sizes(spark, probe).agg(F.sum("bytes"), F.sum("rows")).first()
     share = kept / (raw / rows * tried) if tried else 1.0
     files = [max(1, round((r["_bytes"] or 0) * share / file_bytes)) for r in sizes]

@@ -76,3 +76,17 @@ def test_sized_files(spark, tmp_path):
     assert back.select("id", "x", "dt").exceptAll(df).count() == 0 and back.count() == 60_000
     assert sources.write_sized(df, str(tmp_path / "whole"), 1 << 30) == 1
     assert sources.write_sized(df.where("false"), str(tmp_path / "none"), 1 << 20, ["dt"]) == 0
+
+
+def test_the_sample_of_sized_files_is_read_by_all_tasks(spark, tmp_path):
+    import glob
+
+    from daybook.sources.session import checkpoint_dir
+    probes = lambda: set(glob.glob(checkpoint_dir(spark).replace("file:", "") + "/daybook-probe-*"))
+    before = probes()
+    df = spark.range(4000, numPartitions=4).withColumn("task", F.spark_partition_id())
+    sources.write_sized(df, str(tmp_path / "sized"), 1 << 20)
+    probe, = probes() - before
+    # before, one task read the whole table for its sample
+    assert {r.task for r in spark.read.parquet(probe).select("task").distinct().collect()} == {0, 1, 2, 3}
+    assert len(glob.glob(probe + "/*.parquet")) == 1
