@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import IDF, HashingTF
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -87,24 +90,43 @@ def exact_term_frequency(tokens: DataFrame, doc_col: str, term_col: str = "term"
     return tokens.groupBy(doc_col, term_col).agg(F.count(F.lit(1)).alias("tf"))
 
 
+# Words that a task counts at a time.
+HELD_WORDS = 500_000
+
+
+def _count_terms(words: pa.ListArray) -> pa.ListArray:
+    """The counted terms of each array of ``words``: a (row, place of the term) number for
+    each word, sorted."""
+    flat = words.flatten()
+    row = np.repeat(np.arange(len(words)), pc.fill_null(pc.list_value_length(words), 0).to_numpy())
+    coded = flat.dictionary_encode()
+    order = pc.sort_indices(coded.dictionary).to_numpy()
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.arange(len(order))
+    known = flat.is_valid().to_numpy(zero_copy_only=False)
+    number = row[known] * max(1, len(order)) + place[coded.indices.drop_null().to_numpy()]
+    number, times = np.unique(number, return_counts=True)
+    row, term = np.divmod(number, max(1, len(order)))
+    counted = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(order[term])), pa.array(times.astype(np.int64))], names=["term", "tf"])
+    ends = pa.array(np.searchsorted(row, np.arange(len(words) + 1)).astype(np.int32))
+    return pa.ListArray.from_arrays(ends, counted, mask=words.is_null())
+
+
 def term_counts(words: str | Column) -> Column:
     """M7 in exact form within a row: ``array<struct<term, tf>>`` of a word array, terms in
     order, null words left out; a null array gives null. A document that is one row needs no
-    shuffle: its words are sorted and the runs of equal ones measured."""
-    def once(value: Column, use) -> Column:
-        # a lambda's variable is evaluated once, an expression in its body for every element
-        return F.get(F.transform(F.array(value), use), 0)
-
-    def runs(w: Column) -> Column:
-        n = F.size(w)
-        # where a term begins, and the place after the last word
-        first = F.filter(F.sequence(F.lit(0), n), lambda i: (i == 0) | (i == n) | (F.get(w, i) != F.get(w, i - 1)))
-        counted = once(first, lambda f: F.transform(F.slice(f, 1, F.size(f) - 1), lambda i, k: F.struct(
-            F.get(w, i).alias("term"), (F.get(f, k + 1) - i).cast("long").alias("tf"))))
-        return F.when(n > 0, counted).otherwise(F.array().cast("array<struct<term:string,tf:bigint>>"))
-
-    arr = F.col(words) if isinstance(words, str) else words
-    return F.when(arr.isNotNull(), once(F.array_sort(F.filter(arr, lambda x: x.isNotNull())), runs))
+    shuffle: the words of a stretch of rows are numbered, sorted and counted together."""
+    @F.arrow_udf("array<struct<term:string,tf:bigint>>")
+    def count(arrays: pa.Array) -> pa.Array:
+        before = np.cumsum(pc.fill_null(pc.list_value_length(arrays), 0).to_numpy())
+        out, start = [], 0
+        while start < len(arrays):  # a longer row is a stretch by itself
+            stop = int(np.searchsorted(before, (before[start - 1] if start else 0) + HELD_WORDS, side="right"))
+            out.append(_count_terms(arrays.slice(start, max(1, stop - start))))
+            start += len(out[-1])
+        return pa.concat_arrays(out) if out else _count_terms(arrays)
+
+    return count(F.col(words) if isinstance(words, str) else words)
 
 
 def document_frequency(tf: DataFrame, doc_col: str, term_col: str = "term", docs: Column | None = None) -> DataFrame:

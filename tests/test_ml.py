@@ -262,3 +262,20 @@ def test_lexicon_segmentation(spark):
     assert got == sorted(repr(r.words) for r in text.segment(df, "t", lex, broadcast_bytes=0).collect())
     assert got == sorted(map(repr, [["质量", "很好", "物流", "快", "ok"], [], ["甲乙", "乙丙", "质量"], [long_word], ["一", long_word]]))
     assert [r.words for r in text.segment(df, "t", lex.where("false")).where("t = '甲乙丙质量'").collect()] == [["甲乙", "乙丙", "丙质", "质量"]]
+
+
+def test_term_counts_of_stretches(spark, monkeypatch):
+    from collections import Counter
+
+    import pyarrow as pa
+
+    from daybook.operators import features
+    rows = [["b", None, "a", "b"], None, [], ["b"] * 7, [None], ["é", "z", "\U0001F600", "\uffee"]]
+    want = [w if w is None else sorted(Counter(x for x in w if x is not None).items(), key=lambda t: t[0].encode()) for w in rows]
+    got = features._count_terms(pa.array([["skipped"], *rows], pa.list_(pa.string())).slice(1)).to_pylist()
+    assert [g if g is None else [(t["term"], t["tf"]) for t in g] for g in got] == want
+    df = spark.createDataFrame([(w,) for w in rows], "w array<string>").select(features.term_counts("w").alias("c"))
+    # before, a lambda was interpreted for each word
+    assert "lambdafunction" not in df._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(features, "HELD_WORDS", 2)
+    assert [r.c and [tuple(x) for x in r.c] for r in df.collect()] == want
