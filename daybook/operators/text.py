@@ -9,6 +9,7 @@ expression over the whole text.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -106,14 +107,16 @@ def _anti_join_words(df: DataFrame, words_col: str, terms: DataFrame, out_col: s
     return out.withColumn(out_col, rest).drop("__kept")
 
 
-# Cut runs that a task remembers where the lexicon is broadcast, and runs it holds at a time.
-REMEMBERED, HELD_RUNS = 50_000, 100_000
+# Cut runs that a task remembers from one stretch of rows to the next where the lexicon is
+# broadcast, and runs of a stretch.
+REMEMBERED, HELD_RUNS = 50_000, 500_000
 
 
 def cut_beside(df: DataFrame, runs_col: str, wanted: Callable[[Column], Column], lexicon: DataFrame,
-               cut: Callable[[str, dict, int], list[str]], out_col: str) -> DataFrame:
-    """Adds ``out_col``, the words of ``runs_col`` with each ``wanted`` run replaced by what
-    ``cut(run, lexicon, longest)`` makes of it, where the rows lie. ``lexicon`` (a term and a
+               cut: Callable[[list[str], dict, int], list[list[str]]], out_col: str) -> DataFrame:
+    """Adds ``out_col``, the words of ``runs_col`` (neither arrays nor words null) with each
+    ``wanted`` run replaced by what ``cut(different runs, lexicon, longest)`` makes of it,
+    where the rows lie. ``lexicon`` (a term and a
     value) is sent to every task: check its size before."""
     known = lexicon.toArrow()
     terms = known.column(0).to_pylist()
@@ -124,12 +127,26 @@ def cut_beside(df: DataFrame, runs_col: str, wanted: Callable[[Column], Column],
         words, longest = shared.value
         remembered: dict[str, list[str]] = {}
 
-        def parts(run: str) -> list[str]:
-            if run not in remembered:
-                if len(remembered) >= REMEMBERED:
-                    remembered.clear()
-                remembered[run] = cut(run, words, longest)
-            return remembered[run]
+        def cut_rows(runs: pa.ListArray, chosen: np.ndarray) -> pa.ListArray:
+            # each different run of the stretch is cut once; its pieces are placed by number
+            nonlocal remembered
+            flat = runs.flatten().dictionary_encode()
+            which = flat.indices.to_numpy()
+            chosen_runs = np.zeros(len(flat.dictionary), dtype=bool)
+            chosen_runs[which] = chosen
+            different = flat.dictionary.to_pylist()
+            asked = list(compress(different, chosen_runs.tolist()))
+            unknown = [w for w in asked if w not in remembered]
+            cuts = remembered | dict(zip(unknown, cut(unknown, words, longest)))
+            pieces = [cuts[w] if c else (w,) for w, c in zip(different, chosen_runs.tolist())]
+            remembered = {w: cuts[w] for w in asked[:REMEMBERED]}  # frequent ones come early
+            sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+            made = sizes[which]
+            ends = np.concatenate(([0], np.cumsum(made)))
+            at = np.arange(ends[-1]) + np.repeat((np.cumsum(sizes) - sizes)[which] - ends[:-1], made)
+            rows = np.concatenate(([0], np.cumsum(pc.list_value_length(runs).to_numpy())))
+            words_of = pa.array([t for p in pieces for t in p], pa.string()).take(pa.array(at))
+            return pa.ListArray.from_arrays(pa.array(ends[rows].astype(np.int32)), words_of)
 
         for batch in batches:
             names = batch.schema.names
@@ -140,9 +157,9 @@ def cut_beside(df: DataFrame, runs_col: str, wanted: Callable[[Column], Column],
                 stop = int(np.searchsorted(before, (before[start - 1] if start else 0) + HELD_RUNS, side="right"))
                 part = batch.slice(start, max(1, stop - start))
                 start += part.num_rows
-                runs, cuts = (part.column(names.index(c)).to_pylist() for c in (runs_col, "__cut"))
-                out = [[t for w, c in zip(ws, cs) for t in (parts(w) if c else (w,))] for ws, cs in zip(runs, cuts)]
-                yield pa.RecordBatch.from_arrays([*(part.column(names.index(n)) for n in rest), pa.array(out, pa.list_(pa.string()))], names=[*rest, out_col])
+                runs, cuts = (part.column(names.index(c)) for c in (runs_col, "__cut"))
+                out = cut_rows(runs, cuts.flatten().to_numpy(zero_copy_only=False).astype(bool))
+                yield pa.RecordBatch.from_arrays([*(part.column(names.index(n)) for n in rest), out], names=[*rest, out_col])
 
     kept = [f for f in marked.schema.fields if f.name not in (runs_col, "__cut", out_col)]
     return marked.mapInArrow(work, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), f"`{out_col}` array<string>"]))
@@ -163,6 +180,10 @@ def longest_match(run: str, words: dict, longest: int) -> list[str]:
     return out
 
 
+def longest_matches(runs: list[str], words: dict, longest: int) -> list[list[str]]:
+    return [longest_match(run, words, longest) for run in runs]
+
+
 def segment(df: DataFrame, col: str, lexicon: DataFrame, out_col: str = "words", script: str = r"\p{IsHan}",
             broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """T1 with a lexicon: letter runs as ``tokens`` makes them, and every run of ``script``
@@ -182,7 +203,7 @@ def segment(df: DataFrame, col: str, lexicon: DataFrame, out_col: str = "words",
 
     words = F.coalesce(tokens(col, han_bigrams=False), F.array().cast("array<string>"))
     if measured_bytes(lex) <= broadcast_bytes:
-        return cut_beside(df.withColumn("__runs", words), "__runs", wanted, lex.withColumn("known", F.lit(True)), longest_match, out_col)
+        return cut_beside(df.withColumn("__runs", words), "__runs", wanted, lex.withColumn("known", F.lit(True)), longest_matches, out_col)
 
     def work(arrays: DataFrame) -> DataFrame:
         hit = arrays.select("__row", F.posexplode("__words").alias("pos", "run"))

@@ -66,3 +66,36 @@ def test_long_runs(spark):
     df = spark.createDataFrame([("ab" * 20_000,)], "t string")
     words = wordgraph.segment_best(df, "t", lex, script=r"\p{L}").select(F.size("words"), F.array_join("words", "")).first()
     assert words[0] == 20_000 and words[1] == "ab" * 20_000
+
+
+def test_best_paths_equals_best_path(monkeypatch):
+    import random
+
+    chance = random.Random(7)
+    letters = "abc一\U0001F600"
+    for held in (1, 60, wordgraph.HELD):
+        monkeypatch.setattr(wordgraph, "HELD", held)
+        for size in (0, 1, 30):
+            words = {"".join(chance.choices(letters, k=chance.randint(1, 6))): chance.choice([0, 1, 700, 1500]) for _ in range(size)}
+            known = wordgraph._Trie(words, max(map(len, words), default=0))
+            runs = ["".join(chance.choices(letters + "xz", k=chance.choice([0, 1, 2, 5, 9, 64, 65]))) for _ in range(60)]
+            assert wordgraph.best_paths(runs, known, 1000) == [wordgraph.best_path(r, known.edges(r), 1000) for r in runs]
+
+
+def _read_once(spark, lex, work):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in lex.schema.fields)
+    work(lex.mapInArrow(counted, kind))
+    return read.value
+
+
+def test_best_path_lexicon_is_read_once(spark):
+    df = spark.createDataFrame([(1, "研究生命")], "id int, t string")
+    lex = spark.createDataFrame(LEX, "term string, count long")
+    assert _read_once(spark, lex, lambda x: wordgraph.segment_best(df, "t", x).collect()) == len(LEX)
