@@ -169,7 +169,11 @@ def longest_match(run: str, words: dict, longest: int) -> list[str]:
     """Forward maximum matching by words of two characters or more; bigrams in between."""
     out, gap, i = [], 0, 0
     while i <= len(run):
-        n = next((k for k in range(min(longest, len(run) - i), 1, -1) if run[i:i + k] in words), 0)
+        n = 0
+        for k in range(min(longest, len(run) - i), 1, -1):
+            if run[i:i + k] in words:
+                n = k
+                break
         if n or i == len(run):
             between = run[gap:i]
             out += [between[k:k + 2] for k in range(max(1, len(between) - 1))] if between else []
@@ -199,7 +203,11 @@ def segment(df: DataFrame, col: str, lexicon: DataFrame, out_col: str = "words",
     def wanted(w: Column) -> Column:
         return (F.length(w) >= 2) & F.regexp(w, F.lit(f"^(?:{script})+$"))
 
-    lex = lexicon.select(F.col("term").cast("string").alias("sub")).where("length(sub) >= 2").distinct()
+    from daybook.sources.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    # written once: it is measured, then sent or joined, and is often made from the whole corpus
+    lex = lexicon.select(F.col("term").cast("string").alias("sub")).where("length(sub) >= 2").distinct().checkpoint()
 
     words = F.coalesce(tokens(col, han_bigrams=False), F.array().cast("array<string>"))
     if measured_bytes(lex) <= broadcast_bytes:

@@ -99,3 +99,13 @@ def test_best_path_lexicon_is_read_once(spark):
     df = spark.createDataFrame([(1, "研究生命")], "id int, t string")
     lex = spark.createDataFrame(LEX, "term string, count long")
     assert _read_once(spark, lex, lambda x: wordgraph.segment_best(df, "t", x).collect()) == len(LEX)
+
+
+def test_longest_match_lexicon_is_read_once(spark, monkeypatch):
+    monkeypatch.setattr(text, "HELD_RUNS", 2)
+    monkeypatch.setattr(text, "REMEMBERED", 1)
+    df = spark.createDataFrame([(1, "研究生命, 研究生命 的研究"), (2, None), (3, "研究生命 ok 研究")], "id int, t string").coalesce(1)
+    lex = spark.createDataFrame([("研究",), ("生命",)], "term string")
+    got = []
+    assert _read_once(spark, lex, lambda x: got.extend(text.segment(df, "t", x).collect())) == 2
+    assert {r.id: r.words for r in got} == {1: ["研究", "生命", "研究", "生命", "的", "研究"], 2: [], 3: ["研究", "生命", "ok", "研究"]}
