@@ -147,7 +147,11 @@ def enrich_area(df: DataFrame, geo_dict: DataFrame, lat: str = "latitude", lng:
     small aggregate), so rows never multiply; it is broadcast only when its measured
     size is within ``broadcast_bytes``, otherwise the
     join shuffles with busy cells salted over several partitions (``salted_join``)."""
-    d = one_area_per_cell(geo_dict.select("geo", "province", "city", "district")).withColumnRenamed("geo", "_geo")
+    from daybook.sources.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    # written once: it is measured, then joined, and is often made from all points
+    d = one_area_per_cell(geo_dict.select("geo", "province", "city", "district")).withColumnRenamed("geo", "_geo").checkpoint()
     cells = df.withColumn("_geo", geohash(F.col(lat), F.col(lng), precision))
     if measured_bytes(d) <= broadcast_bytes:
         j = cells.join(F.broadcast(d), "_geo", "left")

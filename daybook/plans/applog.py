@@ -151,6 +151,14 @@ def app_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(line.alias("value"))
 
 
+def written_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of ``app_log_lines``, written once: the log is read by several passes, and
+    rendering a line costs as much as parsing it."""
+    path = f"{sources.checkpoint_dir(spark).rstrip('/')}/daybook-applog-{uuid.uuid4().hex}"
+    sources.write_parquet(app_log_lines(spark, sf_dir), path)
+    return sources.read_parquet(spark, path)
+
+
 # Oracle side: the same rules applied to the event columns directly.
 _LOG_ROWS_SQL = f"""
 ev AS (SELECT e.*, CAST(floor(value) AS INTEGER) AS cat, c.c_custkey, {_LAT_SQL} AS lat0, {_LNG_SQL} AS lng0
@@ -195,7 +203,7 @@ WHERE coalesce(g1.comp, g2.comp, g3.comp) IS NOT NULL"""
 def q_applog(spark, sf_dir):
     """Q-LOG end to end: identity dictionary from the same day's lines (Q-IDM), geo
     dictionary from customer points (Q-GEO), then the cleanse."""
-    lines = app_log_lines(spark, sf_dir)
+    lines = written_log(spark, sf_dir)
     ids = idmap.identity_dictionary(idmap.extract_ids(lines))
     geo = applog.geo_dictionary(geo_points(spark, sf_dir))
     out = applog.cleanse_app_log(lines, geo, ids)

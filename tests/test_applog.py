@@ -101,3 +101,33 @@ def test_identity_rule_and_id_fields(spark):
     lines = spark.createDataFrame([(line,)], "value string")
     assert idmap.extract_ids(lines).first().ids == ["u", "phone"]            # D2: user.phone first
     assert idmap.extract_ids(lines, phone_first=False).first().ids == ["u", "top"]
+
+
+def test_app_log_is_written_once_and_the_area_dictionary_read_once(spark, sf_dir):
+    from daybook.plans.applog import q_applog
+    # before, each pass rendered the lines again from the events
+    assert any("/daybook-applog-" in f for f in q_applog(spark, sf_dir).inputFiles())
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    geo = spark.createDataFrame([("wx4fb", "P", "C", "D")], "geo string, province string, city string, district string")
+    df = spark.createDataFrame([(39.9, 116.4)], "latitude double, longtitude double")
+    got = applog.enrich_area(df, geo.mapInArrow(counted, geo.schema)).collect()
+    assert [r.province for r in got] == ["P"] and read.value == 1
+
+
+def test_geohash_of_every_length(spark):
+    from daybook.functions import geohash
+    from tests.test_sources import _bisect_geohash
+    points = [(39.9, 116.4), (-90.0, -180.0), (90.0, 180.0), (0.0, 0.0), (-33.9, 18.4), (89.999, -0.001), (-0.001, 179.999)]
+    odd = [(90.1, 0.0), (0.0, -180.5), (None, 1.0), (float("nan"), 1.0), (1.0, float("inf"))]
+    df = spark.createDataFrame(points + odd, "lat double, lng double").select("lat", "lng", *[geohash("lat", "lng", n).alias(f"g{n}") for n in range(1, 13)])
+    for r in df.collect():
+        for n in range(1, 13):
+            assert r[f"g{n}"] == (_bisect_geohash(r.lat, r.lng, n) if (r.lat, r.lng) in points else None)
+    # each axis stands once in the expression: before, once for each of its bits
+    assert str(geohash("lat", "lng")).upper().count("FLOOR") == 2
