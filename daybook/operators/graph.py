@@ -36,15 +36,14 @@ def pairwise(arr: Column, max_width: int | None = None) -> Column:
     return F.when(n <= max_width, unrolled).otherwise(general)
 
 
-def chain(arr: Column) -> Column:
+def chain(arr: Column, checked: bool = True) -> Column:
     """Consecutive pairs ``(arr[i], arr[i+1])``, skipped when ``arr[i]`` is blank
-    (``arr[i+1]`` is not checked, so a blank successor links to the empty string)."""
+    (``arr[i+1]`` is not checked, so a blank successor links to the empty string). With
+    ``checked=False`` the caller skips those itself, after an ``explode``: Spark compiles
+    that, while it interprets the lambda here."""
     n = F.size(arr)
-    pairs = F.transform(F.sequence(F.lit(1), n - 1),
-                        lambda i: F.struct(F.element_at(arr, i).alias("src"),
-                                           F.element_at(arr, i + 1).alias("dst")))
-    kept = F.filter(pairs, lambda p: not_blank(p["src"]))
-    return F.when(n >= 2, kept)
+    pairs = F.when(n >= 2, F.arrays_zip(F.slice(arr, 1, n - 1).alias("src"), F.slice(arr, 2, n - 1).alias("dst")))
+    return F.filter(pairs, lambda p: not_blank(p["src"])) if checked else pairs
 
 
 # --------------------------------------------------------------------------- A7
@@ -129,7 +128,8 @@ def _small_star(e: DataFrame, hot_a: list) -> DataFrame:
 
 
 def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100,
-                         hot_min: int = HOT_MIN_ROWS, inputs_materialized: bool = False) -> DataFrame:
+                         hot_min: int = HOT_MIN_ROWS, inputs_materialized: bool = False,
+                         prepared: bool = False) -> DataFrame:
     """``(id, component)`` where ``component`` is the smallest vertex id of its
     connected component (signed comparison); isolated vertices are their own.
 
@@ -149,8 +149,15 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     executor recomputes at most one round. Per round the driver reads one summary
     row (the star-forest test) and the bounded hot-node lists; the loop ends as soon
     as the edges form stars (which the contraction reaches; ``max_rounds`` guards).
+
+    With ``prepared`` the caller has also done the rest: ``vertices`` are different and hold
+    both ends of all edges, and ``edges`` are different ones with ``src > dst``. Further
+    columns of ``vertices`` are then kept.
     """
     checkpoint_dir(vertices.sparkSession)
+    if prepared:
+        labels = _stars(edges.select(F.col("src").alias("a"), F.col("dst").alias("b")), max_rounds, hot_min)
+        return vertices.join(labels, "id", "left").select(*vertices.columns, F.coalesce("component", "id").alias("component"))
     ed = (edges.select(F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst"))
           .where(F.col("src").isNotNull() & F.col("dst").isNotNull()))
     vset = graph_vertices(vertices, ed)
@@ -161,6 +168,13 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     e = (ed.select(F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b"))
          .where(F.col("a") != F.col("b"))
          .distinct())
+    labels = _stars(e, max_rounds, hot_min)
+    return vset.join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+
+
+def _stars(e: DataFrame, max_rounds: int, hot_min: int) -> DataFrame:
+    """``(id, component)`` of every vertex that is not its component's smallest, by rounds
+    over the different edges ``(a, b)``, ``a > b``."""
     for _ in range(max_rounds + 1):
         is_star, hot_a, hot_b = _round_info(e, hot_min)
         if is_star:  # stars around each component's minimum: done
@@ -169,5 +183,4 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     else:
         raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
     # Converged: every non-root node has exactly one edge, to its component minimum.
-    labels = e.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    return vset.join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+    return e.select(F.col("a").alias("id"), F.col("b").alias("component"))

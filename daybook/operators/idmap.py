@@ -15,7 +15,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from daybook.functions.core import java_hash, not_blank, parse_once
 from daybook.operators import identity
 from daybook.operators.graph import chain, connected_components, cooccurrence_edges, pairwise
-from daybook.operators.joins import HOT_MIN_ROWS, salted_join, top_hot_keys
+from daybook.operators.joins import HOT_MIN_ROWS, salted_join, skew_join, top_hot_keys
 from daybook.sources.session import checkpoint_dir
 
 # Identifier fields of a log record, in the reference's order.
@@ -169,17 +169,19 @@ def link_lines(lines: DataFrame, value_col: str = "value", sep: str = ",",
     checkpoint_dir(lines.sparkSession)
     f = lines.select(F.col(value_col).alias("line"), split_fields(F.col(value_col), sep).alias("fields"))
     # one pass over the lines: vertices as (name, null), chained pairs as (src, dst)
-    entries = F.concat(
-        F.transform(F.filter("fields", lambda x: not_blank(x)),
-                    lambda x: F.struct(x.alias("src"), F.lit(None).cast("string").alias("dst"))),
-        F.coalesce(chain(F.col("fields")), F.array().cast("array<struct<src:string,dst:string>>")))
-    g = (f.select(F.explode_outer(entries).alias("p")).where(F.col("p").isNotNull())
-         .groupBy("p.src", "p.dst").agg(F.count(F.lit(1)).alias("_n"))
+    none = F.array().cast("array<string>")
+    entries = F.concat(F.arrays_zip(F.col("fields").alias("src"), none.alias("dst")),
+                       F.coalesce(chain(F.col("fields"), checked=False), F.array().cast("array<struct<src:string,dst:string>>")))
+    g = (f.select(F.inline(entries)).where(not_blank("src"))
+         .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_n"))
          .checkpoint())
     names = g.where(F.col("dst").isNull()).select(F.col("src").alias("name"), "_n")
-    comp = identity.name_components(names, g.where(F.col("dst").isNotNull()).select("src", "dst"), hot_min)
+    edges = g.where(F.col("dst").isNotNull()).select("src", "dst")
+    # of the ends of edges only blank ones are no vertices yet
+    blanks = edges.where(~not_blank("dst")).select(F.col("dst").alias("name")).distinct().checkpoint()
+    comp = identity.name_components(names.select("name").unionByName(blanks), edges, hot_min, whole=True)
     guids = identity.component_guids(comp)
-    tagged = salted_join(comp, guids.drop("_n"), "component", top_hot_keys(guids, ["component"], "_n", hot_min), "inner")
+    tagged = skew_join(comp, guids.drop("_n"), "component", top_hot_keys(guids, ["component"], "_n", hot_min), "inner")
     first = f.select("line", F.try_element_at(F.filter("fields", lambda x: not_blank(x)), F.lit(1)).alias("name"))
     # a field's count over all lines bounds its count as a first field: hot candidates
     # come from the checkpointed graph, without another pass over the lines

@@ -104,6 +104,29 @@ def test_dense_ids_are_ranks(spark):
     assert got == list(range(4001))
 
 
+def test_vertices_take_no_join(spark, monkeypatch):
+    """Names whose 64-bit hashes differ need no sorted order and no join with the edges."""
+    def no(*a, **kw):
+        raise AssertionError("joined")
+    monkeypatch.setattr(identity, "dense_ids", no)
+    monkeypatch.setattr(identity, "_ends_of", no)
+    lines = spark.createDataFrame([("a,b,c",), ("d,,e",), ("c,x",), ("",), (None,), ("f,g",)], "value string")
+    got = {r.line: r.gid for r in idmap.link_lines(lines).collect()}
+    assert got == {"a,b,c": 97, "c,x": 97, "d,,e": 0, "": None, None: None, "f,g": 102}
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_names_that_share_a_vertex_hash_stay_apart(spark, monkeypatch, whole):
+    monkeypatch.setattr(identity, "_vertex", lambda name: F.length(name).cast("long"))
+    names = spark.createDataFrame([(w,) for w in ("a", "b", "c", "dd", "ee", "f")], "name string")
+    edges = spark.createDataFrame([("a", "dd"), ("dd", "a"), ("ee", "b"), ("c", "c"), ("f", "ee")], "src string, dst string")
+    got = identity.name_components(names, edges, whole=whole).collect()
+    parts = {}
+    for r in got:
+        parts.setdefault(r.component, set()).add(r.name)
+    assert len(got) == 6 and sorted(map(sorted, parts.values())) == [["a", "dd"], ["b", "ee", "f"], ["c"]]
+
+
 def test_colliding_strings_stay_apart(spark):
     assert _hash("Aa") == _hash("BB") == 2112
     got = _dict(idmap.identity_dictionary(_rows(spark, [["Aa", "z1"]] * 3 + [["BB", "z2"]] * 3 + [["BB"]])))
