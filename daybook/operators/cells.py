@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.operators.joins import BROADCAST_BYTES, measured_bytes, salted_join, top_hot_keys
-from daybook.operators.vectors import Vectors, best, differ, result_schema, rows
+from daybook.operators.vectors import Alike, Vectors, best, differ, nearest, result_schema, rows
 from daybook.sources.session import checkpoint_dir
 
 # Rows of a cell aimed at, most pivots, and bytes of pivots that are broadcast at most.
@@ -248,17 +248,23 @@ class Search:
         q = q.select("piece", "part", "uid", F.col("id").alias("qid"), none.cast(self.kinds["id"]).alias("cid"), "vec", F.lit(0.0).alias("label"), "kth")
         c = c.select("piece", "part", none.cast("long").alias("uid"), none.cast(self.ask_kind).alias("qid"), F.col("id").alias("cid"), "vec", "label", none.cast("double").alias("kth"))
         k, metric, exclude_self = self.k, self.metric, self.exclude_self
+        one_length = metric == "euclidean"  # as the cells' bounds are
 
         def score(t: pa.Table) -> pa.Table:
             asking = pc.is_valid(t.column("uid"))
             a, b = t.filter(asking), t.filter(pc.invert(asking))
             members = Vectors(b.column("cid"), b.column("vec"), b.column("label").to_numpy())
-            out, step = [], max(1, HELD // max(1, len(members)))
+            # a piece's queries at once where the scoring itself bounds what it holds
+            out, step = [], max(1, a.num_rows if one_length else HELD // max(1, len(members)))
             for s in range(0, max(1, a.num_rows), step):
                 of = a.slice(s, step)
                 query = Vectors(of.column("qid"), of.column("vec"), np.zeros(of.num_rows))
-                i, j, sim = best(query, members, k, metric, differ(query.ids, members.ids, exclude_self))
-                kth = of.column("kth").to_numpy().astype(float)[i]
+                kth = of.column("kth").to_numpy().astype(float)
+                if one_length:
+                    i, j, sim = nearest(query, members, k, Alike(query.ids, members.ids) if exclude_self else None, kth)
+                else:
+                    i, j, sim = best(query, members, k, metric, differ(query.ids, members.ids, exclude_self))
+                kth = kth[i]
                 worth = np.isnan(kth) | (sim >= kth)  # the first round has k rows no worse than others
                 i, j, sim = i[worth], j[worth], sim[worth]
                 got = rows(query, members, i, j, sim, metric)

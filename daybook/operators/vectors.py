@@ -85,16 +85,66 @@ def best(q: Vectors, c: Vectors, k: int, metric: str, other: np.ndarray) -> tupl
         for p in range(0, len(i), strip):
             ip, jp = a + i[p:p + strip], j[p:p + strip]
             s[p:p + strip] = _similarity(metric, x[ip], y[jp], np.minimum(q.length[ip], c.length[jp]))
-        order = np.lexsort((id_rank[j], c.labels[j], np.where(np.isnan(s), np.inf, -s), i))
-        i, j, s = i[order], j[order], s[order]
-        place = np.arange(len(i)) - np.searchsorted(i, i)
-        top = place < k
-        out.append((a + i[top], j[top], s[top]))
+        i, j, s = _first(i, j, s, k, c, id_rank)
+        out.append((a + i, j, s))
+    return _joined(out)
+
+
+def _first(i: np.ndarray, j: np.ndarray, s: np.ndarray, k: int, c: Vectors, id_rank: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The first ``k`` scored pairs of each query."""
+    order = np.lexsort((id_rank[j], c.labels[j], np.where(np.isnan(s), np.inf, -s), i))
+    i, j, s = i[order], j[order], s[order]
+    top = np.arange(len(i)) - np.searchsorted(i, i) < k
+    return i[top], j[top], s[top]
+
+
+def _joined(out: list) -> tuple[np.ndarray, ...]:
     if not out:
         return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
     return tuple(np.concatenate(p) for p in zip(*out))
 
 
+def nearest(q: Vectors, c: Vectors, k: int, same: Alike | None, floor: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``best`` by Euclidean similarity, for vectors of one length whose squares are finite,
+    without the pairs ``same``. Where a query's ``floor`` is not NaN, only
+    those of similarity ``floor`` and above are sure to be among the result.
+
+    One product tells the distances but for a constant of the query; with a floor, one
+    comparison makes the shortlist, and nothing is partitioned unless it is long."""
+    width = max(q.cells.shape[1], c.cells.shape[1])
+    x, y = _widen(q.cells, width), _widen(c.cells, width)
+    left, right = np.column_stack((x, np.ones(len(x)))), np.column_stack((y, -0.5 * c.square)).T
+    id_rank = np.empty(len(c), dtype=np.int64)
+    id_rank[pc.sort_indices(c.ids).to_numpy()] = np.arange(len(c))
+    margin = _EPS * (width + 1) * (q.square + c.square.max(initial=0.0))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        far = (1.0 + _EPS) / floor - 1.0  # no row of similarity ``floor`` is farther
+        need = np.where(floor > 0, 0.5 * (q.square - far * far) - margin, -np.inf)
+    out = []
+    step = max(1, SCORES // 2 // max(1, len(c)))
+    for a in range(0, len(q), step):
+        b = min(a + step, len(q))
+        rough = left[a:b] @ right  # half of: square of the query less square of the distance
+        if same:
+            rough[same.pairs(a, b)] = -np.inf
+        near = rough >= need[a:b, None]
+        if k < len(c):
+            long = np.flatnonzero(np.count_nonzero(near, axis=1) > 4 * k)
+            if len(long):
+                least = np.partition(rough[long], len(c) - k, axis=1)[:, len(c) - k] - 2 * margin[a:b][long]
+                near[long] &= rough[long] >= least[:, None]
+        i, j = np.nonzero(near)
+        other = rough[i, j] > -np.inf
+        i, j = i[other], j[other]
+        s, strip = np.empty(len(i)), max(1, SCORES // max(1, width))
+        for p in range(0, len(i), strip):
+            ip, jp = a + i[p:p + strip], j[p:p + strip]
+            s[p:p + strip] = _similarity("euclidean", x[ip], y[jp], np.minimum(q.length[ip], c.length[jp]))
+        i, j, s = _first(i, j, s, k, c, id_rank)
+        out.append((a + i, j, s))
+    return _joined(out)
+
+
 def _other(metric: str) -> str:
     return "cosine" if metric == "euclidean" else "euclidean"
 
@@ -119,5 +169,23 @@ def differ(q: pa.Array, c: pa.Array, exclude_self: bool) -> np.ndarray:
     return qi[:, None] != ci[None, :]
 
 
+class Alike:
+    """The pairs that ``differ`` with ``exclude_self`` leaves out, told for some queries at a time
+    (an id may repeat on both sides)."""
+
+    def __init__(self, q: pa.Array, c: pa.Array):
+        known = pc.unique(c)
+        qi = pc.fill_null(pc.index_in(q, value_set=known), -1).to_numpy(zero_copy_only=False)
+        ci = pc.index_in(c, value_set=known).to_numpy(zero_copy_only=False)
+        self.order = np.argsort(ci, kind="stable")
+        self.first, self.end = (np.searchsorted(ci[self.order], qi, side) for side in ("left", "right"))
+
+    def pairs(self, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of queries ``a`` to ``b`` (counted from ``a``) and of their candidates."""
+        first, n = self.first[a:b], self.end[a:b] - self.first[a:b]
+        within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        return np.repeat(np.arange(len(n)), n), self.order[np.repeat(first, n) + within]
+
+
 def result_schema(query_kind: str, cand_kind: str) -> str:
     return f"qid {query_kind}, cid {cand_kind}, sim double, label double, sim2 double"

@@ -1,10 +1,11 @@
 """Neighbours over cells: the same rows as scoring everything, and what is skipped."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from daybook.operators import cells, neighbors
+from daybook.operators import cells, neighbors, vectors
 
 NAN, INF = float("nan"), float("inf")
 
@@ -84,3 +85,30 @@ def test_share_of_the_product_that_is_scored(spark, metric, record_property):
     record_property("scored", {"1000": small, "4000": large, "random": none, "power": power})
     print(f"{metric}: scored {small:.3f} of 1000^2, {large:.3f} of 4000^2 (power {power:.2f}), {none:.2f} without clusters")
     assert small < 0.3 and power < 1.6 and none <= 1.01
+
+
+def test_floor_spares_the_partition(monkeypatch):
+    """With a floor the shortlist is one comparison: what ``best`` gives from the floor up."""
+    rng = np.random.default_rng(3)
+    m = np.round(rng.normal(size=(300, 5)), 1)
+    m[50:60] = m[40:50]  # ties
+    ids = pa.array([int(i) if i % 29 else None for i in rng.integers(0, 280, 300)], pa.int64())
+    v = vectors.Vectors(ids, pa.array(m.tolist(), pa.list_(pa.float64())), rng.integers(0, 3, 300).astype(float))
+    same = vectors.Alike(v.ids, v.ids)
+    differ = np.ones((300, 300), dtype=bool)
+    differ[same.pairs(0, 300)] = False
+    assert (differ == vectors.differ(v.ids, v.ids, True)).all()
+    monkeypatch.setattr(vectors, "SCORES", 140 * 300)
+    for k in (1, 4, 400):
+        want = vectors.best(v, v, k, "euclidean", differ)
+        got = vectors.nearest(v, v, k, same, np.full(300, np.nan))
+        assert all((a == b).all() for a, b in zip(got, want))
+    kth = want[2].reshape(-1)[[np.flatnonzero(want[0] == i)[3] for i in range(300)]]
+    want = vectors.best(v, v, 4, "euclidean", differ)
+
+    def no(*a, **kw):
+        raise AssertionError("partitioned")
+    monkeypatch.setattr(np, "partition", no)
+    i, j, s = vectors.nearest(v, v, 4, same, kth)
+    worth = s >= kth[i]
+    assert all((a[worth] == b).all() for a, b in zip((i, j, s), want))
