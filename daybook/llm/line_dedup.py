@@ -7,9 +7,9 @@ the words left after the shared one must suffice (positional filter), and parity
 (64 bits, then 256) bound in how many words they agree. What passes is verified on the whole sets.
 
 Lines with the same set are one class, so a line that a third of all documents carry is one
-row of the join. A semi-join finds the classes that have any partner passing the filters;
-pairs are made among those alone, first with the earliest lines of each prefix word, then,
-for the lines these don't remove, with all.
+row of the join. A semi-join finds the prefix words at which a class meets any partner that
+passes the filters; pairs are made at those alone, first with the earliest class of each
+word, then, for the classes that this doesn't remove, with all.
 """
 
 from __future__ import annotations
@@ -19,15 +19,16 @@ import functools
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import drop, release, save, text_or_empty
+from daybook.llm.common import BLANKS, drop, release, save, text_or_empty
 
 # Buckets of the table of word counts (its size is fixed, whatever the vocabulary).
 RARITY_BUCKETS = 1 << 16
-# Lines of a prefix word that are compared with all its others first.
-EARLIEST = 3
+# Words up to which the short signature tells lines apart.
+SHORT = 64
 _LOW = (1 << 55) - 1
 _PLACE = ["id", "th", "no"]  # a line: document id, hash of its text, number
 _CLASS = ["h", "sig", "n"]  # a set of words
+_WIDE = ["w0", "w1", "w2", "w3"]  # its wide signature
 
 
 def _plain(text: Column) -> Column:
@@ -43,136 +44,116 @@ def _hashes(line: Column) -> Column:
 
 def rarity(docs: DataFrame) -> Column:
     """An array literal: by hash bucket, how often its words occur in all texts, in quarter
-    octaves. The driver gets at most ``RARITY_BUCKETS`` pairs of numbers."""
-    words = docs.select(F.explode(F.split(F.translate(_plain(F.col("text")), "\n", " "), " ")).alias("w"))
+    octaves, in the bits that ``word_codes`` puts before the hash. The driver gets at most
+    ``RARITY_BUCKETS`` pairs of numbers."""
+    words = docs.select(F.explode(F.split(F.replace(_plain(F.col("text")), F.lit("\n"), F.lit(" ")), " ")).alias("w"))
     counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(RARITY_BUCKETS - 1)).alias("b")).agg(F.count(F.lit(1)).alias("n"))
     levels = [0] * RARITY_BUCKETS
     for b, level in counts.select("b", (F.log2("n") * 4).cast("int") + 1).collect():
-        levels[b] = level
-    return F.split(F.lit(",".join(map(str, levels))), ",").cast("array<int>")
+        levels[b] = level << 55
+    return F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")
 
 
 def word_codes(line: Column, levels: Column) -> Column:
     """A line's distinct words as 64-bit codes, rarest first: rarity, then hash."""
     def code(h: Column) -> Column:
         level = F.get(levels, h.bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int"))
-        return F.shiftleft(level.cast("long"), 55).bitwiseOR(h.bitwiseAND(F.lit(_LOW)))
+        return level.bitwiseOR(h.bitwiseAND(F.lit(_LOW)))
     return F.sort_array(F.transform(_hashes(line), code))
 
 
-def _lines(docs: DataFrame, levels: Column, numbers: str | None = None) -> DataFrame:
-    """The lines of ``(id, th, text)`` that have words, or of these the ones whose number is
-    in the array ``numbers``."""
-    lines = F.split(_plain(F.col("text")), "\n")
-    if numbers is None:
-        rows = docs.select("id", "th", F.posexplode(lines).alias("no", "line"))
-    else:
-        chosen = F.transform(numbers, lambda i: F.struct(i.alias("no"), F.get("lines", i).alias("line")))
-        rows = docs.withColumn("lines", lines).select("id", "th", F.inline(chosen))
-    return rows.select(*_PLACE, word_codes(F.col("line"), levels).alias("codes")).where(F.size("codes") > 0)
+def _lines(docs: DataFrame) -> DataFrame:
+    """The lines of ``(id, th, text)`` that have words, in plain form."""
+    rows = docs.select("id", "th", F.posexplode(F.split(_plain(F.col("text")), "\n")).alias("no", "line"))
+    return rows.where(F.trim("line") != "")
 
 
-def _wide_signature() -> Column:
-    """Parity of the words in ``codes`` in 256 places, as four longs."""
+def _wide_signature() -> list[Column]:
+    """Parity of the words in ``codes`` in 256 places, as four longs; zeros for short lines."""
     lanes = [f"aggregate(filter(codes, c -> (shiftright(c, 6) & 3) = {k}), 0L, (a, c) -> a ^ shiftleft(1L, int(c & 63)))" for k in range(4)]
-    return F.array(*[F.expr(x) for x in lanes])
+    return [F.when(F.size("codes") > SHORT, F.expr(x)).otherwise(F.lit(0).cast("long")).alias(w) for x, w in zip(lanes, _WIDE)]
 
 
-def _compatible(a: str, b: str) -> Column:
-    """Length, positional and signature filters on two entries of one prefix word."""
-    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    room = F.least(na - F.col(f"{a}.pos"), nb - F.col(f"{b}.pos"))
-    return ((5 * F.least(na, nb) >= 4 * F.greatest(na, nb)) & (9 * room >= 4 * (na + nb))
-            & (9 * F.bit_count(F.col(f"{a}.sig").bitwiseXOR(F.col(f"{b}.sig"))) <= na + nb))
+def _fits(wide: bool = False) -> Column:
+    """Signature, length and positional filters on entries ``a`` and ``b`` of one prefix word:
+    sets that differ in d words differ in at most d places."""
+    na, nb = F.col("a.n"), F.col("b.n")
+    room = F.least(na - F.col("a.pos"), nb - F.col("b.pos"))
 
+    def apart(signature: list[str]) -> Column:
+        return functools.reduce(Column.__add__, [F.bit_count(F.col(f"a.{k}").bitwiseXOR(F.col(f"b.{k}"))) for k in signature])
+    near = 9 * apart(["sig"]) <= na + nb
+    if wide:
+        near &= (F.least(na, nb) <= SHORT) | (9 * apart(_WIDE) <= na + nb)
+    return near & (5 * F.least(na, nb) >= 4 * F.greatest(na, nb)) & (9 * room >= 4 * (na + nb))
 
-def _entries(classes: DataFrame, *cols: str) -> DataFrame:
-    """A row for each prefix word of classes that can match another (four words and more)."""
-    return classes.where("n >= 4").select(*cols, *_CLASS, F.posexplode("prefix").alias("pos", "word"))
 
-
-def removed_lines(docs: DataFrame) -> DataFrame:
-    """``(id, th, no)`` of every line of ``(id, text)`` that repeats an earlier one."""
+def kept_lines(docs: DataFrame) -> DataFrame:
+    """``(id, th, no)`` of every line of ``(id, text)`` with words that repeats no earlier one."""
     spark = docs.sparkSession
     docs = docs.withColumn("th", F.xxhash64("text"))
     levels = rarity(docs)
     release(spark)
-    lines = _lines(docs, levels)
     n = F.size("codes")
-    lines = save(lines.select(
+    lines = _lines(docs).select(*_PLACE, word_codes(F.col("line"), levels).alias("codes")).select(
         *_PLACE, F.xxhash64("codes").alias("h"), n.alias("n"),
         F.expr("aggregate(codes, 0L, (a, c) -> a ^ shiftleft(1L, int(c & 63)))").alias("sig"),
-        F.transform(F.slice("codes", 1, n - F.ceil(n * 0.8).cast("int") + 1), lambda c: F.hash(c)).alias("prefix")))
-    release(spark)
-    place = F.struct(*_PLACE)
-    classes = save(lines.groupBy(*_CLASS, "prefix").agg(F.min(place).alias("ord")))
-    release(spark)
-    same = functools.reduce(Column.__and__, [F.col(f"p.{c}").eqNullSafe(F.col(f"w.{c}")) for c in _PLACE])
-    copies = save(lines.select(*_PLACE).alias("p").join(classes.select("ord.*").alias("w"), same, "left_anti").distinct())
-    drop(lines)
+        F.slice("codes", 1, n - F.ceil(n * 0.8).cast("int") + 1).alias("prefix"))
+    classes = save(lines.groupBy(*_CLASS).agg(F.min(F.struct(*_PLACE)).alias("ord"), F.first("prefix").alias("prefix")))
     release(spark)
 
-    # classes with any compatible partner
-    e = _entries(classes)
+    # prefix words at which a class meets a compatible one (of four words and more)
+    e = classes.where("n >= 4").select(*_CLASS, F.posexplode("prefix").alias("pos", "code")).withColumn("word", F.hash("code")).drop("code")
     other = (F.col("a.word") == F.col("b.word")) & ((F.col("a.h") != F.col("b.h")) | (F.col("a.sig") != F.col("b.sig")))
     # written by itself: the two sides of this join are then one exchange
-    some = save(e.alias("a").join(e.alias("b"), other & _compatible("a", "b"), "left_semi").select(*_CLASS).distinct())
-    release(spark)
-    some = save(classes.join(some, _CLASS, "left_semi"))
-    drop(classes)
+    met = save(e.alias("a").join(e.alias("b"), other & _fits(), "left_semi"))
     release(spark)
 
-    # their words
-    wanted = some.select("ord.*").groupBy("id", "th").agg(F.collect_list("no").alias("numbers"))
+    # the words of their classes, which are numbered in the order of their first lines
+    some = save(classes.select("h", "sig", "ord").join(met.select("h", "sig").distinct(), ["h", "sig"], "left_semi"))
+    some = save(some.orderBy("ord").withColumn("k", F.monotonically_increasing_id()))
+    release(spark)
+    wanted = some.select("ord.*", "k").groupBy("id", "th").agg(F.map_from_entries(F.collect_list(F.struct("no", "k"))).alias("numbers"))
     same = F.col("p.id").eqNullSafe(F.col("w.id")) & (F.col("p.th") == F.col("w.th"))
     texts = docs.alias("p").join(wanted.alias("w"), same).select("p.id", "p.th", "text", "numbers")
-    codes = save(_lines(texts, levels, "numbers").select(F.struct(*_PLACE).alias("ord"), "codes", _wide_signature().alias("wide")))
+    rows = texts.select("numbers", F.posexplode(F.split(_plain(F.col("text")), "\n")).alias("no", "line"))
+    rows = rows.select(F.try_element_at("numbers", "no").alias("k"), "line").where("k is not null")
+    # one row for a document that is given several times
+    codes = save(rows.select("k", word_codes(F.col("line"), levels).alias("codes")).select("k", "codes", *_wide_signature()).dropDuplicates(["k"]))
+    release(spark)
+    e = save(met.join(some.select("h", "sig", "k"), ["h", "sig"]).join(codes.drop("codes"), "k").select("word", "k", "n", "pos", "sig", *_WIDE))
+    drop(met)
     release(spark)
-    some = some.join(codes.select("ord", "wide"), "ord")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        """The later lines of the pairs that are similar indeed."""
+        """The later classes of the pairs that are similar indeed."""
         pairs = save(pairs.distinct())
         release(spark)
-        p = pairs.join(codes.select(F.col("ord").alias("b"), F.col("codes").alias("cb")), "b")
-        p = p.join(codes.select(F.col("ord").alias("a"), F.col("codes").alias("ca")), "a")
+        p = pairs.join(codes.select(F.col("k").alias("b"), F.col("codes").alias("cb")), "b")
+        p = p.join(codes.select(F.col("k").alias("a"), F.col("codes").alias("ca")), "a")
         shared = F.size(F.array_intersect("ca", "cb"))
-        out = save(p.where(9 * shared >= 4 * (F.size("ca") + F.size("cb"))).select(F.col("b").alias("ord")).distinct())
+        out = save(p.where(9 * shared >= 4 * (F.size("ca") + F.size("cb"))).select(F.col("b").alias("k")).distinct())
         drop(pairs)
         release(spark)
         return out
 
-    # with the earliest lines of each prefix word
-    e = _entries(some, "ord", "wide")
-    order = Window.partitionBy("word").orderBy("ord").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    one = F.struct("ord", "n", "pos", "wide")
-    first = e.select(one.alias("b"),
-                     F.array(*[F.nth_value(one, k).over(order) for k in range(1, EARLIEST + 1)]).alias("early"))
-    near = first.select("b", F.explode(F.filter("early", lambda a: (a["ord"] < F.col("b.ord")) & _fits(a, F.col("b")))).alias("a"))
-    gone = confirmed(near.select("a.ord", "b.ord").toDF("a", "b"))
-
-    # with all, for those still there
-    later = _entries(some.join(gone, "ord", "left_anti"), "ord", "wide")
-    a, b = F.struct("a.ord", "a.n", "a.pos", "a.wide"), F.struct("b.ord", "b.n", "b.pos", "b.wide")
-    pairs = e.alias("a").join(later.alias("b"), (F.col("a.word") == F.col("b.word")) & (F.col("a.ord") < F.col("b.ord")) & _fits(a, b))
-    gone = gone.unionByName(confirmed(pairs.select("a.ord", "b.ord").toDF("a", "b")))
-
-    out = save(copies.unionByName(gone.select("ord.*")).distinct())
-    for t in (copies, some, codes):
+    def pairs(later: DataFrame, earlier: DataFrame) -> DataFrame:
+        one = (F.col("a.word") == F.col("b.word")) & (F.col("a.k") < F.col("b.k")) & _fits(wide=True)
+        return earlier.alias("a").join(later.alias("b"), one).select(F.col("a.k").alias("a"), F.col("b.k").alias("b"))
+
+    # with the earliest class of each prefix word, then with all, for those still there
+    first = e.groupBy("word").agg(F.min("k").alias("k"), *[F.min_by(c, "k").alias(c) for c in ["n", "pos", "sig", *_WIDE]])
+    gone = confirmed(pairs(e, first))
+    gone = gone.unionByName(confirmed(pairs(e.join(gone, "k", "left_anti"), e)))
+
+    gone = some.join(gone, "k", "left_semi").select("ord")
+    out = save(classes.select("ord").join(gone, "ord", "left_anti").select("ord.*"))
+    for t in (classes, some, codes, e):
         drop(t)
     release(spark)
     return out
 
 
-def _fits(a: Column, b: Column) -> Column:
-    """The same filters on structs with the wide signature, which also tells long lines
-    apart: sets that differ in d words differ in at most d places."""
-    na, nb = a["n"], b["n"]
-    room = F.least(na - a["pos"], nb - b["pos"])
-    apart = functools.reduce(Column.__add__, [F.bit_count(a["wide"][k].bitwiseXOR(b["wide"][k])) for k in range(4)])
-    return (5 * F.least(na, nb) >= 4 * F.greatest(na, nb)) & (9 * room >= 4 * (na + nb)) & (9 * apart <= na + nb)
-
-
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = True) -> DataFrame:
     """All rows and columns of ``docs`` with repeated lines removed from ``text_col``, and
     with ``counts`` also ``n_lines, n_removed`` (in place of columns of these names).
@@ -193,15 +174,16 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     equal sets are recognised by their size and 128 bits of hash and parity.
     """
     d = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    gone = removed_lines(d).groupBy("id", "th").agg(F.collect_list("no").alias("gone"))
+    kept = kept_lines(d).groupBy("id", "th").agg(F.collect_list("no").alias("kept"))
     cols = [F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]
     t, k = f"c{docs.columns.index(text_col)}", f"c{docs.columns.index(id_col)}"
     all_rows = docs.select(*cols).withColumn("th", F.xxhash64(F.coalesce(F.col(t).cast("string"), F.lit(""))))
-    joined = all_rows.alias("p").join(gone.alias("w"), F.col(f"p.{k}").eqNullSafe(F.col("w.id")) & (F.col("p.th") == F.col("w.th")), "left")
-    lines = F.split(t, "\n")
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("gone", i)), "\n")
-    text = F.when(F.col("gone").isNull(), F.col(t)).otherwise(kept)
-    added = {"n_lines": F.when(F.col(t).isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long"),
-             "n_removed": F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone")).cast("long")} if counts else {}
+    joined = all_rows.alias("p").join(kept.alias("w"), F.col(f"p.{k}").eqNullSafe(F.col("w.id")) & (F.col("p.th") == F.col("w.th")), "left")
+    joined = joined.withColumn("lines", F.split(t, "\n"))
+    rest = F.filter("lines", lambda x, i: F.array_contains("kept", i) | (F.btrim(x, F.lit(BLANKS)) == ""))
+    joined = joined.withColumn("rest", rest)
+    n_lines, n_rest = [F.when(F.col(t).isNull(), F.lit(0)).otherwise(F.size(c)).cast("long") for c in ("lines", "rest")]
+    text = F.when(n_lines == n_rest, F.col(t)).otherwise(F.array_join("rest", "\n"))
+    added = {"n_lines": n_lines, "n_removed": n_lines - n_rest} if counts else {}
     columns = [text.alias(c) if c == text_col else F.col(f"p.c{i}").alias(c) for i, c in enumerate(docs.columns) if c not in added]
     return joined.select(*columns, *[v.alias(k) for k, v in added.items()])

@@ -150,6 +150,34 @@ def test_line_dedup_random_sets(docs_of):
     assert got == _lines_brute(rows)
 
 
+def test_line_dedup_long_lines(docs_of):
+    """Lines on both sides of the length from which the wide signature is used."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(30):
+        lines = []
+        for _ in range(3):
+            size, base = int(rng.integers(55, 130)), int(rng.integers(0, 3)) * 40
+            lines.append(" ".join(f"t{base + j}" for j in rng.permutation(int(size * 1.1))[:size]))
+        rows.append((i, "\n".join(lines)))
+    rows += rows[:5] + rows[:5]
+    got = {r.doc_id: r.text for r in line_dedup.line_dedup(docs_of(rows)).collect()}
+    want = _lines_brute(rows[:30])
+    assert got == want and any(t == "" for t in want.values()) and any("\n" in t for t in want.values())
+
+
+def test_line_dedup_cuts_each_line_once_a_pass(docs_of, monkeypatch):
+    """No step cuts a line twice, as a pushed-down filter on its words did, and none splits
+    the whole text again for each line that it takes from it."""
+    plans, save = [], line_dedup.save
+    monkeypatch.setattr(line_dedup, "save", lambda df: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), save(df))[1])
+    line_dedup.line_dedup(docs_of([(1, "a b c d e f\ng h"), (2, "a b c d e\ng h i j k")]))
+    cuts = [p.count("xxhash64(lambda") for p in plans]
+    assert max(cuts) == 1 and sum(cuts) == 2
+    # the text is split once for a document, where its lines become rows
+    assert all(p.count("split(lower") == p.count("explode(split(lower") for p in plans)
+
+
 # ------------------------------------------------------------------ op7
 def _near_brute(rows, percent=80):
     sets = []
